@@ -25,6 +25,7 @@ from trendspark.functions import text as tx
 from trendspark.functions import timeutil as tu
 from trendspark.operators import dims, facts, quality, trends
 from trendspark.operators.matching import keyword_lists, substring_matches, texts_matching_any
+from trendspark.sources.readers import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -42,8 +43,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Tables whose rows carry long texts: CPU-heavy per row, so a scan with few
+# splits is spread over all cores before the text work (see readers.spread).
+TEXT_TABLES = ("documents",)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 # SQL building blocks (DuckDB dialect) mirroring the Spark functions.

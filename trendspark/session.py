@@ -42,7 +42,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if active is not None:
         spark = active
     else:
-        b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+        b = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false"))
         if master:
             b = b.master(master)
         for k, v in SESSION_CONF.items():

@@ -26,6 +26,18 @@ def _days(start, end) -> list[_dt.date]:
     return [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (e.g. one big file with few row groups) so CPU-heavy text work
+    uses every core.  A large input already has many splits and is returned
+    unchanged, so this never adds a shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
     """Paths of the raw landing for a closed day range (one glob per day)."""
     tail = "/*/*.json" if hourly else "/*.json"

@@ -108,7 +108,7 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
             lo = b.agg(F.date_sub(F.to_date(F.min(ts)), lookback_days)).scalar()
             arch = arch.where(d >= lo)
         fresh = new_rows_only(b, arch, keys)
-        out = fresh.select("*", *path_parts(F.col(ts)))
+        out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", "year", "month", "day", "hour")
         out.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt).save(archive_path)
 
     return process
