@@ -42,13 +42,37 @@ def digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
 
 
+def duck(sf):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    return con
+
+
+def compare(spark, con, sf, name):
+    """(ok, message) for one query: columns, row count and value hash."""
+    df = se.queries()[name](spark, sf)
+    scols, srows = df.columns, [tuple(r) for r in df.collect()]
+    sql = se.oracle_sql().get(name)
+    if sql is None:
+        return True, f"rows-only {len(srows)}"
+    r = con.execute(sql)
+    ocols, orows = [d[0] for d in r.description], r.fetchall()
+    sh, sl = digest(scols, srows)
+    oh, ol = digest(ocols, orows)
+    ok = sorted(scols) == sorted(ocols) and len(srows) == len(orows) and sh == oh
+    msg = f"spark {len(srows)} rows {sorted(scols)}, oracle {len(orows)} rows {sorted(ocols)}"
+    if not ok:
+        a, b = set(sl), set(ol)
+        msg += f"; spark-only {list(a - b)[:2]}; oracle-only {list(b - a)[:2]}"
+    return ok, msg
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
     spark = get_session("local[8]", 8)
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    con = duck(sf)
     qs, sql = se.queries(), se.oracle_sql()
     bad = 0
     for name, fn in qs.items():
