@@ -29,6 +29,10 @@ def test_random_against_brute_force(spark, seed):
     assert run(spark, texts, kws) == want
     # shuffle-join path (no broadcast) gives the same pairs
     assert run(spark, texts, kws, broadcast_max_bytes=0) == want
+    # keyword grams split into broadcast chunks, one text pass per chunk
+    kdf = spark.createDataFrame([(x,) for x in kws], "keyword string").where("keyword <> ''").distinct()
+    _, size = M.plan_tiers(kdf)
+    assert run(spark, texts, kws, broadcast_max_bytes=size // 3 + 1) == want
     # other exact tier layouts too
     assert run(spark, texts, kws, tiers=((1, 0, 1),)) == want
     assert run(spark, texts, kws, tiers=((9, 5, 5), (1, 0, 1))) == want

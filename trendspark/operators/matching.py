@@ -23,16 +23,22 @@ text at some byte offset exactly when it occurs as a character substring,
 and byte slicing is O(1) where character slicing is not.
 
 Scale: the keyword-gram table is broadcast only when its measured size is
-below ``broadcast_max_bytes``; beyond that the join is a shuffle join on
-the gram hash (AQE splits skewed gram partitions).  The text side is never
-shuffled before candidates are verified; de-duplication of (text, keyword)
-pairs is a partial aggregate inside the scan stage, because all candidates
-of one text are produced in the same task.
+below ``broadcast_max_bytes``.  A larger table is split by keyword hash into
+the fewest chunks that each fit, and the texts are scanned once per chunk
+with that chunk broadcast (every chunk is processed; the results are a
+union, so nothing is dropped).  Re-scanning text a few times is far cheaper
+than shuffling one row per text gram.  Only beyond ``max_passes`` chunks
+does the join become a shuffle join on the gram hash (AQE splits skewed
+gram partitions).  The text side is never shuffled before candidates are
+verified; de-duplication of (text, keyword) pairs starts as a partial
+aggregate inside the scan stage, because all candidates of one text are
+produced in the same task.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +50,10 @@ from pyspark.sql import functions as F
 # shared short tier, whose 1-byte grams produce many false candidates).
 DEFAULT_TIERS: tuple[tuple[int, int, int], ...] = (
     (15, 8, 8), (6, 4, 3), (5, 5, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
-# Largest keyword-gram table we are willing to broadcast.
+# Largest keyword-gram table (or chunk of it) we are willing to broadcast,
+# and the most text passes we accept before falling back to a shuffle join.
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+DEFAULT_MAX_PASSES = 16
 _ROW_OVERHEAD = 48  # bytes per keyword-gram row besides the keyword itself
 _TIER_BITS = 3      # gram codes pack (position << 3) | tier
 
@@ -120,7 +128,8 @@ def _text_codes(nbytes: Column, plan: list[Tier]) -> Column:
 
 def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
                          kw_col: str = "keyword", carry=(), tiers=DEFAULT_TIERS,
-                         broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                         broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                         max_passes: int = DEFAULT_MAX_PASSES) -> DataFrame:
     """Every occurrence of every keyword: rows (carry..., keyword).
 
     A keyword occurring several times in a text gives several rows; use
@@ -135,9 +144,20 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     if not plan:
         return texts.select(*carry, F.lit(None).cast("string").alias("keyword")).limit(0)
     grams = keyword_grams(kws, plan, "keyword", tiers)
-    if size <= broadcast_max_bytes:
-        grams = F.broadcast(grams)
-
+    passes = max(1, -(-size // max(broadcast_max_bytes, 1)))
+    if passes == 1 and size <= broadcast_max_bytes:
+        return _probe(texts, F.broadcast(grams), plan, text_col, carry)
+    if passes <= max_passes:
+        chunk = F.pmod(F.xxhash64("keyword"), F.lit(passes))
+        parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry)
+                 for i in range(passes)]
+        return reduce(DataFrame.unionAll, parts)
+    return _probe(texts, grams, plan, text_col, carry)
+
+
+def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
+           carry: list[str]) -> DataFrame:
+    """Explode the text grams, hash-join the keyword grams, verify bytes."""
     gram_of = F.lit(None).cast("int")
     for t in plan:
         gram_of = F.when(F.col("tier") == t.index, F.lit(t.gram)).otherwise(gram_of)

@@ -69,11 +69,27 @@ def first_per_key(batch: DataFrame, keys, order) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
-def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys) -> DataFrame:
-    """Rows whose key is not in the archive yet."""
+# Largest number of batch keys broadcast to probe the archive.
+BATCH_KEYS_BROADCAST_MAX = 5_000_000
+
+
+def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys,
+                  batch_rows: int | None = None) -> DataFrame:
+    """Rows whose key is not in the archive yet.
+
+    With ``batch_rows`` known and below ``BATCH_KEYS_BROADCAST_MAX`` the
+    batch keys are broadcast and the archive is only scanned (semi-join, no
+    shuffle of the archive); the few keys found are then removed from the
+    batch.  Otherwise a plain anti-join (shuffle on the key) is used.
+    """
+    keys = list(keys)
     if archive is None:
         return batch
-    return batch.join(archive.select(*keys).where(F.col(keys[0]).isNotNull()), list(keys), "left_anti")
+    stored = archive.select(*keys).where(F.col(keys[0]).isNotNull())
+    if batch_rows is not None and batch_rows <= BATCH_KEYS_BROADCAST_MAX:
+        seen = stored.join(F.broadcast(batch.select(*keys)), keys, "left_semi").distinct()
+        return batch.join(seen, keys, "left_anti")
+    return batch.join(stored, keys, "left_anti")
 
 
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
@@ -101,15 +117,23 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
         if keywords is not None:
             hits = texts_matching_any(b, keywords, text_col, carry=keys)
             b = b.join(hits, keys, "left_semi")
-        b = first_per_key(b, keys, order)
-        arch = _archive()
-        if arch is not None and lookback_days is not None:
-            d = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
-            lo = b.agg(F.date_sub(F.to_date(F.min(ts)), lookback_days)).scalar()
-            arch = arch.where(d >= lo)
-        fresh = new_rows_only(b, arch, keys)
-        out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", "year", "month", "day", "hour")
-        out.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt).save(archive_path)
+        b = first_per_key(b, keys, order).persist()
+        try:
+            n = b.count()
+            if n == 0:
+                return
+            arch = _archive()
+            if arch is not None and lookback_days is not None:
+                d = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
+                                F.col("day").cast("int"))
+                lo = b.agg(F.date_sub(F.to_date(F.min(ts)), lookback_days)).scalar()
+                arch = arch.where(d >= lo)
+            fresh = new_rows_only(b, arch, keys, batch_rows=n)
+            out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", "year", "month", "day", "hour")
+            out.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt) \
+                .save(archive_path)
+        finally:
+            b.unpersist()
 
     return process
 
