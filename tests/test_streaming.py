@@ -36,7 +36,7 @@ def test_replay_first_wins_and_late_rows(spark, tmp_path):
         q = ingest.start_ingest(spark, stream(spark, inbox), archive, str(tmp_path / ck), keys=("id",))
         q.awaitTermination()
     back = spark.read.parquet(archive)
-    got = {r.id: (r.title, r.hour) for r in back.collect()}
+    got = {r.id: (r.title, int(r.hour)) for r in back.collect()}
     assert back.count() == 3
     assert got == {"p1": ("first", 12), "p2": ("x", 12), "p3": ("late", 12)}
 

@@ -660,3 +660,33 @@ def q_stream_hourly(spark, sf):
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
+
+
+@register("hourly_landing", _EVENTS_OUT)
+def q_hourly_landing(spark, sf):
+    """K4 + W5 + S2: land every event hour as JSON lines in one pass
+    (zero-padded year/month/day/hour folders), read the landing back with
+    the declared schema."""
+    from trendspark.session import scratch_dir
+    from trendspark.sources.sinks import backfill_hours
+    e = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    out = scratch_dir(spark, "hourly_landing")
+    backfill_hours(e, out, "ts", "1900-01-01 00:00:00", "2999-01-01 00:00:00")
+    from trendspark.sources.sinks import TEXT_TIME_OPTIONS
+    back = spark.read.schema(e.schema).options(**TEXT_TIME_OPTIONS) \
+        .option("recursiveFileLookup", True).json(out)
+    return back.select("event_id", "ts", "user_id", "event_type", "value", F.to_date("ts").alias("date"))
+
+
+@register("dimension_latest", _CALENDAR_SQL)
+def q_dimension_latest(spark, sf):
+    """K3 + S7: a dimension written under two load dates; reading without a
+    load date returns the latest load only (partition pruning by subquery)."""
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_dimension
+    from trendspark.sources.sinks import write_dimension
+    cal = _calendar(load(spark, sf, "orders"))
+    out = scratch_dir(spark, "dimension_latest")
+    write_dimension(cal.where(F.col("month") == 1), out, "20240101")
+    write_dimension(cal, out, "20240201")
+    return read_dimension(spark, out).drop("dataload")

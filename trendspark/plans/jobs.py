@@ -55,9 +55,16 @@ def run_mention_fact(spark: SparkSession, posts_path: str, items_path: str, out:
     sinks.write_fact(mention_fact(spark, posts_path, items_path, date, **kw), out)
 
 
-def run_metric_fact(spark: SparkSession, metrics_path: str, out: str, date: str) -> None:
-    """Metric snapshot of one day → partitioned metric fact (dynamic overwrite)."""
-    raw = readers.read_metrics(spark, metrics_path)
+def run_metric_fact(spark: SparkSession, metrics_path: str, out: str, date: str,
+                    day_folders: bool = True) -> None:
+    """Metric snapshot of one day → partitioned metric fact (dynamic overwrite).
+
+    With ``day_folders`` only that day's landing folder is listed and read
+    (the date filter on ``query_datetime`` is still applied).
+    """
+    date = facts._check_date(date)
+    raw = (readers.read_metrics(spark, metrics_path, date, date) if day_folders
+           else readers.read_metrics(spark, metrics_path))
     sinks.write_fact(facts.metric_fact(raw, date), out)
 
 
@@ -72,8 +79,14 @@ def build_dimensions(spark: SparkSession, snapshot: DataFrame, as_of: str,
 
 def run_build_dims(spark: SparkSession, metrics_path: str, out_root: str, load: str,
                    as_of: str, fmt: str = "parquet", **kw) -> None:
-    """Write every dimension under ``<out_root>/<name>/dataload=<load>``."""
-    snapshot = readers.read_metrics(spark, metrics_path)
+    """Write every dimension under ``<out_root>/<name>/dataload=<load>``.
+
+    Built from the snapshot landed for ``as_of`` only (one row per item, as
+    the reference's one query per item); reading every landed day would
+    repeat each item once per day and multiply the star join.
+    """
+    as_of = facts._check_date(as_of)
+    snapshot = readers.read_metrics(spark, metrics_path, as_of, as_of)
     for name, df in build_dimensions(spark, snapshot, as_of, **kw).items():
         sinks.write_dimension(df, f"{out_root.rstrip('/')}/{name}", load, fmt)
 

@@ -39,9 +39,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
-    """Paths of the raw landing for a closed day range (one glob per day)."""
-    tail = "/*/*.json" if hourly else "/*.json"
-    return [f"{root.rstrip('/')}/{d:%Y/%m/%d}{tail}" for d in _days(start, end)]
+    """Paths of the raw landing for a closed day range (one glob per day).
+
+    Both layouts are covered: the plain ``Y/M/D[/H]`` folders and the
+    ``year=/month=/day=[/hour=]`` folders our landing writers produce;
+    :func:`_existing` keeps the ones that match files.
+    """
+    r = root.rstrip("/")
+    plain = "/*/*.json" if hourly else "/*.json"
+    hive = "/hour=*/*.json" if hourly else "/*.json"
+    out = []
+    for d in _days(start, end):
+        out.append(f"{r}/{d:%Y/%m/%d}{plain}")
+        out.append(f"{r}/year={d:%Y}/month={d:%m}/day={d:%d}{hive}")
+    return out
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
@@ -51,6 +62,16 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
                       unify_keyword("title_simple").alias("keyword"))
 
 
+def item_ids(items: DataFrame, key: str = "item_id") -> DataFrame:
+    """The item ids to query, as a DataFrame (never a driver list)."""
+    return items.select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def track_phrases(items: DataFrame, keyword: str = "keyword") -> DataFrame:
+    """Distinct non-empty keywords (the phrases a collector tracks)."""
+    return items.select(keyword).where(F.col(keyword).isNotNull() & (F.col(keyword) != "")).distinct()
+
+
 def read_posts(spark: SparkSession, path, start=None, end=None) -> DataFrame:
     """Raw posts JSON lines with the declared schema.
 
@@ -61,8 +82,8 @@ def read_posts(spark: SparkSession, path, start=None, end=None) -> DataFrame:
     r = spark.read.schema(schemas.POSTS).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", "_corrupt_record")
     if start is not None:
-        paths = day_globs(path, start, end or start, hourly=True)
-        return r.option("ignoreMissingFiles", True).json(_existing(spark, paths))
+        paths = _existing(spark, day_globs(path, start, end or start, hourly=True))
+        return r.json(paths) if paths else spark.createDataFrame([], schemas.POSTS)
     return r.option("recursiveFileLookup", True).json(path)
 
 
@@ -71,7 +92,8 @@ def read_metrics(spark: SparkSession, path, start=None, end=None) -> DataFrame:
     r = spark.read.schema(schemas.METRICS).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", "_corrupt_record")
     if start is not None:
-        return r.json(_existing(spark, day_globs(path, start, end or start, hourly=False)))
+        paths = _existing(spark, day_globs(path, start, end or start, hourly=False))
+        return r.json(paths) if paths else spark.createDataFrame([], schemas.METRICS)
     return r.option("recursiveFileLookup", True).json(path)
 
 

@@ -18,13 +18,25 @@ from trendspark.functions.timeutil import date_parts, path_parts
 
 FACT_PARTS = ("year", "month", "day")
 
+# Text landings keep full microsecond precision (Spark's JSON/CSV default
+# writes milliseconds only, which would silently change stamps).
+TEXT_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _text_options(writer, fmt: str):
+    if fmt in ("json", "csv"):
+        for k, v in TEXT_TIME_OPTIONS.items():
+            writer = writer.option(k, v)
+    return writer
+
 
 def write_partitioned(df: DataFrame, out: str, parts=FACT_PARTS, fmt: str = "parquet",
                       cluster: bool = True, **options) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite)."""
     data = df.hint("rebalance", *parts) if cluster else df
-    w = (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).format(fmt))
+    w = _text_options(data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                      .partitionBy(*parts).format(fmt), fmt)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(out)
@@ -64,11 +76,22 @@ def land_hourly(df: DataFrame, out: str, ts_col: str, fmt: str = "json",
     if strict and df.isEmpty():
         raise ValueError("no rows to land")
     data = df.select("*", *path_parts(F.col(ts_col)))
-    data.hint("rebalance", "year", "month", "day", "hour").write.mode("append") \
-        .partitionBy("year", "month", "day", "hour").format(fmt).save(out)
+    w = data.hint("rebalance", "year", "month", "day", "hour").write.mode("append") \
+        .partitionBy("year", "month", "day", "hour").format(fmt)
+    _text_options(w, fmt).save(out)
 
 
 def land_daily(df: DataFrame, out: str, ts_col: str, fmt: str = "json") -> None:
     """K5: one day of snapshots per day folder; a same-day rerun replaces it."""
     data = df.select("*", *path_parts(F.col(ts_col))[:3])
     write_partitioned(data, out, FACT_PARTS, fmt=fmt)
+
+
+def backfill_hours(df: DataFrame, out: str, ts_col: str, start, end, fmt: str = "json") -> None:
+    """Land every hour of [start, end) in one pass (no per-hour loop).
+
+    Rows are filtered to the half-open range and partitioned by their own
+    hour; the reference looped over consecutive hour pairs instead.
+    """
+    from trendspark.functions.timeutil import in_interval
+    land_hourly(df.where(in_interval(ts_col, start, end)), out, ts_col, fmt)

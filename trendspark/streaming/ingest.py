@@ -8,10 +8,10 @@ wins) and once an hour cuts the previous hour into a JSON file.  Here:
       --> drop non-portable fields (F16)
       --> foreachBatch: first row per key in the batch, anti-join against
           the archive (keys already stored), append to the archive
-          partitioned by the row's own event hour.
+          partitioned by the row's own event day (hour kept as a column).
 
 Because rows are partitioned by event time, a post that arrives after its
-hour was first written still lands in its hour (D6, no cut-off).  Replaying
+hour was first written still lands in its day and hour (D6, no cut-off).  Replaying
 the same input, even with a fresh checkpoint, adds nothing (D2).  A retried
 micro-batch is harmless: the anti-join removes what was already committed.
 """
@@ -92,15 +92,22 @@ def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys,
     return batch.join(stored, keys, "left_anti")
 
 
+ARCHIVE_PARTS = ("year", "month", "day")
+
+
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
                          lookback_days: int | None = None, keywords: DataFrame | None = None,
-                         text_col: str | None = None, fmt: str = "parquet"):
+                         text_col: str | None = None, fmt: str = "parquet",
+                         partition_by=ARCHIVE_PARTS):
     """Build the foreachBatch function for D1+D2 (+ optional phrase filter).
 
-    ``lookback_days`` limits the archive partitions re-read per batch to the
-    batch's own days minus the lookback (partition pruning by a scalar
-    subquery, no driver round trip); None re-reads the whole archive.
+    Rows are appended under their own event day (``partition_by``; the zero
+    padded ``hour`` is kept as a column, or pass the four parts for hourly
+    folders).  ``lookback_days`` limits the archive partitions re-read per
+    batch to the batch's own days minus the lookback (partition pruning by a
+    scalar subquery, no driver round trip); None re-reads the whole archive.
     """
+    parts = list(partition_by)
     keys = list(keys)
     order = list(order or [ts])
 
@@ -129,9 +136,8 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
                 lo = b.agg(F.date_sub(F.to_date(F.min(ts)), lookback_days)).scalar()
                 arch = arch.where(d >= lo)
             fresh = new_rows_only(b, arch, keys, batch_rows=n)
-            out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", "year", "month", "day", "hour")
-            out.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt) \
-                .save(archive_path)
+            out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
+            out.write.mode("append").partitionBy(*parts).format(fmt).save(archive_path)
         finally:
             b.unpersist()
 
@@ -141,7 +147,7 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
 def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, checkpoint: str, *,
                  keys=("id",), ts: str = "event_time", order=None, keywords=None,
                  text_col=None, lookback_days=None, drop=NON_PORTABLE_FIELDS,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, partition_by=ARCHIVE_PARTS) -> StreamingQuery:
     """Start the ingest query; returns the running StreamingQuery.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (bounded sessions: the
@@ -149,7 +155,8 @@ def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, chec
     the source to bound a batch).
     """
     s = drop_fields(stream, drop)
-    fn = archive_batch_writer(spark, archive_path, keys, ts, order, lookback_days, keywords, text_col)
+    fn = archive_batch_writer(spark, archive_path, keys, ts, order, lookback_days, keywords, text_col,
+                              partition_by=partition_by)
     w = s.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
