@@ -70,3 +70,12 @@ def test_plan_is_broadcast_hash_join(spark):
     k = spark.createDataFrame([("klmnopqrstuvwxy",), ("cde",)], "keyword string")
     plan = M.substring_matches(t, k, "s", carry=["id"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "PythonUDF" not in plan
+
+
+def test_long_text_spans_chunks(spark, monkeypatch):
+    """Occurrences across chunk borders are found (small chunk for the test)."""
+    monkeypatch.setattr(M, "_CHUNK", 16)
+    rnd = random.Random(11)
+    texts = [(i, "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 120)))) for i in range(30)]
+    kws = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 24))) for _ in range(30)]
+    assert run(spark, texts, kws) == brute(texts, kws)

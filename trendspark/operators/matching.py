@@ -116,13 +116,33 @@ def keyword_grams(keywords: DataFrame, plan: list[Tier], kw_col: str = "keyword"
                     "j", F.octet_length("kbin").alias("klen"), "kbin", "keyword"))
 
 
-def _text_codes(nbytes: Column, plan: list[Tier]) -> Column:
-    """All gram start codes ((p << 3) | tier) of a text of ``nbytes`` bytes."""
+# Gram start positions are generated per chunk of this many bytes, so one
+# very long text never materialises one huge position array.
+_CHUNK = 1 << 16
+
+
+def _text_chunks(nbytes: Column) -> Column:
+    """Chunk indexes 0 … (n-1) // _CHUNK of a text (empty for an empty text)."""
+    n = nbytes.cast("bigint")
+    return F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / _CHUNK).cast("bigint"))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
+def _text_codes(nbytes: Column, chunk: Column, plan: list[Tier]) -> Column:
+    """Gram start codes ((p << 3) | tier) with p in the chunk's byte range.
+
+    For tier t the positions are the multiples of S_t in
+    [chunk·C, min((chunk+1)·C, n - G_t + 1)).
+    """
+    n = nbytes.cast("bigint")
+    lo = chunk * _CHUNK
     parts = []
     for t in plan:
-        last = (nbytes.cast("bigint") - t.gram) * (1 << _TIER_BITS) + t.index
-        seq = F.sequence(F.lit(t.index).cast("bigint"), last, F.lit(t.stride << _TIER_BITS).cast("bigint"))
-        parts.append(F.when(nbytes >= t.gram, seq).otherwise(F.array().cast("array<bigint>")))
+        first = F.ceil(lo / t.stride).cast("bigint") * t.stride
+        last = F.least(lo + _CHUNK, n - t.gram + 1) - 1
+        seq = F.sequence(first * (1 << _TIER_BITS) + t.index, last * (1 << _TIER_BITS) + t.index,
+                         F.lit(t.stride << _TIER_BITS).cast("bigint"))
+        parts.append(F.when(first <= last, seq).otherwise(F.array().cast("array<bigint>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -167,7 +187,9 @@ def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
     # would evaluate the whole text expression twice per row.
     sbin = F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"").cast("binary"))
     side = (texts.select(*carry, sbin.alias("sbin"))
-            .select("*", F.explode(_text_codes(F.octet_length("sbin"), plan)).alias("code"))
+            .select("*", F.octet_length("sbin").alias("_n"))
+            .select("*", F.explode(_text_chunks(F.col("_n"))).alias("_chunk"))
+            .select("*", F.explode(_text_codes(F.col("_n"), F.col("_chunk"), plan)).alias("code"))
             .select(*carry, "sbin", F.shiftright("code", _TIER_BITS).alias("p"),
                     (F.col("code").bitwiseAND((1 << _TIER_BITS) - 1)).cast("int").alias("tier"))
             .select(*carry, "sbin", "p",

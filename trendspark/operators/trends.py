@@ -14,24 +14,25 @@ from pyspark.sql import functions as F
 
 def star_join(fact: DataFrame, metrics: DataFrame, calendar: DataFrame, items: DataFrame, *,
               key: str = "id", date: str = "date", daily: bool = True,
-              broadcast_dims: bool = True) -> DataFrame:
+              broadcast_calendar: bool = True) -> DataFrame:
     """J3/J3b + J4 + J5: fact ⋈ metrics ⋈ calendar ⋈ item dimension.
 
     ``daily=True`` joins metrics on (key, date), which stays correct when the
     metric table holds many days.  ``daily=False`` is the snapshot form: the
     metric table must hold one snapshot (one row per key); its date column,
-    if any, is dropped so it cannot collide.  Calendar and item dimension are
-    broadcast (one row per day / per item: bounded by the dimension, not by
-    the fact); pass ``broadcast_dims=False`` for very large item dimensions.
+    if any, is dropped so it cannot collide.  The calendar is broadcast: it
+    has one row per day, a bound that does not grow with the fact.  The item
+    dimension may grow with the data, so its strategy is left to Spark's
+    size checks (planner threshold, then AQE on runtime sizes), with a
+    sort-merge join beyond them.
     """
     if daily:
         j = fact.join(metrics, [key, date], "inner")
     else:
         m = metrics.drop(date) if date in metrics.columns else metrics
         j = fact.join(m, key, "inner")
-    cal = F.broadcast(calendar) if broadcast_dims else calendar
-    dim = F.broadcast(items) if broadcast_dims else items
-    return j.join(cal, date, "inner").join(dim, key, "inner")
+    cal = F.broadcast(calendar) if broadcast_calendar else calendar
+    return j.join(cal, date, "inner").join(items, key, "inner")
 
 
 def name_totals(df: DataFrame, name: str = "name", value: str = "mention_count",

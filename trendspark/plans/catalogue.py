@@ -396,6 +396,7 @@ def _daily_fact(orders: DataFrame) -> DataFrame:
 def _item_dim(spark, sf) -> DataFrame:
     c = load(spark, sf, "customer")
     n = load(spark, sf, "nation")
+    # nation is a fixed 25-row reference table: broadcasting it is bounded
     return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                     F.col("n_name").alias("nation")))
