@@ -51,7 +51,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         if shuffle_partitions:
             b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         spark = b.getOrCreate()
-        spark.sparkContext.setLogLevel("ERROR")
+        try:
+            spark.sparkContext.setLogLevel("ERROR")
+        except Exception:
+            pass
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return configure(spark)
@@ -64,13 +67,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder ourselves and register it, so ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="trendspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

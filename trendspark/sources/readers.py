@@ -32,8 +32,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     uses every core.  A large input already has many splits and is returned
     unchanged, so this never adds a shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): keep the scan as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 
@@ -102,8 +106,11 @@ def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
 
     Uses the Hadoop file system of the path, so it works on any store.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM access (Spark Connect): let the reader resolve globs
+        return globs
     out = []
     for g in globs:
         p = jvm.org.apache.hadoop.fs.Path(g)
