@@ -95,3 +95,15 @@ def test_json_field_bad_input(spark):
     df = spark.createDataFrame([('{"k": 5}',), ("not json",), (None,)], "p string")
     got = [r[0] for r in df.select(tx.json_field("p", "k BIGINT")["k"]).collect()]
     assert got == [5, None, None]
+
+
+def test_past_hour_interval(spark):
+    s, e = tu.past_hour_interval("2024-12-08 13:37:10")
+    r = spark.range(1).select(s.alias("s"), e.alias("e")).first()
+    assert (r.s.strftime("%H:%M:%S"), r.e.strftime("%H:%M:%S")) == ("12:00:00", "13:00:00")
+
+
+def test_path_parts_zero_padded(spark):
+    df = spark.range(1).select(F.lit("2024-01-05 07:00:00").cast("timestamp").alias("t"))
+    r = df.select(*tu.path_parts("t")).first()
+    assert (r.year, r.month, r.day, r.hour) == ("2024", "01", "05", "07")

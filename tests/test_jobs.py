@@ -120,3 +120,20 @@ def test_category_rollup(spark):
     gen = spark.createDataFrame([(18, "Drama"), (35, "Comedy")], "id int, name string")
     got = rows(dims.category_rollup(fact, mov, gen), "category", "mention_count")
     assert got == [("Comedy", 5), ("Drama", 9)]
+
+
+def test_strict_landing_rejects_empty_hour(spark, tmp_path):
+    import pytest
+    empty = spark.createDataFrame([], "id string, t timestamp")
+    with pytest.raises(ValueError):
+        sinks.land_hourly(empty, str(tmp_path / "land"), "t", strict=True)
+
+
+def test_csv_dimension_keeps_arrays_as_json(spark, tmp_path):
+    mov = spark.createDataFrame([(1, "Wicked", [18, 35])], "id long, name string, genres_id array<int>")
+    sinks.write_dimension(mov, str(tmp_path / "mov"), "20241218", fmt="csv")
+    back = readers.read_dimension(spark, str(tmp_path / "mov"), "20241218", fmt="csv")
+    r = back.first()
+    assert r.genres_id == "[18,35]" and str(r.dataload) == "20241218"
+    parsed = back.select(F.from_json("genres_id", "array<int>").alias("g")).first().g
+    assert parsed == [18, 35]
