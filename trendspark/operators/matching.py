@@ -156,10 +156,13 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     :func:`substring_matches` for distinct pairs.  Null or empty keywords
     never match (an empty keyword would be a substring of everything).
     """
-    kws = (keywords.select(F.col(kw_col).alias("keyword"))
-           .where(F.col("keyword").isNotNull() & (F.octet_length("keyword") > 0))
-           .distinct())
-    plan, size = plan_tiers(kws, "keyword", tiers)
+    valid = (keywords.select(F.col(kw_col).alias("keyword"))
+             .where(F.col("keyword").isNotNull() & (F.octet_length("keyword") > 0)))
+    # Stats on the raw list: duplicates only overstate the size (the safe
+    # side for the broadcast decision) and do not change minimum lengths, so
+    # the measuring job needs no shuffle.
+    plan, size = plan_tiers(valid, "keyword", tiers)
+    kws = valid.distinct()
     carry = list(carry)
     if not plan:
         return texts.select(*carry, F.lit(None).cast("string").alias("keyword")).limit(0)

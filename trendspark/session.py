@@ -1,7 +1,8 @@
 """Session set-up shared by jobs, tests and the bench.
 
 Dates in the data model are UTC (a post's date is the UTC day of its epoch
-stamp), so the session time zone is pinned.  AQE stays on: it coalesces
+stamp), so the session time zone is pinned.  Streaming state lives in
+RocksDB rather than on the JVM heap.  AQE stays on: it coalesces
 small shuffle partitions, converts joins to broadcast when a side turns out
 small at run time, and splits skewed join partitions.
 """
@@ -21,6 +22,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming dedup/window state off the JVM heap (it grows with the key
+    # count); the provider is recorded in each query's checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
