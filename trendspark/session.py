@@ -52,6 +52,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
              .config("spark.ui.showConsoleProgress", "false"))
         if master:
             b = b.master(master)
+            if master.startswith("local"):
+                # local mode: the driver JVM is the executor, its heap is the
+                # only memory knob (default 1 GB is too small for text work)
+                b = b.config("spark.driver.memory", os.environ.get("TRENDSPARK_DRIVER_MEMORY", "8g"))
         for k, v in SESSION_CONF.items():
             b = b.config(k, v)
         if shuffle_partitions:
