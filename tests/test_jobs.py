@@ -137,3 +137,19 @@ def test_csv_dimension_keeps_arrays_as_json(spark, tmp_path):
     assert r.genres_id == "[18,35]" and str(r.dataload) == "20241218"
     parsed = back.select(F.from_json("genres_id", "array<int>").alias("g")).first().g
     assert parsed == [18, 35]
+
+
+def test_cli_mention_fact_and_ingest(spark, tmp_path):
+    from trendspark.plans import cli
+    posts, items = write_inputs(tmp_path)
+    out = str(tmp_path / "fact")
+    assert cli.main(["mention-fact", "--posts", posts, "--items", items, "--out", out, "--date", "2024-12-08"]) == 0
+    back = spark.read.parquet(out)
+    assert rows(back, "item_id", "text_count", "channel", "mention_count") == sorted(
+        EXPECTED, key=lambda t: tuple((x is not None, x) for x in t))
+    assert [r.day for r in back.select("day").distinct().collect()] == [8]
+    arch = str(tmp_path / "archive")
+    assert cli.main(["ingest", "--landing", posts + "/2024/12/08/12", "--archive", arch,
+                     "--checkpoint", str(tmp_path / "ck"), "--items", items]) == 0
+    # p1 'Wicked!', p2 'On Moana', p4 'wicked' name an item in the title; p3 (no title) and p5 do not
+    assert sorted(r.id for r in spark.read.parquet(arch).collect()) == ["p1", "p2", "p4"]
