@@ -224,9 +224,13 @@ def keyword_lists(texts: DataFrame, keywords: DataFrame, text_col: str, key: str
     """M1 in list form: (key, mentions array<string>) per text, [] when none.
 
     The list of one text is bounded by the number of distinct keywords it
-    contains.  Texts are re-attached by a left join on ``key``.
+    contains.  Candidates go straight into a per-text ``collect_set``: its
+    partial step runs in the scan task that produced all of the text's
+    candidates, so one shuffle (one row per matching text) suffices instead
+    of a distinct followed by a group (measured faster, and one exchange
+    fewer).  Texts are re-attached by a left join on ``key``.
     """
-    pairs = substring_matches(texts, keywords, text_col, kw_col, carry=[key], **opts)
-    lists = pairs.groupBy(key).agg(F.sort_array(F.collect_list("keyword")).alias("mentions"))
+    cands = substring_candidates(texts, keywords, text_col, kw_col, carry=[key], **opts)
+    lists = cands.groupBy(key).agg(F.sort_array(F.collect_set("keyword")).alias("mentions"))
     return (texts.select(key).join(lists, key, "left")
             .select(key, F.coalesce("mentions", F.array().cast("array<string>")).alias("mentions")))
