@@ -153,3 +153,31 @@ def test_cli_mention_fact_and_ingest(spark, tmp_path):
                      "--checkpoint", str(tmp_path / "ck"), "--items", items]) == 0
     # p1 'Wicked!', p2 'On Moana', p4 'wicked' name an item in the title; p3 (no title) and p5 do not
     assert sorted(r.id for r in spark.read.parquet(arch).collect()) == ["p1", "p2", "p4"]
+
+
+def test_drop_fields_and_json_row(spark):
+    from trendspark.functions import text as tx
+    df = spark.createDataFrame([(1, "t", "x", "a")], "id int, title string, author string, subreddit string")
+    kept = tx.drop_fields(df, ["_reddit", "subreddit", "author", "poll_data"])
+    assert kept.columns == ["id", "title"]
+    assert kept.select(tx.to_json_row(kept).alias("j")).first().j == '{"id":1,"title":"t"}'
+
+
+def test_read_fact_day_and_item_helpers(spark, tmp_path):
+    out = str(tmp_path / "fact")
+    days = spark.createDataFrame([(1, dt.date(2024, 12, 8)), (2, dt.date(2024, 12, 9))], "id long, date date")
+    sinks.write_fact(days, out)
+    assert rows(readers.read_fact_day(spark, out, "2024-12-09"), "id") == [(2,)]
+    items = spark.createDataFrame([(1, "moana"), (2, "moana"), (3, None), (3, "")], "item_id long, keyword string")
+    assert rows(readers.item_ids(items)) == [(1,), (2,), (3,)]
+    assert rows(readers.track_phrases(items)) == [("moana",)]
+
+
+def test_metric_fact_dirty_stamps(spark):
+    raw = spark.createDataFrame([(1, 2.0, "2024-12-18 01:00:00"), (2, 3.0, "not a date")],
+                                "id long, popularity double, query_datetime string")
+    out = facts.metric_fact(raw, "2024-12-18", metrics=["popularity"], strict=False)
+    assert rows(out, "id", "day") == [(1, 18)]
+    import pytest
+    with pytest.raises(Exception):
+        facts.metric_fact(raw, None, metrics=["popularity"]).collect()

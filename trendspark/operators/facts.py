@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.functions.text import unify_keyword
-from trendspark.functions.timeutil import date_parts
+from trendspark.functions.timeutil import date_parts, text_to_date
 from trendspark.operators.matching import substring_matches
 
 
@@ -68,14 +68,17 @@ def with_partition_date(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 def metric_fact(raw: DataFrame, day=None, *, id_col: str = "id",
                 metrics=("popularity", "vote_average", "vote_count"),
-                stamp_col: str = "query_datetime", start=None, end=None) -> DataFrame:
+                stamp_col: str = "query_datetime", start=None, end=None,
+                strict: bool = True) -> DataFrame:
     """Metric snapshot → fact rows (id, metrics..., date, year, month, day).
 
     ``day`` keeps one UTC day (P1); ``start``/``end`` keep a closed date range.
     The date filter is applied on the projected date, which Catalyst pushes
-    below the projection.
+    below the projection.  ``strict=False`` turns unparsable stamps into a
+    null date (those rows then fall outside any day filter) instead of
+    failing the job.
     """
-    d = F.to_date(F.col(stamp_col)).alias("date")
+    d = text_to_date(F.col(stamp_col), strict).alias("date")
     out = raw.select(F.col(id_col).alias("id"), *metrics, d)
     if day is not None:
         out = out.where(F.col("date") == F.lit(_check_date(day)).cast("date"))
