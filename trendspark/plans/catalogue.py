@@ -257,7 +257,9 @@ def q_json_field(spark, sf):
 # ---------------------------------------------------------------- hours and calendar
 
 def _hourly(e: DataFrame) -> DataFrame:
-    return (e.groupBy(tu.hour_floor("ts").alias("hour"))
+    # date_trunc returns a session-zone TIMESTAMP; the data is TIMESTAMP_NTZ,
+    # so the hour is cast back (also keeps collected values zone-independent)
+    return (e.groupBy(tu.hour_floor("ts").cast("timestamp_ntz").alias("hour"))
             .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("value_sum")))
 
 
@@ -280,7 +282,7 @@ def q_hour_grid(spark, sf):
     """Hour starts in [floor(first), floor(last)) of the data, zero-filled."""
     e = load(spark, sf, "events")
     b = e.agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
-    grid = b.select(F.explode(tu.hour_grid("s", "e")).alias("hour"))
+    grid = b.select(F.explode(tu.hour_grid("s", "e").cast("array<timestamp_ntz>")).alias("hour"))
     c = _hourly(e).select("hour", "n_events")
     return grid.join(c, "hour", "left").select("hour", F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
@@ -494,8 +496,8 @@ def q_trend_series(spark, sf):
 @register("trailing_week", """
 WITH d AS (SELECT event_type AS name, CAST(ts AS DATE) AS date, count(*) AS n_events FROM events GROUP BY 1, 2)
 SELECT name, date, n_events,
-       sum(n_events) OVER (PARTITION BY name ORDER BY date
-                           RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS n_events_7d
+       CAST(sum(n_events) OVER (PARTITION BY name ORDER BY date
+                                RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS n_events_7d
 FROM d
 """)
 def q_trailing_week(spark, sf):
