@@ -49,19 +49,30 @@ def duck(sf):
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, sf, name):
-    """(ok, message) for one query: columns, row count and value hash."""
+    """(ok, message) for one query: columns, types, row count and value hash."""
     df = se.queries()[name](spark, sf)
     scols, srows = df.columns, [tuple(r) for r in df.collect()]
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
     sql = se.oracle_sql().get(name)
     if sql is None:
         return True, f"rows-only {len(srows)}"
     r = con.execute(sql)
     ocols, orows = [d[0] for d in r.description], r.fetchall()
+    otypes = {d[0]: str(d[1]) for d in r.description}
     sh, sl = digest(scols, srows)
     oh, ol = digest(ocols, orows)
-    ok = sorted(scols) == sorted(ocols) and len(srows) == len(orows) and sh == oh
+    ok = (sorted(scols) == sorted(ocols) and stypes == otypes and len(srows) == len(orows)
+          and sh == oh)
     msg = f"spark {len(srows)} rows {sorted(scols)}, oracle {len(orows)} rows {sorted(ocols)}"
+    if stypes != otypes:
+        msg += f"; types {stypes} vs {otypes}"
     if not ok:
         a, b = set(sl), set(ol)
         msg += f"; spark-only {list(a - b)[:2]}; oracle-only {list(b - a)[:2]}"
@@ -73,43 +84,17 @@ def main():
     only = sys.argv[2:]
     spark = get_session("local[8]", 8)
     con = duck(sf)
-    qs, sql = se.queries(), se.oracle_sql()
     bad = 0
-    for name, fn in qs.items():
+    for name in se.queries():
         if only and name not in only:
             continue
         t0 = time.time()
         try:
-            df = fn(spark, sf)
-            scols = df.columns
-            srows = [tuple(r) for r in df.collect()]
+            ok, msg = compare(spark, con, sf, name)
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: spark error {str(e)[:800]}")
-            bad += 1
-            continue
-        el = time.time() - t0
-        if name not in sql:
-            print(f"rows-only {name}: {len(srows)} rows {el:.1f}s")
-            continue
-        try:
-            r = con.execute(sql[name])
-            ocols = [d[0] for d in r.description]
-            orows = r.fetchall()
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: duckdb error {str(e)[:800]}")
-            bad += 1
-            continue
-        sh, sl = digest(scols, srows)
-        oh, ol = digest(ocols, orows)
-        ok = sorted(scols) == sorted(ocols) and len(srows) == len(orows) and sh == oh
-        print(f"{'ok  ' if ok else 'FAIL'} {name}: spark {len(srows)} rows, oracle {len(orows)} rows, {el:.1f}s")
-        if not ok:
-            bad += 1
-            if sorted(scols) != sorted(ocols):
-                print("   cols", sorted(scols), sorted(ocols))
-            a, b = set(sl), set(ol)
-            print("   spark-only", list(a - b)[:3])
-            print("   oracle-only", list(b - a)[:3])
+            ok, msg = False, f"error {str(e)[:800]}"
+        print(f"{'ok  ' if ok else 'FAIL'} {name}: {msg} {time.time() - t0:.1f}s")
+        bad += 0 if ok else 1
     print("failures:", bad)
 
 
