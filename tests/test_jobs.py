@@ -86,7 +86,7 @@ def test_dynamic_overwrite_and_range_read(spark, tmp_path):
 
 
 def test_metric_fact_job(spark, tmp_path):
-    land = tmp_path / "tmdb" / "2024" / "12" / "18"
+    land = tmp_path / "metrics_landing" / "2024" / "12" / "18"
     land.mkdir(parents=True)
     recs = [{"id": 1, "popularity": 10.5, "vote_average": 7.0, "vote_count": 3,
              "query_datetime": "2024-12-18 01:00:00", "genres": [{"id": 18, "name": "Drama"}]},
@@ -94,7 +94,7 @@ def test_metric_fact_job(spark, tmp_path):
              "query_datetime": "2024-12-17 01:00:00"}]
     (land / "2024-12-18.json").write_text("\n".join(json.dumps(r) for r in recs))
     out = str(tmp_path / "metric")
-    jobs.run_metric_fact(spark, str(tmp_path / "tmdb"), out, "2024-12-18")
+    jobs.run_metric_fact(spark, str(tmp_path / "metrics_landing"), out, "2024-12-18")
     back = spark.read.parquet(out)
     assert rows(back, "id", "popularity", "year", "month", "day") == [(1, 10.5, 2024, 12, 18)]
 

@@ -41,14 +41,14 @@ def test_pipeline(spark, tmp_path):
                               day_folders=True)
     items = readers.read_items(spark, items_path)
     cov = jobs.land_metrics(spark, snapshot(spark, "2024-12-08 01:00:00", [(1, "Wicked", 50.0), (2, "Moana", 20.0)]),
-                            f"{root}/tmdb_raw", items).first()
+                            f"{root}/metrics_raw", items).first()
     assert (cov.total, cov.covered, cov.missing) == (3, 2, 1)
     jobs.land_metrics(spark, snapshot(spark, "2024-12-09 01:00:00",
                                       [(1, "Wicked", 60.0), (2, "Moana", 25.0), (3, "Gladiator II", 5.0)]),
-                      f"{root}/tmdb_raw", items)
+                      f"{root}/metrics_raw", items)
     for day in ("2024-12-08", "2024-12-09"):
-        jobs.run_metric_fact(spark, f"{root}/tmdb_raw", f"{root}/tmdb_clean", day)
-    jobs.run_build_dims(spark, f"{root}/tmdb_raw", f"{root}/dims", "20241209", "2024-12-09")
+        jobs.run_metric_fact(spark, f"{root}/metrics_raw", f"{root}/metrics_clean", day)
+    jobs.run_build_dims(spark, f"{root}/metrics_raw", f"{root}/dims", "20241209", "2024-12-09")
 
     fact = readers.read_fact_range(spark, f"{root}/posts_clean", "2024-12-08", "2024-12-09")
     got = rows(fact, "item_id", "date", "channel", "mention_count", "text_count")
@@ -56,7 +56,7 @@ def test_pipeline(spark, tmp_path):
     assert (1, dt.date(2024, 12, 8), "truefilm", 1, 2) in got
     assert (3, dt.date(2024, 12, 9), None, 0, 0) in got
 
-    view = jobs.build_trends(spark, f"{root}/posts_clean", f"{root}/tmdb_clean", f"{root}/dims",
+    view = jobs.build_trends(spark, f"{root}/posts_clean", f"{root}/metrics_clean", f"{root}/dims",
                              "2024-12-08", "2024-12-09")
     v = rows(view, "id", "date", "channel", "mention_count", "popularity", "weekday")
     assert (1, dt.date(2024, 12, 9), "movies", 1, 60.0, 1) in v

@@ -7,7 +7,8 @@ when a day is empty.
 
 from pyspark.sql import types as T
 
-# Raw posts, one JSON object per line; other fields are ignored.
+# Raw posts, one JSON object per line; other fields are ignored.  The field
+# names are fixed values of the post format and must match it exactly.
 POSTS = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("title", T.StringType()),

@@ -27,6 +27,8 @@ from trendspark.functions.text import drop_fields
 from trendspark.functions.timeutil import path_parts
 from trendspark.operators.matching import texts_matching_any
 
+# Fixed values (must equal the collector's): fields of a raw post object that
+# are not portable and are dropped before the row is serialised.
 NON_PORTABLE_FIELDS = ("_reddit", "subreddit", "author", "poll_data")
 
 
