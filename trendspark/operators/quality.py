@@ -18,9 +18,14 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def uncovered(expected: DataFrame, observed: DataFrame, key: str,
               observed_key: str | None = None) -> DataFrame:
-    """Rows of ``expected`` with no match in ``observed`` (anti-join)."""
+    """Rows of ``expected`` with no match in ``observed`` (anti-join).
+
+    Observed keys are de-duplicated first (partial aggregate, map-side), so a
+    key that holds a large share of the observations is one row when it
+    reaches the join, not a buffer in one task.
+    """
     ok = observed_key or key
-    obs = observed.select(F.col(ok).alias(key)).where(F.col(key).isNotNull())
+    obs = observed.select(F.col(ok).alias(key)).where(F.col(key).isNotNull()).distinct()
     return expected.join(obs, key, "left_anti")
 
 
