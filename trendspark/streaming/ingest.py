@@ -71,8 +71,9 @@ def first_per_key(batch: DataFrame, keys, order) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
-# Largest number of batch keys broadcast to probe the archive.
-BATCH_KEYS_BROADCAST_MAX = 5_000_000
+# Largest number of batch keys broadcast to probe the archive (~40 bytes a
+# key → tens of MB); larger batches use a sort-merge anti-join.
+BATCH_KEYS_BROADCAST_MAX = 1_000_000
 
 
 def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys,
