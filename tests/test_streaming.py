@@ -77,3 +77,14 @@ def test_dedup_within_watermark(spark, tmp_path):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["p1", "p2"]
+
+
+def test_new_rows_only_both_paths(spark):
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    archive = spark.createDataFrame([("b", 9), ("b", 9), ("z", 0)], "id string, v int")
+    small = ingest.new_rows_only(batch, archive, ["id"], batch_rows=3)        # broadcast semi-join path
+    large = ingest.new_rows_only(batch, archive, ["id"], batch_rows=10 ** 9)  # sort-merge anti-join path
+    want = [("a", 1), ("c", 3)]
+    assert sorted(tuple(r) for r in small.collect()) == want
+    assert sorted(tuple(r) for r in large.collect()) == want
+    assert ingest.new_rows_only(batch, None, ["id"]).count() == 3
