@@ -22,6 +22,15 @@ def _dates(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.select("*", days.alias("date"))
 
 
+def _epoch_bounds(start: str, end: str) -> tuple[float, float]:
+    """Epoch seconds of start 00:00 UTC and of the day after ``end``."""
+    import datetime as _dt
+    utc = _dt.timezone.utc
+    s = _dt.datetime.fromisoformat(start).replace(tzinfo=utc)
+    e = _dt.datetime.fromisoformat(end).replace(tzinfo=utc) + _dt.timedelta(days=1)
+    return float(s.timestamp()), float(e.timestamp())
+
+
 def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: str | None = None,
                  start: str | None = None, end: str | None = None,
                  num_partitions: int | None = None, day_folders: bool = False,
@@ -40,6 +49,12 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
         raw = readers.read_posts(spark, posts_path, start, end)
     else:
         raw = readers.read_posts(spark, posts_path)
+    # The UTC day of an epoch stamp is in [start, end] exactly when the stamp
+    # is in [start 00:00, end+1 00:00); this plain range on the raw column is
+    # pushed into the JSON/Parquet reader, so other days are dropped while
+    # parsing.  The date filter below stays as the definition.
+    lo, hi = _epoch_bounds(start, end)
+    raw = raw.where((F.col("created_utc") >= F.lit(lo)) & (F.col("created_utc") < F.lit(hi)))
     posts = readers.normalise_posts(raw, missing_title=missing_title)
     posts = posts.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     if num_partitions:
