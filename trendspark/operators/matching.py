@@ -165,7 +165,8 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     kws = valid.distinct()
     carry = list(carry)
     if not plan:
-        return texts.select(*carry, F.lit(None).cast("string").alias("keyword")).limit(0)
+        # no usable keyword: an empty, typed result (no text is scanned)
+        return texts.select(*carry, F.lit(None).cast("string").alias("keyword")).where(F.lit(False))
     grams = keyword_grams(kws, plan, "keyword", tiers)
     passes = max(1, -(-size // max(broadcast_max_bytes, 1)))
     if passes == 1 and size <= broadcast_max_bytes:
