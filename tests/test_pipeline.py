@@ -78,3 +78,26 @@ def test_counters(spark):
     out, obs = quality.with_counters(df, "c", odd=F.sum("odd"))
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 10, "odd": 5}
+
+
+def test_cli_top_after_pipeline(spark, tmp_path, capsys):
+    from trendspark.plans import cli
+    root = str(tmp_path)
+    (tmp_path / "items.csv").write_text(ITEMS_CSV)
+    sinks.land_hourly(posts(spark), f"{root}/posts_raw", "event_time")
+    items = readers.read_items(spark, f"{root}/items.csv")
+    jobs.land_metrics(spark, snapshot(spark, "2024-12-09 01:00:00",
+                                      [(1, "Wicked", 60.0), (2, "Moana", 25.0), (3, "Gladiator II", 5.0)]),
+                      f"{root}/metrics_raw", items)
+    assert cli.main(["mention-fact", "--posts", f"{root}/posts_raw", "--items", f"{root}/items.csv",
+                     "--out", f"{root}/facts", "--date", "2024-12-09", "--day-folders"]) == 0
+    assert cli.main(["metric-fact", "--metrics", f"{root}/metrics_raw", "--out", f"{root}/metrics",
+                     "--date", "2024-12-09"]) == 0
+    assert cli.main(["build-dims", "--metrics", f"{root}/metrics_raw", "--out", f"{root}/dims",
+                     "--load", "20241209", "--as-of", "2024-12-09"]) == 0
+    capsys.readouterr()
+    assert cli.main(["top", "--facts", f"{root}/facts", "--metrics", f"{root}/metrics", "--dims", f"{root}/dims",
+                     "--start", "2024-12-09", "--end", "2024-12-09", "--k", "1", "--n", "5"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    # day 9 totals: Wicked 1, Moana 1, Gladiator II 0; trim the largest (Wicked wins the name tie-break)
+    assert out == ["Moana\t1", "Gladiator II\t0"]
