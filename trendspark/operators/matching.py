@@ -55,7 +55,6 @@ DEFAULT_TIERS: tuple[tuple[int, int, int], ...] = (
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 DEFAULT_MAX_PASSES = 16
 _ROW_OVERHEAD = 48  # bytes per keyword-gram row besides the keyword itself
-_TIER_BITS = 3      # gram codes pack (position << 3) | tier
 
 
 @dataclass(frozen=True)
@@ -79,8 +78,6 @@ def plan_tiers(keywords: DataFrame, kw_col: str = "keyword",
     Returns the tiers that hold keywords and the estimated size in bytes of
     the keyword-gram table.  The aggregate returns at most len(tiers) rows.
     """
-    if len(tiers) > (1 << _TIER_BITS):
-        raise ValueError("too many tiers")
     klen = F.octet_length(F.col(kw_col))
     stats = (keywords.select(_tier_of(klen, tiers).alias("t"), klen.alias("n"))
              .where(F.col("t").isNotNull())
@@ -128,24 +125,6 @@ def _text_chunks(nbytes: Column) -> Column:
         .otherwise(F.array().cast("array<bigint>"))
 
 
-def _text_codes(nbytes: Column, chunk: Column, plan: list[Tier]) -> Column:
-    """Gram start codes ((p << 3) | tier) with p in the chunk's byte range.
-
-    For tier t the positions are the multiples of S_t in
-    [chunk·C, min((chunk+1)·C, n - G_t + 1)).
-    """
-    n = nbytes.cast("bigint")
-    lo = chunk * _CHUNK
-    parts = []
-    for t in plan:
-        first = F.ceil(lo / t.stride).cast("bigint") * t.stride
-        last = F.least(lo + _CHUNK, n - t.gram + 1) - 1
-        seq = F.sequence(first * (1 << _TIER_BITS) + t.index, last * (1 << _TIER_BITS) + t.index,
-                         F.lit(t.stride << _TIER_BITS).cast("bigint"))
-        parts.append(F.when(first <= last, seq).otherwise(F.array().cast("array<bigint>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
-
-
 def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
                          kw_col: str = "keyword", carry=(), tiers=DEFAULT_TIERS,
                          broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
@@ -181,23 +160,35 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
 
 def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
            carry: list[str]) -> DataFrame:
-    """Explode the text grams, hash-join the keyword grams, verify bytes."""
-    gram_of = F.lit(None).cast("int")
+    """Explode the text grams, hash-join the keyword grams, verify bytes.
+
+    Per text: one row per 64 KiB chunk, then one row per tier present, then
+    one row per gram start p of that tier inside the chunk (the multiples of
+    S_t in [chunk·C, min((chunk+1)·C, n - G_t + 1))).
+    """
+    gram_len = F.lit(None).cast("int")
+    stride = F.lit(None).cast("int")
     for t in plan:
-        gram_of = F.when(F.col("tier") == t.index, F.lit(t.gram)).otherwise(gram_of)
+        gram_len = F.when(F.col("tier") == t.index, F.lit(t.gram)).otherwise(gram_len)
+        stride = F.when(F.col("tier") == t.index, F.lit(t.stride)).otherwise(stride)
     # A null text becomes empty bytes (no grams, so no rows).  Keeping sbin
     # non-nullable also stops Catalyst from inferring an IS NOT NULL filter
     # from the join condition and pushing it below the projection, which
     # would evaluate the whole text expression twice per row.
     sbin = F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"").cast("binary"))
+    n = F.col("_n").cast("bigint")
+    lo = F.col("_chunk") * _CHUNK
+    first = F.ceil(lo / stride).cast("bigint") * stride
+    last = F.least(lo + _CHUNK, n - gram_len + 1) - 1
+    starts = F.when(first <= last, F.sequence(first, last, stride.cast("bigint"))) \
+        .otherwise(F.array().cast("array<bigint>"))
     side = (texts.select(*carry, sbin.alias("sbin"))
             .select("*", F.octet_length("sbin").alias("_n"))
             .select("*", F.explode(_text_chunks(F.col("_n"))).alias("_chunk"))
-            .select("*", F.explode(_text_codes(F.col("_n"), F.col("_chunk"), plan)).alias("code"))
-            .select(*carry, "sbin", F.shiftright("code", _TIER_BITS).alias("p"),
-                    (F.col("code").bitwiseAND((1 << _TIER_BITS) - 1)).cast("int").alias("tier"))
+            .select("*", F.explode(F.array(*[F.lit(t.index) for t in plan])).alias("tier"))
+            .select("*", F.explode(starts).alias("p"))
             .select(*carry, "sbin", "p",
-                    F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_of)).alias("h")))
+                    F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_len)).alias("h")))
     cond = ((side["h"] == grams["h"]) & (side["p"] >= grams["j"])
             & (F.substring(side["sbin"], side["p"] - grams["j"] + 1, grams["klen"]) == grams["kbin"]))
     return side.join(grams, cond, "inner").select(*[side[c] for c in carry], grams["keyword"])
