@@ -79,3 +79,28 @@ def test_long_text_spans_chunks(spark, monkeypatch):
     texts = [(i, "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 120)))) for i in range(30)]
     kws = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 24))) for _ in range(30)]
     assert run(spark, texts, kws) == brute(texts, kws)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_long_keywords_use_long_strides(spark, seed):
+    """Keywords of 30–120 bytes (tiers with strides 8, 32 and 64), cut from
+    the texts themselves so that hits, overlaps and near misses occur."""
+    rnd = random.Random(seed)
+    texts = [(i, "".join(rnd.choice("ab") for _ in range(rnd.randint(100, 400)))) for i in range(40)]
+    kws = []
+    for _ in range(30):
+        i, s = texts[rnd.randrange(len(texts))]
+        n = rnd.randint(30, 120)
+        if len(s) > n:
+            p = rnd.randrange(len(s) - n)
+            k = s[p:p + n]
+            if rnd.random() < 0.3:  # near miss: flip one byte
+                q = rnd.randrange(n)
+                k = k[:q] + ("a" if k[q] == "b" else "b") + k[q + 1:]
+            kws.append(k)
+    want = brute(texts, kws)
+    assert len(want) > 0
+    assert run(spark, texts, kws) == want
+    kdf = spark.createDataFrame([(x,) for x in kws], "keyword string")
+    plan, _ = M.plan_tiers(kdf)
+    assert {t.stride for t in plan} & {32, 64}

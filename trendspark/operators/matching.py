@@ -45,11 +45,15 @@ from pyspark.sql import functions as F
 
 # (minimum keyword length in bytes, gram length, stride).  gram 0 means
 # "the shortest keyword length found in the tier" (stride 1, every position).
-# Keywords of 1–5 bytes get one exact-length tier each: their gram is the
-# whole keyword, so every candidate is a true hit (measured faster than one
-# shared short tier, whose 1-byte grams produce many false candidates).
+# Long keywords use long strides (text work ~ n/stride, keyword rows ~ stride
+# per keyword): passages of 72+ bytes cost the text side n/64 grams instead
+# of n/8.  Keywords of 1–5 bytes get one exact-length tier each: their gram
+# is the whole keyword, so every candidate is a true hit (measured faster
+# than one shared short tier, whose 1-byte grams produce many false
+# candidates).  A tier is only generated when keywords of its lengths exist.
 DEFAULT_TIERS: tuple[tuple[int, int, int], ...] = (
-    (15, 8, 8), (6, 4, 3), (5, 5, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+    (72, 8, 64), (40, 8, 32), (15, 8, 8), (6, 4, 3),
+    (5, 5, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
 # Largest keyword-gram table (or chunk of it) we are willing to broadcast,
 # and the most text passes we accept before falling back to a shuffle join.
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
