@@ -64,20 +64,22 @@ def write_dimension(df: DataFrame, out: str, load: str, fmt: str = "parquet") ->
 
 
 def land_hourly(df: DataFrame, out: str, ts_col: str, fmt: str = "json",
-                strict: bool = False) -> None:
+                strict: bool = False, cluster: bool = True) -> None:
     """K4: raw rows landed per event hour (zero-padded year/month/day/hour).
 
     Rows are partitioned by their own event hour, so a late row lands in its
     hour even after that hour was first written (appending, never replacing
     the earlier files: use ``mode``-less append semantics).  ``strict``
     raises when there is nothing to land (the reference treated an empty
-    hour as an error).
+    hour as an error).  ``cluster=False`` skips the REBALANCE shuffle (no
+    exchange; each task then writes one file per hour it holds).
     """
     if strict and df.isEmpty():
         raise ValueError("no rows to land")
     data = df.select("*", *path_parts(F.col(ts_col)))
-    w = data.hint("rebalance", "year", "month", "day", "hour").write.mode("append") \
-        .partitionBy("year", "month", "day", "hour").format(fmt)
+    if cluster:
+        data = data.hint("rebalance", "year", "month", "day", "hour")
+    w = data.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt)
     _text_options(w, fmt).save(out)
 
 
@@ -87,11 +89,12 @@ def land_daily(df: DataFrame, out: str, ts_col: str, fmt: str = "json") -> None:
     write_partitioned(data, out, FACT_PARTS, fmt=fmt)
 
 
-def backfill_hours(df: DataFrame, out: str, ts_col: str, start, end, fmt: str = "json") -> None:
+def backfill_hours(df: DataFrame, out: str, ts_col: str, start, end, fmt: str = "json",
+                   cluster: bool = True) -> None:
     """Land every hour of [start, end) in one pass (no per-hour loop).
 
     Rows are filtered to the half-open range and partitioned by their own
     hour; the reference looped over consecutive hour pairs instead.
     """
     from trendspark.functions.timeutil import in_interval
-    land_hourly(df.where(in_interval(ts_col, start, end)), out, ts_col, fmt)
+    land_hourly(df.where(in_interval(ts_col, start, end)), out, ts_col, fmt, cluster=cluster)
