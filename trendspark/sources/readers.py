@@ -43,19 +43,25 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
-    """Paths of the raw landing for a closed day range (one glob per day).
+    """Glob patterns of the raw landing for a closed day range.
 
+    One pattern per month and layout, the month's days as a brace set
+    (``YYYY/MM/{08,09}/…``), so listing cost grows with months, not days.
     Both layouts are covered: the plain ``Y/M/D[/H]`` folders and the
     ``year=/month=/day=[/hour=]`` folders our landing writers produce;
-    :func:`_existing` keeps the ones that match files.
+    :func:`_existing` keeps the patterns that match files.
     """
     r = root.rstrip("/")
     plain = "/*/*.json" if hourly else "/*.json"
     hive = "/hour=*/*.json" if hourly else "/*.json"
-    out = []
+    months: dict[tuple[int, int], list[str]] = {}
     for d in _days(start, end):
-        out.append(f"{r}/{d:%Y/%m/%d}{plain}")
-        out.append(f"{r}/year={d:%Y}/month={d:%m}/day={d:%d}{hive}")
+        months.setdefault((d.year, d.month), []).append(f"{d.day:02d}")
+    out = []
+    for (y, m), days in months.items():
+        dd = days[0] if len(days) == 1 else "{" + ",".join(days) + "}"
+        out.append(f"{r}/{y:04d}/{m:02d}/{dd}{plain}")
+        out.append(f"{r}/year={y:04d}/month={m:02d}/day={dd}{hive}")
     return out
 
 
