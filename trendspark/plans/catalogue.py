@@ -693,3 +693,54 @@ def q_dimension_latest(spark, sf):
     write_dimension(cal.where(F.col("month") == 1), out, "20240101")
     write_dimension(cal, out, "20240201")
     return read_dimension(spark, out).drop("dataload")
+
+
+# ---------------------------------------------------------------- snapshot dimensions
+
+def _snapshot(spark, sf) -> DataFrame:
+    """A nested metric-style snapshot derived from ``part``: one genre per
+    part (size, type) and one company per word of its name (id = word
+    length, country = brand), in name order."""
+    p = load(spark, sf, "part")
+    companies = F.transform(
+        F.split(tx.blank_to_null("p_name"), " "),
+        lambda w: F.struct(F.length(w).cast("bigint").alias("id"), w.alias("name"),
+                           F.col("p_brand").alias("origin_country")))
+    genres = F.array(F.struct(F.col("p_size").cast("bigint").alias("id"), F.col("p_type").alias("name")))
+    return p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
+                    F.col("p_name").alias("original_title"), F.col("p_brand").alias("original_language"),
+                    genres.alias("genres"), companies.alias("production_companies"))
+
+
+@register("snapshot_genres", "SELECT DISTINCT CAST(p_size AS INTEGER) AS id, p_type AS name FROM part")
+def q_snapshot_genres(spark, sf):
+    """N1 + A7: genre dimension = distinct (id, name) over nested genre lists."""
+    return dims.genre_dim(_snapshot(spark, sf))
+
+
+@register("snapshot_companies", """
+WITH w AS (SELECT p_partkey, p_brand, unnest(string_split(p_name, ' ')) AS name,
+                  generate_subscripts(string_split(p_name, ' '), 1) AS pos
+           FROM part WHERE nullif(p_name, '') IS NOT NULL)
+SELECT CAST(length(name) AS INTEGER) AS id, name, first(p_brand ORDER BY p_partkey, pos) AS origin_country
+FROM w GROUP BY 1, 2
+""")
+def q_snapshot_companies(spark, sf):
+    """N1 + A8: company dimension, first-seen country by (item, position)."""
+    return dims.company_dim(_snapshot(spark, sf))
+
+
+@register("snapshot_items", """
+SELECT p_partkey AS id, p_name AS name, p_name AS original_name, p_brand AS original_language,
+       CAST(CAST(p_size AS INTEGER) AS VARCHAR) AS genres_id,
+       coalesce(array_to_string(list_transform(string_split(nullif(p_name, ''), ' '), lambda w: CAST(length(w) AS INTEGER)), ','), '')
+         AS production_companies_id
+FROM part
+""")
+def q_snapshot_items(spark, sf):
+    """N1 + N2 + F20 + F21: item rows with id lists in source order (shown joined by ',')."""
+    m = dims.item_dim(_snapshot(spark, sf))
+    return m.select("id", "name", "original_name", "original_language",
+                    F.array_join(F.col("genres_id").cast("array<string>"), ",").alias("genres_id"),
+                    F.array_join(F.col("production_companies_id").cast("array<string>"), ",")
+                    .alias("production_companies_id"))
