@@ -744,3 +744,21 @@ def q_snapshot_items(spark, sf):
                     F.array_join(F.col("genres_id").cast("array<string>"), ",").alias("genres_id"),
                     F.array_join(F.col("production_companies_id").cast("array<string>"), ",")
                     .alias("production_companies_id"))
+
+
+@register("document_counters", """
+SELECT count(*) AS rows, count(nullif(text, '')) AS with_text, CAST(sum(n_chars) AS BIGINT) AS chars
+FROM documents
+""")
+def q_document_counters(spark, sf):
+    """Counters observed while the normalisation job runs (no second
+    pass over the data); the observed values come back as one row."""
+    d = load(spark, sf, "documents")
+    job, obs = quality.with_counters(d.select(tx.simple_text("text").alias("st"), "text", "n_chars"),
+                                     "document_counters",
+                                     with_text=F.count(tx.blank_to_null("text")),
+                                     chars=F.sum("n_chars"))
+    job.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return spark.createDataFrame([(m["rows"], m["with_text"], m["chars"])],
+                                 "rows bigint, with_text bigint, chars bigint")
