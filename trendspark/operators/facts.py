@@ -25,6 +25,21 @@ from trendspark.functions.timeutil import date_parts, text_to_date
 from trendspark.operators.matching import substring_matches
 
 
+def _per_channel(posts: DataFrame, items: DataFrame, *, post_id: str, channel: str, text: str,
+                 item_id: str, keyword: str, by: list[str], **match_opts) -> DataFrame:
+    """(item_id, by..., channel, mention_count) for every item, zero rows kept."""
+    kw = unify_keyword(F.col(keyword))
+    items_kw = items.select(F.col(item_id).alias("item_id"), kw.alias("keyword"), *by)
+    pairs = substring_matches(posts.select(post_id, channel, text, *by),
+                              items_kw.select("keyword"), text, "keyword",
+                              carry=[post_id, channel, *by], **match_opts)
+    counts = (pairs.groupBy("keyword", channel, *by)
+              .agg(F.count("*").alias("mention_count")))
+    return (items_kw.join(counts, ["keyword", *by], "left")
+            .select("item_id", *by, F.col(channel).alias("channel"),
+                    F.coalesce("mention_count", F.lit(0)).cast("bigint").alias("mention_count")))
+
+
 def mention_stats(posts: DataFrame, items: DataFrame, *, post_id: str = "post_id",
                   channel: str = "channel", text: str = "simple_text",
                   item_id: str = "item_id", keyword: str = "keyword",
@@ -38,27 +53,25 @@ def mention_stats(posts: DataFrame, items: DataFrame, *, post_id: str = "post_id
     and value), so unmentioned items still get their zero row per value.
     """
     by = list(by)
-    kw = unify_keyword(F.col(keyword))
-    items_kw = items.select(F.col(item_id).alias("item_id"), kw.alias("keyword"), *by)
-    pairs = substring_matches(posts.select(post_id, channel, text, *by),
-                              items_kw.select("keyword"), text, "keyword",
-                              carry=[post_id, channel, *by], **match_opts)
-    per_channel = (pairs.groupBy("keyword", channel, *by)
-                   .agg(F.count("*").alias("mention_count")))
-    rows = (items_kw.join(per_channel, ["keyword", *by], "left")
-            .select("item_id", *by, F.col(channel).alias("channel"),
-                    F.coalesce("mention_count", F.lit(0)).cast("bigint").alias("mention_count")))
+    rows = _per_channel(posts, items, post_id=post_id, channel=channel, text=text,
+                        item_id=item_id, keyword=keyword, by=by, **match_opts)
     total = F.sum("mention_count").over(Window.partitionBy("item_id", *by))
     return rows.select("item_id", total.cast("bigint").alias("text_count"), "channel",
                        "mention_count", *by)
 
 
-def mention_stats_two_aggregates(posts: DataFrame, items: DataFrame, **kw) -> DataFrame:
-    """Same rows as :func:`mention_stats`, joined from two aggregates (J2 as in
-    the reference: per-item totals ⋈ per-channel counts on item id)."""
-    base = mention_stats(posts, items, **kw)
-    totals = base.groupBy("item_id").agg(F.sum("mention_count").cast("bigint").alias("text_count"))
-    return totals.join(base.drop("text_count"), "item_id", "inner")
+def mention_stats_two_aggregates(posts: DataFrame, items: DataFrame, *, post_id: str = "post_id",
+                                 channel: str = "channel", text: str = "simple_text",
+                                 item_id: str = "item_id", keyword: str = "keyword",
+                                 by: tuple[str, ...] = (), **match_opts) -> DataFrame:
+    """Same rows as :func:`mention_stats`, shaped as the reference job: per-item
+    totals ⋈ per-channel counts on item id (J2)."""
+    by = list(by)
+    rows = _per_channel(posts, items, post_id=post_id, channel=channel, text=text,
+                        item_id=item_id, keyword=keyword, by=by, **match_opts)
+    totals = rows.groupBy("item_id", *by).agg(F.sum("mention_count").cast("bigint").alias("text_count"))
+    return (totals.join(rows, ["item_id", *by], "inner")
+            .select("item_id", "text_count", "channel", "mention_count", *by))
 
 
 def with_partition_date(df: DataFrame, date_col: str = "date") -> DataFrame:
