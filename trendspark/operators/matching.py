@@ -102,7 +102,11 @@ def plan_tiers(keywords: DataFrame, kw_col: str = "keyword",
 
 def keyword_grams(keywords: DataFrame, plan: list[Tier], kw_col: str = "keyword",
                   tiers=DEFAULT_TIERS) -> DataFrame:
-    """Keyword side of the index: (h, j, klen, kbin, keyword) per offset j."""
+    """Keyword side of the index: (h, j, klen, kbin) per offset j.
+
+    The keyword travels only as its UTF-8 bytes (needed for verification);
+    matched rows decode it back, so the broadcast holds each keyword once.
+    """
     kbin = F.encode(F.col(kw_col), "UTF-8")
     tier = _tier_of(F.octet_length(F.col(kw_col)), tiers)
     gram_len = F.lit(None).cast("int")
@@ -114,7 +118,7 @@ def keyword_grams(keywords: DataFrame, plan: list[Tier], kw_col: str = "keyword"
             .where(F.col("t").isin([t.index for t in plan])))
     return (base.select("*", F.explode(F.sequence(F.lit(0), stride - 1)).alias("j"))
             .select(F.xxhash64(F.col("t"), F.substring("kbin", F.col("j") + 1, gram_len)).alias("h"),
-                    "j", F.octet_length("kbin").alias("klen"), "kbin", "keyword"))
+                    "j", F.octet_length("kbin").alias("klen"), "kbin"))
 
 
 # Gram start positions are generated per chunk of this many bytes, so one
@@ -155,7 +159,7 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     if passes == 1 and size <= broadcast_max_bytes:
         return _probe(texts, F.broadcast(grams), plan, text_col, carry)
     if passes <= max_passes:
-        chunk = F.pmod(F.xxhash64("keyword"), F.lit(passes))
+        chunk = F.pmod(F.xxhash64("kbin"), F.lit(passes))
         parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry)
                  for i in range(passes)]
         return reduce(DataFrame.unionAll, parts)
@@ -195,7 +199,8 @@ def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
                     F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_len)).alias("h")))
     cond = ((side["h"] == grams["h"]) & (side["p"] >= grams["j"])
             & (F.substring(side["sbin"], side["p"] - grams["j"] + 1, grams["klen"]) == grams["kbin"]))
-    return side.join(grams, cond, "inner").select(*[side[c] for c in carry], grams["keyword"])
+    return side.join(grams, cond, "inner").select(*[side[c] for c in carry],
+                                                  F.decode(grams["kbin"], "UTF-8").alias("keyword"))
 
 
 def substring_matches(texts: DataFrame, keywords: DataFrame, text_col: str,
