@@ -98,6 +98,24 @@ def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys,
 ARCHIVE_PARTS = ("year", "month", "day")
 
 
+def _has_entries(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists and holds something other than markers
+    (``_SUCCESS``, hidden files): one top-level listing on the driver."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM access (Spark Connect): try reading instead
+        try:
+            return spark.read.load(path).limit(1).count() > 0
+        except Exception:
+            return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
                          lookback_days: int | None = None, keywords: DataFrame | None = None,
                          text_col: str | None = None, fmt: str = "parquet",
@@ -115,12 +133,9 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
     order = list(order or [ts])
 
     def _archive():
-        try:
-            return spark.read.format(fmt).load(archive_path)
-        except Exception as err:
-            if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
-                return None
-            raise
+        if not _has_entries(spark, archive_path):
+            return None  # nothing archived yet (first batch of a new archive)
+        return spark.read.format(fmt).load(archive_path)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         b = batch
