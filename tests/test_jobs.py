@@ -183,3 +183,11 @@ def test_metric_fact_dirty_stamps(spark):
     import pytest
     with pytest.raises(Exception):
         facts.metric_fact(raw, None, metrics=["popularity"]).collect()
+
+
+def test_mention_fact_num_partitions_same_rows(spark, tmp_path):
+    posts, items = write_inputs(tmp_path)
+    a = jobs.mention_fact(spark, posts, items, "2024-12-08")
+    b = jobs.mention_fact(spark, posts, items, "2024-12-08", num_partitions=3)
+    cols = ("item_id", "text_count", "channel", "mention_count")
+    assert rows(a, *cols) == rows(b, *cols)
