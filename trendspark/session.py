@@ -73,8 +73,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (local tests) do we pick a
-    folder ourselves and register it, so ``DataFrame.checkpoint()`` works too.
+    Read from the session.  Only when it is unset in local mode (tests) do we
+    pick a folder ourselves and register it, so ``DataFrame.checkpoint()``
+    works too; on a cluster an unset value is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -84,7 +85,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="trendspark-ckpt-")
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS or an "
+                               "object store); a machine-local folder is not safe on a cluster")
+        root = tempfile.mkdtemp(prefix="trendspark-ckpt-")  # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
