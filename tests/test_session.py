@@ -19,3 +19,28 @@ def test_spread_only_when_few_splits(spark):
     many = spark.range(100).repartition(par * 2)
     assert spread(many).rdd.getNumPartitions() == par * 2
     assert sorted(r.id for r in spread(one).collect()) == list(range(100))
+
+
+def test_cluster_without_checkpoint_dir_is_an_error():
+    import pytest
+
+    class Conf:
+        def __init__(self):
+            self.d = {"spark.master": "yarn"}
+
+        def get(self, k, default=None):
+            return self.d.get(k, default)
+
+        def set(self, k, v):
+            self.d[k] = v
+
+    class SC:
+        def getCheckpointDir(self):
+            return None
+
+    class FakeSession:
+        conf = Conf()
+        sparkContext = SC()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(FakeSession())
