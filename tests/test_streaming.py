@@ -88,3 +88,11 @@ def test_new_rows_only_both_paths(spark):
     assert sorted(tuple(r) for r in small.collect()) == want
     assert sorted(tuple(r) for r in large.collect()) == want
     assert ingest.new_rows_only(batch, None, ["id"]).count() == 3
+
+
+def test_first_per_key_ties_are_deterministic(spark):
+    df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 2, "0"), ("j", 5, "z")],
+                               "id string, ts int, payload string")
+    for _ in range(3):
+        got = {r.id: (r.ts, r.payload) for r in ingest.first_per_key(df.repartition(3), ["id"], ["ts"]).collect()}
+        assert got == {"k": (1, "a"), "j": (5, "z")}

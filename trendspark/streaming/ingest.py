@@ -64,10 +64,16 @@ def hourly_counts(stream: DataFrame, ts: str, delay: str, by=()) -> DataFrame:
 
 
 def first_per_key(batch: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the smallest in ``order`` (partial aggregate, skew-safe)."""
+    """One row per key: the smallest in ``order`` (partial aggregate, skew-safe).
+
+    Rows tied on ``order`` are broken by their own (orderable) values, so the
+    pick is deterministic across runs and retries.
+    """
     keys, order = list(keys), list(order)
     cols = [c for c in batch.columns if c not in keys]
-    picked = batch.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r"))
+    tie = [f.name for f in batch.schema.fields
+           if f.name in cols and f.name not in order and not isinstance(f.dataType, T.MapType)]
+    picked = batch.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*order, *tie)).alias("_r"))
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
