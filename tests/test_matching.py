@@ -104,3 +104,50 @@ def test_long_keywords_use_long_strides(spark, seed):
     kdf = spark.createDataFrame([(x,) for x in kws], "keyword string")
     plan, _ = M.plan_tiers(kdf)
     assert {t.stride for t in plan} & {32, 64}
+
+
+def brute_tokens(texts, kws):
+    """Whole-token rule: some run of consecutive tokens concatenates to k."""
+    import re
+    out = set()
+    for i, s in texts:
+        if not s:
+            continue
+        toks = [t for t in re.split(r"[^a-z0-9]+", s.lower()) if t]
+        runs = {"".join(toks[a:b]) for a in range(len(toks)) for b in range(a + 1, len(toks) + 1)}
+        out |= {(i, k) for k in set(kws) if k and k in runs}
+    return out
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_whole_token_mode_against_brute_force(spark, seed):
+    from trendspark.functions import simple_text, token_end_mask, token_start_mask
+    rnd = random.Random(seed)
+    texts = [(i, "".join(rnd.choice("ab ,Ab-é") for _ in range(rnd.randint(0, 40)))) for i in range(60)]
+    kws = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 9))) for _ in range(40)]
+    t = spark.createDataFrame(texts, "id long, raw string").select(
+        "id", simple_text("raw").alias("s"), token_start_mask("raw").alias("sm"),
+        token_end_mask("raw").alias("em"))
+    k = spark.createDataFrame([(x,) for x in kws], "keyword string")
+    for opts in ({}, {"broadcast_max_bytes": 0}):
+        got = {tuple(r) for r in M.substring_matches(t, k, "s", carry=["id"], token_masks=("sm", "em"),
+                                                      **opts).collect()}
+        assert got == brute_tokens(texts, kws)
+    # substring mode on the same frame is unchanged
+    plain = {tuple(r) for r in M.substring_matches(t, k, "s", carry=["id"]).collect()}
+    assert plain == brute([(i, M_simple(s)) for i, s in texts], kws)
+
+
+def M_simple(s):
+    import re
+    return re.sub(r"[^A-Za-z0-9]", "", s.lower()) if s else None
+
+
+def test_whole_token_examples(spark):
+    from trendspark.functions import simple_text, token_end_mask, token_start_mask
+    t = spark.createDataFrame([(1, "Where to watch"), (2, "The Lion King!"), (3, "lionking")], "id long, raw string")
+    t = t.select("id", simple_text("raw").alias("s"), token_start_mask("raw").alias("sm"),
+                 token_end_mask("raw").alias("em"))
+    k = spark.createDataFrame([("here",), ("thelionking",), ("lion",), ("lionking",)], "keyword string")
+    got = {tuple(r) for r in M.substring_matches(t, k, "s", carry=["id"], token_masks=("sm", "em")).collect()}
+    assert got == {(2, "thelionking"), (2, "lion"), (2, "lionking"), (3, "lionking")}

@@ -74,6 +74,26 @@ def simple_text(c) -> Column:
 _KEEP_LOWER_RUNS = "[^a-z0-9]+"
 
 
+def _token_mask(c, mark: str) -> Column:
+    # Characters are classified on the lower-cased text exactly as
+    # simple_text keeps them ([a-z0-9]); '#' and '.' are cleared first so
+    # only the marks survive the final clean-up.
+    a = F.regexp_replace(F.lower(blank_to_null(c)), "[#.]", " ")
+    marked = F.regexp_replace(a, mark, "#")
+    return F.regexp_replace(F.regexp_replace(marked, "[a-z0-9]", "."), "[^#.]+", "")
+
+
+def token_start_mask(c) -> Column:
+    """One character per character of :func:`simple_text`: '#' where a token
+    (maximal run of [a-z0-9] in the lower-cased text) starts, '.' elsewhere."""
+    return _token_mask(c, "(?<![a-z0-9])[a-z0-9]")
+
+
+def token_end_mask(c) -> Column:
+    """Like :func:`token_start_mask`, with '#' where a token ends."""
+    return _token_mask(c, "[a-z0-9](?![a-z0-9])")
+
+
 def channel_name(c, prefix_len: int = CHANNEL_PREFIX_LEN) -> Column:
     """drop the channel prefix ('r/'), lower case; null/empty → null."""
     return F.lower(F.substring(blank_to_null(c), prefix_len + 1, 1 << 30))

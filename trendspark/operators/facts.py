@@ -30,7 +30,8 @@ def _per_channel(posts: DataFrame, items: DataFrame, *, post_id: str, channel: s
     """(item_id, by..., channel, mention_count) for every item, zero rows kept."""
     kw = unify_keyword(F.col(keyword))
     items_kw = items.select(F.col(item_id).alias("item_id"), kw.alias("keyword"), *by)
-    pairs = substring_matches(posts.select(post_id, channel, text, *by),
+    masks = list(match_opts.get("token_masks") or ())  # whole-token mode (see matching)
+    pairs = substring_matches(posts.select(post_id, channel, text, *by, *masks),
                               items_kw.select("keyword"), text, "keyword",
                               carry=[post_id, channel, *by], **match_opts)
     counts = (pairs.groupBy("keyword", channel, *by)

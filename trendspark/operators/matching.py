@@ -136,12 +136,20 @@ def _text_chunks(nbytes: Column) -> Column:
 def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
                          kw_col: str = "keyword", carry=(), tiers=DEFAULT_TIERS,
                          broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                         max_passes: int = DEFAULT_MAX_PASSES) -> DataFrame:
+                         max_passes: int = DEFAULT_MAX_PASSES,
+                         token_masks: tuple[str, str] | None = None) -> DataFrame:
     """Every occurrence of every keyword: rows (carry..., keyword).
 
     A keyword occurring several times in a text gives several rows; use
     :func:`substring_matches` for distinct pairs.  Null or empty keywords
     never match (an empty keyword would be a substring of everything).
+
+    ``token_masks`` = (start mask column, end mask column), built with
+    ``functions.token_start_mask`` / ``token_end_mask`` from the same raw
+    text, switches to whole-token matching: an occurrence counts only when
+    it starts where a token starts and ends where a token ends (it may span
+    several tokens: 'thelionking' matches "The Lion King" but 'here' does
+    not match "where").  The default is plain substring matching (T10).
     """
     valid = (keywords.select(F.col(kw_col).alias("keyword"))
              .where(F.col("keyword").isNotNull() & (F.octet_length("keyword") > 0)))
@@ -157,17 +165,17 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     grams = keyword_grams(kws, plan, "keyword", tiers)
     passes = max(1, -(-size // max(broadcast_max_bytes, 1)))
     if passes == 1 and size <= broadcast_max_bytes:
-        return _probe(texts, F.broadcast(grams), plan, text_col, carry)
+        return _probe(texts, F.broadcast(grams), plan, text_col, carry, token_masks)
     if passes <= max_passes:
         chunk = F.pmod(F.xxhash64("kbin"), F.lit(passes))
-        parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry)
+        parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry, token_masks)
                  for i in range(passes)]
         return reduce(DataFrame.unionAll, parts)
-    return _probe(texts, grams, plan, text_col, carry)
+    return _probe(texts, grams, plan, text_col, carry, token_masks)
 
 
 def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
-           carry: list[str]) -> DataFrame:
+           carry: list[str], token_masks: tuple[str, str] | None = None) -> DataFrame:
     """Explode the text grams, hash-join the keyword grams, verify bytes.
 
     Per text: one row per 64 KiB chunk, then one row per tier present, then
@@ -190,15 +198,26 @@ def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
     last = F.least(lo + _CHUNK, n - gram_len + 1) - 1
     starts = F.when(first <= last, F.sequence(first, last, stride.cast("bigint"))) \
         .otherwise(F.array().cast("array<bigint>"))
-    side = (texts.select(*carry, sbin.alias("sbin"))
+    masks = []
+    if token_masks:
+        # masks as bytes (ASCII '#'/'.'): O(1) lookups by position
+        masks = [F.coalesce(F.encode(F.col(c), "UTF-8"), F.lit(b"").cast("binary")).alias(a)
+                 for c, a in zip(token_masks, ("_smask", "_emask"))]
+    extra = ["_smask", "_emask"] if token_masks else []
+    side = (texts.select(*carry, sbin.alias("sbin"), *masks)
             .select("*", F.octet_length("sbin").alias("_n"))
             .select("*", F.explode(_text_chunks(F.col("_n"))).alias("_chunk"))
             .select("*", F.explode(F.array(*[F.lit(t.index) for t in plan])).alias("tier"))
             .select("*", F.explode(starts).alias("p"))
-            .select(*carry, "sbin", "p",
+            .select(*carry, "sbin", *extra, "p",
                     F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_len)).alias("h")))
+    start = side["p"] - grams["j"] + 1  # 1-based start of the occurrence
     cond = ((side["h"] == grams["h"]) & (side["p"] >= grams["j"])
-            & (F.substring(side["sbin"], side["p"] - grams["j"] + 1, grams["klen"]) == grams["kbin"]))
+            & (F.substring(side["sbin"], start, grams["klen"]) == grams["kbin"]))
+    if token_masks:
+        mark = F.lit(b"#").cast("binary")
+        cond = (cond & (F.substring(side["_smask"], start, 1) == mark)
+                & (F.substring(side["_emask"], start + grams["klen"] - 1, 1) == mark))
     return side.join(grams, cond, "inner").select(*[side[c] for c in carry],
                                                   F.decode(grams["kbin"], "UTF-8").alias("keyword"))
 

@@ -108,6 +108,30 @@ def q_mention_stats_two_aggregates(spark, sf):
     return facts.mention_stats_two_aggregates(_posts(spark, sf), _items(spark, sf, passages=True))
 
 
+@register("mention_stats_whole_tokens", f"""
+WITH items AS (SELECT item_id, nullif({FIRST_WORD('text')}, '') AS kw FROM benchmark),
+docs AS (SELECT doc_id, source AS channel,
+                '|' || array_to_string(regexp_split_to_array(lower(nullif(text, '')), '[^a-z0-9]+'), '|') || '|'
+                  AS marked
+         FROM documents),
+m AS (SELECT i.item_id, d.doc_id, d.channel FROM items i
+      LEFT JOIN docs d ON i.kw IS NOT NULL
+        AND regexp_matches(d.marked, '\\|' || array_to_string(string_split(i.kw, ''), '\\|?') || '\\|')),
+per_ch AS (SELECT item_id, channel, count(doc_id) AS mention_count FROM m GROUP BY item_id, channel),
+per_item AS (SELECT item_id, count(doc_id) AS text_count FROM m GROUP BY item_id)
+SELECT p.item_id, p.text_count, c.channel, c.mention_count
+FROM per_item p JOIN per_ch c ON p.item_id = c.item_id
+""")
+def q_mention_stats_whole_tokens(spark, sf):
+    """T10 option: the same statistic with whole-token matching (an occurrence
+    must start and end on token boundaries; it may span several tokens)."""
+    d = load(spark, sf, "documents")
+    posts = d.select(F.col("doc_id").alias("post_id"), F.col("source").alias("channel"),
+                     tx.simple_text("text").alias("simple_text"),
+                     tx.token_start_mask("text").alias("sm"), tx.token_end_mask("text").alias("em"))
+    return facts.mention_stats(posts, _items(spark, sf, passages=False), token_masks=("sm", "em"))
+
+
 @register("passage_mentions", f"""
 SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b
   ON nullif({SIMP('b.text')}, '') IS NOT NULL AND contains({SIMP('d.text')}, {SIMP('b.text')})
