@@ -96,3 +96,17 @@ def test_first_per_key_ties_are_deterministic(spark):
     for _ in range(3):
         got = {r.id: (r.ts, r.payload) for r in ingest.first_per_key(df.repartition(3), ["id"], ["ts"]).collect()}
         assert got == {"k": (1, "a"), "j": (5, "z")}
+
+
+def test_phrase_filter_whole_tokens_in_stream(spark, tmp_path):
+    from trendspark.functions import simple_text, token_end_mask, token_start_mask
+    inbox, archive = tmp_path / "in", str(tmp_path / "archive")
+    land(inbox, "a.json", [{"id": "p1", "title": "Where to watch", "created_utc": 1733659200.0},
+                           {"id": "p2", "title": "here we go", "created_utc": 1733659200.0}])
+    kws = spark.createDataFrame([("here",)], "keyword string")
+    s = stream(spark, inbox).select("*", simple_text("title").alias("st"), token_start_mask("title").alias("sm"),
+                                    token_end_mask("title").alias("em"))
+    q = ingest.start_ingest(spark, s, archive, str(tmp_path / "ck"), keys=("id",), keywords=kws, text_col="st",
+                            token_masks=("sm", "em"))
+    q.awaitTermination()
+    assert [r.id for r in spark.read.parquet(archive).collect()] == ["p2"]

@@ -125,7 +125,7 @@ def _has_entries(spark: SparkSession, path: str) -> bool:
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
                          lookback_days: int | None = None, keywords: DataFrame | None = None,
                          text_col: str | None = None, fmt: str = "parquet",
-                         partition_by=ARCHIVE_PARTS):
+                         partition_by=ARCHIVE_PARTS, token_masks: tuple[str, str] | None = None):
     """Build the foreachBatch function for D1+D2 (+ optional phrase filter).
 
     Rows are appended under their own event day (``partition_by``; the zero
@@ -146,7 +146,7 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
     def process(batch: DataFrame, epoch_id: int) -> None:
         b = batch
         if keywords is not None:
-            hits = texts_matching_any(b, keywords, text_col, carry=keys)
+            hits = texts_matching_any(b, keywords, text_col, carry=keys, token_masks=token_masks)
             b = b.join(hits, keys, "left_semi")
         b = first_per_key(b, keys, order).persist()
         try:
@@ -171,7 +171,8 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
 def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, checkpoint: str, *,
                  keys=("id",), ts: str = "event_time", order=None, keywords=None,
                  text_col=None, lookback_days=None, drop=NON_PORTABLE_FIELDS,
-                 trigger: dict | None = None, partition_by=ARCHIVE_PARTS) -> StreamingQuery:
+                 trigger: dict | None = None, partition_by=ARCHIVE_PARTS,
+                 token_masks: tuple[str, str] | None = None) -> StreamingQuery:
     """Start the ingest query; returns the running StreamingQuery.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (bounded sessions: the
@@ -180,7 +181,7 @@ def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, chec
     """
     s = drop_fields(stream, drop)
     fn = archive_batch_writer(spark, archive_path, keys, ts, order, lookback_days, keywords, text_col,
-                              partition_by=partition_by)
+                              partition_by=partition_by, token_masks=token_masks)
     w = s.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
