@@ -191,3 +191,13 @@ def test_mention_fact_num_partitions_same_rows(spark, tmp_path):
     b = jobs.mention_fact(spark, posts, items, "2024-12-08", num_partitions=3)
     cols = ("item_id", "text_count", "channel", "mention_count")
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_cli_ingest_whole_tokens(spark, tmp_path):
+    from trendspark.plans import cli
+    posts, items = write_inputs(tmp_path)
+    arch = str(tmp_path / "archive")
+    assert cli.main(["ingest", "--landing", posts + "/2024/12/08/12", "--archive", arch,
+                     "--checkpoint", str(tmp_path / "ck"), "--items", items, "--whole-tokens"]) == 0
+    # titles 'Wicked!', 'On Moana', 'wicked' are whole tokens; p3 has no title
+    assert sorted(r.id for r in spark.read.parquet(arch).collect()) == ["p1", "p2", "p4"]

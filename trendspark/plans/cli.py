@@ -17,7 +17,7 @@ import sys
 from pyspark.sql import functions as F
 
 from trendspark import schemas
-from trendspark.functions.text import simple_text
+from trendspark.functions.text import simple_text, token_end_mask, token_start_mask
 from trendspark.plans import jobs
 from trendspark.session import get_session
 from trendspark.sources import readers
@@ -54,6 +54,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--items", help="keep only posts whose title names an item")
     i.add_argument("--max-files-per-trigger", type=int, default=100)
     i.add_argument("--lookback-days", type=int)
+    i.add_argument("--whole-tokens", action="store_true",
+                   help="match item keywords on whole title tokens (default: substring)")
     r = sub.add_parser("top", help="E6: trimmed ranking of total mentions")
     r.add_argument("--facts", required=True)
     r.add_argument("--metrics", required=True)
@@ -79,9 +81,13 @@ def main(argv=None) -> int:
         s = ingest.file_stream(spark, a.landing, schemas.POSTS, "json", a.max_files_per_trigger)
         s = s.withColumn("event_time", F.timestamp_seconds("created_utc")) \
              .withColumn("title_simple", simple_text("title"))
+        masks = None
+        if a.whole_tokens:
+            s = s.withColumn("title_sm", token_start_mask("title")).withColumn("title_em", token_end_mask("title"))
+            masks = ("title_sm", "title_em")
         kws = readers.read_items(spark, a.items) if a.items else None
         q = ingest.start_ingest(spark, s, a.archive, a.checkpoint, keys=("id",), keywords=kws,
-                                text_col="title_simple", lookback_days=a.lookback_days)
+                                text_col="title_simple", lookback_days=a.lookback_days, token_masks=masks)
         q.awaitTermination()
     elif a.cmd == "top":
         view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)
