@@ -110,3 +110,16 @@ def test_phrase_filter_whole_tokens_in_stream(spark, tmp_path):
                             token_masks=("sm", "em"))
     q.awaitTermination()
     assert [r.id for r in spark.read.parquet(archive).collect()] == ["p2"]
+
+
+def test_masks_are_not_archived(spark, tmp_path):
+    from trendspark.functions import simple_text, token_end_mask, token_start_mask
+    inbox, archive = tmp_path / "in", str(tmp_path / "archive")
+    land(inbox, "a.json", [{"id": "p2", "title": "here we go", "created_utc": 1733659200.0}])
+    kws = spark.createDataFrame([("here",)], "keyword string")
+    s = stream(spark, inbox).select("*", simple_text("title").alias("st"), token_start_mask("title").alias("sm"),
+                                    token_end_mask("title").alias("em"))
+    ingest.start_ingest(spark, s, archive, str(tmp_path / "ck"), keys=("id",), keywords=kws, text_col="st",
+                        token_masks=("sm", "em")).awaitTermination()
+    cols = spark.read.parquet(archive).columns
+    assert "sm" not in cols and "em" not in cols and "st" in cols

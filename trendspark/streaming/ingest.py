@@ -148,6 +148,8 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
         if keywords is not None:
             hits = texts_matching_any(b, keywords, text_col, carry=keys, token_masks=token_masks)
             b = b.join(hits, keys, "left_semi")
+        if token_masks:
+            b = b.drop(*token_masks)  # matching inputs only, not archived
         b = first_per_key(b, keys, order).persist()
         try:
             n = b.count()
