@@ -95,6 +95,10 @@ def test_cli_top_after_pipeline(spark, tmp_path, capsys):
                      "--date", "2024-12-09"]) == 0
     assert cli.main(["build-dims", "--metrics", f"{root}/metrics_raw", "--out", f"{root}/dims",
                      "--load", "20241209", "--as-of", "2024-12-09"]) == 0
+    assert cli.main(["view", "--facts", f"{root}/facts", "--metrics", f"{root}/metrics", "--dims", f"{root}/dims",
+                     "--start", "2024-12-09", "--end", "2024-12-09", "--name", "Moana", "--out", f"{root}/view"]) == 0
+    v = spark.read.parquet(f"{root}/view")
+    assert rows(v, "id", "mention_count", "popularity") == [(2, 1, 25.0)]
     capsys.readouterr()
     assert cli.main(["top", "--facts", f"{root}/facts", "--metrics", f"{root}/metrics", "--dims", f"{root}/dims",
                      "--start", "2024-12-09", "--end", "2024-12-09", "--k", "1", "--n", "5"]) == 0

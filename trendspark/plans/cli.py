@@ -4,6 +4,7 @@
     python -m trendspark.plans.cli metric-fact  --metrics M --out O --date 2024-12-08
     python -m trendspark.plans.cli build-dims   --metrics M --out O --load 20241218 --as-of 2024-12-18
     python -m trendspark.plans.cli ingest       --landing L --archive A --checkpoint C [--items I]
+    python -m trendspark.plans.cli view         --facts F --metrics M --dims D --start S --end E [--name N] --out V
     python -m trendspark.plans.cli top          --facts F --metrics M --dims D --start S --end E [--k 3 --n 20]
 
 On a cluster, submit with spark-submit; the active session is used.
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from trendspark import schemas
 from trendspark.functions.text import simple_text, token_end_mask, token_start_mask
+from trendspark.operators import trends
 from trendspark.plans import jobs
 from trendspark.session import get_session
 from trendspark.sources import readers
@@ -56,6 +58,14 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--lookback-days", type=int)
     i.add_argument("--whole-tokens", action="store_true",
                    help="match item keywords on whole title tokens (default: substring)")
+    v = sub.add_parser("view", help="E6/W2: the star view sliced by date range and name, written as Parquet")
+    v.add_argument("--facts", required=True)
+    v.add_argument("--metrics", required=True)
+    v.add_argument("--dims", required=True)
+    v.add_argument("--start", required=True)
+    v.add_argument("--end", required=True)
+    v.add_argument("--name", default="All")
+    v.add_argument("--out", required=True)
     r = sub.add_parser("top", help="E6: trimmed ranking of total mentions")
     r.add_argument("--facts", required=True)
     r.add_argument("--metrics", required=True)
@@ -89,6 +99,10 @@ def main(argv=None) -> int:
         q = ingest.start_ingest(spark, s, a.archive, a.checkpoint, keys=("id",), keywords=kws,
                                 text_col="title_simple", lookback_days=a.lookback_days, token_masks=masks)
         q.awaitTermination()
+    elif a.cmd == "view":
+        view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)
+        sliced = trends.slice_trends(view, a.name, a.start, a.end)
+        sliced.write.mode("overwrite").parquet(a.out)
     elif a.cmd == "top":
         view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)
         for row in jobs.rank_totals(view, a.k, a.n).collect():  # bounded: n rows (top-k report)
