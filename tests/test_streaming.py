@@ -136,3 +136,19 @@ def test_retried_batch_is_harmless(spark, tmp_path):
     back = spark.read.parquet(archive)
     assert sorted(r.id for r in back.collect()) == ["p1", "p2"]
     assert {r.id: r.title for r in back.collect()}["p1"] == "a"  # first by order, ties by value
+
+
+def test_lookback_limits_the_archive_reread(spark, tmp_path):
+    archive = str(tmp_path / "archive")
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time", lookback_days=2)
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "id string, t string") \
+            .withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+
+    fn(batch([("old", "2024-12-01 10:00:00"), ("recent", "2024-12-07 10:00:00")]), 0)
+    # new batch on 12-08: lookback 2 days re-reads archive days >= 12-06 only
+    fn(batch([("old", "2024-12-08 09:00:00"), ("recent", "2024-12-08 09:00:00"),
+              ("new", "2024-12-08 09:00:00")]), 1)
+    got = sorted((r.id, r.day) for r in spark.read.parquet(archive).collect())
+    assert got == [("new", 8), ("old", 1), ("old", 8), ("recent", 7)]
