@@ -35,14 +35,23 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     for q in ("mention_stats", "star_daily", "first_wins"):
         catalogue.QUERIES[q](spark, warm_dir).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, []
     for name in names:
         t0 = time.perf_counter()
-        catalogue.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            catalogue.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as err:  # record and go on: one failure must not hide the rest
+            times[name] = None
+            failed.append(name)
+            print(f"{name} failed: {str(err)[:300]}", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_headline_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "total_headline_seconds",
+           "value": round(sum(t for t in times.values() if t is not None), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
