@@ -201,3 +201,10 @@ def test_cli_ingest_whole_tokens(spark, tmp_path):
                      "--checkpoint", str(tmp_path / "ck"), "--items", items, "--whole-tokens"]) == 0
     # titles 'Wicked!', 'On Moana', 'wicked' are whole tokens; p3 has no title
     assert sorted(r.id for r in spark.read.parquet(arch).collect()) == ["p1", "p2", "p4"]
+
+
+def test_read_items_rfc4180(spark, tmp_path):
+    f = tmp_path / "items.csv"
+    f.write_text('id,title,title_simple\n1,"Lion, the Witch","lionthewitch"\n2,"Say ""Hi""",sayhi\n3,Blank,\n')
+    got = rows(readers.read_items(spark, str(f)), "item_id", "title", "keyword")
+    assert got == [(1, "Lion, the Witch", "lionthewitch"), (2, 'Say "Hi"', "sayhi"), (3, "Blank", None)]

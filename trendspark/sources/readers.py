@@ -67,7 +67,9 @@ def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Item list CSV → (item_id, title, keyword); keyword per F1."""
-    raw = spark.read.schema(schemas.ITEMS).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = (spark.read.schema(schemas.ITEMS).option("header", True).option("mode", "PERMISSIVE")
+           .option("quote", '"').option("escape", '"')  # RFC 4180: "" inside a quoted field
+           .csv(path))
     return raw.select(F.col("id").alias("item_id"), "title",
                       unify_keyword("title_simple").alias("keyword"))
 
