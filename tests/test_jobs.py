@@ -208,3 +208,10 @@ def test_read_items_rfc4180(spark, tmp_path):
     f.write_text('id,title,title_simple\n1,"Lion, the Witch","lionthewitch"\n2,"Say ""Hi""",sayhi\n3,Blank,\n')
     got = rows(readers.read_items(spark, str(f)), "item_id", "title", "keyword")
     assert got == [(1, "Lion, the Witch", "lionthewitch"), (2, 'Say "Hi"', "sayhi"), (3, "Blank", None)]
+
+
+def test_run_mention_fact_counters(spark, tmp_path):
+    posts, items = write_inputs(tmp_path, bad_line=True)
+    c = jobs.run_mention_fact(spark, posts, items, str(tmp_path / "fact"), "2024-12-08", counters=True)
+    assert c == {"rows_read": 6, "malformed_lines": 1}
+    assert jobs.run_mention_fact(spark, posts, items, str(tmp_path / "fact2"), "2024-12-08") == {}

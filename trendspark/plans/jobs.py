@@ -7,7 +7,9 @@ driver except small plan statistics (keyword-table size, see matching.py).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark import schemas
@@ -15,6 +17,8 @@ from trendspark.functions.timeutil import calendar
 from trendspark.operators import dims, facts, quality, trends
 from trendspark.sources import readers, sinks
 
+log = logging.getLogger("trendspark.jobs")
+
 
 def _dates(df: DataFrame, start: str, end: str) -> DataFrame:
     """``df`` repeated once per day in [start, end] (a generator, not a join)."""
@@ -34,7 +38,7 @@ def _epoch_bounds(start: str, end: str) -> tuple[float, float]:
 def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: str | None = None,
                  start: str | None = None, end: str | None = None,
                  num_partitions: int | None = None, day_folders: bool = False,
-                 missing_title: str | None = "None") -> DataFrame:
+                 missing_title: str | None = "None", observation=None) -> DataFrame:
     """E1 plan: mention statistic per item, channel and UTC day.
 
     ``date`` (one day) or ``start``/``end`` (closed range).  Posts are read
@@ -49,6 +53,9 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
         raw = readers.read_posts(spark, posts_path, start, end)
     else:
         raw = readers.read_posts(spark, posts_path)
+    if observation is not None:  # A9 counters, computed while the scan runs
+        raw = raw.observe(observation, F.count(F.lit(1)).alias("rows_read"),
+                          F.count("_corrupt_record").alias("malformed_lines"))
     # The UTC day of an epoch stamp is in [start, end] exactly when the stamp
     # is in [start 00:00, end+1 00:00); this plain range on the raw column is
     # pushed into the JSON/Parquet reader, so other days are dropped while
@@ -65,9 +72,22 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
 
 
 def run_mention_fact(spark: SparkSession, posts_path: str, items_path: str, out: str,
-                     date: str | None = None, **kw) -> None:
-    """Build and write the mention fact; reruns replace only their days."""
-    sinks.write_fact(mention_fact(spark, posts_path, items_path, date, **kw), out)
+                     date: str | None = None, counters: bool = False, **kw) -> dict:
+    """Build and write the mention fact; reruns replace only their days.
+
+    ``counters=True`` also returns (and logs) counters observed on the posts
+    scan during the same write: lines read and malformed lines.  Counting
+    every line needs the unfiltered scan, so it turns off the epoch-range
+    pushdown into the reader; the default keeps the pushdown and returns {}.
+    """
+    obs = Observation("mention_fact_input") if counters else None
+    sinks.write_fact(mention_fact(spark, posts_path, items_path, date, observation=obs, **kw), out)
+    if obs is None:
+        return {}
+    counters = dict(obs.get)
+    log.info("mention fact %s..%s written to %s: %s", kw.get("start") or date, kw.get("end") or date,
+             out, counters)
+    return counters
 
 
 def run_metric_fact(spark: SparkSession, metrics_path: str, out: str, date: str,
