@@ -13,6 +13,7 @@ On a cluster, submit with spark-submit; the active session is used.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--end")
     m.add_argument("--num-partitions", type=int)
     m.add_argument("--day-folders", action="store_true")
+    m.add_argument("--counters", action="store_true", help="print lines read / malformed lines (A9)")
     t = sub.add_parser("metric-fact", help="E2: metric snapshot → metric fact")
     t.add_argument("--metrics", required=True)
     t.add_argument("--out", required=True)
@@ -81,8 +83,11 @@ def main(argv=None) -> int:
     a = _parser().parse_args(argv)
     spark = get_session()
     if a.cmd == "mention-fact":
-        jobs.run_mention_fact(spark, a.posts, a.items, a.out, a.date, start=a.start, end=a.end,
-                              num_partitions=a.num_partitions, day_folders=a.day_folders)
+        c = jobs.run_mention_fact(spark, a.posts, a.items, a.out, a.date, start=a.start, end=a.end,
+                                  num_partitions=a.num_partitions, day_folders=a.day_folders,
+                                  counters=a.counters)
+        if a.counters:
+            print(json.dumps(c))
     elif a.cmd == "metric-fact":
         jobs.run_metric_fact(spark, a.metrics, a.out, a.date)
     elif a.cmd == "build-dims":
