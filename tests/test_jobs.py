@@ -215,3 +215,11 @@ def test_run_mention_fact_counters(spark, tmp_path):
     c = jobs.run_mention_fact(spark, posts, items, str(tmp_path / "fact"), "2024-12-08", counters=True)
     assert c == {"rows_read": 6, "malformed_lines": 1}
     assert jobs.run_mention_fact(spark, posts, items, str(tmp_path / "fact2"), "2024-12-08") == {}
+
+
+def test_mention_fact_whole_tokens(spark, tmp_path):
+    posts, items = write_inputs(tmp_path)
+    df = jobs.mention_fact(spark, posts, items, "2024-12-08", whole_tokens=True)
+    want = [e for e in EXPECTED if e[0] != 4] + [(4, 0, None, 0)]  # 'here' is not a token of "Where"
+    assert rows(df, "item_id", "text_count", "channel", "mention_count") == sorted(
+        want, key=lambda t: tuple((x is not None, x) for x in t))

@@ -40,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--num-partitions", type=int)
     m.add_argument("--day-folders", action="store_true")
     m.add_argument("--counters", action="store_true", help="print lines read / malformed lines (A9)")
+    m.add_argument("--whole-tokens", action="store_true",
+                   help="match keywords on whole tokens of the post text (default: substring)")
     t = sub.add_parser("metric-fact", help="E2: metric snapshot → metric fact")
     t.add_argument("--metrics", required=True)
     t.add_argument("--out", required=True)
@@ -85,7 +87,7 @@ def main(argv=None) -> int:
     if a.cmd == "mention-fact":
         c = jobs.run_mention_fact(spark, a.posts, a.items, a.out, a.date, start=a.start, end=a.end,
                                   num_partitions=a.num_partitions, day_folders=a.day_folders,
-                                  counters=a.counters)
+                                  counters=a.counters, whole_tokens=a.whole_tokens)
         if a.counters:
             print(json.dumps(c))
     elif a.cmd == "metric-fact":

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark import schemas
+from trendspark.functions.text import token_end_mask, token_start_mask
 from trendspark.functions.timeutil import calendar
 from trendspark.operators import dims, facts, quality, trends
 from trendspark.sources import readers, sinks
@@ -38,7 +39,8 @@ def _epoch_bounds(start: str, end: str) -> tuple[float, float]:
 def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: str | None = None,
                  start: str | None = None, end: str | None = None,
                  num_partitions: int | None = None, day_folders: bool = False,
-                 missing_title: str | None = "None", observation=None) -> DataFrame:
+                 missing_title: str | None = "None", observation=None,
+                 whole_tokens: bool = False) -> DataFrame:
     """E1 plan: mention statistic per item, channel and UTC day.
 
     ``date`` (one day) or ``start``/``end`` (closed range).  Posts are read
@@ -64,10 +66,15 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
     raw = raw.where((F.col("created_utc") >= F.lit(lo)) & (F.col("created_utc") < F.lit(hi)))
     posts = readers.normalise_posts(raw, missing_title=missing_title)
     posts = posts.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    opts = {}
+    if whole_tokens:  # T10 option: occurrences must start and end on token boundaries
+        posts = posts.select("*", token_start_mask("final_text").alias("_sm"),
+                             token_end_mask("final_text").alias("_em"))
+        opts["token_masks"] = ("_sm", "_em")
     if num_partitions:
         posts = posts.repartition(num_partitions)  # E7: explicit parallelism
     stats = facts.mention_stats(posts, _dates(items.select("item_id", "keyword"), start, end),
-                                by=("date",))
+                                by=("date",), **opts)
     return facts.with_partition_date(stats)
 
 
