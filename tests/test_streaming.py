@@ -152,3 +152,25 @@ def test_lookback_limits_the_archive_reread(spark, tmp_path):
               ("new", "2024-12-08 09:00:00")]), 1)
     got = sorted((r.id, r.day) for r in spark.read.parquet(archive).collect())
     assert got == [("new", 8), ("old", 1), ("old", 8), ("recent", 7)]
+
+
+def test_arrival_order_first_copy_wins(spark, tmp_path):
+    """The first-arrived copy sorts last by value, so only arrival order picks it."""
+    import os
+    inbox = tmp_path / "in"
+    land(inbox, "a.json", [{"id": "p1", "title": "zz arrived first", "created_utc": 1733659200.0}])
+    land(inbox, "b.json", [{"id": "p1", "title": "aa arrived later", "created_utc": 1733659200.0}])
+    os.utime(inbox / "a.json", (1_000_000_000, 1_000_000_000))
+    os.utime(inbox / "b.json", (1_000_000_100, 1_000_000_100))
+
+    def run(archive, ck, **kw):
+        s = ingest.file_stream(spark, str(inbox), SCHEMA, fmt="json") \
+            .withColumn("event_time", F.timestamp_seconds("created_utc"))
+        ingest.start_ingest(spark, s, archive, ck, keys=("id",), **kw).awaitTermination()
+        return spark.read.parquet(archive)
+
+    by_arrival = run(str(tmp_path / "a1"), str(tmp_path / "c1"), arrival_order=True)
+    assert [r.title for r in by_arrival.collect()] == ["zz arrived first"]
+    assert "_arrival" not in by_arrival.columns and "_arrival_file" not in by_arrival.columns
+    by_value = run(str(tmp_path / "a2"), str(tmp_path / "c2"))
+    assert [r.title for r in by_value.collect()] == ["aa arrived later"]  # deterministic tie-break only

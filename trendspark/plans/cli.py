@@ -104,7 +104,8 @@ def main(argv=None) -> int:
             masks = ("title_sm", "title_em")
         kws = readers.read_items(spark, a.items) if a.items else None
         q = ingest.start_ingest(spark, s, a.archive, a.checkpoint, keys=("id",), keywords=kws,
-                                text_col="title_simple", lookback_days=a.lookback_days, token_masks=masks)
+                                text_col="title_simple", lookback_days=a.lookback_days, token_masks=masks,
+                                arrival_order=True)  # first landed copy of a post wins
         q.awaitTermination()
     elif a.cmd == "view":
         view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)

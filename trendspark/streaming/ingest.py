@@ -150,7 +150,8 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
             b = b.join(hits, keys, "left_semi")
         if token_masks:
             b = b.drop(*token_masks)  # matching inputs only, not archived
-        b = first_per_key(b, keys, order).persist()
+        b = first_per_key(b, keys, order)
+        b = b.drop(*[c for c in ARRIVAL_COLS if c in b.columns]).persist()
         try:
             n = b.count()
             if n == 0:
@@ -170,18 +171,35 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
     return process
 
 
+ARRIVAL_COLS = ("_arrival", "_arrival_file")
+
+
+def with_arrival(stream: DataFrame) -> DataFrame:
+    """Arrival order of a file source: the landed file's modification time
+    and path (Spark's hidden ``_metadata`` column of file sources)."""
+    return stream.select("*", F.col("_metadata.file_modification_time").alias("_arrival"),
+                         F.col("_metadata.file_path").alias("_arrival_file"))
+
+
 def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, checkpoint: str, *,
                  keys=("id",), ts: str = "event_time", order=None, keywords=None,
                  text_col=None, lookback_days=None, drop=NON_PORTABLE_FIELDS,
                  trigger: dict | None = None, partition_by=ARCHIVE_PARTS,
-                 token_masks: tuple[str, str] | None = None) -> StreamingQuery:
+                 token_masks: tuple[str, str] | None = None,
+                 arrival_order: bool = False) -> StreamingQuery:
     """Start the ingest query; returns the running StreamingQuery.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (bounded sessions: the
     reference stopped after 100 posts or 60 s; use ``maxFilesPerTrigger`` on
-    the source to bound a batch).
+    the source to bound a batch).  ``arrival_order=True`` (file sources)
+    makes the first *arrived* copy of a key win inside a batch, ordering by
+    file modification time, then file path, then event time; the helper
+    columns are not archived.
     """
     s = drop_fields(stream, drop)
+    if arrival_order:
+        s = with_arrival(s)
+        order = [*ARRIVAL_COLS, *(order or [ts])]
     fn = archive_batch_writer(spark, archive_path, keys, ts, order, lookback_days, keywords, text_col,
                               partition_by=partition_by, token_masks=token_masks)
     w = s.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
