@@ -6,14 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
+from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.token_counts import token_counts
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
 
 QUERIES = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
