@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from trendspark.llm.common import table
 from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.token_counts import token_counts
+from trendspark.llm.token_file import token_digest
+
+
+def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), file="byte_bpe_50k.json", end_id=2)
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +24,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
