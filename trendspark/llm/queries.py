@@ -9,6 +9,7 @@ from trendspark.llm.common import table
 from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.token_counts import token_counts
 from trendspark.llm.token_file import token_digest
+from trendspark.llm.toxicity import toxicity
 
 
 def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
@@ -26,6 +31,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,
 }
 
