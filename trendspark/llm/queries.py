@@ -9,6 +9,7 @@ from trendspark.llm.common import table
 from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.token_counts import token_counts
 from trendspark.llm.token_file import token_digest
+from trendspark.llm.topk import top_k
 from trendspark.llm.toxicity import toxicity
 
 
@@ -24,6 +25,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
@@ -32,7 +37,24 @@ QUERIES = {
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_exact_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+          FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
