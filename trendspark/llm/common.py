@@ -40,6 +40,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BYTE = mix64(np.arange(256, dtype=U64) + U64(1 << 32))
+_RAW = _BYTE.copy()
 _BYTE[_SPACE] = 0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -98,6 +99,49 @@ def text_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, bounds)
 
 
+#: Kinds of bytes for ``runs``: 0 space, 1 letters (and all bytes of other scripts), 2 digits, from 3 each mark alone.
+_KIND = np.arange(256, dtype=np.int16) + 3
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_KIND[48:58] = 2
+_KIND[_SPACE] = 0
+
+
+def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, shape, offsets) of the runs of one kind of byte of each text, case
+    kept.  Shapes: 0 lower, 1 capitalised, 2 upper, 3 digits, 4 a point or
+    comma, 5 another single mark, 6 repeated marks, 7 letters over 40 bytes."""
+    lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+    up, down = _power(min(len(data), STEP_BYTES) + 1)
+    kind = _KIND[data]
+    edge = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1], [True]])) if len(data) else np.zeros(1, int)
+    first, last = edge[:-1], edge[1:]
+    word = kind[first] > 0
+    first, last = first[word], last[word]
+    hashes = np.empty(len(first), U64)
+    caps = np.empty(len(first), np.int64)
+    upper = (data >= 65) & (data <= 90)
+    a = 0
+    while a < len(first):  # steps of whole runs, so that powers and sums stay short
+        b = max(a + 1, int(np.searchsorted(last, first[a] + STEP_BYTES, "right")))
+        lo, hi = int(first[a]), int(last[b - 1])
+        up, down = _power(hi - lo + 1)
+        part = data[lo:hi]
+        total = np.concatenate([np.zeros(1, U64), np.cumsum((_RAW[part]) * up[:len(part)], dtype=U64)])
+        i, j = first[a:b] - lo, last[a:b] - lo
+        hashes[a:b] = mix64((total[j] - total[i]) * down[i] + (j - i).astype(U64))
+        count = np.concatenate([[0], np.cumsum(upper[lo:hi])])
+        caps[a:b] = count[j] - count[i]
+        a = b
+    size, k = last - first, kind[first]
+    shape = np.where(k == 2, 3, np.where((k == 3 + 44) | (k == 3 + 46), 4, 5))
+    shape = np.where((k > 2) & (size > 1), 6, shape)
+    letters = k == 1
+    shape = np.where(letters, np.where(size > 40, 7, np.where((caps == size) & (size > 1), 2, np.where(upper[first] if len(first) else False, 1, 0))), shape)
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    return hashes, shape, np.searchsorted(first, bounds)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text, null as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

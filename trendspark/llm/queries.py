@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
 from trendspark.llm.near_dedup import near_duplicates
+from trendspark.llm.quality import quality
 from trendspark.llm.token_counts import token_counts
 from trendspark.llm.token_file import token_digest
 from trendspark.llm.topk import top_k
@@ -21,6 +22,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +41,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_token_counts": op9_token_counts,
@@ -44,10 +50,10 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op8_exact_top_k": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
           FROM embeddings
           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), pairs AS (
           SELECT q.vec_id AS query_id, c.vec_id,
                  CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
