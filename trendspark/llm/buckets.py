@@ -47,33 +47,44 @@ def groups(members: DataFrame, own: DataFrame, confirm: Callable[[DataFrame], Da
 
     ``members`` from :func:`crowded`; ``own``: (node, own), how many of a
     node's parts no other candidate holds (nodes absent: none); ``confirm``
-    keeps those (a, b) pairs that reach num/den.
+    gives for (a, b) pairs (a, b, both, linked): the size of the intersection,
+    and whether it reaches num/den of the union.
     """
     m = members.join(own, "node", "left").select(
         "bucket", "node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
     m = written(m, "shares")
     pivot = m.groupBy("bucket").agg(F.min(F.struct((F.col("size") - F.col("shared")).alias("own"), "node", "size",
                                                    "shared")).alias("p"))
-    stars = (m.join(pivot, "bucket").where(F.col("node") != F.col("p.node"))
-             .where(reachable(F.col("size"), F.col("p.size"), F.least("shared", "p.shared"), num, den))
-             .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
-    stars = written(stars, "stars")
-    links = written(confirm(stars), "links")
+    led = written(m.join(pivot, "bucket").select("bucket", "node", "size", "shared", F.col("p.node").alias("pivot"),
+                                                 F.col("p.size").alias("p_size"), F.col("p.shared").alias("p_shared")), "led")
+    stars = (led.where(F.col("node") != F.col("pivot"))
+             .where(reachable(F.col("size"), F.col("p_size"), F.least("shared", "p_shared"), num, den))
+             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    stars = written(confirm(stars), "stars")
+    links = stars.where("linked").select("a", "b")
     found = written(components(links), "components")
 
-    c = m.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    c = led.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = c.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.min("size").alias("least")).where("lo != hi")
     # the smallest partner of the bucket allows the most: a node that fails with it fails with all
     left = (c.join(spread.select("bucket", "least"), "bucket")
             .where(reachable(F.col("size"), F.greatest("least", F.ceil(F.col("size") * num / den)), F.col("shared"),
-                             num, den)).select("bucket", "node", "size", "shared", "component"))
+                             num, den))
+            .withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
+            .join(stars.select("a", "b", "both"), ["a", "b"], "left")
+            # with the pivot unconfirmed nothing more is known; the pivot itself is all in itself
+            .withColumn("inside", F.when(F.col("node") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("both", "shared")))
+            .withColumn("beside", F.when(F.col("node") == F.col("pivot"), F.lit(0))
+                        .otherwise(F.when(F.col("both").isNull(), F.col("shared")).otherwise(F.col("shared") - F.col("both"))))
+            .select("bucket", "node", "size", "shared", "component", "inside", "beside"))
     left = written(left, "left")
     x, y = left.alias("x"), left.alias("y")
+    most = F.least(F.least("x.shared", "y.shared"), F.least("x.inside", "y.inside") + F.least("x.beside", "y.beside"))
     rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
                    & (F.col("x.node") < F.col("y.node"))
-                   & reachable(F.col("x.size"), F.col("y.size"), F.least("x.shared", "y.shared"), num, den))
+                   & reachable(F.col("x.size"), F.col("y.size"), most, num, den))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = written(confirm(rest), "links")
+            .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    more = written(confirm(written(rest, "rest")), "more").where("linked").select("a", "b")
     return components(links.union(more))

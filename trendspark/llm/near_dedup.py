@@ -75,7 +75,7 @@ def _shingles(words: int):
 def _confirmed(words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text_b"):
-            keep = []
+            shared, linked = [], []
             sets: dict[int, np.ndarray] = {}  # a pivot meets many rows of a batch
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             left, right = batch.column(2), batch.column(3)
@@ -85,8 +85,10 @@ def _confirmed(words: int, num: int, den: int):
                     sets[a[i]] = shingle_sets([(left[i].as_py() or "").encode()], words)[0]
                 x, y = sets[a[i]], shingle_sets([(right[i].as_py() or "").encode()], words)[0]
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and den * both >= num * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                shared.append(both)
+                linked.append(both > 0 and den * both >= num * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()),
+                                              pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
     return run
 
 
@@ -121,7 +123,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
                 .select("a", "b", "text_a", "text_b")
-                .mapInArrow(_confirmed(words, num, den), "a long, b long").distinct())
+                .mapInArrow(_confirmed(words, num, den), "a long, b long, both long, linked boolean")
+                .groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked")))
 
     found = written(groups(members, own, confirm, num, den), "groups")
     named = classes.join(found, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
