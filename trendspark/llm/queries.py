@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
+from trendspark.llm.lm_score import lm_scores
 from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.quality import quality
 from trendspark.llm.token_counts import token_counts
@@ -14,6 +15,10 @@ from trendspark.llm.topk import top_k
 from trendspark.llm.toxicity import toxicity
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), file="byte_bpe_50k.json", end_id=2)
 
@@ -39,6 +44,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality": op5_quality,
