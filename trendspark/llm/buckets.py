@@ -1,8 +1,8 @@
 """From band buckets to groups of similar nodes, without all pairs of a bucket.
 
-1. Every bucket names a pivot, the member with the fewest parts of its own;
-   each other member is held against it, exactly.  A bucket of m members gives
-   m - 1 pairs, and copies of one original meet in the original.
+1. Every bucket names a pivot, the member that meets the most others over all
+   its buckets; each other member is held against it, exactly.  A bucket of m
+   members gives m - 1 pairs, and copies of one original meet in the original.
 2. Union-find over the confirmed links.  A pair inside one component can add
    nothing; of a pair across two components both ends must still be *able* to
    reach the threshold: a part that no other node holds can't be shared, which
@@ -25,14 +25,14 @@ from trendspark.llm.scratch import written
 
 
 def crowded(nodes: DataFrame) -> DataFrame:
-    """(node, size, bucket) of the buckets with two nodes or more.
+    """(node, bucket, met) of the buckets with ``met`` >= 2 nodes.
 
-    ``nodes``: (node, size, buckets array<long>).  The count is aggregated
-    before the shuffle and joined back, so a hot bucket is no single task.
+    ``nodes``: (node, buckets array<long>).  The count is aggregated before the
+    shuffle and joined back, so a hot bucket is no single task.
     """
-    members = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
-    many = members.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    return written(members.join(many, "bucket", "left_semi"), "members")
+    members = nodes.select("node", F.explode("buckets").alias("bucket"))
+    many = members.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
+    return written(members.join(many, "bucket"), "members")
 
 
 def reachable(size_a: Column, size_b: Column, overlap: Column, num: int, den: int) -> Column:
@@ -41,24 +41,23 @@ def reachable(size_a: Column, size_b: Column, overlap: Column, num: int, den: in
     return den * most >= num * (size_a + size_b - most)
 
 
-def groups(members: DataFrame, own: DataFrame, confirm: Callable[[DataFrame], DataFrame], num: int,
-           den: int) -> DataFrame:
+def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], DataFrame],
+           confirm: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
     """(node, component) of the nodes linked to another.
 
-    ``members`` from :func:`crowded`; ``own``: (node, own), how many of a
-    node's parts no other candidate holds (nodes absent: none); ``confirm``
-    gives for (a, b) pairs (a, b, both, linked): the size of the intersection,
-    and whether it reaches num/den of the union.
+    ``members`` from :func:`crowded`; ``sizes``: (node, size) of each member,
+    the parts of its set; ``own_of`` gives for (node) a table (node, own), how
+    many of a node's parts no other node of the table holds (nodes absent:
+    none); ``confirm`` gives for (a, b) pairs (a, b, both, linked): the size of
+    the intersection, and whether it reaches num/den of the union.
     """
-    m = members.join(own, "node", "left").select(
-        "bucket", "node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
-    m = written(m, "shares")
-    pivot = m.groupBy("bucket").agg(F.min(F.struct((F.col("size") - F.col("shared")).alias("own"), "node", "size",
-                                                   "shared")).alias("p"))
-    led = written(m.join(pivot, "bucket").select("bucket", "node", "size", "shared", F.col("p.node").alias("pivot"),
-                                                 F.col("p.size").alias("p_size"), F.col("p.shared").alias("p_shared")), "led")
+    central = members.groupBy("node").agg(F.sum("met").alias("met")).join(sizes, "node")
+    m = written(members.select("bucket", "node").join(central, "node"), "shares")
+    pivot = m.groupBy("bucket").agg(F.min(F.struct((-F.col("met")).alias("order"), "node", "size")).alias("p"))
+    led = written(m.join(pivot, "bucket").select("bucket", "node", "size", F.col("p.node").alias("pivot"),
+                                                 F.col("p.size").alias("p_size")), "led")
     stars = (led.where(F.col("node") != F.col("pivot"))
-             .where(reachable(F.col("size"), F.col("p_size"), F.least("shared", "p_shared"), num, den))
+             .where(reachable(F.col("size"), F.col("p_size"), F.col("size"), num, den))
              .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
     stars = written(confirm(stars), "stars")
     links = stars.where("linked").select("a", "b")
@@ -67,8 +66,10 @@ def groups(members: DataFrame, own: DataFrame, confirm: Callable[[DataFrame], Da
     c = led.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = c.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.min("size").alias("least")).where("lo != hi")
+    open_ = written(c.join(spread.select("bucket", "least"), "bucket"), "open")
     # the smallest partner of the bucket allows the most: a node that fails with it fails with all
-    left = (c.join(spread.select("bucket", "least"), "bucket")
+    left = (open_.join(own_of(open_.select("node").distinct()), "node", "left")
+            .withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
             .where(reachable(F.col("size"), F.greatest("least", F.ceil(F.col("size") * num / den)), F.col("shared"),
                              num, den))
             .withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))

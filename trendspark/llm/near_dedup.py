@@ -110,14 +110,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                       .agg(F.min(F.struct("doc_id", "n", "buckets")).alias("r"))
                       .select("k1", "k2", F.col("r.doc_id").alias("node"), F.col("r.n").alias("size"), "r.buckets"),
                       "classes")
-    members = crowded(classes.drop("k1", "k2"))
+    members = crowded(classes.select("node", "buckets"))
     wanted = written(members.select("node").distinct(), "nodes")
     side = F.broadcast(wanted) if fits(wanted, 16) else wanted
     texts = written(rows_in.join(side, F.col("doc_id") == F.col("node"), "left_semi")
                     .select(F.col("doc_id").alias("node"), "text"), "texts")
-    own = (texts.mapInArrow(_shingles(words), "node long, shingle long").groupBy("shingle")
-           .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-           .groupBy("node").agg(F.count("*").alias("own")))
+    def own_of(nodes: DataFrame) -> DataFrame:
+        return (texts.join(nodes, "node", "left_semi").mapInArrow(_shingles(words), "node long, shingle long")
+                .groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+                .groupBy("node").agg(F.count("*").alias("own")))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -126,7 +127,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 .mapInArrow(_confirmed(words, num, den), "a long, b long, both long, linked boolean")
                 .groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked")))
 
-    found = written(groups(members, own, confirm, num, den), "groups")
+    found = written(groups(members, classes.select("node", "size"), own_of, confirm, num, den), "groups")
     named = classes.join(found, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     return (profile.join(named, ["k1", "k2"], "left")
             .select(F.col("doc_id"), F.col("n").alias("n_shingles"),
