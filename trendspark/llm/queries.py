@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
+from trendspark.llm.line_dedup import line_dedup
 from trendspark.llm.lm_score import lm_scores
 from trendspark.llm.near_dedup import near_duplicates
 from trendspark.llm.quality import quality
@@ -31,6 +32,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lines_removed, text) after line dedup."""
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "lines_removed", "text")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +54,7 @@ QUERIES = {
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality": op5_quality,
+    "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_token_counts": op9_token_counts,
