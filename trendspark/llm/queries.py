@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
+from trendspark.llm import decontaminate as templates
 from trendspark.llm.line_dedup import line_dedup
 from trendspark.llm.lm_score import lm_scores
 from trendspark.llm.near_dedup import near_duplicates
@@ -49,6 +50,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, contaminated, items)"""
+    found = templates.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "items")
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op3_token_id_output": op3_token_id_output,
@@ -58,6 +65,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
@@ -76,4 +84,5 @@ ORACLE: dict[str, str] = {
           FROM pairs
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op10_decontamination": templates.oracle(),
 }
