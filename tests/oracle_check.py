@@ -51,7 +51,7 @@ def duck(sf):
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
-                 "boolean": "BOOLEAN"}
+                 "boolean": "BOOLEAN", "array<bigint>": "BIGINT[]"}
 
 
 def compare(spark, con, sf, name):
