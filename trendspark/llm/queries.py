@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
 from trendspark.llm import decontaminate as templates
+from trendspark.llm import sentencepiece
 from trendspark.llm.line_dedup import line_dedup
 from trendspark.llm.lm_score import lm_scores
 from trendspark.llm.near_dedup import near_duplicates
@@ -21,6 +22,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, n_byte_tokens, round_trip)"""
+    return sentencepiece.digest(table(spark, sf_dir, "documents"), file="piece_bpe_32k.model")
+
+
 def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), file="byte_bpe_50k.json", end_id=2)
 
@@ -58,6 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_token_id_output": op3_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality": op5_quality,
