@@ -285,6 +285,15 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(run, schema).withColumnRenamed("__score", "score")
 
 
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    label_col: str = "toxic", parts: int = 3, part: int = 1, sample: int = SAMPLE_DOCS,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ``keep``, score) for each row of ``docs``, learnt as in :func:`toxicity`."""
+    model = fit(training_rows(docs, labels, label_col, id_col=id_col, text_col=text_col, parts=parts, part=part,
+                              sample=sample))
+    return score(docs, model, id_col=id_col, text_col=text_col, keep=keep)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", parts: int = 3, part: int = 1, threshold: float = THRESHOLD,
              sample: int = SAMPLE_DOCS) -> DataFrame:
@@ -293,8 +302,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     Learns from the labelled rows whose crc32(id) mod ``parts`` is not
     ``part``.  A null id is not held out and has no label.
     """
-    model = fit(training_rows(docs, labels, label_col, id_col=id_col, text_col=text_col, parts=parts, part=part,
-                              sample=sample))
-    return score(docs, model, id_col=id_col, text_col=text_col).select(
+    scored = toxicity_scores(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, parts=parts, part=part,
+                             sample=sample)
+    return scored.select(
         id_col, held_out(id_col, parts, part).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
