@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as se
 from tests.conftest import SF001
 from tests.oracle_check import compare, duck
+from trendspark.plans import catalogue
 
 
 @pytest.fixture(scope="module")
@@ -13,14 +14,14 @@ def con():
     return duck(SF001)
 
 
-@pytest.mark.parametrize("name", list(se.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, con, SF001, name)
     assert ok, msg
 
 
 def test_every_query_has_oracle():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert set(catalogue.ORACLE) == set(catalogue.QUERIES)
 
 
 def test_entry_runs(spark):

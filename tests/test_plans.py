@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as se
 from tests.conftest import SF001
+from trendspark.plans import catalogue
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -27,7 +28,7 @@ def global_windows(plan: str):
     return out
 
 
-@pytest.mark.parametrize("name", list(se.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_plan_shape(spark, name):
     plan = plan_text(se.queries()[name](spark, SF001))
     bad = [f for f in FORBIDDEN if f in plan]

@@ -1,8 +1,6 @@
-"""Session helpers: scratch folders under the session's checkpoint dir,
-and spreading a few-split scan over the cores."""
+"""Session helpers: scratch folders under the session's checkpoint dir."""
 
 from trendspark.session import checkpoint_root, scratch_dir
-from trendspark.sources.readers import spread
 
 
 def test_scratch_dirs_live_under_checkpoint_root(spark):
@@ -12,15 +10,6 @@ def test_scratch_dirs_live_under_checkpoint_root(spark):
     assert a != b and a.startswith(root) and b.startswith(root)
 
 
-def test_spread_only_when_few_splits(spark):
-    par = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == par
-    many = spark.range(100).repartition(par * 2)
-    assert spread(many).rdd.getNumPartitions() == par * 2
-    assert sorted(r.id for r in spread(one).collect()) == list(range(100))
-
-
 def test_cluster_without_checkpoint_dir_is_an_error():
     import pytest
 

@@ -79,14 +79,10 @@ def test_dedup_within_watermark(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["p1", "p2"]
 
 
-def test_new_rows_only_both_paths(spark):
+def test_new_rows_only(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
     archive = spark.createDataFrame([("b", 9), ("b", 9), ("z", 0)], "id string, v int")
-    small = ingest.new_rows_only(batch, archive, ["id"], batch_rows=3)        # broadcast semi-join path
-    large = ingest.new_rows_only(batch, archive, ["id"], batch_rows=10 ** 9)  # sort-merge anti-join path
-    want = [("a", 1), ("c", 3)]
-    assert sorted(tuple(r) for r in small.collect()) == want
-    assert sorted(tuple(r) for r in large.collect()) == want
+    assert sorted(tuple(r) for r in ingest.new_rows_only(batch, archive, ["id"]).collect()) == [("a", 1), ("c", 3)]
     assert ingest.new_rows_only(batch, None, ["id"]).count() == 3
 
 
@@ -138,20 +134,35 @@ def test_retried_batch_is_harmless(spark, tmp_path):
     assert {r.id: r.title for r in back.collect()}["p1"] == "a"  # first by order, ties by value
 
 
-def test_lookback_limits_the_archive_reread(spark, tmp_path):
-    archive = str(tmp_path / "archive")
-    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time", lookback_days=2)
+def test_old_keys_late_rows_and_null_keys(spark, tmp_path):
+    """A key archived long ago is known, late rows are kept, rows without a key are rejected and counted."""
+    archive, counts = str(tmp_path / "archive"), {}
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time", counts=counts)
 
     def batch(rows):
-        return spark.createDataFrame(rows, "id string, t string") \
-            .withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
-
-    fn(batch([("old", "2024-12-01 10:00:00"), ("recent", "2024-12-07 10:00:00")]), 0)
-    # new batch on 12-08: lookback 2 days re-reads archive days >= 12-06 only
-    fn(batch([("old", "2024-12-08 09:00:00"), ("recent", "2024-12-08 09:00:00"),
-              ("new", "2024-12-08 09:00:00")]), 1)
-    got = sorted((r.id, r.day) for r in spark.read.parquet(archive).collect())
-    assert got == [("new", 8), ("old", 1), ("old", 8), ("recent", 7)]
+        return spark.createDataFrame(rows, "id string, t string").withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+
+    fn(batch([("old", "2024-12-01 10:00:00"), ("recent", "2024-12-07 10:00:00"), (None, "2024-12-07 10:00:00")]), 0)
+    second = batch([("old", "2024-12-08 09:00:00"), ("recent", "2024-12-08 09:00:00"), ("late", "2024-11-02 09:00:00"),
+                    (None, None), (None, None)])
+    for _ in range(2):
+        fn(second, 1)
+    assert sorted((r.id, r.day) for r in spark.read.parquet(archive).collect()) == [("late", 2), ("old", 1), ("recent", 7)]
+    assert spark.read.parquet(archive + "_rejected").count() == 3
+    assert counts == {"read": 3 + 5 + 5, "rejected": 1 + 2 + 2, "new": 3, "repeated": 2 + 3}
+
+
+def test_stop_between_keys_and_rows_loses_nothing(spark, tmp_path):
+    """The keys of a batch were written, its rows were not: the try again writes them."""
+    archive = str(tmp_path / "archive")
+    rows = spark.createDataFrame([("p1",), ("p2",)], "id string") \
+        .withColumn("event_time", F.lit("2024-12-08 12:00:00").cast("timestamp"))
+    rows.select("id", F.lit(0).alias("batch"), ingest._bucket(["id"]).alias("bucket")) \
+        .write.partitionBy("bucket").parquet(archive + "_keys")
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+    fn(rows, 0)
+    fn(rows, 0)
+    assert sorted(r.id for r in spark.read.parquet(archive).collect()) == ["p1", "p2"]
 
 
 def test_arrival_order_first_copy_wins(spark, tmp_path):

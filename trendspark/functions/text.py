@@ -11,10 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference for identical results:
-# characters kept by the "simple text" normalisation, the article that the
-# alternate keyword adds or removes, the channel prefix length ("r/") and
+# the article that the alternate keyword adds or removes, the channel prefix length ("r/") and
 # the text used for a missing title when a body exists.
-KEEP_CHARS = "[^A-Za-z0-9]"
 ARTICLE = "the"
 CHANNEL_PREFIX_LEN = 2
 MISSING_TITLE = "None"
@@ -99,11 +97,6 @@ def channel_name(c, prefix_len: int = CHANNEL_PREFIX_LEN) -> Column:
     return F.lower(F.substring(blank_to_null(c), prefix_len + 1, 1 << 30))
 
 
-def first_word(c) -> Column:
-    """Leading run of ASCII letters, lower-cased; null when there is none."""
-    return blank_to_null(F.lower(F.regexp_extract(_c(c), "^[A-Za-z]+", 0)))
-
-
 def drop_fields(df, names):
     """F16: drop non-portable fields (missing names are ignored)."""
     return df.drop(*[n for n in names if n in df.columns])

@@ -90,10 +90,15 @@ def category_rollup(facts: DataFrame, item_dim_df: DataFrame, categories: DataFr
     The fact is aggregated per item first (so the explode multiplies item
     totals, not fact rows), then joined to the exploded item→category pairs
     and the category dimension, then aggregated per category.  Without a
-    category dimension the array element itself is the category.
+    category dimension the array element itself is the category.  A mean is
+    carried as sum and count; measures are sum, count, min, max or avg.
     """
     measures = measures or {"mention_count": "sum"}
-    per_item = facts.groupBy(item_key).agg(*[getattr(F, fn)(c).alias(c) for c, fn in measures.items()])
+    if unknown := set(measures.values()) - {"sum", "count", "min", "max", "avg"}:
+        raise ValueError(f"can't be rolled up from item totals: {sorted(unknown)}")
+    parts = [e for c, fn in measures.items() for e in (
+        [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n")] if fn == "avg" else [getattr(F, fn)(c).alias(c)])]
+    per_item = facts.groupBy(item_key).agg(*parts)
     links = item_dim_df.select(F.col(item_key), F.explode(F.array_distinct(ids_col)).alias("_cat"))
     j = per_item.join(links, item_key)
     if categories is None:
@@ -101,4 +106,7 @@ def category_rollup(facts: DataFrame, item_dim_df: DataFrame, categories: DataFr
     else:
         cats = categories.select(F.col(cat_key).alias("_cat"), F.col(cat_name).alias("category"))
         j = j.join(cats, "_cat")
-    return j.groupBy("category").agg(*[F.sum(c).alias(c) for c in measures])
+    total = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    return j.groupBy("category").agg(*[
+        (F.sum(f"{c}_sum") / F.sum(f"{c}_n")).alias(c) if fn == "avg" else total[fn](c).alias(c)
+        for c, fn in measures.items()])

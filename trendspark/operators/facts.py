@@ -7,12 +7,14 @@ Mention statistic, per item and channel:
 Items nobody mentions keep one row with channel NULL and zero counts.
 Items sharing a keyword are each credited.
 
+Posts count by id: a post listed twice, or matching several keywords of an
+item, is one mention; a post without an id is none (its channel shows with 0).
+Items without an id are left out.
+
 Plan: gram-index match (no Python, no nested-loop join) → distinct
-(post, keyword) pairs → count per (keyword, channel) with map-side partial
-aggregation → equi left join from items → per-item total by a window over
-the (small) per-channel rows.  The reference computed the two totals as two
-aggregates over the theta join and joined them back; the window gives the
-same rows with one aggregate.
+(post, keyword) pairs → equi-join with the items' keywords → distinct posts
+per (item, channel), partially aggregated before the shuffle → left join from
+the items → per-item total by a window over the (small) per-channel rows.
 """
 
 from __future__ import annotations
@@ -29,14 +31,14 @@ def _per_channel(posts: DataFrame, items: DataFrame, *, post_id: str, channel: s
                  item_id: str, keyword: str, by: list[str], **match_opts) -> DataFrame:
     """(item_id, by..., channel, mention_count) for every item, zero rows kept."""
     kw = unify_keyword(F.col(keyword))
-    items_kw = items.select(F.col(item_id).alias("item_id"), kw.alias("keyword"), *by)
+    items_kw = items.select(F.col(item_id).alias("item_id"), kw.alias("keyword"), *by).where("item_id is not null").distinct()
     masks = list(match_opts.get("token_masks") or ())  # whole-token mode (see matching)
     pairs = substring_matches(posts.select(post_id, channel, text, *by, *masks),
                               items_kw.select("keyword"), text, "keyword",
                               carry=[post_id, channel, *by], **match_opts)
-    counts = (pairs.groupBy("keyword", channel, *by)
-              .agg(F.count("*").alias("mention_count")))
-    return (items_kw.join(counts, ["keyword", *by], "left")
+    counts = (pairs.join(items_kw, ["keyword", *by])
+              .groupBy("item_id", *by, channel).agg(F.countDistinct(post_id).alias("mention_count")))
+    return (items_kw.select("item_id", *by).distinct().join(counts, ["item_id", *by], "left")
             .select("item_id", *by, F.col(channel).alias("channel"),
                     F.coalesce("mention_count", F.lit(0)).cast("bigint").alias("mention_count")))
 

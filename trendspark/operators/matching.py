@@ -29,8 +29,9 @@ with that chunk broadcast (every chunk is processed; the results are a
 union, so nothing is dropped).  Re-scanning text a few times is far cheaper
 than shuffling one row per text gram.  Only beyond ``max_passes`` chunks
 does the join become a shuffle join on the gram hash (AQE splits skewed
-gram partitions).  The text side is never shuffled before candidates are
-verified; de-duplication of (text, keyword) pairs starts as a partial
+gram partitions); its rows carry ids and positions, not texts, and the texts
+are joined back by id once to verify.  Up to there the text side is not
+shuffled before candidates are verified; de-duplication of (text, keyword) pairs starts as a partial
 aggregate inside the scan stage, because all candidates of one text are
 produced in the same task.
 """
@@ -153,11 +154,10 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
     """
     valid = (keywords.select(F.col(kw_col).alias("keyword"))
              .where(F.col("keyword").isNotNull() & (F.octet_length("keyword") > 0)))
-    # Stats on the raw list: duplicates only overstate the size (the safe
-    # side for the broadcast decision) and do not change minimum lengths, so
-    # the measuring job needs no shuffle.
-    plan, size = plan_tiers(valid, "keyword", tiers)
+    # Stats on the distinct list: a caller may repeat its keywords (once per
+    # day, say), and the table that is broadcast holds each of them once.
     kws = valid.distinct()
+    plan, size = plan_tiers(kws, "keyword", tiers)
     carry = list(carry)
     if not plan:
         # no usable keyword: an empty, typed result (no text is scanned)
@@ -171,13 +171,16 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
         parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry, token_masks)
                  for i in range(passes)]
         return reduce(DataFrame.unionAll, parts)
-    return _probe(texts, grams, plan, text_col, carry, token_masks)
+    return _probe(texts, grams, plan, text_col, carry, token_masks, shuffled=True)
 
 
 def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
-           carry: list[str], token_masks: tuple[str, str] | None = None) -> DataFrame:
+           carry: list[str], token_masks: tuple[str, str] | None = None, shuffled: bool = False) -> DataFrame:
     """Explode the text grams, hash-join the keyword grams, verify bytes.
 
+    ``shuffled``: the gram join is a shuffle join, so its rows carry no text;
+    candidates meet the texts again by the ``carry`` columns to be verified.
+
     Per text: one row per 64 KiB chunk, then one row per tier present, then
     one row per gram start p of that tier inside the chunk (the multiples of
     S_t in [chunk·C, min((chunk+1)·C, n - G_t + 1))).
@@ -211,6 +214,17 @@ def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
             .select("*", F.explode(starts).alias("p"))
             .select(*carry, "sbin", *extra, "p",
                     F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_len)).alias("h")))
+    if shuffled:
+        found = (side.select(*carry, "p", "h").join(grams, "h").where("p >= j")
+                 .select(*carry, (F.col("p") - F.col("j") + 1).alias("_start"), "klen", "kbin").distinct())
+        back = texts.select(*[F.col(c).alias(f"_t_{c}") for c in carry], sbin.alias("sbin"), *masks)
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in carry])
+        ok = F.substring(F.col("sbin"), F.col("_start"), F.col("klen")) == F.col("kbin")
+        if token_masks:
+            mark = F.lit(b"#").cast("binary")
+            ok = (ok & (F.substring(F.col("_smask"), F.col("_start"), 1) == mark)
+                  & (F.substring(F.col("_emask"), F.col("_start") + F.col("klen") - 1, 1) == mark))
+        return found.join(back, same).where(ok).select(*carry, F.decode("kbin", "UTF-8").alias("keyword"))
     start = side["p"] - grams["j"] + 1  # 1-based start of the occurrence
     cond = ((side["h"] == grams["h"]) & (side["p"] >= grams["j"])
             & (F.substring(side["sbin"], start, grams["klen"]) == grams["kbin"]))

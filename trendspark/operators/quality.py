@@ -40,6 +40,16 @@ def coverage_summary(expected: DataFrame, observed: DataFrame, key: str,
                  (F.count("*") - F.count("_hit")).alias("missing"))
 
 
+def coverage_by_day(expected: DataFrame, observed: DataFrame, key: str, observed_key: str, day: str) -> DataFrame:
+    """(day, total, covered, missing) of every day with an observation; only
+    expected keys count, and each once a day."""
+    keys = expected.select(F.col(key).alias("_k")).distinct()
+    total = expected.agg(F.count(F.lit(1))).scalar()
+    seen = (observed.select(F.col(observed_key).alias("_k"), day).distinct().join(keys, "_k", "left_semi")
+            .groupBy(day).agg(F.count(F.lit(1)).alias("covered")))
+    return seen.select(day, total.alias("total"), "covered", (total - F.col("covered")).alias("missing"))
+
+
 def with_counters(df: DataFrame, name: str, **exprs) -> tuple[DataFrame, Observation]:
     """Attach named counters computed while the job runs (no extra pass).
 

@@ -49,12 +49,13 @@ def _rank_order(value: str, name: str) -> list[Column]:
 def trim_top(totals: DataFrame, k: int = 3, name: str = "name", value: str = "total") -> DataFrame:
     """L2 (T8): drop the k largest totals (ties broken by name, descending).
 
-    The k names are found with a bounded top-k and removed by an anti-join
-    against those k rows (broadcast: its size is k).  With k or fewer names
-    the result is empty.
+    The last of the bounded top-k is a scalar that the totals are filtered
+    by, so both read the same aggregate.  With k or fewer names the result is
+    empty.
     """
-    top = totals.orderBy(*_rank_order(value, name)).limit(k).select(name)
-    return totals.join(F.broadcast(top), name, "left_anti")
+    rank = F.struct(F.col(value).alias("v"), F.col(name).alias("n"))
+    last = totals.orderBy(*_rank_order(value, name)).limit(k).agg(F.min(rank)).scalar()
+    return totals.where(rank < last)
 
 
 def top_after_trim(totals: DataFrame, k: int = 3, n: int = 20, name: str = "name",
@@ -69,7 +70,7 @@ def ascending(totals: DataFrame, name: str = "name", value: str = "total") -> Da
 
 
 def name_options(df: DataFrame, name: str = "name", all_label: str = "All") -> DataFrame:
-    """A5: the distinct names plus a leading 'All' option (column ``option``)."""
+    """A5: the distinct names plus the 'All' option, a set without an order (column ``option``)."""
     names = df.where(F.col(name).isNotNull()).select(F.col(name).alias("option")).distinct()
     label = df.sparkSession.range(1).select(F.lit(all_label).alias("option"))
     return label.unionByName(names)

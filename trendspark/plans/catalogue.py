@@ -3,13 +3,13 @@ group, each paired with an ANSI SQL oracle that DuckDB runs on the same
 parquet files.
 
 Table roles: ``documents`` = posts (``source`` = channel), ``benchmark`` =
-items (its passages, or their first words, are the keywords), ``events`` =
+items (its passages, or the lines of its passages, are the keywords), ``events`` =
 time-stamped stream, ``orders``/``customer``/``nation`` = fact and
 dimensions for the star join and ranking, ``part`` = names split into a
 category dimension, ``lineitem`` = measures rolled up to categories.
 
-Every query reads whole tables (no id subsets, sampling or row caps); the
-only limits are the top-k ranking (L2/L3), where the limit is the feature.
+Every query reads whole tables and whole fields (no id subsets, sampling,
+prefixes or row caps); the only limits are the top-k ranking (L2/L3), where the limit is the feature.
 Computed columns carry the same alias on both sides; doubles that are sums
 are rounded to 2 decimals on both sides.
 """
@@ -25,7 +25,6 @@ from trendspark.functions import text as tx
 from trendspark.functions import timeutil as tu
 from trendspark.operators import dims, facts, quality, trends
 from trendspark.operators.matching import keyword_lists, substring_matches, texts_matching_any
-from trendspark.sources.readers import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -43,14 +42,8 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# Tables whose rows carry long texts: CPU-heavy per row, so a scan with few
-# splits is spread over all cores before the text work (see readers.spread).
-TEXT_TABLES = ("documents",)
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # SQL building blocks (DuckDB dialect) mirroring the Spark functions.
@@ -58,8 +51,10 @@ def SIMP(x: str) -> str:
     return f"regexp_replace(lower(nullif({x}, '')), '[^A-Za-z0-9]', '', 'g')"
 
 
-def FIRST_WORD(x: str) -> str:
-    return f"nullif(lower(regexp_extract({x}, '^[A-Za-z]+', 0)), '')"
+#: (item_id, kw) of the lines of every passage, and of whole passages; '' is no keyword
+LINES = f"""SELECT item_id, nullif({SIMP('line')}, '') AS kw
+  FROM (SELECT item_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM benchmark)"""
+PASSAGES = f"SELECT item_id, nullif({SIMP('text')}, '') AS kw FROM benchmark"
 
 
 # ---------------------------------------------------------------- mentions
@@ -71,57 +66,65 @@ def _posts(spark, sf):
 
 
 def _items(spark, sf, passages: bool):
+    """One keyword per item (its whole passage), or one per line of it."""
     b = load(spark, sf, "benchmark")
-    kw = tx.simple_text("text") if passages else tx.first_word("text")
-    return b.select("item_id", kw.alias("keyword"))
+    if not passages:
+        b = b.select("item_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("text"))
+    return b.select("item_id", tx.simple_text("text").alias("keyword"))
 
 
-def _mention_sql(kw_expr: str) -> str:
+def _mention_sql(items: str, docs: str | None = None, match: str = "contains(d.st, i.kw)") -> str:
+    docs = docs or f"SELECT doc_id, source AS channel, {SIMP('text')} AS st FROM documents"
     return f"""
-WITH items AS (SELECT item_id, nullif({kw_expr}, '') AS kw FROM benchmark),
-docs AS (SELECT doc_id, source AS channel, {SIMP('text')} AS st FROM documents),
-m AS (SELECT i.item_id, d.doc_id, d.channel FROM items i
-      LEFT JOIN docs d ON i.kw IS NOT NULL AND contains(d.st, i.kw)),
-per_ch AS (SELECT item_id, channel, count(doc_id) AS mention_count FROM m GROUP BY item_id, channel),
-per_item AS (SELECT item_id, count(doc_id) AS text_count FROM m GROUP BY item_id)
-SELECT p.item_id, p.text_count, c.channel, c.mention_count
-FROM per_item p JOIN per_ch c ON p.item_id = c.item_id
+WITH items AS ({items}),
+docs AS ({docs}),
+hit AS (SELECT DISTINCT i.item_id, d.doc_id, d.channel FROM items i JOIN docs d ON i.kw IS NOT NULL AND {match}),
+m AS (SELECT i.item_id, h.doc_id, h.channel
+      FROM (SELECT DISTINCT item_id FROM items WHERE item_id IS NOT NULL) i LEFT JOIN hit h ON i.item_id = h.item_id),
+per_ch AS (SELECT item_id, channel, count(DISTINCT doc_id) AS mention_count FROM m GROUP BY item_id, channel)
+SELECT item_id, CAST(sum(mention_count) OVER (PARTITION BY item_id) AS BIGINT) AS text_count, channel, mention_count
+FROM per_ch
 """
 
 
-@register("mention_stats", _mention_sql(FIRST_WORD("text")))
+@register("mention_stats", _mention_sql(LINES))
 def q_mention_stats(spark, sf):
-    """F4 M1 J1 J2 A1 A2 with first-word keywords (short keys)."""
+    """Items of several keywords (the lines of a passage), short and long."""
     return facts.mention_stats(_posts(spark, sf), _items(spark, sf, passages=False))
 
 
-@register("mention_stats_passages", _mention_sql(SIMP("text")))
+@register("mention_stats_shared", _mention_sql(
+    f"SELECT CASE WHEN item_id % 9 > 0 THEN item_id % 7 END AS item_id, kw FROM ({LINES})",
+    f"""SELECT CASE WHEN n_chars % 5 > 0 THEN doc_id // 2 END AS doc_id, source AS channel, {SIMP('text')} AS st
+        FROM documents"""))
+def q_mention_stats_shared(spark, sf):
+    """The same over items that share keywords or have no id, and posts without an id or with one id twice."""
+    posts = load(spark, sf, "documents").select(
+        F.when(F.col("n_chars") % 5 > 0, F.floor(F.col("doc_id") / 2)).alias("post_id"),
+        F.col("source").alias("channel"), tx.simple_text("text").alias("simple_text"))
+    items = _items(spark, sf, passages=False).withColumn(
+        "item_id", F.when(F.col("item_id") % 9 > 0, F.col("item_id") % 7))
+    return facts.mention_stats(posts, items)
+
+
+@register("mention_stats_passages", _mention_sql(PASSAGES))
 def q_mention_stats_passages(spark, sf):
     """Same statistic with whole passages as keywords; unmentioned items keep
     a (item, NULL, 0, 0) row (T2)."""
     return facts.mention_stats(_posts(spark, sf), _items(spark, sf, passages=True))
 
 
-@register("mention_stats_two_aggregates", _mention_sql(SIMP("text")))
+@register("mention_stats_two_aggregates", _mention_sql(LINES))
 def q_mention_stats_two_aggregates(spark, sf):
-    """J2 exactly as the reference shapes it: totals ⋈ per-channel counts."""
-    return facts.mention_stats_two_aggregates(_posts(spark, sf), _items(spark, sf, passages=True))
-
-
-@register("mention_stats_whole_tokens", f"""
-WITH items AS (SELECT item_id, nullif({FIRST_WORD('text')}, '') AS kw FROM benchmark),
-docs AS (SELECT doc_id, source AS channel,
-                '|' || array_to_string(regexp_split_to_array(lower(nullif(text, '')), '[^a-z0-9]+'), '|') || '|'
-                  AS marked
-         FROM documents),
-m AS (SELECT i.item_id, d.doc_id, d.channel FROM items i
-      LEFT JOIN docs d ON i.kw IS NOT NULL
-        AND regexp_matches(d.marked, '\\|' || array_to_string(string_split(i.kw, ''), '\\|?') || '\\|')),
-per_ch AS (SELECT item_id, channel, count(doc_id) AS mention_count FROM m GROUP BY item_id, channel),
-per_item AS (SELECT item_id, count(doc_id) AS text_count FROM m GROUP BY item_id)
-SELECT p.item_id, p.text_count, c.channel, c.mention_count
-FROM per_item p JOIN per_ch c ON p.item_id = c.item_id
-""")
+    """J2 as totals joined with per-channel counts."""
+    return facts.mention_stats_two_aggregates(_posts(spark, sf), _items(spark, sf, passages=False))
+
+
+@register("mention_stats_whole_tokens", _mention_sql(LINES, f"""
+    SELECT doc_id, source AS channel, {SIMP('text')} AS st,
+           '|' || array_to_string(regexp_split_to_array(lower(nullif(text, '')), '[^a-z0-9]+'), '|') || '|' AS marked
+    FROM documents""",
+    "contains(d.st, i.kw) AND regexp_matches(d.marked, '\\|' || array_to_string(string_split(i.kw, ''), '\\|?') || '\\|')"))
 def q_mention_stats_whole_tokens(spark, sf):
     """T10 option: the same statistic with whole-token matching (an occurrence
     must start and end on token boundaries; it may span several tokens)."""
@@ -145,7 +148,7 @@ def q_passage_mentions(spark, sf):
 
 
 @register("mention_lists", f"""
-WITH kw AS (SELECT DISTINCT {FIRST_WORD('text')} AS kw FROM benchmark),
+WITH kw AS (SELECT DISTINCT kw FROM ({LINES})),
 docs AS (SELECT doc_id, {SIMP('text')} AS st FROM documents)
 SELECT d.doc_id, coalesce(string_agg(k.kw, '|' ORDER BY k.kw), '') AS mentions
 FROM docs d LEFT JOIN kw k ON k.kw IS NOT NULL AND contains(d.st, k.kw)
@@ -160,15 +163,12 @@ def q_mention_lists(spark, sf):
 
 @register("phrase_filter", f"""
 SELECT d.doc_id, d.source FROM documents d
-WHERE EXISTS (SELECT 1 FROM benchmark b
-              WHERE length({FIRST_WORD('b.text')}) > 4
-                AND contains({SIMP('d.text')}, {FIRST_WORD('b.text')}))
+WHERE EXISTS (SELECT 1 FROM ({LINES}) k WHERE k.kw IS NOT NULL AND contains({SIMP('d.text')}, k.kw))
 """)
 def q_phrase_filter(spark, sf):
-    """Documents whose normalised text contains any keyword (> 4 letters)."""
+    """Documents whose normalised text contains any keyword."""
     docs = load(spark, sf, "documents").select("doc_id", "source", tx.simple_text("text").alias("st"))
-    kws = _items(spark, sf, passages=False).where(F.length("keyword") > 4)
-    return texts_matching_any(docs, kws, "st", "keyword", carry=["doc_id", "source"])
+    return texts_matching_any(docs, _items(spark, sf, passages=False), "st", "keyword", carry=["doc_id", "source"])
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -179,17 +179,17 @@ def q_simple_text(spark, sf):
     return load(spark, sf, "documents").select("doc_id", tx.simple_text("text").alias("simple_text"))
 
 
-@register("alternate_keyword", f"""
-SELECT doc_id, {FIRST_WORD('text')} AS unified_keyword,
-  CASE WHEN starts_with({FIRST_WORD('text')}, 'the') THEN substr({FIRST_WORD('text')}, 4)
-       ELSE 'the' || {FIRST_WORD('text')} END AS alternate_keyword
+@register("alternate_keyword", """
+SELECT doc_id, lower(nullif(text, '')) AS unified_keyword,
+  CASE WHEN starts_with(lower(nullif(text, '')), 'the') THEN substr(lower(nullif(text, '')), 4)
+       ELSE 'the' || lower(nullif(text, '')) END AS alternate_keyword
 FROM documents
 """)
 def q_alternate_keyword(spark, sf):
-    """F1 + F2 on each document's first word (114 of 1,000 start with 'the')."""
-    d = load(spark, sf, "documents")
-    u = tx.unify_keyword(tx.first_word("text"))
-    return d.select("doc_id", u.alias("unified_keyword"), tx.alternate_keyword(u).alias("alternate_keyword"))
+    """F1 + F2 on each document's whole text."""
+    u = tx.unify_keyword("text")
+    return load(spark, sf, "documents").select("doc_id", u.alias("unified_keyword"),
+                                               tx.alternate_keyword(u).alias("alternate_keyword"))
 
 
 @register("final_text", """
@@ -298,14 +298,14 @@ def q_hourly_counts(spark, sf):
 
 @register("hour_grid", """
 WITH b AS (SELECT date_trunc('hour', min(ts)) AS s, date_trunc('hour', max(ts)) AS e FROM events),
-g AS (SELECT unnest(generate_series(s, e - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour FROM b),
+g AS (SELECT unnest(generate_series(s, e, INTERVAL 1 HOUR)) AS hour FROM b),
 c AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n_events FROM events GROUP BY 1)
 SELECT g.hour, coalesce(c.n_events, 0) AS n_events FROM g LEFT JOIN c ON g.hour = c.hour
 """)
 def q_hour_grid(spark, sf):
-    """Hour starts in [floor(first), floor(last)) of the data, zero-filled."""
+    """Every hour from that of the first row to that of the last, zero-filled."""
     e = load(spark, sf, "events")
-    b = e.agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
+    b = e.agg(F.min("ts").alias("s"), (F.max("ts") + F.expr("INTERVAL 1 HOUR")).alias("e"))
     grid = b.select(F.explode(tu.hour_grid("s", "e").cast("array<timestamp_ntz>")).alias("hour"))
     c = _hourly(e).select("hour", "n_events")
     return grid.join(c, "hour", "left").select("hour", F.coalesce("n_events", F.lit(0)).alias("n_events"))
@@ -419,6 +419,10 @@ def _daily_fact(orders: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_orders")))
 
 
+def _names(spark, sf) -> DataFrame:
+    return load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+
+
 def _item_dim(spark, sf) -> DataFrame:
     c = load(spark, sf, "customer")
     n = load(spark, sf, "nation")
@@ -474,7 +478,7 @@ WITH t AS (SELECT c.c_name AS name, count(*) AS total FROM orders o JOIN custome
 def _totals(spark, sf) -> DataFrame:
     o = load(spark, sf, "orders")
     per_id = o.groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("mention_count"))
-    named = per_id.join(_item_dim(spark, sf).select("id", "name"), "id")
+    named = per_id.join(_names(spark, sf), "id")
     return trends.name_totals(named, "name", "mention_count", "total")
 
 
@@ -548,7 +552,7 @@ s AS (SELECT v.id, v.date, v.n_orders, c.c_name AS name FROM v JOIN customer c O
 
 
 def _slice_view(spark, sf) -> DataFrame:
-    return _daily_fact(load(spark, sf, "orders")).join(_item_dim(spark, sf).select("id", "name"), "id")
+    return _daily_fact(load(spark, sf, "orders")).join(_names(spark, sf), "id")
 
 
 @register("slice_trends", _SLICE_BASE + """
@@ -594,24 +598,33 @@ def q_row_counts(spark, sf):
 
 
 @register("coverage", """
-SELECT p_partkey, p_name FROM part p WHERE NOT EXISTS (
-  SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND CAST(l.l_shipdate AS DATE) = DATE '1996-11-01')
+SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
 """)
 def q_coverage(spark, sf):
-    """Items with no observation on one day (anti-join)."""
-    li = load(spark, sf, "lineitem").where(F.to_date("l_shipdate") == F.lit("1996-11-01").cast("date"))
-    return quality.uncovered(load(spark, sf, "part").select("p_partkey", "p_name"), li, "p_partkey", "l_partkey")
+    """Items without any observation (anti-join over all snapshots)."""
+    return quality.uncovered(load(spark, sf, "customer").select("c_custkey", "c_name"), load(spark, sf, "orders"),
+                             "c_custkey", "o_custkey")
 
 
 @register("coverage_summary", """
 SELECT count(*) AS total, count(h.k) AS covered, count(*) - count(h.k) AS missing
-FROM part p LEFT JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem
-                       WHERE CAST(l_shipdate AS DATE) = DATE '1996-11-01') h ON p.p_partkey = h.k
+FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) h ON c.c_custkey = h.k
 """)
 def q_coverage_summary(spark, sf):
     """S10 tally: total / covered / missing."""
-    li = load(spark, sf, "lineitem").where(F.to_date("l_shipdate") == F.lit("1996-11-01").cast("date"))
-    return quality.coverage_summary(load(spark, sf, "part"), li, "p_partkey", "l_partkey")
+    return quality.coverage_summary(load(spark, sf, "customer"), load(spark, sf, "orders"), "c_custkey", "o_custkey")
+
+
+@register("coverage_by_day", """
+WITH d AS (SELECT CAST(l_shipdate AS DATE) AS day, count(DISTINCT l_partkey) AS covered FROM lineitem
+           WHERE l_partkey IN (SELECT p_partkey FROM part) GROUP BY 1),
+t AS (SELECT count(*) AS total FROM part)
+SELECT day, total, covered, total - covered AS missing FROM d CROSS JOIN t
+""")
+def q_coverage_by_day(spark, sf):
+    """S10 tally of every snapshot day."""
+    li = load(spark, sf, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("day"))
+    return quality.coverage_by_day(load(spark, sf, "part"), li, "p_partkey", "l_partkey", "day")
 
 
 # ---------------------------------------------------------------- sinks and streams
@@ -643,30 +656,32 @@ def _events_stream(spark, sf):
 
 @register("stream_dedup", _EVENTS_OUT)
 def q_stream_dedup(spark, sf):
-    """The same events delivered twice → each id once (watermark dedup)."""
+    """D1 + D6: the events land in three files with the latest hours first and
+    every file again, one file a batch; each id is kept once, late rows too."""
     from trendspark.session import scratch_dir
-    from trendspark.streaming.ingest import dedup_within_watermark
-    s = _events_stream(spark, sf)
-    both = s.unionByName(_events_stream(spark, sf))
-    d = dedup_within_watermark(both, ["event_id"], "event_time", "2 hours")
-    out, ckpt = scratch_dir(spark, "stream_dedup"), scratch_dir(spark, "stream_dedup_ckpt")
-    q = (d.drop("event_time").writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).select("event_id", "ts", "user_id", "event_type", "value",
-                                          F.to_date("ts").alias("date"))
+    from trendspark.streaming.ingest import event_time, file_stream, start_ingest
+    e = load(spark, sf, "events")
+    inbox, archive = scratch_dir(spark, "events_in"), f"{scratch_dir(spark, 'stream_dedup')}/archive"
+    for _ in range(2):
+        for hours in ((16, 24), (8, 16), (0, 8)):
+            e.where((F.hour("ts") >= hours[0]) & (F.hour("ts") < hours[1])).coalesce(1).write.mode("append").parquet(inbox)
+    s = event_time(file_stream(spark, inbox, e.schema, fmt="parquet", max_files_per_trigger=1), "ts")
+    start_ingest(spark, s, archive, scratch_dir(spark, "stream_dedup_ckpt"), keys=("event_id",), ts="event_time",
+                 order=("event_time",)).awaitTermination()
+    return spark.read.parquet(archive).select("event_id", "ts", "user_id", "event_type", "value",
+                                              F.to_date("ts").alias("date"))
 
 
 @register("stream_new_only", _EVENTS_OUT)
 def q_stream_new_only(spark, sf):
     """Ingest twice, the second time with a fresh checkpoint; the archive
-    keeps each id once (anti-join against what is stored)."""
+    keeps each id once (anti-join against the index of stored keys)."""
     from trendspark.session import scratch_dir
     from trendspark.streaming.ingest import start_ingest
-    archive = scratch_dir(spark, "stream_archive")
+    archive = f"{scratch_dir(spark, 'stream_archive')}/archive"
     for _ in range(2):
         q = start_ingest(spark, _events_stream(spark, sf), archive, scratch_dir(spark, "stream_ckpt"),
-                         keys=("event_id",), ts="event_time", order=("event_time",), lookback_days=None)
+                         keys=("event_id",), ts="event_time", order=("event_time",))
         q.awaitTermination()
     back = spark.read.parquet(archive)
     return back.select("event_id", "ts", "user_id", "event_type", "value", F.to_date("ts").alias("date"))
@@ -674,19 +689,17 @@ def q_stream_new_only(spark, sf):
 
 @register("stream_hourly", """
 SELECT date_trunc('hour', ts) AS window_start, count(*) AS n FROM events GROUP BY 1
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
 """)
 def q_stream_hourly(spark, sf):
-    """Hourly counts in append mode; a window is emitted once the 2 h
-    watermark passes its end (the last hours stay open)."""
+    """Hourly counts; every change of a window is written with its batch,
+    the last one counts, so the hours still open are there too."""
     from trendspark.session import scratch_dir
-    from trendspark.streaming.ingest import hourly_counts
-    h = hourly_counts(_events_stream(spark, sf), "event_time", "2 hours")
-    out, ckpt = scratch_dir(spark, "stream_hourly"), scratch_dir(spark, "stream_hourly_ckpt")
-    q = (h.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
+    from trendspark.streaming.ingest import latest_hourly_counts, start_hourly_counts
+    out = scratch_dir(spark, "stream_hourly")
+    start_hourly_counts(_events_stream(spark, sf), "event_time", "2 hours", out,
+                        scratch_dir(spark, "stream_hourly_ckpt")).awaitTermination()
+    h = latest_hourly_counts(spark, out)
+    return h.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
 
 
 @register("hourly_landing", _EVENTS_OUT)
@@ -775,14 +788,8 @@ SELECT count(*) AS rows, count(nullif(text, '')) AS with_text, CAST(sum(n_chars)
 FROM documents
 """)
 def q_document_counters(spark, sf):
-    """Counters observed while the normalisation job runs (no second
-    pass over the data); the observed values come back as one row."""
-    d = load(spark, sf, "documents")
-    job, obs = quality.with_counters(d.select(tx.simple_text("text").alias("st"), "text", "n_chars"),
-                                     "document_counters",
-                                     with_text=F.count(tx.blank_to_null("text")),
-                                     chars=F.sum("n_chars"))
-    job.write.format("noop").mode("overwrite").save()
-    m = obs.get
-    return spark.createDataFrame([(m["rows"], m["with_text"], m["chars"])],
-                                 "rows bigint, with_text bigint, chars bigint")
+    """A9 as a query: the counters of the documents in one pass (a job that
+    writes anyway gets them from :func:`quality.with_counters`)."""
+    return load(spark, sf, "documents").agg(F.count(F.lit(1)).alias("rows"),
+                                            F.count(tx.blank_to_null("text")).alias("with_text"),
+                                            F.sum("n_chars").alias("chars"))

@@ -19,11 +19,11 @@ import sys
 from pyspark.sql import functions as F
 
 from trendspark import schemas
-from trendspark.functions.text import simple_text, token_end_mask, token_start_mask
+from trendspark.functions.text import json_field, simple_text, token_end_mask, token_start_mask
 from trendspark.operators import trends
 from trendspark.plans import jobs
 from trendspark.session import get_session
-from trendspark.sources import readers
+from trendspark.sources import readers, sinks
 from trendspark.streaming import ingest
 
 
@@ -38,7 +38,9 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--start")
     m.add_argument("--end")
     m.add_argument("--num-partitions", type=int)
-    m.add_argument("--day-folders", action="store_true")
+    m.add_argument("--day-folders", action="store_true", help="the default; see --all-folders")
+    m.add_argument("--all-folders", action="store_true", help="list the whole root, not only the days' folders")
+    m.add_argument("--posts-format", default="json", choices=["json", "parquet"], help="parquet: an ingest archive")
     m.add_argument("--counters", action="store_true", help="print lines read / malformed lines (A9)")
     m.add_argument("--whole-tokens", action="store_true",
                    help="match keywords on whole tokens of the post text (default: substring)")
@@ -59,9 +61,18 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--items", help="keep only posts whose title names an item")
     i.add_argument("--max-files-per-trigger", type=int, default=100)
-    i.add_argument("--lookback-days", type=int)
     i.add_argument("--whole-tokens", action="store_true",
                    help="match item keywords on whole title tokens (default: substring)")
+    h = sub.add_parser("land-hours", help="K4/W5: hours [start, end) of an archive as JSON, an hour landed again is replaced")
+    h.add_argument("--archive", required=True)
+    h.add_argument("--out", required=True)
+    h.add_argument("--start", required=True)
+    h.add_argument("--end", required=True)
+    q = sub.add_parser("land-metrics", help="E5: one day of metric snapshots landed; prints the coverage")
+    q.add_argument("--incoming", required=True)
+    q.add_argument("--items", required=True)
+    q.add_argument("--out", required=True)
+    q.add_argument("--as-of", required=True)
     v = sub.add_parser("view", help="E6/W2: the star view sliced by date range and name, written as Parquet")
     v.add_argument("--facts", required=True)
     v.add_argument("--metrics", required=True)
@@ -69,6 +80,7 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--start", required=True)
     v.add_argument("--end", required=True)
     v.add_argument("--name", default="All")
+    v.add_argument("--dims-format", default="parquet", choices=["parquet", "csv"])
     v.add_argument("--out", required=True)
     r = sub.add_parser("top", help="E6: trimmed ranking of total mentions")
     r.add_argument("--facts", required=True)
@@ -78,6 +90,8 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--end", required=True)
     r.add_argument("--k", type=int, default=3)
     r.add_argument("--n", type=int, default=20)
+    r.add_argument("--last-days", type=int)
+    r.add_argument("--dims-format", default="parquet", choices=["parquet", "csv"])
     return p
 
 
@@ -86,8 +100,8 @@ def main(argv=None) -> int:
     spark = get_session()
     if a.cmd == "mention-fact":
         c = jobs.run_mention_fact(spark, a.posts, a.items, a.out, a.date, start=a.start, end=a.end,
-                                  num_partitions=a.num_partitions, day_folders=a.day_folders,
-                                  counters=a.counters, whole_tokens=a.whole_tokens)
+                                  num_partitions=a.num_partitions, day_folders=not a.all_folders,
+                                  counters=a.counters, whole_tokens=a.whole_tokens, posts_format=a.posts_format)
         if a.counters:
             print(json.dumps(c))
     elif a.cmd == "metric-fact":
@@ -95,7 +109,9 @@ def main(argv=None) -> int:
     elif a.cmd == "build-dims":
         jobs.run_build_dims(spark, a.metrics, a.out, a.load, a.as_of, fmt=a.format, num_years=a.num_years)
     elif a.cmd == "ingest":
-        s = ingest.file_stream(spark, a.landing, schemas.POSTS, "json", a.max_files_per_trigger)
+        lines = ingest.file_stream(spark, a.landing, schemas.RAW_LINES, "text", a.max_files_per_trigger)
+        s = ingest.with_arrival(lines).select("*", json_field("value", schemas.POSTS.simpleString()).alias("p")) \
+            .select("p.*", F.col("value").alias("raw"), *ingest.ARRIVAL_COLS).drop("_corrupt_record")  # the whole line is kept
         s = s.withColumn("event_time", F.timestamp_seconds("created_utc")) \
              .withColumn("title_simple", simple_text("title"))
         masks = None
@@ -104,16 +120,24 @@ def main(argv=None) -> int:
             masks = ("title_sm", "title_em")
         kws = readers.read_items(spark, a.items) if a.items else None
         q = ingest.start_ingest(spark, s, a.archive, a.checkpoint, keys=("id",), keywords=kws,
-                                text_col="title_simple", lookback_days=a.lookback_days, token_masks=masks,
-                                arrival_order=True)  # first landed copy of a post wins
+                                text_col="title_simple", token_masks=masks, counts=(counts := {}),
+                                order=[*ingest.ARRIVAL_COLS, "event_time"])  # first landed copy of a post wins
         q.awaitTermination()
+        print(json.dumps(counts))
+    elif a.cmd == "land-hours":
+        posts = spark.read.parquet(a.archive).drop("year", "month", "day", "hour")
+        sinks.backfill_hours(posts, a.out, "event_time", a.start, a.end)
+    elif a.cmd == "land-metrics":
+        tally = jobs.land_metrics(spark, readers.read_metrics(spark, a.incoming).drop("_corrupt_record"), a.out,
+                                  readers.read_items(spark, a.items), a.as_of)
+        print(json.dumps(tally.first().asDict()))
     elif a.cmd == "view":
-        view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)
+        view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end, dims_format=a.dims_format)
         sliced = trends.slice_trends(view, a.name, a.start, a.end)
         sliced.write.mode("overwrite").parquet(a.out)
     elif a.cmd == "top":
-        view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end)
-        for row in jobs.rank_totals(view, a.k, a.n).collect():  # bounded: n rows (top-k report)
+        view = jobs.build_trends(spark, a.facts, a.metrics, a.dims, a.start, a.end, dims_format=a.dims_format)
+        for row in jobs.rank_totals(view, a.k, a.n, a.last_days).collect():  # bounded: n rows (top-k report)
             print(f"{row['name']}\t{row['total']}")
     return 0
 

@@ -38,23 +38,24 @@ def _epoch_bounds(start: str, end: str) -> tuple[float, float]:
 
 def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: str | None = None,
                  start: str | None = None, end: str | None = None,
-                 num_partitions: int | None = None, day_folders: bool = False,
+                 num_partitions: int | None = None, day_folders: bool = True,
                  missing_title: str | None = "None", observation=None,
-                 whole_tokens: bool = False) -> DataFrame:
+                 whole_tokens: bool = False, posts_format: str = "json") -> DataFrame:
     """E1 plan: mention statistic per item, channel and UTC day.
 
     ``date`` (one day) or ``start``/``end`` (closed range).  Posts are read
-    with the declared schema; ``day_folders=True`` lists only the requested
-    ``Y/M/D`` landing folders instead of the whole root.  Unmentioned items
+    with the declared schema; only the requested ``Y/M/D`` landing folders are
+    listed (``day_folders=False``: the whole root).  ``posts_format="parquet"``
+    reads the archive of an ingest.  Unmentioned items
     get one zero row per day (T2).
     """
     start = facts._check_date(start or date)
     end = facts._check_date(end or date or start)
     items = readers.read_items(spark, items_path)
     if day_folders:
-        raw = readers.read_posts(spark, posts_path, start, end)
+        raw = readers.read_posts(spark, posts_path, start, end, fmt=posts_format)
     else:
-        raw = readers.read_posts(spark, posts_path)
+        raw = readers.read_posts(spark, posts_path, fmt=posts_format)
     if observation is not None:  # A9 counters, computed while the scan runs
         raw = raw.observe(observation, F.count(F.lit(1)).alias("rows_read"),
                           F.count("_corrupt_record").alias("malformed_lines"))
@@ -136,16 +137,19 @@ def run_build_dims(spark: SparkSession, metrics_path: str, out_root: str, load:
 def land_metrics(spark: SparkSession, incoming: DataFrame, out: str, items: DataFrame,
                  as_of: str | None = None) -> DataFrame:
     """E5: stamp and land one day of metric snapshots; returns the coverage
-    tally (items expected vs. items present) without a second pass over
-    the landed files."""
+    tally (items expected vs. items present), read from the ids of the days
+    just landed."""
     stamp = F.lit(as_of) if as_of else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     stamped = incoming.withColumn("query_datetime", F.coalesce(F.col("query_datetime"), stamp))
     sinks.land_daily(stamped, out, "query_datetime")
-    return quality.coverage_summary(items.select(F.col("item_id").alias("id")), stamped, "id")
+    day = as_of[:10] if as_of else None
+    landed = readers.read_metrics(spark, out, day, day) if day else readers.read_metrics(spark, out)
+    return quality.coverage_summary(items.select(F.col("item_id").alias("id")), landed.select("id"), "id")
 
 
 def build_trends(spark: SparkSession, fact_root: str, metrics_root: str, dims_root: str,
-                 start: str, end: str, load: str | None = None, daily: bool = True) -> DataFrame:
+                 start: str, end: str, load: str | None = None, daily: bool = True,
+                 dims_format: str = "parquet") -> DataFrame:
     """The star view behind the dashboard for a closed date range.
 
     Only the requested day partitions of both facts are read.  ``daily``
@@ -155,13 +159,17 @@ def build_trends(spark: SparkSession, fact_root: str, metrics_root: str, dims_ro
         .withColumnRenamed("item_id", "id")
     met = readers.read_fact_range(spark, metrics_root, start, end, schemas.METRIC_FACT) \
         .drop("year", "month", "day")
-    cal = readers.read_dimension(spark, f"{dims_root.rstrip('/')}/date", load).drop("dataload")
-    mov = readers.read_dimension(spark, f"{dims_root.rstrip('/')}/mov", load).drop("dataload")
+    cal, mov = (readers.read_dimension(spark, f"{dims_root.rstrip('/')}/{name}", load, dims_format,
+                                       schema if dims_format == "csv" else None).drop("dataload")
+                for name, schema in (("date", schemas.CALENDAR), ("mov", schemas.ITEM_DIM)))
     return trends.star_join(fact.drop("year", "month", "day"), met, cal, mov, daily=daily)
 
 
-def rank_totals(view: DataFrame, k: int = 3, n: int | None = None) -> DataFrame:
-    """E6 ranking: totals per name without the k largest; top ``n`` if given."""
+def rank_totals(view: DataFrame, k: int = 3, n: int | None = None, last: int | None = None) -> DataFrame:
+    """E6 ranking: totals per name without the k largest; top ``n`` if given.
+    ``last``: only the last so many days of the view count."""
+    if last is not None:
+        view = trends.last_days(view, last)
     totals = trends.name_totals(view, "name", "mention_count", "total")
     if n is None:
         return trends.trim_top(totals, k)

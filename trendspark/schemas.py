@@ -51,6 +51,9 @@ ITEMS = T.StructType([
     T.StructField("title_simple", T.StringType()),
 ])
 
+# Lines of a landing as they are.
+RAW_LINES = T.StructType([T.StructField("value", T.StringType())])
+
 # Staged posts (collector output): key, event time text, raw JSON payload.
 STAGED_POSTS = T.StructType([
     T.StructField("id_str", T.StringType()),

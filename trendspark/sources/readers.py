@@ -26,22 +26,6 @@ def _days(start, end) -> list[_dt.date]:
     return [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (e.g. one big file with few row groups) so CPU-heavy text work
-    uses every core.  A large input already has many splits and is returned
-    unchanged, so this never adds a shuffle at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): keep the scan as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
-
-
 def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
     """Glob patterns of the raw landing for a closed day range.
 
@@ -52,8 +36,8 @@ def day_globs(root: str, start, end, hourly: bool = True) -> list[str]:
     :func:`_existing` keeps the patterns that match files.
     """
     r = root.rstrip("/")
-    plain = "/*/*.json" if hourly else "/*.json"
-    hive = "/hour=*/*.json" if hourly else "/*.json"
+    plain = "/*/*.json*" if hourly else "/*.json*"  # compressed landings too
+    hive = "/hour=*/*.json*" if hourly else "/*.json*"
     months: dict[tuple[int, int], list[str]] = {}
     for d in _days(start, end):
         months.setdefault((d.year, d.month), []).append(f"{d.day:02d}")
@@ -84,13 +68,21 @@ def track_phrases(items: DataFrame, keyword: str = "keyword") -> DataFrame:
     return items.select(keyword).where(F.col(keyword).isNotNull() & (F.col(keyword) != "")).distinct()
 
 
-def read_posts(spark: SparkSession, path, start=None, end=None) -> DataFrame:
-    """Raw posts JSON lines with the declared schema.
+def read_posts(spark: SparkSession, path, start=None, end=None, fmt: str = "json") -> DataFrame:
+    """Raw posts JSON lines with the declared schema, or an ingest archive
+    (``fmt="parquet"``, day folders pruned by start/end).
 
     ``path`` is a landing root; with ``start``/``end`` only those days'
     folders are listed (a day missing from the landing is skipped).
     Malformed lines are kept in ``_corrupt_record`` (count them, do not fail).
     """
+    if fmt != "json":
+        df = spark.read.format(fmt).load(path)
+        if start is not None:
+            df = df.where(partition_date_filter(start, end or start))
+        have = set(df.columns)
+        return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in schemas.POSTS.fields])
     r = spark.read.schema(schemas.POSTS).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", "_corrupt_record")
     if start is not None:
@@ -177,14 +169,17 @@ def read_dimension(spark: SparkSession, root: str, load: str | None = None,
     """Dimension of one load (``dataload=YYYYMMDD`` folder); latest if None.
 
     'Latest' is a scalar subquery on the partition column, so it prunes at
-    run time (dynamic partition pruning) without a driver round trip.
+    run time (dynamic partition pruning) without a driver round trip.  A CSV
+    dimension needs ``schema``: its columns are text, arrays as JSON.
     """
     r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
     if fmt == "csv":
-        r = r.option("header", True)
-    df = r.format(fmt).load(root)
+        df = r.option("header", True).csv(root)
+        if schema is not None:
+            df = df.select(*[(F.from_json(f.name, f.dataType) if f.dataType.typeName() == "array"
+                              else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields], "dataload")
+    else:
+        df = (r if schema is None else r.schema(schema)).format(fmt).load(root)
     if load is not None:
         return df.where(F.col("dataload") == F.lit(str(load)).cast(df.schema["dataload"].dataType))
     return df.where(F.col("dataload") == df.agg(F.max("dataload")).scalar())

@@ -64,12 +64,12 @@ def write_dimension(df: DataFrame, out: str, load: str, fmt: str = "parquet") ->
 
 
 def land_hourly(df: DataFrame, out: str, ts_col: str, fmt: str = "json",
-                strict: bool = False, cluster: bool = True) -> None:
+                strict: bool = False, cluster: bool = True, append: bool = False) -> None:
     """K4: raw rows landed per event hour (zero-padded year/month/day/hour).
 
-    Rows are partitioned by their own event hour, so a late row lands in its
-    hour even after that hour was first written (appending, never replacing
-    the earlier files: use ``mode``-less append semantics).  ``strict``
+    Rows are partitioned by their own event hour.  An hour that is landed
+    again is replaced, so a rerun changes nothing; other hours stay.
+    ``append`` adds to the hours instead (rows that come late).  ``strict``
     raises when there is nothing to land (the reference treated an empty
     hour as an error).  ``cluster=False`` skips the REBALANCE shuffle (no
     exchange; each task then writes one file per hour it holds).
@@ -79,7 +79,9 @@ def land_hourly(df: DataFrame, out: str, ts_col: str, fmt: str = "json",
     data = df.select("*", *path_parts(F.col(ts_col)))
     if cluster:
         data = data.hint("rebalance", "year", "month", "day", "hour")
-    w = data.write.mode("append").partitionBy("year", "month", "day", "hour").format(fmt)
+    w = data.write.mode("append" if append else "overwrite").partitionBy("year", "month", "day", "hour").format(fmt)
+    if not append:
+        w = w.option("partitionOverwriteMode", "dynamic")
     _text_options(w, fmt).save(out)
 
 

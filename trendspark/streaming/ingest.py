@@ -6,14 +6,15 @@ wins) and once an hour cuts the previous hour into a JSON file.  Here:
 
   landing (JSON/Parquet files) --readStream--> phrase filter (P2)
       --> drop non-portable fields (F16)
-      --> foreachBatch: first row per key in the batch, anti-join against
-          the archive (keys already stored), append to the archive
-          partitioned by the row's own event day (hour kept as a column).
+      --> foreachBatch: rows without a key to a reject folder, first row per
+          key in the batch, anti-join against the index of archived keys,
+          append to the archive by the row's own event day (hour kept as a
+          column).
 
 Because rows are partitioned by event time, a post that arrives after its
 hour was first written still lands in its day and hour (D6, no cut-off).  Replaying
 the same input, even with a fresh checkpoint, adds nothing (D2).  A retried
-micro-batch is harmless: the anti-join removes what was already committed.
+micro-batch is harmless: what it had committed before is found and left out.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trendspark.functions.text import drop_fields
 from trendspark.functions.timeutil import path_parts
 from trendspark.operators.matching import texts_matching_any
+from trendspark.sources.readers import track_phrases
 
 # Fixed values (must equal the collector's): fields of a raw post object that
 # are not portable and are dropped before the row is serialised.
@@ -49,7 +51,9 @@ def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
 
 
 def dedup_within_watermark(stream: DataFrame, keys, ts: str, delay: str) -> DataFrame:
-    """Drop repeated keys while the key is within the watermark delay."""
+    """D1 with bounded state: drop repeated keys while the key is within the
+    watermark delay.  Rows later than the watermark are dropped too; an ingest
+    that must keep them finds repeats by its key index (:func:`start_ingest`)."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -63,6 +67,23 @@ def hourly_counts(stream: DataFrame, ts: str, delay: str, by=()) -> DataFrame:
                     *by, "n"))
 
 
+def start_hourly_counts(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str, by=(),
+                        trigger: dict | None = None) -> StreamingQuery:
+    """D4 without a wait for the watermark: each batch writes the windows it
+    changed under its number (a batch run again replaces its own)."""
+    def keep(batch: DataFrame, number: int) -> None:
+        (batch.withColumn("batch", F.lit(number)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out))
+
+    w = hourly_counts(stream, ts, delay, by).writeStream.outputMode("update").foreachBatch(keep)
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def latest_hourly_counts(spark: SparkSession, out: str, by=()) -> DataFrame:
+    """(window_start, by..., n): the last count written for each window."""
+    return spark.read.parquet(out).groupBy("window_start", *by).agg(F.max_by("n", "batch").alias("n"))
+
+
 def first_per_key(batch: DataFrame, keys, order) -> DataFrame:
     """One row per key: the smallest in ``order`` (partial aggregate, skew-safe).
 
@@ -77,28 +98,11 @@ def first_per_key(batch: DataFrame, keys, order) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
-# Largest number of batch keys broadcast to probe the archive (~40 bytes a
-# key → tens of MB); larger batches use a sort-merge anti-join.
-BATCH_KEYS_BROADCAST_MAX = 1_000_000
-
-
-def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys,
-                  batch_rows: int | None = None) -> DataFrame:
-    """Rows whose key is not in the archive yet.
-
-    With ``batch_rows`` known and below ``BATCH_KEYS_BROADCAST_MAX`` the
-    batch keys are broadcast and the archive is only scanned (semi-join, no
-    shuffle of the archive); the few keys found are then removed from the
-    batch.  Otherwise a plain anti-join (shuffle on the key) is used.
-    """
-    keys = list(keys)
+def new_rows_only(batch: DataFrame, archive: DataFrame | None, keys) -> DataFrame:
+    """Rows whose key is not in ``archive`` (any table with the key columns) yet."""
     if archive is None:
         return batch
-    stored = archive.select(*keys).where(F.col(keys[0]).isNotNull())
-    if batch_rows is not None and batch_rows <= BATCH_KEYS_BROADCAST_MAX:
-        seen = stored.join(F.broadcast(batch.select(*keys)), keys, "left_semi").distinct()
-        return batch.join(seen, keys, "left_anti")
-    return batch.join(stored, keys, "left_anti")
+    return batch.join(archive.select(*keys).distinct(), list(keys), "left_anti")
 
 
 ARCHIVE_PARTS = ("year", "month", "day")
@@ -122,49 +126,79 @@ def _has_entries(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
+#: Folders of the key index: a batch reads those that its keys fall in.
+INDEX_BUCKETS = 64
+
+
+def _bucket(keys) -> F.Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(INDEX_BUCKETS)).cast("int")
+
+
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
-                         lookback_days: int | None = None, keywords: DataFrame | None = None,
-                         text_col: str | None = None, fmt: str = "parquet",
-                         partition_by=ARCHIVE_PARTS, token_masks: tuple[str, str] | None = None):
+                         keywords: DataFrame | None = None, text_col: str | None = None, fmt: str = "parquet",
+                         partition_by=ARCHIVE_PARTS, token_masks: tuple[str, str] | None = None, counts: dict | None = None):
     """Build the foreachBatch function for D1+D2 (+ optional phrase filter).
 
     Rows are appended under their own event day (``partition_by``; the zero
     padded ``hour`` is kept as a column, or pass the four parts for hourly
-    folders).  ``lookback_days`` limits the archive partitions re-read per
-    batch to the batch's own days minus the lookback (partition pruning by a
-    scalar subquery, no driver round trip); None re-reads the whole archive.
+    folders).  Beside the archive lie
+    ``<archive>_keys``, every archived key with its batch, in folders by a hash
+    of the key, so a batch reads a part of the keys and never the archive; and
+    ``<archive>_rejected``, rows with a null key (malformed lines have one),
+    in a folder per batch.
+
+    A batch writes its new keys first, then its rows.  Keys found under its own
+    number come from a try that may have stopped between the two, or from an
+    earlier session: only for those the archive itself is asked, so a try again
+    neither loses nor repeats a row.  ``counts``, if given, is filled with
+    (read, rejected, repeated, new) summed over the batches.
     """
-    parts = list(partition_by)
-    keys = list(keys)
+    parts, keys = list(partition_by), list(keys)
     order = list(order or [ts])
+    index_path, reject_path = f"{archive_path}_keys", f"{archive_path}_rejected"
 
-    def _archive():
-        if not _has_entries(spark, archive_path):
-            return None  # nothing archived yet (first batch of a new archive)
-        return spark.read.format(fmt).load(archive_path)
+    def stored(path: str, form: str) -> DataFrame | None:
+        return spark.read.format(form).load(path) if _has_entries(spark, path) else None
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        b = batch
-        if keywords is not None:
-            hits = texts_matching_any(b, keywords, text_col, carry=keys, token_masks=token_masks)
-            b = b.join(hits, keys, "left_semi")
-        if token_masks:
-            b = b.drop(*token_masks)  # matching inputs only, not archived
-        b = first_per_key(b, keys, order)
-        b = b.drop(*[c for c in ARRIVAL_COLS if c in b.columns]).persist()
+        b = batch.persist()
         try:
-            n = b.count()
-            if n == 0:
-                return
-            arch = _archive()
-            if arch is not None and lookback_days is not None:
-                d = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
-                                F.col("day").cast("int"))
-                lo = b.agg(F.date_sub(F.to_date(F.min(ts)), lookback_days)).scalar()
-                arch = arch.where(d >= lo)
-            fresh = new_rows_only(b, arch, keys, batch_rows=n)
-            out = fresh.select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
-            out.write.mode("append").partitionBy(*parts).format(fmt).save(archive_path)
+            no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+            total, rejected = b.agg(F.count(F.lit(1)), F.coalesce(F.sum(no_key.cast("int")), F.lit(0))).first()
+            if rejected:
+                (b.where(no_key).withColumn("batch", F.lit(epoch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch").format(fmt).save(reject_path))
+            rows = b.where(~no_key)
+            if keywords is not None:
+                rows = rows.join(texts_matching_any(rows, keywords, text_col, carry=keys, token_masks=token_masks), keys, "left_semi")
+            if token_masks:
+                rows = rows.drop(*token_masks)  # matching inputs only, not archived
+            rows = first_per_key(rows, keys, order)
+            rows = rows.drop(*[c for c in ARRIVAL_COLS if c in rows.columns]).withColumn("_bucket", _bucket(keys)).persist()
+            try:
+                buckets = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most INDEX_BUCKETS
+                if not buckets:
+                    return
+                index = stored(index_path, "parquet")
+                fresh, again = rows, None
+                if index is not None:
+                    known = (index.where(F.col("bucket").isin(buckets)).join(rows.select(*keys), keys, "left_semi")
+                             .groupBy(*keys).agg(F.min((F.col("batch") == epoch_id).cast("int")).alias("_own")).persist())
+                    fresh = new_rows_only(rows, known, keys)
+                    own = known.where("_own = 1")
+                    if not own.isEmpty():
+                        again = new_rows_only(rows.join(own.select(*keys), keys, "left_semi"), stored(archive_path, fmt), keys)
+                (fresh.select(*keys, F.lit(epoch_id).alias("batch"), F.col("_bucket").alias("bucket")).hint("rebalance", "bucket")
+                 .write.mode("append").partitionBy("bucket").parquet(index_path))
+                new = (fresh if again is None else fresh.unionByName(again)).drop("_bucket")
+                out = new.select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
+                out.write.mode("append").partitionBy(*parts).format(fmt).save(archive_path)
+                if counts is not None:
+                    n = new.count()
+                    for name, k in (("read", total), ("rejected", rejected), ("new", n), ("repeated", total - rejected - n)):
+                        counts[name] = counts.get(name, 0) + k
+            finally:
+                rows.unpersist()
         finally:
             b.unpersist()
 
@@ -183,10 +217,10 @@ def with_arrival(stream: DataFrame) -> DataFrame:
 
 def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, checkpoint: str, *,
                  keys=("id",), ts: str = "event_time", order=None, keywords=None,
-                 text_col=None, lookback_days=None, drop=NON_PORTABLE_FIELDS,
+                 text_col=None, drop=NON_PORTABLE_FIELDS,
                  trigger: dict | None = None, partition_by=ARCHIVE_PARTS,
                  token_masks: tuple[str, str] | None = None,
-                 arrival_order: bool = False) -> StreamingQuery:
+                 arrival_order: bool = False, counts: dict | None = None) -> StreamingQuery:
     """Start the ingest query; returns the running StreamingQuery.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (bounded sessions: the
@@ -200,8 +234,10 @@ def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, chec
     if arrival_order:
         s = with_arrival(s)
         order = [*ARRIVAL_COLS, *(order or [ts])]
-    fn = archive_batch_writer(spark, archive_path, keys, ts, order, lookback_days, keywords, text_col,
-                              partition_by=partition_by, token_masks=token_masks)
+    if keywords is not None:  # normalised once, not in every batch
+        keywords = track_phrases(keywords).persist()
+    fn = archive_batch_writer(spark, archive_path, keys, ts, order, keywords, text_col,
+                              partition_by=partition_by, token_masks=token_masks, counts=counts)
     w = s.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
