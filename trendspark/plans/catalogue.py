@@ -321,10 +321,15 @@ FROM (SELECT unnest(generate_series(CAST(s AS TIMESTAMP), CAST(s AS TIMESTAMP) +
 """
 
 
-def _calendar(orders: DataFrame) -> DataFrame:
+#: The same over whole years, leap days included: what facts are joined with.
+_YEARS_SQL = _CALENDAR_SQL.replace("CAST(s AS TIMESTAMP) + to_days(CAST(365 * n - 1 AS INTEGER))",
+                                   "CAST(make_date(CAST(year(s) + n AS BIGINT), 1, 1) AS TIMESTAMP) - INTERVAL 1 DAY")
+
+
+def _calendar(orders: DataFrame, full_years: bool = False) -> DataFrame:
     b = orders.agg(F.min("o_orderdate").alias("start"),
                    (F.year(F.max("o_orderdate")) - F.year(F.min("o_orderdate")) + 1).alias("n"))
-    return tu.calendar(b, "start", "n")
+    return tu.calendar(b, "start", "n", full_years)
 
 
 @register("calendar", _CALENDAR_SQL)
@@ -435,7 +440,7 @@ def _item_dim(spark, sf) -> DataFrame:
 _STAR_BASE = f"""
 WITH fact AS (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS date, count(*) AS n_orders
               FROM orders GROUP BY 1, 2),
-cal AS ({_CALENDAR_SQL}),
+cal AS ({_YEARS_SQL}),
 dim AS (SELECT c_custkey AS id, c_name AS name, n_name AS nation
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
 """
@@ -450,7 +455,7 @@ def q_star_snapshot(spark, sf):
     """J3 + J4 + J5: fact ⋈ one-snapshot metrics on id ⋈ calendar ⋈ item dim."""
     o = load(spark, sf, "orders")
     met = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("popularity"))
-    s = trends.star_join(_daily_fact(o), met, _calendar(o), _item_dim(spark, sf), daily=False)
+    s = trends.star_join(_daily_fact(o), met, _calendar(o, full_years=True), _item_dim(spark, sf), daily=False)
     return s.select("id", "date", "n_orders", "popularity", "weekday", "name", "nation")
 
 
@@ -465,7 +470,7 @@ def q_star_daily(spark, sf):
     o = load(spark, sf, "orders")
     met = (o.groupBy(F.col("o_custkey").alias("id"), F.to_date("o_orderdate").alias("date"))
            .agg(F.round(F.sum("o_totalprice"), 2).alias("popularity")))
-    s = trends.star_join(_daily_fact(o), met, _calendar(o), _item_dim(spark, sf), daily=True)
+    s = trends.star_join(_daily_fact(o), met, _calendar(o, full_years=True), _item_dim(spark, sf), daily=True)
     return s.select("id", "date", "n_orders", "popularity", "weekday", "name", "nation")
 
 
@@ -704,14 +709,14 @@ def q_stream_hourly(spark, sf):
 
 @register("hourly_landing", _EVENTS_OUT)
 def q_hourly_landing(spark, sf):
-    """K4 + W5 + S2: land every event hour as JSON lines in one pass
-    (zero-padded year/month/day/hour folders), read the landing back with
-    the declared schema."""
+    """K4 + W5: land every event hour as JSON lines in one pass (zero-padded
+    year/month/day/hour folders), twice: hours landed again are replaced."""
     from trendspark.session import scratch_dir
     from trendspark.sources.sinks import backfill_hours
     e = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     out = scratch_dir(spark, "hourly_landing")
-    backfill_hours(e, out, "ts", "1900-01-01 00:00:00", "2999-01-01 00:00:00")
+    for _ in range(2):
+        backfill_hours(e, out, "ts", "1900-01-01 00:00:00", "2999-01-01 00:00:00")
     from trendspark.sources.sinks import TEXT_TIME_OPTIONS
     back = spark.read.schema(e.schema).options(**TEXT_TIME_OPTIONS) \
         .option("recursiveFileLookup", True).json(out)
@@ -793,3 +798,137 @@ def q_document_counters(spark, sf):
     return load(spark, sf, "documents").agg(F.count(F.lit(1)).alias("rows"),
                                             F.count(tx.blank_to_null("text")).alias("with_text"),
                                             F.sum("n_chars").alias("chars"))
+
+
+# ---------------------------------------------------------------- jobs through their entry points
+
+def _landed_posts(spark, sf, root: str) -> None:
+    """The documents as raw posts, JSON by hour: three days, dealt by id."""
+    from trendspark.sources.sinks import land_hourly
+    d = load(spark, sf, "documents")
+    stamp = F.lit(1704067200) + F.pmod("doc_id", F.lit(3)) * 86400 + F.pmod("doc_id", F.lit(5)) * 3600
+    land_hourly(d.select(F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("string").alias("title"),
+                         F.col("text").alias("selftext"), F.concat(F.lit("r/"), "source").alias("subreddit_name_prefixed"),
+                         F.lit(1.0).alias("upvote_ratio"), stamp.cast("double").alias("created_utc"),
+                         F.timestamp_seconds(stamp).alias("ts")), root, "ts")
+
+
+def _item_csv(spark, sf, path: str) -> None:
+    b = load(spark, sf, "benchmark")
+    (b.select(F.col("item_id").alias("id"), F.concat(F.lit('The "item", no. '), "item_id").alias("title"),
+              tx.simple_text("text").alias("title_simple"))
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+
+
+@register("job_mention_fact", f"""
+WITH items AS ({PASSAGES}),
+docs AS (SELECT doc_id, lower(source) AS channel, make_date(2024, 1, CAST(1 + doc_id % 3 AS INTEGER)) AS date,
+                'none' || {SIMP('text')} AS st FROM documents),
+days AS (SELECT unnest([DATE '2024-01-01', DATE '2024-01-02']) AS date),
+hit AS (SELECT DISTINCT i.item_id, d.doc_id, d.channel, d.date FROM items i JOIN docs d ON i.kw IS NOT NULL AND contains(d.st, i.kw)),
+m AS (SELECT i.item_id, t.date, h.doc_id, h.channel FROM (SELECT DISTINCT item_id FROM items WHERE item_id IS NOT NULL) i
+      CROSS JOIN days t LEFT JOIN hit h ON h.item_id = i.item_id AND h.date = t.date),
+per_ch AS (SELECT item_id, date, channel, count(DISTINCT doc_id) AS mention_count FROM m GROUP BY ALL)
+SELECT item_id, CAST(sum(mention_count) OVER (PARTITION BY item_id, date) AS BIGINT) AS text_count, channel, mention_count, date
+FROM per_ch
+""")
+def q_job_mention_fact(spark, sf):
+    """E1 + E7 (S1, S2, S4, K1, S5): posts landed as JSON by hour, items as CSV, the job over two days
+    (twice: a rerun replaces its days), the fact read back by date range."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_fact_range
+    posts, items, out = (f"{scratch_dir(spark, 'job_mention_fact')}/{n}" for n in ("posts", "items", "fact"))
+    _landed_posts(spark, sf, posts)
+    _item_csv(spark, sf, items)
+    for _ in range(2):
+        jobs.run_mention_fact(spark, posts, items, out, start="2024-01-01", end="2024-01-02", num_partitions=8)
+    return read_fact_range(spark, out, "2024-01-01", "2024-01-02").select(
+        "item_id", "text_count", "channel", "mention_count", "date")
+
+
+def _landed_metrics(spark, sf, root: str) -> None:
+    """The parts as metric snapshots of three days, JSON by day, with nested genres and companies."""
+    from trendspark.sources.sinks import land_daily
+    p = load(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("popularity"),
+                                       F.col("p_size").cast("double").alias("vote_average"),
+                                       F.col("p_size").cast("bigint").alias("vote_count"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("id", F.lit(3)).cast("int"))
+    s = p.join(_snapshot(spark, sf), "id").withColumn("query_datetime", F.concat(day.cast("string"), F.lit(" 10:20:30")))
+    land_daily(s.withColumn("_ts", F.to_timestamp("query_datetime")), root, "_ts")
+
+
+@register("job_metric_fact", """
+SELECT p_partkey AS id, p_retailprice AS popularity, CAST(p_size AS DOUBLE) AS vote_average, CAST(p_size AS BIGINT) AS vote_count,
+       DATE '2024-01-02' AS date
+FROM part WHERE p_partkey % 3 = 1
+""")
+def q_job_metric_fact(spark, sf):
+    """E2 (S3, K5, F7 from text, K2, S6): snapshots landed as JSON by day, one day's fact, read as one partition."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_fact_day
+    landed, out = (f"{scratch_dir(spark, 'job_metric_fact')}/{n}" for n in ("landed", "fact"))
+    _landed_metrics(spark, sf, landed)
+    for day in ("2024-01-01", "2024-01-02"):
+        jobs.run_metric_fact(spark, landed, out, day)
+    return read_fact_day(spark, out, "2024-01-02").select("id", "popularity", "vote_average", "vote_count", "date")
+
+
+@register("job_build_dims", """
+SELECT CAST(p_size AS INTEGER) AS id, p_type AS name, 'genre' AS kind FROM part WHERE p_partkey % 3 = 2 GROUP BY ALL
+UNION ALL SELECT CAST(p_partkey AS INTEGER), p_name, 'item' FROM part WHERE p_partkey % 3 = 2
+UNION ALL SELECT CAST(isodow(d) AS INTEGER), strftime(d, '%Y-%m-%d'), 'day'
+FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY)) AS d)
+""")
+def q_job_build_dims(spark, sf):
+    """E3 (K3 as CSV, S7, F9): the dimensions of one landed day, written as CSV and read back."""
+    from trendspark import schemas
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_dimension
+    landed, out = (f"{scratch_dir(spark, 'job_build_dims')}/{n}" for n in ("landed", "dims"))
+    _landed_metrics(spark, sf, landed)
+    jobs.run_build_dims(spark, landed, out, "20240103", "2024-01-03", fmt="csv")
+    genres = read_dimension(spark, f"{out}/genres", fmt="csv").select(F.col("id").cast("int"), "name")
+    items = read_dimension(spark, f"{out}/mov", fmt="csv", schema=schemas.ITEM_DIM).select(F.col("id").cast("int"), "name")
+    days = read_dimension(spark, f"{out}/date", fmt="csv", schema=schemas.CALENDAR).select(
+        F.col("weekday").alias("id"), F.col("date").cast("string").alias("name"))
+    return (genres.withColumn("kind", F.lit("genre")).unionByName(items.withColumn("kind", F.lit("item")))
+            .unionByName(days.withColumn("kind", F.lit("day"))))
+
+
+@register("job_land_metrics", """
+SELECT count(*) AS total, count(*) FILTER (WHERE p_partkey IS NOT NULL) AS covered,
+       count(*) FILTER (WHERE p_partkey IS NULL) AS missing
+FROM benchmark LEFT JOIN part ON p_partkey = item_id
+""")
+def q_job_land_metrics(spark, sf):
+    """E5 + S10: snapshots without a stamp are stamped and landed; how many of the items they cover."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    incoming = _snapshot(spark, sf).withColumn("query_datetime", F.lit(None).cast("string"))
+    return jobs.land_metrics(spark, incoming, f"{scratch_dir(spark, 'job_land_metrics')}/landed",
+                             load(spark, sf, "benchmark").select("item_id"), "2024-01-05 00:00:00")
+
+
+@register("stream_phrase_filter", f"""
+SELECT d.doc_id, d.source FROM documents d
+WHERE EXISTS (SELECT 1 FROM ({PASSAGES}) k WHERE k.kw IS NOT NULL AND contains({SIMP('d.text')}, k.kw))
+""")
+def q_stream_phrase_filter(spark, sf):
+    """D3: the documents as a stream, archived if a passage is in the text."""
+    from trendspark.session import scratch_dir
+    from trendspark.streaming.ingest import file_stream, start_ingest
+    s = file_stream(spark, sf, load(spark, sf, "documents").schema, fmt="parquet", glob="documents.parquet")
+    s = s.withColumn("st", tx.simple_text("text")).withColumn("event_time", F.lit("2024-01-01").cast("timestamp"))
+    archive = f"{scratch_dir(spark, 'stream_phrase')}/archive"
+    start_ingest(spark, s, archive, scratch_dir(spark, "stream_phrase_ckpt"), keys=("doc_id",), order=("event_time",),
+                 keywords=_items(spark, sf, passages=True), text_col="st").awaitTermination()
+    return spark.read.parquet(archive).select("doc_id", "source")
+
+
+@register("totals_ascending", _TOTALS_SQL + "SELECT name, total FROM t ORDER BY total, name")
+def q_totals_ascending(spark, sf):
+    """L1: every total, smallest first."""
+    return trends.ascending(_totals(spark, sf)).select("name", "total")

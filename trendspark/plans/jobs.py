@@ -112,8 +112,12 @@ def run_metric_fact(spark: SparkSession, metrics_path: str, out: str, date: str,
 
 
 def build_dimensions(spark: SparkSession, snapshot: DataFrame, as_of: str,
-                     num_years: int = 1, full_years: bool = False) -> dict[str, DataFrame]:
-    """E3 plan: genre, company and item dimensions plus the calendar."""
+                     num_years: int = 1, full_years: bool = True) -> dict[str, DataFrame]:
+    """E3 plan: genre, company and item dimensions plus the calendar.
+
+    The view joins the calendar, so it has every day of its years;
+    ``full_years=False`` gives 365 days a year.
+    """
     out = dims.build_dims(snapshot)
     bounds = spark.range(1).select(F.lit(as_of).cast("date").alias("start"))
     out["date"] = calendar(bounds, "start", num_years, full_years)

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trendspark.functions.text import drop_fields
 from trendspark.functions.timeutil import path_parts
 from trendspark.operators.matching import texts_matching_any
+from trendspark.session import checkpoint_root
 from trendspark.sources.readers import track_phrases
 
 # Fixed values (must equal the collector's): fields of a raw post object that
@@ -183,15 +184,20 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
                 fresh, again = rows, None
                 if index is not None:
                     known = (index.where(F.col("bucket").isin(buckets)).join(rows.select(*keys), keys, "left_semi")
-                             .groupBy(*keys).agg(F.min((F.col("batch") == epoch_id).cast("int")).alias("_own")).persist())
+                             .groupBy(*keys).agg(F.min((F.col("batch") == epoch_id).cast("int")).alias("_own")))
                     fresh = new_rows_only(rows, known, keys)
                     own = known.where("_own = 1")
                     if not own.isEmpty():
                         again = new_rows_only(rows.join(own.select(*keys), keys, "left_semi"), stored(archive_path, fmt), keys)
-                (fresh.select(*keys, F.lit(epoch_id).alias("batch"), F.col("_bucket").alias("bucket")).hint("rebalance", "bucket")
+                new = fresh.withColumn("_again", F.lit(False))
+                if again is not None:
+                    new = new.unionByName(again.withColumn("_again", F.lit(True)))
+                # fixed in the shared folder: what is read here is written to below
+                checkpoint_root(spark)
+                new = new.checkpoint()
+                (new.where("not _again").select(*keys, F.lit(epoch_id).alias("batch"), F.col("_bucket").alias("bucket")).hint("rebalance", "bucket")
                  .write.mode("append").partitionBy("bucket").parquet(index_path))
-                new = (fresh if again is None else fresh.unionByName(again)).drop("_bucket")
-                out = new.select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
+                out = new.drop("_bucket", "_again").select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
                 out.write.mode("append").partitionBy(*parts).format(fmt).save(archive_path)
                 if counts is not None:
                     n = new.count()
