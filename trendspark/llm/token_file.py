@@ -62,15 +62,31 @@ class ByteEncoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def chunk(self, text: str) -> tuple[int, ...]:
+        self.memo: dict[str, list[int]] = {}
+
+    def chunk(self, text: str) -> list[int]:
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha():
+            return self.piece(text)
+        if word[:-1].isalpha():  # letters and one other character, which the pattern always takes alone
+            return self.piece(text[:-1]) + self.piece(text[-1])
         if any(s in text for s in self.specials):
-            return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return tuple(t.id for piece in self.split(text)
-                     for t in self.merge(piece.encode().decode("latin-1").translate(self.letters)))
-
-    def chunks(self, texts: list[str]) -> list[tuple[int, ...]]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return [i for p in self.split(text) for i in self.piece(p)]
+
+    def piece(self, text: str) -> list[int]:
+        """Ids of what the pattern takes as one; a chunk of its own has the same."""
+        ids = self.memo.get(text)
+        if ids is None:
+            ids = self._merged(text)
+            if len(self.memo) < MEMO_CHUNKS:
+                self.memo[text] = ids
+        return ids
+
+    def _merged(self, text: str) -> list[int]:
+        return [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.letters))]
+
+    def chunks(self, texts: list[str]) -> list[list[int]]:
         if len(self.memo) + len(texts) > 2 * MEMO_CHUNKS:
             self.memo.clear()
         known, keep = self.memo, len(self.memo) < MEMO_CHUNKS
@@ -104,7 +120,7 @@ class ByteEncoder:
         used = np.flatnonzero(used)
         words = coded.dictionary.to_pylist()
         ids = self.chunks([" " + words[c >> 1] if c & 1 else words[c >> 1] for c in used.tolist()])
-        ids.append((end_id,))
+        ids.append([end_id])
         place = np.empty(2 * len(words), np.int64)
         place[used] = np.arange(len(used))
         entry = np.insert(place[code], offsets[1:], len(used))  # each text's end behind its chunks
@@ -112,7 +128,7 @@ class ByteEncoder:
         if len(odd):
             base = len(ids)
             whole = self.tokenizer.encode_batch(texts.take(pa.array(odd)).to_pylist(), add_special_tokens=False)
-            ids += [tuple(e.ids) for e in whole]
+            ids += [e.ids for e in whole]
             entry[owner_ends[odd]] = base + np.arange(len(odd))  # its one empty chunk stands for the text
         size = np.array([len(x) for x in ids], np.int64)
         flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(size.sum()))
