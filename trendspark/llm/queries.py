@@ -76,6 +76,22 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL
+        ), link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ), sym AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+        ), reach AS (SELECT DISTINCT a, a AS b FROM sym UNION SELECT r.a, y.b FROM reach r JOIN sym y ON y.a = r.b
+        ), comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id,
+               w.doc_id = coalesce(comp.c, w.doc_id) AS kept
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.a = w.doc_id""",
     "op8_exact_top_k": """
         WITH v AS (
           SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
