@@ -3,16 +3,17 @@
 Lines end at a line feed.  A line is compared by its words in lower case with
 one blank between them; a line without words is always kept.  Its set holds the
 distinct shingles of ``CHARS`` characters (a shorter line: itself as one).
-Equal lines are one class.  Class signatures of 30 slots are cut in 10 bands of
-3: a pair at the threshold of 0.8 shares no band with probability
-(1 - 0.8^3)^10 = 0.0008, one at 0.9 with 2e-6.  Candidates are confirmed by
-their exact Jaccard similarity and grouped by distributed union-find.  The
+Equal lines are one class.  Class signatures of 80 slots are cut in 16 bands of
+5: a pair at the threshold of 0.8 shares no band with probability
+(1 - 0.8^5)^16 = 0.002, one at 0.9 with 6e-7; five slots keep chance meetings
+rare among many lines.  Candidates are confirmed by their exact Jaccard similarity and grouped by distributed union-find.  The
 first line of a group, by document id and place, stays; all others go.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from trendspark.llm.common import U64, by_bytes, mix64
 from trendspark.llm.scratch import fits, written
 from trendspark.llm.superminhash import bands, signatures
 
-CHARS, BANDS, ROWS = 7, 10, 3
+CHARS, BANDS, ROWS = 7, 16, 5
 _K = U64(0x9E3779B97F4A7C15)
 
 
@@ -167,23 +168,32 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "text", 2 << 20):
-        ids, k1, k2 = [], [], []
+        ids, k1, k2, again = [], [], [], []
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for key in {line_key(c) for line in (t or "").split("\n") if (c := canonical(line))}:
+            times = Counter(c for line in (t or "").split("\n") if (c := canonical(line)))
+            for c, n in times.items():
+                key = line_key(c)
                 ids.append(i)
                 k1.append(key[0])
                 k2.append(key[1])
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, k1, k2)], names=["doc_id", "k1", "k2"])
+                again.append(n > 1)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, k1, k2)), pa.array(again, pa.bool_())],
+                                         names=["doc_id", "k1", "k2", "again"])
 
 
 def _rewrite(n: int, text_at: int):
     """Drop lines: of a document's listed classes all, or all but the line at
-    the place kept.  Of a class not listed, all but its first in the document."""
+    the place kept; a class without a place keeps its first in the document.
+    Documents without a list have nothing to drop."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
             for t, drop in zip(batch.column(text_at).to_pylist(), batch.column(n).to_pylist()):
-                gone = {(d["k1"], d["k2"]): d["place"] for d in drop or ()}
+                if not drop:
+                    texts.append(t)
+                    removed.append(0)
+                    continue
+                gone = {(d["k1"], d["k2"]): d["place"] for d in drop if d["place"] is not None}
                 kept, seen, out = [], set(), 0
                 for k, line in enumerate((t or "").split("\n")):
                     c = canonical(line)
@@ -216,9 +226,10 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     keepers = line_groups(rows, **kwargs)
     side = F.broadcast(keepers) if fits(keepers, 40) else keepers
     # place -1: no line of that class stays in this document
-    hits = (rows.mapInArrow(_keys, "doc_id long, k1 long, k2 long").distinct()
-            .join(side.withColumnRenamed("doc_id", "first_doc"), ["k1", "k2"])
-            .select("doc_id", F.struct("k1", "k2", F.when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("place"))
+    hits = (rows.mapInArrow(_keys, "doc_id long, k1 long, k2 long, again boolean")
+            .join(side.withColumnRenamed("doc_id", "first_doc"), ["k1", "k2"], "left").where("docs is not null or again")
+            .select("doc_id", F.struct("k1", "k2", F.when(F.col("docs").isNull(), F.lit(None))
+                                       .when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("place"))
                                        .otherwise(-1).alias("place")).alias("drop")))
     drops = written(hits.groupBy("doc_id").agg(F.collect_list("drop").alias("__drop"))
                     .withColumnRenamed("doc_id", "__doc"), "drops")
