@@ -21,6 +21,9 @@ from trendspark.llm.scratch import fits, written
 from trendspark.llm.sentencepiece import digest
 from trendspark.llm.toxicity import THRESHOLD, toxicity_scores
 
+#: The threshold of the stage (op4's 0.85 is that query's own); a pair at 0.8 shares none of the bands with (1 - 0.8^5)^36 = 6e-7.
+NEAR = {"num": 80, "den": 100, "count": 36, "rows": 5}
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold."""
@@ -39,8 +42,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    gone = written(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "near-copies")
+    """One document of each group of near-duplicates: word shingles shared by 0.8 or more."""
+    gone = written(near_duplicates(docs, **NEAR).where(~F.col("kept")).select("doc_id").distinct(), "near-copies")
     return docs.join(F.broadcast(gone) if fits(gone, 16) else gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -44,3 +44,15 @@ def test_stages_on_odd_tables(spark, k):
         out = stage(spark, df, SF)
         assert k == 4 or out.schema.names == schema.names
         assert len(out.collect()) == len(some)
+
+
+def test_near_stage_takes_pairs_from_four_fifths(spark):
+    """9 of 11 shingles are shared (0.82): below op4's 0.85, above the stage's 0.8; 7 of 9 (0.78) is below both."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = []
+    for first, n, name in ((1, 14, "w"), (11, 12, "v")):
+        words = [f"{name}{i}" for i in range(n)]
+        rows += [(first, " ".join(words), "en", "s", 0), (first + 1, " ".join(words[:-1] + ["other"]), "en", "s", 0)]
+    want = test_near_dedup.brute([r[:2] for r in rows], num=80)
+    out = cp.near(spark, spark.createDataFrame(rows, schema), SF)
+    assert {r.doc_id for r in out.collect()} == {i for i, (_, c) in want.items() if i == c} == {1, 11, 12}
