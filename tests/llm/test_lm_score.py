@@ -111,3 +111,15 @@ def test_nothing_to_learn_from_and_empty(spark):
     rows = [(i, "a b a b") for i in range(200) if is_held(i)][:5]
     check(spark, rows)
     assert lm.lm_scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    """A phrase seen twice among some 250,000 other words (1e-5 of them would be more) scores better than the root."""
+    phrase = " ".join(f"p{k}" for k in range(8))
+    filler = [(i, " ".join(f"f{(i * 7919 + k * 104729) % 50021}" for k in range(1000))) for i in range(300)]
+    train, held = ([i for i in range(10000, 10100) if is_held(i) == h] for h in (False, True))
+    held = held[0]
+    rows = filler + [(train[0], phrase), (train[1], phrase), (held, phrase)]
+    got = {r.doc_id: r for r in lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held].held_out and got[held].n_known == 9
+    assert got[held].score > got[held].base_score + 20  # the start mark alone gives about 3

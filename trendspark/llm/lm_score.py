@@ -3,31 +3,31 @@
 Symbols are word hashes and one end symbol per text; contexts are the symbols
 before, back to a start mark, at most ``DEPTH`` of them.
 
-* Counts of all symbols of all training texts are one grouping; they give the
-  root, add-one over the symbols seen and one unknown symbol.
-* Level by level, the contexts that make up at least ``EPS`` of the corpus (so
-  at most 1/EPS of them) have their successors counted over all texts, one
-  grouping a level.  Successors with at least ``DELTA`` of the corpus keep a
-  probability of their own, discounted by ``DISCOUNT``; the rest of the mass
-  goes to the context one symbol shorter.
+* Grams (up to ``DEPTH`` symbols before and the symbol) are counted over all
+  texts by one grouping; those with shorter contexts are sums of them.  The
+  counts of symbols give the root, add-one over the symbols seen and one
+  unknown symbol.
+* Level by level, each context seen at least ``LEAST`` times whose successors
+  ``LEAST`` times are known gives those a probability of their own, discounted
+  by ``DISCOUNT``; the rest of the mass goes to the context one symbol shorter.
+  ``LEAST`` is the same at every size, so the tree grows with the corpus.
 * A context stays in the tree if its distribution diverges from that of its
   longest suffix in the tree: the log likelihood that it adds on the corpus
   must pay for its parameters (half a log of its count each).
 * A symbol is scored in the state of the longest suffix in the tree.
 
-The tree has at most DEPTH/EPS contexts and DEPTH/DELTA successors and symbols
-over ``COMMON`` are at most 1/COMMON, whatever the corpus, so they are sent to
-the tasks; the other symbols' counts are joined.
+``EPS`` and ``DELTA`` raise the least counts of contexts and successors to a
+share of the corpus; both are off.  All tables are written and joined by key;
+only keys with at least ``COMMON`` of all symbols, at most 1/COMMON of them a
+level, are sent to the tasks, so that no frequent key is a single task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +35,10 @@ from trendspark.llm.common import U64, by_bytes, mix64, text_bytes, text_words
 from trendspark.llm.labelled import held_out
 from trendspark.llm.scratch import written
 
-DEPTH, EPS, DELTA, COMMON, DISCOUNT = 3, 1e-5, 5e-6, 1e-6, 0.5
+DEPTH, LEAST, EPS, DELTA, COMMON, DISCOUNT = 3, 2, 0.0, 0.0, 1e-5, 0.5
+
 END, START = mix64(np.array([11, 13], U64) << U64(50))
 _K = U64(0x9E3779B97F4A7C15)
-_SLOT = U64(0xD6E8FEB86659FD93)
 
 
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,171 +67,109 @@ def histories(sym: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[np.n
         yield g
 
 
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted table, -1 if absent."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return np.where(table[at] == keys, at, -1)
-
-
-def _pair(context: np.ndarray, sym: np.ndarray) -> np.ndarray:
-    return mix64(context * _SLOT + sym)
-
-
-@dataclass
-class Level:
-    contexts: np.ndarray  # sorted hashes of those in the tree
-    backoff: np.ndarray  # log10 weight of the shorter suffix
-    pairs: np.ndarray  # sorted
-    logp: np.ndarray
-
-    def step(self, logp: np.ndarray, g: np.ndarray, sym: np.ndarray) -> None:
-        """Turn ``logp`` after the shorter suffix into that after ``g``, where g is in the tree."""
-        c = find(self.contexts, g)
-        on = np.flatnonzero(c >= 0)
-        p = find(self.pairs, _pair(g[on], sym[on]))
-        own = p >= 0
-        logp[on[own]] = self.logp[p[own]]
-        logp[on[~own]] += self.backoff[c[on[~own]]]
-
-
-@dataclass
-class Tree:
-    tokens: int
-    types: int
-    common: np.ndarray  # sorted symbols
-    counts: np.ndarray
-    levels: list[Level] = field(default_factory=list)
-
-    def root(self, count) -> np.ndarray:
-        return np.log10((count + 1.0) / (self.tokens + self.types + 1.0))
-
-    def after(self, tails: list[np.ndarray], sym: np.ndarray) -> np.ndarray:
-        """log10 probability of common symbols after contexts, given by the
-        hashes of their suffixes of length 1, 2, ... and themselves."""
-        out = self.root(self.counts[find(self.common, sym)]) if len(sym) else np.zeros(0)
-        for level, g in zip(self.levels, tails):
-            level.step(out, g, sym)
-        return out
-
-    def walk(self, sym: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per symbol: (log10 probability, for an uncommon one without the
-        root's part; root's part of a common one; place among the common)."""
-        at = find(self.common, sym)
-        base = np.where(at >= 0, self.root(self.counts[np.maximum(at, 0)]) if len(self.counts) else 0.0, 0.0)
-        out = base.copy()
-        for level, g in zip(self.levels, histories(sym, offsets, len(self.levels))):
-            level.step(out, g, sym)
-        return out, base, at
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_bytes(batches, "text"):
-        sym, _ = symbols(text_bytes(batch.column(0)))
-        s, n = np.unique(sym, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(n)], names=["s", "n"])
+def _keys(depth: int) -> list[str]:
+    return [*(f"g{i}" for i in range(1, depth + 1)), "s"]
 
 
-def _followed(length: int, contexts: np.ndarray, successors: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
-            sym, offsets = symbols(text_bytes(batch.column(0)))
-            for g in histories(sym, offsets, length):
-                pass
-            on = np.flatnonzero(find(contexts, g) >= 0)
-            on = on[find(successors, sym[on]) >= 0]
-            key = _pair(g[on], sym[on])
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            on = on[first]
-            yield pa.RecordBatch.from_arrays([pa.array(g[on].view(np.int64)), pa.array(sym[on].view(np.int64)), pa.array(n)],
-                                             names=["g", "s", "n"])
-    return run
+def _columns(batch: pa.RecordBatch, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """([context of length 1, 2, ... of each symbol, the symbols], offsets)."""
+    sym, offsets = symbols(text_bytes(batch.column(batch.schema.get_field_index("text"))))
+    return [*histories(sym, offsets, depth), sym], offsets
 
 
-def _sorted(a: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.argsort(a, kind="stable")
-    return (a[order], *(o[order] for o in others))
+def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct row, group of each row)."""
+    key = columns[-1]
+    for c in columns[:-1]:
+        key = mix64(key * _K + c)
+    _, first, group = np.unique(key, return_index=True, return_inverse=True)
+    return first, group
 
 
-def _level(g, s, n, total, suffix_p) -> Level:
-    """The contexts among (context g, successor s, count n) that diverge.
+def _longs(columns: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.array(c.view(np.int64)) for c in columns]
 
-    ``total``: occurrences of each row's context; ``suffix_p``: the probability
-    of s in the context's longest proper suffix in the tree.
-    """
-    contexts, where, k = np.unique(g, return_inverse=True, return_counts=True)
-    count = np.zeros(len(contexts))
-    count[where] = total
-    p = (n - DISCOUNT) / count[where]
-    left = np.maximum(1 - np.bincount(where, p, len(contexts)), 1e-9)
-    rest = np.maximum(1 - np.bincount(where, suffix_p, len(contexts)), 1e-9)
-    other = count - np.bincount(where, n, len(contexts))
-    gain = np.bincount(where, n * np.log(p / suffix_p), len(contexts)) + other * np.log(left / rest)
-    keep = gain > 0.5 * (k + 1) * np.log(count + 1)
-    rows = keep[where]
-    pairs, logp = _sorted(_pair(g[rows], s[rows]), np.log10(p[rows]))
-    return Level(contexts[keep], np.log10(left / rest)[keep], pairs, logp)
-
-
-def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """(tree, symbol counts (s, n)) of a table of training texts (text)."""
-    counts = written(texts.mapInArrow(_counted, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")), "symbol-counts")
-    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    common = counts.where(F.col("n") >= max(2, int(np.ceil(COMMON * tokens)))).toArrow()
-    table, n = _sorted(common.column("s").to_numpy().view(U64), common.column("n").to_numpy())
-    tree = Tree(tokens, types, table, n)
-    enough, some = max(2, int(np.ceil(EPS * tokens))), max(2, int(np.ceil(DELTA * tokens)))
-    texts_n = int(n[find(table, np.array([END]))[0]]) if len(n) and find(table, np.array([END]))[0] >= 0 else 0
-    successors = table[n >= some]
-    at = (n >= enough) & (table != END)
-    # candidate contexts of the level: occurrences, and the hashes of their suffixes of length 1, 2, ...
-    tails, times = [np.append(table[at], START)], np.append(n[at], texts_n).astype(np.float64)
-    for length in range(1, depth + 1):
-        if not len(times) or not len(successors):
-            break
-        contexts, times, *tails = _sorted(tails[-1], times, *tails)
-        rows = (texts.mapInArrow(_followed(length, contexts, successors), "g long, s long, n long")
-                .groupBy("g", "s").agg(F.sum("n").alias("n")).where(F.col("n") >= some).toArrow())
-        g, s = (rows.column(c).to_numpy().view(U64) for c in ("g", "s"))
-        n = rows.column("n").to_numpy().astype(np.float64)
-        at = find(contexts, g)
-        shorter = tree.after([t[at] for t in tails[:-1]], s)
-        tree.levels.append(_level(g, s, n, times[at], 10 ** shorter))
-        grown = (n >= enough) & (s != END)
-        times, tails = n[grown], [s[grown]] + [t[at][grown] * _K + s[grown] for t in tails]
-    return tree, counts
-
-
-_PART = ("row long, doc_id {id}, held_out boolean, n_tokens long, known long, base double, score double, "
-         "rare array<long>, times array<long>")
-
-
-def _scored(tree: Tree):
+
+def _counted(depth: int):
+    """Distinct grams of a batch: n in training texts, m in all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text"):
+            columns, offsets = _columns(batch, depth)
+            first, group = _distinct(columns)
+            held = batch.column(batch.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False).astype(bool)
+            n = np.bincount(group, np.repeat(~held, np.diff(offsets)), len(first)).astype(np.int64)
+            m = np.bincount(group, minlength=len(first)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*_longs([c[first] for c in columns]), pa.array(n), pa.array(m)],
+                                             names=[*_keys(depth), "n", "m"])
+    return run
+
+
+def _occurring(depth: int):
+    """Distinct grams of each row, and how often they stand in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 36
         for batch in by_bytes(batches, "text"):
-            sym, offsets = symbols(text_bytes(batch.column(2)))
-            logp, base, at = tree.walk(sym, offsets)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            add = lambda x: np.bincount(owner, x, batch.num_rows)
-            rare = np.flatnonzero(at < 0)
-            order = rare[np.lexsort((sym[rare], owner[rare]))]
-            o, h = owner[order], sym[order]
-            first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (h[1:] != h[:-1])])) if len(o) else o
-            times = np.diff(np.append(first, len(o)))
-            ends = np.searchsorted(o[first], np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(batch.num_rows)), batch.column(0), batch.column(1), pa.array(np.diff(offsets)),
-                 pa.array(add(at >= 0).astype(np.int64)), pa.array(add(base)), pa.array(add(logp)),
-                 pa.ListArray.from_arrays(ends, pa.array(h[first].view(np.int64))),
-                 pa.ListArray.from_arrays(ends, pa.array(times))],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"])
-            row += batch.num_rows
+            columns, offsets = _columns(batch, depth)
+            row = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            first, group = _distinct([row.view(U64), *columns])
+            times = np.bincount(group, minlength=len(first)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(row[first]), *_longs([c[first] for c in columns]), pa.array(times)],
+                                             names=["row", *_keys(depth), "times"])
     return run
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in by_bytes(batches, "text"):
+        _, offsets = symbols(text_bytes(batch.column(3)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(offsets))],
+                                         names=["row", "doc_id", "held_out", "n_tokens"])
+
+
+def _looked_up(rows: DataFrame, side: DataFrame, keys: list[str], weight: str, hot: float) -> DataFrame:
+    """``rows`` left joined with ``side`` (one row a key); keys of at least the weight ``hot`` are broadcast."""
+    often = F.broadcast(side.where(F.col(weight) >= hot).drop(weight))
+    return rows.join(often, keys).unionByName(
+        rows.join(often.select(*keys), keys, "left_anti").join(side.drop(weight), keys, "left"))
+
+
+def learn(rows: DataFrame, *, depth: int = DEPTH) -> tuple[DataFrame, int, float]:
+    """(grams, training symbols, least weight of a hot gram) of a written table
+    of (held_out, text): the tree comes from the rows that are not held out,
+    ``grams`` (*keys, m, logp, base, known) holds the log10 probabilities of
+    every gram of all rows, in the tree and in the root."""
+    keys = _keys(depth)
+    grams = [None] * depth + [written(rows.select("held_out", "text").mapInArrow(_counted(depth), ", ".join(f"{c} long" for c in [*keys, "n", "m"]))
+                                      .groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m")), f"grams-{depth}")]
+    for length in range(depth - 1, -1, -1):
+        grams[length] = written(grams[length + 1].groupBy(*_keys(length)).agg(F.sum("n").alias("n"), F.sum("m").alias("m")),
+                                f"grams-{length}")
+    tokens, types, every = grams[0].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)),
+                                        F.coalesce(F.sum("m"), F.lit(0))).first()
+    enough, some = (max(LEAST, int(np.ceil(share * tokens))) for share in (EPS, DELTA))
+    hot = max(2, COMMON * every)
+    base = F.log10((F.col("n") + 1) / F.lit(float(tokens + types + 1)))
+    scored = written(grams[0].select("s", "m", base.alias("logp"), base.alias("base"), (F.col("n") > 0).alias("known")), "scored-0")
+    for length in range(1, depth + 1):
+        g, n, q = F.col(f"g{length}"), F.col("n"), F.col("logp")
+        level = written(_looked_up(grams[length], scored, _keys(length - 1), "m", hot), f"level-{length}")
+        own = n >= some
+        sums = (level.where(g != 0).groupBy(g.alias(f"g{length}"))
+                .agg(F.sum("n").alias("c"), F.sum("m").alias("w"), F.count(F.when(own, 1)).alias("k"),
+                     F.sum(F.when(own, n)).alias("seen"), F.sum(F.when(own, F.pow(F.lit(10.0), q))).alias("shorter"),
+                     F.sum(F.when(own, n * (F.log(n - DISCOUNT) - q * float(np.log(10))))).alias("fit")))
+        left = F.greatest(1 - (F.col("seen") - DISCOUNT * F.col("k")) / F.col("c"), F.lit(1e-9))
+        rest = F.greatest(1 - F.col("shorter"), F.lit(1e-9))
+        gain = F.col("fit") - F.col("seen") * F.log("c") + (F.col("c") - F.col("seen")) * F.log(left / rest)
+        candidate = F.col("c") >= enough
+        if length == 1:
+            candidate |= g == int(START.view(np.int64))
+        kept = written(sums.where((F.col("k") > 0) & candidate & (gain > 0.5 * (F.col("k") + 1) * F.log(F.col("c") + 1)))
+                       .select(f"g{length}", "w", "c", F.log10(left / rest).alias("backoff")), f"contexts-{length}")
+        after = F.when(F.col("c").isNull(), q).when(own, F.log10((n - DISCOUNT) / F.col("c"))).otherwise(q + F.col("backoff"))
+        scored = written(_looked_up(level, kept, [f"g{length}"], "w", hot)
+                         .select(*_keys(length), "m", after.alias("logp"), "base", "known"), f"scored-{length}")
+    return scored, tokens, hot
+
+
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, part: int = 2,
               depth: int = DEPTH) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for
@@ -241,21 +179,19 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     id is not held out).  Null and empty texts are one end symbol.  Scores are
     log10 probabilities; an unknown symbol has the root's share for count 0.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col, parts, part).alias("held_out"),
-                       F.col(text_col).cast("string").alias("text"))
-    tree, counts = learn(rows.where("not held_out").select("text"), depth=depth)
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                               held_out(id_col, parts, part).alias("held_out"), F.col(text_col).cast("string").alias("text")),
+                   "lm-rows")
+    scored, tokens, hot = learn(rows, depth=depth)
+    # one key for a gram: its columns need not be shuffled
+    key = F.xxhash64(*_keys(depth)).alias("gram")
+    occurring = (rows.select("row", "text").mapInArrow(_occurring(depth), ", ".join(f"{c} long" for c in ["row", *_keys(depth), "times"]))
+                 .select("row", key, "times"))
+    sums = (_looked_up(occurring, scored.select(key, "m", "logp", "base", "known"), ["gram"], "m", hot)
+            .groupBy("row").agg(F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("n_known"),
+                                F.sum(F.col("times") * F.col("base")).alias("base_score"),
+                                F.sum(F.col("times") * F.col("logp")).alias("score")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    done = written(rows.mapInArrow(_scored(tree), _PART.format(id=id_type)), "lm-parts")
-    rare = done.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "row", F.col("r.rare").alias("s"), F.col("r.times").alias("k"))
-    total = F.lit(float(tree.tokens + tree.types + 1))
-    sums = (rare.join(counts, "s", "left")
-            .select("row", F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("known"),
-                    (F.col("k") * F.log10((F.coalesce("n", F.lit(0)) + 1) / total)).alias("log"))
-            .groupBy("row").agg(F.sum("known").alias("more"), F.sum("log").alias("log")))
-    more = F.coalesce("log", F.lit(0.0))
-    return (done.drop("rare", "times").join(sums, "row", "left")
-            .select(F.col("doc_id").alias(id_col), "held_out", "n_tokens",
-                    (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-                    F.lit(tree.tokens).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-                    (F.col("score") + more).alias("score")))
+    return (rows.mapInArrow(_lengths, f"row long, doc_id {id_type}, held_out boolean, n_tokens long").join(sums, "row", "left")
+            .select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
+                    F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"))
