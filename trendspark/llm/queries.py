@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendspark.llm.common import table
+from trendspark.llm import conversations
 from trendspark.llm import decontaminate as templates
 from trendspark.llm import sentencepiece
 from trendspark.llm.line_dedup import line_dedup
@@ -62,6 +63,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "items")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.structure_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
@@ -108,4 +114,5 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op10_decontamination": templates.oracle(),
+    "op11_conversation_repair": conversations.oracle(),
 }
