@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trendspark.llm.common import table
 from trendspark.llm import conversations
 from trendspark.llm import decontaminate as templates
+from trendspark.llm import hard_negatives
 from trendspark.llm import sentencepiece
 from trendspark.llm.line_dedup import line_dedup
 from trendspark.llm.lm_score import lm_scores
@@ -67,6 +68,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.structure_digest(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=hard_negatives.shifted_label())
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
@@ -79,6 +84,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -115,4 +121,5 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op10_decontamination": templates.oracle(),
     "op11_conversation_repair": conversations.oracle(),
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
