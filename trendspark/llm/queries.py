@@ -10,6 +10,7 @@ from trendspark.llm import conversations
 from trendspark.llm import decontaminate as templates
 from trendspark.llm import hard_negatives
 from trendspark.llm import sentencepiece
+from trendspark.llm import substring_dedup
 from trendspark.llm.line_dedup import line_dedup
 from trendspark.llm.lm_score import lm_scores
 from trendspark.llm.near_dedup import near_duplicates
@@ -72,6 +73,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=hard_negatives.shifted_label())
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_sentencepiece": op2_sentencepiece,
@@ -85,6 +90,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -122,4 +128,5 @@ ORACLE: dict[str, str] = {
     "op10_decontamination": templates.oracle(),
     "op11_conversation_repair": conversations.oracle(),
     "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_suffix_array_dedup": substring_dedup.oracle(),
 }
