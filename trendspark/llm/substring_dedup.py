@@ -267,10 +267,9 @@ def repeats(docs: DataFrame, *, least: int = LEAST, hot: int = HOT) -> DataFrame
     kinds = (candidates.groupBy("gram", "key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "start", "size")).alias("at"))
              .select("at.doc_id", "at.h", F.struct("gram", "key", "n", "at.start", (F.col("at.size") + (least - 1)).alias("bytes")).alias("w")))
     wanted = written(kinds.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_list("w").alias("wanted")), "wanted")
-    total, rows = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0)), F.count("*")).first()
-    side = F.broadcast(wanted) if (total + rows) * 48 <= 32 << 20 else wanted
-    slices = written(docs.join(side, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("text", "wanted")
-                     .mapInArrow(_cut, "gram long, key long, n long, slice binary"), "slices")
+    # shuffled at every size: what is wanted of the texts grows with them
+    slices = written(docs.join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")))
+                     .select("text", "wanted").mapInArrow(_cut, "gram long, key long, n long, slice binary"), "slices")
     sizes = slices.groupBy("gram").agg(F.sum(F.length("slice")).alias("bytes"))
     crowd = written(sizes.where(F.col("bytes") > hot).select("gram"), "hot-grams")
     crowd = F.broadcast(crowd) if fits(crowd, 16) else crowd
@@ -288,23 +287,42 @@ def repeats(docs: DataFrame, *, least: int = LEAST, hot: int = HOT) -> DataFrame
             .select("doc_id", "h", (F.col("start") + F.col("r.x")).alias("low"), (F.col("start") + F.col("r.y") + (least - 1)).alias("high")))
 
 
+def _united(ranges) -> list[tuple[int, int]]:
+    """Maximal ranges."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted((r["low"], r["high"]) for r in ranges):
+        if out and low <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], high)
+        else:
+            out.append((low, high))
+    return out
+
+
+def _maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, h, ranges): the ranges of each text united."""
+    kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1024):
+            part = batch.slice(a, 1024)
+            lists = [[{"low": x, "high": y} for x, y in _united(r)] for r in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(lists, kind)], names=part.schema.names)
+
+
 def _taken(n: int):
     """Cut the ranges (column n + 1) out of the texts (column n): bytes, kept bytes, bytes removed, maximal runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "__text", 8 * STEP):
             size, kept, removed, spans = [], [], [], []
             for t, ranges in zip(text_bytes(batch.column(n)), batch.column(n + 1).to_pylist()):
-                out, end, count = [], 0, 0
-                for low, high in sorted((r["low"], r["high"]) for r in ranges or ()):
-                    if not count or low > end:
-                        out.append(t[end:low])
-                        count += 1
-                    end = max(end, high)
+                out, end = [], 0
+                for r in ranges or ():
+                    out.append(t[end:r["low"]])
+                    end = r["high"]
                 out.append(t[end:])
                 kept.append(b"".join(out))
                 size.append(len(t))
                 removed.append(len(t) - len(kept[-1]))
-                spans.append(count)
+                spans.append(len(ranges or ()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:n], pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.int64())], names=[*batch.schema.names[:n], "__size", "__kept", "__removed", "__spans"])
@@ -328,8 +346,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(*names, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     rows = rows.withColumn("__h", F.xxhash64("__text"))
     found = repeats(rows.select(F.col(id_col).alias("doc_id"), F.col("__h").alias("h"), F.col("__text").alias("text")), least=least, hot=hot)
-    lists = written(found.groupBy(F.col("doc_id").alias("__d"), F.col("h").alias("__g"))
-                    .agg(F.collect_set(F.struct("low", "high")).alias("__ranges")), "ranges")
+    lists = found.groupBy(F.col("doc_id").alias("__d"), F.col("h").alias("__g")).agg(F.collect_set(F.struct("low", "high")).alias("__ranges"))
+    lists = written(lists.mapInArrow(_maximal, f"__d {rows.schema[id_col].dataType.simpleString()}, __g long, "
+                                               "__ranges array<struct<low int, high int>>"), "ranges")
     total, count = lists.agg(F.coalesce(F.sum(F.size("__ranges")), F.lit(0)), F.count("*")).first()
     side = F.broadcast(lists) if (total + 2 * count) * 16 <= 32 << 20 else lists
     joined = rows.join(side, F.col(id_col).eqNullSafe(F.col("__d")) & (F.col("__h") == F.col("__g")), "left")
