@@ -3,6 +3,7 @@ import math
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 
@@ -74,9 +75,31 @@ def test_documents(spark, p):
 
 def test_long_and_padded_paths_agree(p, monkeypatch):
     chunks = [" " + t for t in TEXTS if t]
-    a = p.segment(chunks)
+    chunks = pa.array([p._prepared(c) for c in chunks], pa.binary())
+    ids, n = p.segment(chunks)
     monkeypatch.setattr(sp, "LONG", 0)
-    assert p.segment(chunks) == a
+    again = p.segment(chunks)
+    assert ids.tolist() == again[0].tolist() and n.tolist() == again[1].tolist()
+
+
+def test_memo_starts_anew(p, monkeypatch):
+    """With a memo that holds next to nothing, ids are the same."""
+    texts = pa.array(TEXTS * 3)
+    want = [x.tolist() for x in p.encode(texts)]
+    small = sp.Pieces(PATH)
+    small.memo.limit = 100
+    for _ in range(2):
+        assert [x.tolist() for x in small.encode(texts)] == want
+    assert small.memo.words.nbytes < 100
+
+
+def test_digest_of_odd_tables(spark, p):
+    rows = [(1, "Hello world"), (1, "Hello world"), (None, None), (None, ""), (2, "long " * 200_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as ids", "2 as round_trip", "3 as __text2")
+    got = sorted(((r.doc_id, None if r.ids is None else list(r.ids), r.n_tokens, r.round_trip) for r in sp.digest(df).collect()), key=str)
+    want = [(i, None if t is None else brute(p, t), len(brute(p, t or "")), True) for i, t in rows]
+    assert got == sorted(want, key=str)
+    assert sp.digest(df.limit(0)).collect() == []
 
 
 def test_equals_library_unigram(p, tmp_path):

@@ -26,12 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.llm.chunks import Memo, spread
 from trendspark.llm.common import by_bytes, reduce_sum
 
 MARK = "▁"
 #: Stands for a marker of the text itself while encoding; no valid UTF-8 holds it, so no piece does.
 _OWN = b"\xff"
-MEMO_CHUNKS = 300_000
 #: Chunks of more bytes are segmented one by one, without padding.
 LONG = 96
 _CHUNK = re.compile(r" *[^ ]+| +")
@@ -42,7 +42,7 @@ class DoubleArray:
 
     def __init__(self, keys: dict[bytes, int]):
         size = max(1 << 12, 2 * sum(map(len, keys)) + 1024)
-        base, check, end = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
+        base, check, end = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         check[0] = 0
         low = 1  # the search for room begins here; nearly all below is taken
         todo = [(0, sorted(keys), 0)]
@@ -66,7 +66,7 @@ class DoubleArray:
                 at, width = at + width, 2 * width
                 if at + width + 512 > len(check):
                     more = len(check)
-                    base, check, end = (np.concatenate([x, np.full(more, fill)]) for x, fill in ((base, 0), (check, -1), (end, -1)))
+                    base, check, end = (np.concatenate([x, np.full(more, fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (end, -1)))
             if at > low and (check[low:at] >= 0).mean() > 0.9:
                 low = at
             while check[low] >= 0:
@@ -103,25 +103,40 @@ class Pieces:
         self.unknown = float(self.score[normal].min()) - 10
         self.trie = DoubleArray({self.text[i].encode(): i for i in normal})
         back = {i: b for b, i in self.byte.items()}
-        self.plain = [bytes([back[i]]) if i in back else b"" if i in skip else self.text[i].replace(MARK, " ").encode()
-                      for i in range(n)]
-        self.memo: dict[str, list[int]] = {}
+        plain = [bytes([back[i]]) if i in back else b"" if i in skip else self.text[i].replace(MARK, " ").encode() for i in range(n)]
+        # the bytes of each piece, then what it is at the head of a text, without the blank put before
+        self.plain = pa.array(plain + [t.removeprefix(b" ") for t in plain], pa.binary())
+        self.is_byte = np.isin(np.arange(n), list(back))
+        self.memo = Memo()
 
     def _prepared(self, chunk: str) -> bytes:
         return _OWN.join(part.replace(" ", MARK).encode() for part in chunk.split(MARK))
 
-    def segment(self, chunks: list[str]) -> list[list[int]]:
-        data = [self._prepared(c) for c in chunks]
-        out: list = [None] * len(chunks)
-        order = sorted((i for i in range(len(data)) if len(data[i]) <= LONG), key=lambda i: len(data[i]))
-        for a in range(0, len(order), 8192):
-            part = order[a:a + 8192]
-            for i, ids in zip(part, self._vector([data[i] for i in part])):
-                out[i] = ids
-        for i in range(len(data)):
-            if out[i] is None:
-                out[i] = self._single(data[i])
-        return out
+    def segment(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids per chunk); chunks as :meth:`_prepared` gives them."""
+        if not len(chunks):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ends = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset:chunks.offset + len(chunks) + 1].astype(np.int64)
+        start, n = ends[:-1], np.diff(ends)
+        data = np.frombuffer(chunks.buffers()[2] or b"", np.uint8)
+        count, found = np.zeros(len(chunks), np.int64), []
+        order = np.argsort(n, kind="stable")
+        short = int(np.searchsorted(n[order], LONG, "right"))
+        for a in range(0, short, 8192):
+            rows = order[a:min(a + 8192, short)]
+            ids, size = self._vector(data, start[rows], n[rows])
+            count[rows] = size
+            found.append((rows, ids))
+        for i in order[short:].tolist():
+            ids = self._single(data[start[i]:start[i] + n[i]].tobytes())
+            count[i] = len(ids)
+            found.append((np.array([i]), np.array(ids, np.int32)))
+        first = np.cumsum(count) - count
+        out = np.zeros(int(count.sum()), np.int32)
+        for rows, ids in found:
+            size = count[rows]
+            out[np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(len(ids))] = ids
+        return out, count
 
     def _emit(self, data: bytes, back: list[tuple[int, int]]) -> list[int]:
         """Ids from the (length, piece) that ends at each place; piece -1: unknown."""
@@ -162,66 +177,76 @@ class Pieces:
             i += char
         return self._emit(data, back)
 
-    def _vector(self, data: list[bytes]) -> list[list[int]]:
-        n, width = np.array([len(d) for d in data]), max(map(len, data))
+    def _vector(self, data: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the chunks data[start:start + n], a step for all at a time: (ids of all, ids per chunk)."""
+        rows, width = len(n), int(n.max(initial=0))
         if not width:
-            return [[] for _ in data]
-        grid = np.zeros((len(data), width + 4), np.int64)
-        flat = np.frombuffer(b"".join(data), np.uint8)
-        grid[np.repeat(np.arange(len(data)), n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = flat
-        best = np.full((len(data), width + 5), -np.inf)
-        best[:, 0] = 0
+            return np.zeros(0, np.int32), np.zeros(rows, np.int64)
+        place = np.arange(width)[:, None]
+        grid = np.where(place < n, data[np.minimum(start + place, len(data) - 1)], 0)  # a row for each place
+        char = np.select([grid < 0xC0, grid == 0xFF, grid < 0xE0, grid < 0xF0], [1, 1, 2, 3], 4)
+        best = np.full((width + 4, rows), -np.inf)
+        best[0] = 0
         size, piece = np.zeros(best.shape, np.int8), np.full(best.shape, -1, np.int32)
+        base, check, end = self.trie.base, self.trie.check, self.trie.end
+        last = len(check) - 1
         for i in range(width):
-            head = grid[:, i]
-            rows = np.flatnonzero((n > i) & ((head & 0xC0) != 0x80))
-            if not len(rows):
+            head = np.flatnonzero((n > i) & ((grid[i] & 0xC0) != 0x80))
+            if not len(head):
                 continue
-            char = np.select([head < 0xC0, head == 0xFF, head < 0xE0, head < 0xF0], [1, 1, 2, 3], 4)
-            single = np.zeros(len(data), bool)
-            state = np.zeros(len(rows), np.int64)
-            live = rows
+            single = np.zeros(rows, bool)
+            state, live = np.zeros(len(head), np.int32), head
             for j in range(i, width):
-                state = self.trie.step(state, grid[live, j])
-                on = (state >= 0) & (n[live] > j)
-                live, state = live[on], state[on]
+                to = np.minimum(base[state] + grid[j, live], last)
+                on = np.flatnonzero((check[to] == state) & (to != 0) & (n[live] > j))
+                live, state = live[on], to[on]
                 if not len(live):
                     break
-                p = self.trie.end[state]
-                hit = p >= 0
+                p = end[state]
+                hit = np.flatnonzero(p >= 0)
                 r, p = live[hit], p[hit]
-                single[r] |= char[r] == j + 1 - i
-                s = best[r, i] + self.score[p]
-                up = s > best[r, j + 1]
-                r, p = r[up], p[up]
-                best[r, j + 1], size[r, j + 1], piece[r, j + 1] = s[up], j + 1 - i, p
-            r = rows[~single[rows]]
-            s, to = best[r, i] + self.unknown, i + char[r]
-            up = s > best[r, to]
+                single[r[char[i, r] == j + 1 - i]] = True
+                s = best[i, r] + self.score[p]
+                up = np.flatnonzero(s > best[j + 1, r])
+                r = r[up]
+                best[j + 1, r], size[j + 1, r], piece[j + 1, r] = s[up], j + 1 - i, p[up]
+            r = head[~single[head]]
+            s, to = best[i, r] + self.unknown, i + char[i, r]
+            up = np.flatnonzero(s > best[to, r])
             r, to = r[up], to[up]
-            best[r, to], size[r, to], piece[r, to] = s[up], char[r], -1
-        sizes, pieces = size.tolist(), piece.tolist()
-        out = []
-        for d, z, p in zip(data, sizes, pieces):
-            ids, at = [], len(d)
-            while at:
-                if p[at] < 0:
-                    ids = None
-                    break
-                ids.append(p[at])
-                at -= z[at]
-            out.append(ids[::-1] if ids is not None else self._emit(d, list(zip(z, p))))
-        return out
-
-    def chunks(self, chunks: list[str]) -> list[list[int]]:
-        known = self.memo
-        new = [c for c in chunks if c not in known]
-        found = dict(zip(new, self.segment(new)))
-        out = [known[c] if c in known else found[c] for c in chunks]
-        if len(known) + len(found) > MEMO_CHUNKS:
-            known.clear()
-        known.update(itertools.islice(found.items(), MEMO_CHUNKS - len(known)))
-        return out
+            best[to, r], size[to, r], piece[to, r] = s[up], char[i, r], -1
+        return self._back(data, start, n, size, piece)
+
+    def _back(self, data, start, n, size, piece) -> tuple[np.ndarray, np.ndarray]:
+        """Ids from the (length, piece) tables, from all ends at once."""
+        at, live, steps = n.copy(), np.flatnonzero(n), []
+        count, odd = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
+        while len(live):
+            p = piece[at[live], live]
+            steps.append((live, p))
+            odd[live[p < 0]] = True
+            count[live] += 1
+            at[live] -= size[at[live], live]
+            live = live[at[live] > 0]
+        own = {int(r): self._emit(data[start[r]:start[r] + n[r]].tobytes(), list(zip(size[:, r].tolist(), piece[:, r].tolist())))
+               for r in np.flatnonzero(odd)}  # with unknown characters: bytes
+        done = count.copy()
+        count[list(own)] = [len(x) for x in own.values()]
+        first = np.cumsum(count) - count
+        out = np.zeros(int(count.sum()), np.int32)
+        for k, (r, p) in enumerate(steps):
+            plain = ~odd[r]
+            r, p = r[plain], p[plain]
+            out[first[r] + done[r] - 1 - k] = p
+        for r, ids in own.items():
+            out[first[r]:first[r] + len(ids)] = ids
+        return out, count
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`segment` of words with a blank before; an empty text has no chunk."""
+        data = pc.replace_substring(words.cast(pa.binary()), MARK.encode(), _OWN)
+        marked = pc.binary_join_element_wise(pa.scalar(MARK.encode()), data, pa.scalar(b""))
+        return self.segment(pc.if_else(pc.equal(data, b""), pa.scalar(b""), marked))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text); a null text has none."""
@@ -231,30 +256,25 @@ class Pieces:
         offsets = parts.offsets.to_numpy().astype(np.int64)
         offsets = offsets - offsets[0]
         coded = pc.dictionary_encode(parts.flatten())
-        words = [" " + w if w else "" for w in coded.dictionary.to_pylist()]  # an empty text has no chunk
+        ids, first, size = self.memo.ids_of(coded.dictionary, self._words)
         entry = coded.indices.to_numpy().astype(np.int64)
-        lists = self.chunks(words)
         if odd.any():
-            own = {}  # row: ids
-            for i in np.flatnonzero(odd):
-                found = _CHUNK.findall(" " + texts[int(i)].as_py())
-                own[int(i)] = list(itertools.chain.from_iterable(self.chunks(found)))
-            place = len(lists)
-            lists = lists + list(own.values())
+            own = np.flatnonzero(odd)
+            chunks = [[self._prepared(c) for c in _CHUNK.findall(" " + texts[int(i)].as_py())] for i in own]
+            more, n = self.segment(pa.array(list(itertools.chain.from_iterable(chunks)), pa.binary()))
+            n = reduce_sum(n, np.concatenate([[0], np.cumsum([len(c) for c in chunks])]))
             entry = entry.copy()
-            entry[offsets[list(own)]] = place + np.arange(len(own))  # its one empty chunk stands for the text
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(size.sum()))
-        first = np.cumsum(size) - size
-        n = size[entry]
-        at = np.cumsum(n)
-        out = flat[np.repeat(first[entry] - (at - n), n) + np.arange(int(at[-1]) if len(at) else 0)]
+            entry[offsets[own]] = len(first) + np.arange(len(own))  # its one empty chunk stands for the text
+            first = np.concatenate([first, len(ids) + np.cumsum(n) - n])
+            ids, size = np.concatenate([ids, more]), np.concatenate([size, n])
+        out, n = spread(ids, first, size, entry)
         return out, reduce_sum(n, offsets)
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids: bytes joined, markers to blanks, the blank put before taken off."""
-        data = b"".join([self.plain[i] for i in ids])
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Bytes of the texts ids[offsets[i]:offsets[i + 1]]: pieces joined, markers to blanks, the blank put before taken off."""
+        at = ids.astype(np.int64)
+        at[offsets[:-1][offsets[:-1] < offsets[1:]]] += len(self.text)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), self.plain.take(pa.array(at))), b"")
 
 
 _pieces: dict[tuple[str, str], Pieces] = {}
@@ -287,6 +307,14 @@ def encode(docs: DataFrame, *, file: str = "piece_bpe_32k.model", path: str | No
     return rows.mapInArrow(run, schema).withColumnRenamed("__ids", ids_col)
 
 
+def _text(data: pa.Array) -> pa.Array:
+    """As strings; bytes that are no UTF-8 are replaced."""
+    try:
+        return data.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([None if d is None else d.decode("utf-8", "replace") for d in data.to_pylist()], pa.string())
+
+
 def decode(rows: DataFrame, *, file: str = "piece_bpe_32k.model", path: str | None = None, scores: str = "zipf",
            ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``rows`` with the text of the ids; null ids give a null text."""
@@ -298,21 +326,36 @@ def decode(rows: DataFrame, *, file: str = "piece_bpe_32k.model", path: str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path or public_tokenizers.path(file), scores)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):  # bounded lists of Python numbers
+            for a in range(0, batch.num_rows, 256):  # bounded working memory
                 part = batch.slice(a, 256)
-                texts = [None if ids is None else p.decode(ids) for ids in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "__text"])
+                lists = part.column(at)
+                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                texts = _text(p.decode(ids, np.concatenate([[0], np.cumsum(n)])))
+                texts = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*names, "__text"])
     return kept.mapInArrow(run, schema).withColumnRenamed("__text", out_col)
 
 
-def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
-    """(id, ids, n_tokens, n_byte_tokens, round_trip): encoded, decoded again and compared.
+def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", file: str = "piece_bpe_32k.model",
+           path: str | None = None, scores: str = "zipf") -> DataFrame:
+    """(id, ids, n_tokens, n_byte_tokens, round_trip): encoded, decoded again and compared, in one pass.
 
-    Null texts: null ids, 0 tokens, a round trip.
+    Null texts: null ids, 0 tokens, a round trip; empty texts: no ids.  A null id
+    is kept, and repeated rows are digested each; other columns are not read.
     """
-    rows = decode(encode(docs.select(id_col, F.col(text_col).alias("text")), **kwargs), **kwargs)
-    first, last = 3, 258  # ids of the byte pieces in files with byte fallback
-    fallback = F.size(F.filter("ids", lambda i: (i >= first) & (i <= last)))
-    return rows.select(id_col, "ids", F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).alias("n_tokens"),
-                       F.when(F.col("ids").isNull(), 0).otherwise(fallback).alias("n_byte_tokens"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    schema = f"__id {rows.schema['__id'].dataType.simpleString()}, ids array<int>, n_tokens int, n_byte_tokens int, round_trip boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = pieces(path or public_tokenizers.path(file), scores)
+        for batch in by_bytes(batches, "__text", 2 << 20):
+            texts = batch.column(1)
+            ids, n = p.encode(texts)
+            offsets = np.concatenate([[0], np.cumsum(n)])
+            same = pc.equal(p.decode(ids, offsets), pc.fill_null(texts, "").cast(pa.binary()))
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids), mask=texts.is_null())
+            fallback = reduce_sum(p.is_byte[ids].astype(np.int64), offsets)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(n.astype(np.int32)), pa.array(fallback.astype(np.int32)), same],
+                                             names=["__id", "ids", "n_tokens", "n_byte_tokens", "round_trip"])
+    return rows.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
