@@ -11,6 +11,7 @@ writer commits the files, so a task that is run again leaves one copy.
 from __future__ import annotations
 
 import itertools
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,18 +26,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendspark.llm import rans
+from trendspark.llm.chunks import Memo, spread
 from trendspark.llm.common import by_bytes, reduce_sum
 from trendspark.llm.scratch import fits, folder
 
 #: Tokens of a segment.
 SEGMENT = 4 << 20
-#: Chunks of text kept per Python worker between batches; beyond it the memo starts anew.
-MEMO_CHUNKS = 300_000
 END_ID = 2
 
 SEGMENTS = "shard int, segment int, tokens long, docs long, table binary, index binary, blocks array<binary>"
 #: A blank with white space on both sides, where cutting at blanks would not be safe.
 _INNER = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+#: A chunk whose only white space is a blank before it.
+_VISIBLE = r"^ ?[^\s\x0b\x1c-\x1f\x{85}\p{Z}]+$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,54 +53,77 @@ class ByteEncoder:
 
     A text is cut before each blank that follows a visible letter, where the
     pre-tokenizer always cuts, so each distinct chunk of a batch is split and
-    merged once.  Texts where that is not safe go to the library whole.
+    merged once, all new ones by one call of the library.  Texts where that is
+    not safe go to the library whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
-        self.merge = self.tokenizer.model.tokenize
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
-        self.memo: dict[str, list[int]] = {}
-
-    def chunk(self, text: str) -> list[int]:
-        word = text[1:] if text[:1] == " " else text
-        if word.isalpha():
-            return self.piece(text)
-        if word[:-1].isalpha():  # letters and one other character, which the pattern always takes alone
-            return self.piece(text[:-1]) + self.piece(text[-1])
-        if any(s in text for s in self.specials):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return [i for p in self.split(text) for i in self.piece(p)]
-
-    def piece(self, text: str) -> list[int]:
-        """Ids of what the pattern takes as one; a chunk of its own has the same."""
-        ids = self.memo.get(text)
-        if ids is None:
-            ids = self._merged(text)
-            if len(self.memo) < MEMO_CHUNKS:
-                self.memo[text] = ids
-        return ids
-
-    def _merged(self, text: str) -> list[int]:
-        return [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.letters))]
-
-    def chunks(self, texts: list[str]) -> list[list[int]]:
-        if len(self.memo) + len(texts) > 2 * MEMO_CHUNKS:
-            self.memo.clear()
-        known, keep = self.memo, len(self.memo) < MEMO_CHUNKS
-        out = []
-        for t in texts:
-            ids = known.get(t)
-            if ids is None:
-                ids = self.chunk(t)
-                if keep:
-                    known[t] = ids
-            out.append(ids)
-        return out
+        # the library's merges over pieces written in its letters, a line feed's letter between them
+        self.gap = self.letters[10]
+        self.gap_id = self.tokenizer.token_to_id(self.gap)
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.Split(self.gap, "isolated")
+        self.known, self.known_pieces = Memo(), Memo()
+
+    def _chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids per chunk)."""
+        special = np.zeros(len(texts), bool)
+        for s in self.specials:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(texts, _VISIBLE).to_numpy(zero_copy_only=False) & ~special
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain & ~special), np.flatnonzero(special)])
+        # visible chunks at one go: a line feed between two is always taken alone
+        many = texts.filter(pa.array(plain))
+        pieces = self.split("\n".join(many.to_pylist()))
+        rest = [self.split(t) for t in texts.filter(pa.array(~plain & ~special)).to_pylist()]
+        head = len(pieces)
+        pieces += itertools.chain.from_iterable(rest)
+        coded = pc.dictionary_encode(pa.array(pieces, pa.string()))
+        ids, first, size = self.known_pieces.ids_of(coded.dictionary, self._merged)
+        entry = coded.indices.to_numpy().astype(np.int64)
+        gap = pc.index(coded.dictionary, "\n").as_py()
+        cut = np.flatnonzero(entry[:head] == gap)
+        ends = np.concatenate([cut, [head]])[:len(many)] - np.arange(len(many))  # without the line feeds
+        ends = np.concatenate([ends, head - len(cut) + np.cumsum([len(x) for x in rest], dtype=np.int64)])
+        out, n = spread(ids, first, size, np.delete(entry, cut))
+        n = reduce_sum(n, np.concatenate([[0], ends]).astype(np.int64))
+        whole = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.filter(pa.array(special)).to_pylist()]
+        out = np.concatenate([out, *(np.array(x, np.int32) for x in whole)])
+        n = np.concatenate([n, np.array([len(x) for x in whole], np.int64)])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return spread(out, np.cumsum(n) - n, n, back)
+
+    def _merged(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, ids per piece) by the library's merges."""
+        size, found, plain, lined = np.zeros(len(pieces), np.int64), [], [], []
+        for i, t in enumerate(pieces.to_pylist()):
+            (lined if "\n" in t else plain).append((i, t))
+        for a in range(0, len(plain), 512):
+            part = plain[a:a + 512]
+            text = "\n".join(t for _, t in part).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            cut = np.concatenate([[-1], np.flatnonzero(ids == self.gap_id), [len(ids)]])
+            rows = np.array([i for i, _ in part])
+            size[rows] = np.diff(cut) - 1
+            found.append((rows, ids[ids != self.gap_id]))
+        for i, t in lined:
+            ids = [x.id for x in self.merger.model.tokenize(t.encode().decode("latin-1").translate(self.letters))]
+            size[i] = len(ids)
+            found.append((np.array([i]), np.array(ids, np.int32)))
+        first = np.cumsum(size) - size
+        out = np.zeros(int(size.sum()), np.int32)
+        for rows, ids in found:
+            n = size[rows]
+            out[np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, size
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end_id``; ids per text)."""
@@ -118,24 +143,22 @@ class ByteEncoder:
         used = np.zeros(2 * len(coded.dictionary), bool)
         used[code] = True
         used = np.flatnonzero(used)
-        words = coded.dictionary.to_pylist()
-        ids = self.chunks([" " + words[c >> 1] if c & 1 else words[c >> 1] for c in used.tolist()])
-        ids.append([end_id])
-        place = np.empty(2 * len(words), np.int64)
+        words = coded.dictionary.take(pa.array(used >> 1))
+        blank = pc.if_else(pa.array((used & 1).astype(bool)), pa.scalar(" "), pa.scalar(""))
+        ids, first, size = self.known.ids_of(pc.binary_join_element_wise(blank, words, ""), self._chunks)
+        place = np.empty(2 * len(coded.dictionary), np.int64)
         place[used] = np.arange(len(used))
-        entry = np.insert(place[code], offsets[1:], len(used))  # each text's end behind its chunks
+        extra = [[end_id]]
+        entry = np.insert(place[code], offsets[1:], len(first))  # each text's end behind its chunks
         owner_ends = offsets + np.arange(len(offsets))
         if len(odd):
-            base = len(ids)
             whole = self.tokenizer.encode_batch(texts.take(pa.array(odd)).to_pylist(), add_special_tokens=False)
-            ids += [e.ids for e in whole]
-            entry[owner_ends[odd]] = base + np.arange(len(odd))  # its one empty chunk stands for the text
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(size.sum()))
-        first = np.cumsum(size) - size
-        n = size[entry]
-        at = np.cumsum(n)
-        out = flat[np.repeat(first[entry] - (at - n), n) + np.arange(int(at[-1]) if len(at) else 0)]
+            extra += [e.ids for e in whole]
+            entry[owner_ends[odd]] = len(first) + 1 + np.arange(len(odd))  # its one empty chunk stands for the text
+        more = np.array([len(x) for x in extra])
+        first = np.concatenate([first, len(ids) + np.cumsum(more) - more])
+        ids, size = np.concatenate([ids, *(np.array(x, np.int32) for x in extra)]), np.concatenate([size, more])
+        out, n = spread(ids, first, size, entry)
         return out, reduce_sum(n, owner_ends)
 
 
@@ -201,14 +224,14 @@ def write_tokens(docs: DataFrame, path: str, *, file: str = "byte_bpe_50k.json",
     """Encode every text and write the segments to ``path``.
 
     Rows are dealt to ``shards`` (default: the shuffle partitions) by ranges of
-    the id and sorted by (id, text), null ids first: the one shuffle, of the
-    two columns.  Null texts are empty: the end id alone.
+    the id, then of the text's head (rows without an id are no single task), and
+    sorted by (id, text), null ids first: the one shuffle, of the two columns.  Null texts are empty: the end id alone.
     """
     spark = docs.sparkSession
     where = vocabulary or public_tokenizers.path(file)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    (rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    (rows.repartitionByRange(n, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
      .mapInArrow(_segments(where, end_id), SEGMENTS).write.parquet(path))
 
 
