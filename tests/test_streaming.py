@@ -152,17 +152,85 @@ def test_old_keys_late_rows_and_null_keys(spark, tmp_path):
     assert counts == {"read": 3 + 5 + 5, "rejected": 1 + 2 + 2, "new": 3, "repeated": 2 + 3}
 
 
-def test_stop_between_keys_and_rows_loses_nothing(spark, tmp_path):
-    """The keys of a batch were written, its rows were not: the try again writes them."""
+def _late_batch(spark, *rows):
+    return spark.createDataFrame(list(rows), "id string, t string").withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+
+
+def test_stop_between_state_and_rows_loses_nothing(spark, tmp_path, monkeypatch):
+    """The write to the archive fails once, before or after the rows: the try again neither loses nor repeats one."""
+    for after in (False, True):
+        archive = str(tmp_path / f"archive{after}")
+        fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+        fn(_late_batch(spark, ("p0", "2024-12-08 12:00:00")), 0)
+        rows = _late_batch(spark, ("p1", "2024-12-08 12:00:00"), ("p2", "2024-12-09 12:00:00"))
+        real = ingest.KeyedArchive._drain
+
+        def broken(self):
+            parts, self.parts = self.parts, self.parts if after else ["no such column"]
+            ledger, self.ledger = self.ledger, f"{self.ledger}-lost" if after else self.ledger
+            unpersist = type(rows).unpersist
+            if after:
+                monkeypatch.setattr(type(rows), "unpersist", lambda df, *a: (unpersist(df, *a), 1 / 0)[0])
+            try:
+                real(self)
+            finally:
+                self.parts, self.ledger = parts, ledger
+                monkeypatch.setattr(type(rows), "unpersist", unpersist)
+
+        monkeypatch.setattr(ingest.KeyedArchive, "_drain", broken)
+        try:
+            fn(rows, 1)
+            raise AssertionError("did not fail")
+        except AssertionError:
+            raise
+        except Exception:
+            pass
+        monkeypatch.setattr(ingest.KeyedArchive, "_drain", real)
+        fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+        fn(rows, 1)
+        fn(rows, 1)
+        assert sorted(r.id for r in spark.read.parquet(archive).collect()) == ["p0", "p1", "p2"]
+
+
+def test_state_is_filled_from_the_archive(spark, tmp_path):
+    """An archive without its state (lost, or written by another tool): its keys are known all the same."""
+    import shutil
     archive = str(tmp_path / "archive")
-    rows = spark.createDataFrame([("p1",), ("p2",)], "id string") \
-        .withColumn("event_time", F.lit("2024-12-08 12:00:00").cast("timestamp"))
-    rows.select("id", F.lit(0).alias("batch"), ingest._bucket(["id"]).alias("bucket")) \
-        .write.partitionBy("bucket").parquet(archive + "_keys")
     fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
-    fn(rows, 0)
-    fn(rows, 0)
-    assert sorted(r.id for r in spark.read.parquet(archive).collect()) == ["p1", "p2"]
+    fn(_late_batch(spark, ("p1", "2024-12-08 12:00:00"), ("p2", "2024-12-09 12:00:00")), 0)
+    shutil.rmtree(archive + "_state")
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+    fn(_late_batch(spark, ("p1", "2024-12-10 12:00:00"), ("p3", "2024-12-08 12:00:00")), 0)
+    assert sorted((r.id, r.day) for r in spark.read.parquet(archive).collect()) == [("p1", 8), ("p2", 9), ("p3", 8)]
+
+
+def test_late_small_batch_reads_its_own_rows_only(spark, tmp_path, monkeypatch):
+    """After many batches a small one reads neither the archive nor other keys, and staged rows are gone."""
+    archive = str(tmp_path / "archive")
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+    for i in range(4):
+        fn(_late_batch(spark, *[(f"{i}-{j}", f"2024-12-0{i + 1} 12:00:00") for j in range(50)]), i)
+    read = []
+    loads = type(spark.read).load
+    monkeypatch.setattr(type(spark.read), "load", lambda self, path=None, *a, **k: (read.append(path), loads(self, path, *a, **k))[1])
+    fn(_late_batch(spark, ("0-0", "2024-12-05 12:00:00"), ("new", "2024-11-30 12:00:00")), 4)
+    assert read == []  # no table is read, only the staged stream
+    staged = [p for p in (tmp_path / "archive_state" / "staged").rglob("*.parquet")]
+    rows = sum(spark.read.parquet(str(p)).count() for p in staged)
+    assert rows <= 52  # of 202: those of earlier batches were deleted once read
+    assert spark.read.parquet(archive).count() == 201
+
+
+def test_ledger_names_touched_days(spark, tmp_path):
+    archive, done = str(tmp_path / "archive"), str(tmp_path / "done")
+    fn = ingest.archive_batch_writer(spark, archive, ["id"], "event_time")
+    assert ingest.touched_days(spark, archive, done).collect() == []
+    fn(_late_batch(spark, ("a", "2024-12-08 12:00:00"), ("b", "2024-12-08 13:00:00"), ("c", "2024-12-09 12:00:00")), 0)
+    got = ingest.touched_days(spark, archive, done)
+    assert sorted((r.year, r.month, r.day, r.rows) for r in got.collect()) == [("2024", "12", "08", 2), ("2024", "12", "09", 1)]
+    got.select("entry").write.parquet(done)
+    fn(_late_batch(spark, ("a", "2024-12-08 12:00:00"), ("d", "2024-12-09 23:00:00")), 1)
+    assert [(r.day, r.rows) for r in ingest.touched_days(spark, archive, done).collect()] == [("09", 1)]
 
 
 def test_arrival_order_first_copy_wins(spark, tmp_path):

@@ -70,10 +70,11 @@ def ascending(totals: DataFrame, name: str = "name", value: str = "total") -> Da
 
 
 def name_options(df: DataFrame, name: str = "name", all_label: str = "All") -> DataFrame:
-    """A5: the distinct names plus the 'All' option, a set without an order (column ``option``)."""
-    names = df.where(F.col(name).isNotNull()).select(F.col(name).alias("option")).distinct()
-    label = df.sparkSession.range(1).select(F.lit(all_label).alias("option"))
-    return label.unionByName(names)
+    """A5: (position, option) in order: the 'All' option leads (position 0), then the distinct
+    names (position 1) by name."""
+    names = df.where(F.col(name).isNotNull()).select(F.lit(1).alias("position"), F.col(name).alias("option")).distinct()
+    label = df.sparkSession.range(1).select(F.lit(0).alias("position"), F.lit(all_label).alias("option"))
+    return label.unionByName(names).orderBy("position", "option")
 
 
 def date_bounds(df: DataFrame, date: str = "date") -> DataFrame:

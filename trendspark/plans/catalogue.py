@@ -586,10 +586,10 @@ def q_date_bounds(spark, sf):
 
 
 @register("name_options", _SLICE_BASE + """
-SELECT 'All' AS option UNION ALL SELECT DISTINCT name FROM s WHERE name IS NOT NULL
+SELECT 0 AS position, 'All' AS option UNION ALL SELECT DISTINCT 1, name FROM s WHERE name IS NOT NULL
 """)
 def q_name_options(spark, sf):
-    """A5: 'All' plus the distinct names."""
+    """A5: 'All' in the leading position, then the distinct names."""
     return trends.name_options(_slice_view(spark, sf))
 
 
@@ -602,22 +602,29 @@ def q_row_counts(spark, sf):
     return quality.row_counts({t: load(spark, sf, t) for t in TABLES})
 
 
-@register("coverage", """
-SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
-""")
+_LAST_MONTH = """SELECT DISTINCT l_partkey AS k FROM lineitem
+WHERE CAST(l_shipdate AS DATE) > (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - INTERVAL 30 DAY"""
+
+
+def _last_month(spark, sf) -> DataFrame:
+    """The parts seen in the last thirty days of the line items: a snapshot with gaps."""
+    li = load(spark, sf, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("date"))
+    return trends.last_days(li, 30)
+
+
+@register("coverage", f"SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT k FROM ({_LAST_MONTH}))")
 def q_coverage(spark, sf):
-    """Items without any observation (anti-join over all snapshots)."""
-    return quality.uncovered(load(spark, sf, "customer").select("c_custkey", "c_name"), load(spark, sf, "orders"),
-                             "c_custkey", "o_custkey")
+    """Items without an observation in the last month (anti-join)."""
+    return quality.uncovered(load(spark, sf, "part").select("p_partkey", "p_name"), _last_month(spark, sf), "p_partkey", "l_partkey")
 
 
-@register("coverage_summary", """
+@register("coverage_summary", f"""
 SELECT count(*) AS total, count(h.k) AS covered, count(*) - count(h.k) AS missing
-FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) h ON c.c_custkey = h.k
+FROM part LEFT JOIN ({_LAST_MONTH}) h ON p_partkey = h.k
 """)
 def q_coverage_summary(spark, sf):
     """S10 tally: total / covered / missing."""
-    return quality.coverage_summary(load(spark, sf, "customer"), load(spark, sf, "orders"), "c_custkey", "o_custkey")
+    return quality.coverage_summary(load(spark, sf, "part"), _last_month(spark, sf), "p_partkey", "l_partkey")
 
 
 @register("coverage_by_day", """
@@ -659,18 +666,22 @@ def _events_stream(spark, sf):
     return event_time(file_stream(spark, sf, schema, fmt="parquet", glob="events.parquet"), "ts")
 
 
+#: Files of a landing, and of a batch.
+_FILES = 4
+
+
 @register("stream_dedup", _EVENTS_OUT)
 def q_stream_dedup(spark, sf):
-    """D1 + D6: the events land in three files with the latest hours first and
-    every file again, one file a batch; each id is kept once, late rows too."""
+    """D1 + D6: the events land three times, the latest hours first, and all of it
+    again, a landing a batch; each id is kept once, late rows too."""
     from trendspark.session import scratch_dir
     from trendspark.streaming.ingest import event_time, file_stream, start_ingest
     e = load(spark, sf, "events")
     inbox, archive = scratch_dir(spark, "events_in"), f"{scratch_dir(spark, 'stream_dedup')}/archive"
     for _ in range(2):
         for hours in ((16, 24), (8, 16), (0, 8)):
-            e.where((F.hour("ts") >= hours[0]) & (F.hour("ts") < hours[1])).coalesce(1).write.mode("append").parquet(inbox)
-    s = event_time(file_stream(spark, inbox, e.schema, fmt="parquet", max_files_per_trigger=1), "ts")
+            e.where((F.hour("ts") >= hours[0]) & (F.hour("ts") < hours[1])).repartition(_FILES).write.mode("append").parquet(inbox)
+    s = event_time(file_stream(spark, inbox, e.schema, fmt="parquet", max_files_per_trigger=_FILES), "ts")
     start_ingest(spark, s, archive, scratch_dir(spark, "stream_dedup_ckpt"), keys=("event_id",), ts="event_time",
                  order=("event_time",)).awaitTermination()
     return spark.read.parquet(archive).select("event_id", "ts", "user_id", "event_type", "value",
@@ -680,7 +691,7 @@ def q_stream_dedup(spark, sf):
 @register("stream_new_only", _EVENTS_OUT)
 def q_stream_new_only(spark, sf):
     """Ingest twice, the second time with a fresh checkpoint; the archive
-    keeps each id once (anti-join against the index of stored keys)."""
+    keeps each id once (keyed state over all stored keys)."""
     from trendspark.session import scratch_dir
     from trendspark.streaming.ingest import start_ingest
     archive = f"{scratch_dir(spark, 'stream_archive')}/archive"
@@ -901,15 +912,17 @@ def q_job_build_dims(spark, sf):
 @register("job_land_metrics", """
 SELECT count(*) AS total, count(*) FILTER (WHERE p_partkey IS NOT NULL) AS covered,
        count(*) FILTER (WHERE p_partkey IS NULL) AS missing
-FROM benchmark LEFT JOIN part ON p_partkey = item_id
+FROM benchmark LEFT JOIN (SELECT p_partkey FROM part WHERE p_partkey % 2 = 0) ON p_partkey = item_id
 """)
 def q_job_land_metrics(spark, sf):
-    """E5 + S10: snapshots without a stamp are stamped and landed; how many of the items they cover."""
+    """E5 + S10: snapshots without a stamp are stamped and landed, on one day all of them, today (the default) half
+    of them; how many of the items today's landing covers."""
     from trendspark.plans import jobs
     from trendspark.session import scratch_dir
     incoming = _snapshot(spark, sf).withColumn("query_datetime", F.lit(None).cast("string"))
-    return jobs.land_metrics(spark, incoming, f"{scratch_dir(spark, 'job_land_metrics')}/landed",
-                             load(spark, sf, "benchmark").select("item_id"), "2024-01-05 00:00:00")
+    landed, items = f"{scratch_dir(spark, 'job_land_metrics')}/landed", load(spark, sf, "benchmark").select("item_id")
+    jobs.land_metrics(spark, incoming, landed, items, "2024-01-05 00:00:00")
+    return jobs.land_metrics(spark, incoming.where(F.col("id") % 2 == 0), landed, items)
 
 
 @register("stream_phrase_filter", f"""
@@ -932,3 +945,197 @@ def q_stream_phrase_filter(spark, sf):
 def q_totals_ascending(spark, sf):
     """L1: every total, smallest first."""
     return trends.ascending(_totals(spark, sf)).select("name", "total")
+
+
+# ---------------------------------------------------------------- streams that land, collect and count
+
+@register("past_hour", """
+WITH m AS (SELECT date_trunc('hour', max(ts)) AS e FROM events)
+SELECT event_id, ts FROM events, m WHERE ts >= e - INTERVAL 1 HOUR AND ts < e
+""")
+def q_past_hour(spark, sf):
+    """F13 + S9: the rows of the whole hour before the latest stamp."""
+    e = load(spark, sf, "events").select("event_id", "ts")
+    start, end = tu.past_hour_interval(e.agg(F.max("ts")).scalar())
+    return e.where(tu.in_interval(F.col("ts").cast("timestamp"), start, end))
+
+
+@register("category_measures", """
+SELECT 'size ' || CAST(p_size AS INTEGER) AS category, round(avg(l_quantity), 2) AS l_quantity, max(l_extendedprice) AS l_extendedprice,
+       min(l_discount) AS l_discount, count(l_tax) AS l_tax
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1
+""")
+def q_category_measures(spark, sf):
+    """Average, greatest, least and count per category of a category dimension, through the items' id lists."""
+    p = load(spark, sf, "part")
+    items = p.select(F.col("p_partkey").alias("id"), F.array(F.col("p_size").cast("int")).alias("genres_id"))
+    sizes = p.select(F.col("p_size").cast("int").alias("id")).distinct().withColumn("name", F.concat(F.lit("size "), "id"))
+    measures = {"l_quantity": "avg", "l_extendedprice": "max", "l_discount": "min", "l_tax": "count"}
+    out = dims.category_rollup(load(spark, sf, "lineitem").withColumnRenamed("l_partkey", "id"), items, sizes, measures=measures)
+    return out.withColumn("l_quantity", F.round("l_quantity", 2))
+
+
+def _arrivals(spark, sf, root: str, *parts) -> DataFrame:
+    """The events that satisfy each of ``parts``, landed one after the other; their schema's table."""
+    e = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    for part in parts:
+        e.where(part).repartition(_FILES).write.mode("append").parquet(root)
+    return e
+
+
+@register("closed_hours", """
+WITH m AS (SELECT date_trunc('hour', max(ts) - INTERVAL 2 HOUR) AS closed FROM events WHERE event_id % 10 <> 0)
+SELECT event_id, ts, user_id, event_type, value, event_id % 10 = 0 AND date_trunc('hour', ts) < closed AS late FROM events, m
+""")
+def q_closed_hours(spark, sf):
+    """D4 + K4: events land in two parts and a tenth of them late; an hour's folder is written once, when the watermark
+    closes it, rows for closed hours go to the late folder, and both together are the events."""
+    from trendspark.session import scratch_dir
+    from trendspark.streaming.hours import read_landed_hours, start_hour_landing
+    from trendspark.streaming.ingest import event_time, file_stream
+    root = scratch_dir(spark, "closed_hours")
+    late, middle = F.col("event_id") % 10 == 0, F.col("ts") < F.lit("2024-01-16 00:00:00")
+    e = _arrivals(spark, sf, f"{root}/in", ~late & middle, ~late & ~middle, late)
+    s = event_time(file_stream(spark, f"{root}/in", e.schema, fmt="parquet", max_files_per_trigger=_FILES), "ts")
+    query, landing = start_hour_landing(s, f"{root}/hours", "event_time", 7200, f"{root}/ckpt", fmt="parquet")
+    query.awaitTermination()
+    landing.finish()
+    return read_landed_hours(spark, f"{root}/hours", e.schema, "parquet")
+
+
+@register("channel_sessions", "SELECT event_id, event_type, CAST(1 AS BIGINT) AS taken, true AS within_cap FROM events")
+def q_channel_sessions(spark, sf):
+    """S8 + D5: sessions collect at most so many rows a channel, until all are; every row is taken by one session."""
+    from trendspark.session import scratch_dir
+    from trendspark.streaming.sessions import run_sessions
+    root = scratch_dir(spark, "channel_sessions")
+    e = _arrivals(spark, sf, f"{root}/in", F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1)
+    cap = max(1, e.count() // 12)
+    run_sessions(spark, f"{root}/in", f"{root}/offsets", f"{root}/out", channel="event_type", posts=cap, seconds=3600)
+    taken = spark.read.parquet(f"{root}/out")
+    size = taken.groupBy("session", "event_type").agg((F.count("*") <= cap).alias("within_cap"))
+    return (taken.join(size, ["session", "event_type"]).groupBy("event_id", "event_type")
+            .agg(F.count("*").alias("taken"), F.min("within_cap").alias("within_cap")))
+
+
+@register("observed_counters", """
+SELECT 'events' AS name, 'read' AS counter, 2 * count(*) AS value FROM events
+UNION ALL SELECT 'events', 'rejected', count(*) FILTER (WHERE event_id % 100 = 0) FROM events
+UNION ALL SELECT 'events_new', 'rows', count(*) FROM events
+UNION ALL SELECT 'fact', 'rows', count(*) FROM events
+UNION ALL SELECT 'fact', 'values', count(value) FROM events
+""")
+def q_observed_counters(spark, sf):
+    """Counters that Spark observes while an ingest (all events, then again with a hundredth of the keys lost)
+    and a fact write run, read through a listener and an observation."""
+    from trendspark.session import scratch_dir
+    from trendspark.sources.sinks import write_fact
+    from trendspark.streaming.counters import Counters
+    from trendspark.streaming.ingest import event_time, file_stream, start_ingest
+    root = scratch_dir(spark, "observed_counters")
+    e = _arrivals(spark, sf, f"{root}/in", F.lit(True))
+    e.withColumn("event_id", F.when(F.col("event_id") % 100 != 0, F.col("event_id"))).write.mode("append").parquet(f"{root}/in")
+    s = event_time(file_stream(spark, f"{root}/in", e.schema, fmt="parquet", max_files_per_trigger=_FILES), "ts")
+    with Counters(spark) as seen:
+        start_ingest(spark, s, f"{root}/archive", f"{root}/ckpt", keys=("event_id",), ts="event_time", order=("event_time",),
+                     observe="events").awaitTermination()
+    fact, counts = quality.with_counters(e.withColumn("date", F.to_date("ts")), "fact", values=F.count("value"))
+    write_fact(fact, f"{root}/fact")
+    rows = [("fact", k, int(v)) for k, v in sorted(counts.get.items())]
+    return seen.table().unionByName(spark.createDataFrame(rows, "name string, counter string, value long"))
+
+
+# ---------------------------------------------------------------- one load, late posts, the trend view
+
+@register("consistent_load", """
+SELECT DISTINCT 'genre' AS kind, CAST(p_size AS INTEGER) AS id, p_type AS name FROM part
+UNION ALL SELECT 'item', CAST(p_partkey AS INTEGER), p_name FROM part
+""")
+def q_consistent_load(spark, sf):
+    """K3 + S7: a load of all dimensions, then a newer one that stops before its last table; the newest complete one is read."""
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_load
+    from trendspark.sources.sinks import write_dimension, write_load
+    root, snapshot = scratch_dir(spark, "consistent_load"), _snapshot(spark, sf)
+    write_load(dims.build_dims(snapshot), root, "20240101")
+    for name in ("genres", "production_companies"):  # the next load stops here
+        write_dimension(dims.build_dims(snapshot.where(F.col("id") % 2 == 0))[name], f"{root}/{name}", "20240201")
+    found = read_load(spark, root, ("genres", "production_companies", "mov"))
+    return (found["genres"].select(F.lit("genre").alias("kind"), "id", "name")
+            .unionByName(found["mov"].select(F.lit("item").alias("kind"), F.col("id").cast("int"), "name")))
+
+
+def _mention_fact_sql(days: str) -> str:
+    return f"""
+WITH items AS ({PASSAGES}),
+docs AS (SELECT doc_id, lower(source) AS channel, make_date(2024, 1, CAST(1 + doc_id % 3 AS INTEGER)) AS date,
+                'none' || {SIMP('text')} AS st FROM documents),
+days AS (SELECT unnest([{days}]) AS date),
+hit AS (SELECT DISTINCT i.item_id, d.doc_id, d.channel, d.date FROM items i JOIN docs d ON i.kw IS NOT NULL AND contains(d.st, i.kw)),
+m AS (SELECT i.item_id, t.date, h.doc_id, h.channel FROM (SELECT DISTINCT item_id FROM items WHERE item_id IS NOT NULL) i
+      CROSS JOIN days t LEFT JOIN hit h ON h.item_id = i.item_id AND h.date = t.date),
+per_ch AS (SELECT item_id, date, channel, count(DISTINCT doc_id) AS mention_count FROM m GROUP BY ALL),
+fact AS (SELECT item_id, CAST(sum(mention_count) OVER (PARTITION BY item_id, date) AS BIGINT) AS text_count, channel, mention_count, date
+         FROM per_ch)
+"""
+
+
+@register("stream_late_refresh", _mention_fact_sql("DATE '2024-01-01', DATE '2024-01-02', DATE '2024-01-03'") + "SELECT * FROM fact")
+def q_stream_late_refresh(spark, sf):
+    """D6 + E1: posts are ingested and the fact is built for the days touched; late posts of one day follow, and the
+    refresh builds that day again.  The fact is that of all posts."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_fact_range
+    from trendspark.streaming.ingest import file_stream, start_ingest
+    root = scratch_dir(spark, "stream_late_refresh")
+    d = load(spark, sf, "documents")
+    stamp = F.lit(1704067200) + F.pmod("doc_id", F.lit(3)) * 86400 + F.pmod("doc_id", F.lit(5)) * 3600
+    posts = d.select(F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("selftext"),
+                     F.concat(F.lit("r/"), "source").alias("subreddit_name_prefixed"), stamp.cast("double").alias("created_utc"))
+    _item_csv(spark, sf, f"{root}/items")
+    late = (F.col("id").cast("long") % 4 == 3) & (F.col("id").cast("long") % 3 == 1)
+    for part in (~late, late):
+        posts.where(part).write.mode("append").parquet(f"{root}/in")
+        s = file_stream(spark, f"{root}/in", posts.schema, fmt="parquet").withColumn("event_time", F.timestamp_seconds("created_utc"))
+        start_ingest(spark, s, f"{root}/archive", f"{root}/ckpt", keys=("id",), drop=()).awaitTermination()
+        jobs.refresh_mention_fact(spark, f"{root}/archive", f"{root}/items", f"{root}/fact")
+    return read_fact_range(spark, f"{root}/fact", "2024-01-01", "2024-01-03").select("item_id", "text_count", "channel", "mention_count", "date")
+
+
+def _trend_view(spark, sf) -> DataFrame:
+    """The view of E6 over facts and dimensions that the jobs wrote."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    root = scratch_dir(spark, "trend_view")
+    posts, items, landed, fact, metrics, dim = (f"{root}/{n}" for n in ("posts", "items", "landed", "fact", "metrics", "dims"))
+    _landed_posts(spark, sf, posts)
+    _item_csv(spark, sf, items)
+    _landed_metrics(spark, sf, landed)
+    jobs.run_mention_fact(spark, posts, items, fact, start="2024-01-01", end="2024-01-02")
+    for day in ("2024-01-01", "2024-01-02"):
+        jobs.run_metric_fact(spark, landed, metrics, day)
+    jobs.run_build_dims(spark, landed, dim, "20240101", "2024-01-02")
+    return jobs.build_trends(spark, fact, metrics, dim, "2024-01-01", "2024-01-02")
+
+
+_VIEW_SQL = _mention_fact_sql("DATE '2024-01-01', DATE '2024-01-02'") + """,
+view AS (SELECT p_partkey AS id, p_name AS name, date, channel, mention_count, p_retailprice AS popularity, CAST(isodow(date) AS INTEGER) AS weekday
+         FROM fact JOIN part ON p_partkey = item_id WHERE p_partkey % 3 = 1 AND date = DATE '2024-01-02')
+"""
+
+
+@register("job_trend_view", _VIEW_SQL + "SELECT * FROM view")
+def q_job_trend_view(spark, sf):
+    """E6 (J3b, J4, J5, S5, S7): the star view over written facts, metrics and one load of dimensions."""
+    return _trend_view(spark, sf).select("id", "name", "date", "channel", "mention_count", "popularity", "weekday")
+
+
+@register("job_rank_totals", _VIEW_SQL + """,
+t AS (SELECT name, CAST(sum(mention_count) AS BIGINT) AS total FROM view WHERE name IS NOT NULL GROUP BY name)
+SELECT name, total FROM t QUALIFY row_number() OVER (ORDER BY total DESC, name DESC) > 3
+""")
+def q_job_rank_totals(spark, sf):
+    """E6 (A3, L2): totals per name of that view without the three largest."""
+    from trendspark.plans import jobs
+    return jobs.rank_totals(_trend_view(spark, sf)).select("name", "total")

@@ -16,15 +16,18 @@ from trendspark import schemas
 from trendspark.functions.text import token_end_mask, token_start_mask
 from trendspark.functions.timeutil import calendar
 from trendspark.operators import dims, facts, quality, trends
+from trendspark.session import scratch_dir
 from trendspark.sources import readers, sinks
+from trendspark.streaming import ingest
 
 log = logging.getLogger("trendspark.jobs")
 
 
-def _dates(df: DataFrame, start: str, end: str) -> DataFrame:
-    """``df`` repeated once per day in [start, end] (a generator, not a join)."""
-    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    return df.select("*", days.alias("date"))
+def _dates(df: DataFrame, start: str, end: str, days: list[str] | None = None) -> DataFrame:
+    """``df`` repeated once per day in [start, end], or per listed day (a generator, not a join)."""
+    listed = (F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")) if days is None
+              else F.array(*[F.lit(d).cast("date") for d in days]))
+    return df.select("*", F.explode(listed).alias("date"))
 
 
 def _epoch_bounds(start: str, end: str) -> tuple[float, float]:
@@ -40,20 +43,23 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
                  start: str | None = None, end: str | None = None,
                  num_partitions: int | None = None, day_folders: bool = True,
                  missing_title: str | None = "None", observation=None,
-                 whole_tokens: bool = False, posts_format: str = "json") -> DataFrame:
+                 whole_tokens: bool = False, posts_format: str = "json", days: list[str] | None = None) -> DataFrame:
     """E1 plan: mention statistic per item, channel and UTC day.
 
-    ``date`` (one day) or ``start``/``end`` (closed range).  Posts are read
+    ``date`` (one day), ``start``/``end`` (closed range) or ``days`` (a list).  Posts are read
     with the declared schema; only the requested ``Y/M/D`` landing folders are
     listed (``day_folders=False``: the whole root).  ``posts_format="parquet"``
     reads the archive of an ingest.  Unmentioned items
     get one zero row per day (T2).
     """
+    if days:
+        days = sorted(map(facts._check_date, days))
+        start, end = days[0], days[-1]
     start = facts._check_date(start or date)
     end = facts._check_date(end or date or start)
     items = readers.read_items(spark, items_path)
     if day_folders:
-        raw = readers.read_posts(spark, posts_path, start, end, fmt=posts_format)
+        raw = readers.read_posts(spark, posts_path, start, end, fmt=posts_format, days=days)
     else:
         raw = readers.read_posts(spark, posts_path, fmt=posts_format)
     if observation is not None:  # A9 counters, computed while the scan runs
@@ -67,6 +73,8 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
     raw = raw.where((F.col("created_utc") >= F.lit(lo)) & (F.col("created_utc") < F.lit(hi)))
     posts = readers.normalise_posts(raw, missing_title=missing_title)
     posts = posts.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if days:
+        posts = posts.where(F.col("date").isin(*[F.lit(d).cast("date") for d in days]))
     opts = {}
     if whole_tokens:  # T10 option: occurrences must start and end on token boundaries
         posts = posts.select("*", token_start_mask("final_text").alias("_sm"),
@@ -74,7 +82,7 @@ def mention_fact(spark: SparkSession, posts_path: str, items_path: str, date: st
         opts["token_masks"] = ("_sm", "_em")
     if num_partitions:
         posts = posts.repartition(num_partitions)  # E7: explicit parallelism
-    stats = facts.mention_stats(posts, _dates(items.select("item_id", "keyword"), start, end),
+    stats = facts.mention_stats(posts, _dates(items.select("item_id", "keyword"), start, end, days),
                                 by=("date",), **opts)
     return facts.with_partition_date(stats)
 
@@ -98,6 +106,25 @@ def run_mention_fact(spark: SparkSession, posts_path: str, items_path: str, out:
     return counters
 
 
+def refresh_mention_fact(spark: SparkSession, archive: str, items_path: str, out: str, **kw) -> list[str]:
+    """D6 + E1: build the mention fact again for the days that an ingest touched
+    since the last refresh; the days, in order.
+
+    The ledger beside the archive names the days of every batch, late posts'
+    too.  Only those days are read and only their folders replaced; the ledger
+    entries are marked as done (``<out>_refreshed``) behind the write, so a
+    refresh that stopped is done again.
+    """
+    todo = scratch_dir(spark, "refresh")
+    ingest.touched_days(spark, archive, f"{out}_refreshed").write.mode("overwrite").parquet(todo)
+    todo = spark.read.parquet(todo)  # entries that come from now on are for the next refresh
+    days = sorted(f"{r.year}-{r.month}-{r.day}" for r in todo.select("year", "month", "day").distinct().collect() if r.year is not None)
+    if days:
+        sinks.write_fact(mention_fact(spark, archive, items_path, days=days, posts_format="parquet", **kw), out)
+    todo.select("entry").write.mode("append").parquet(f"{out}_refreshed")
+    return days
+
+
 def run_metric_fact(spark: SparkSession, metrics_path: str, out: str, date: str,
                     day_folders: bool = True) -> None:
     """Metric snapshot of one day → partitioned metric fact (dynamic overwrite).
@@ -126,7 +153,7 @@ def build_dimensions(spark: SparkSession, snapshot: DataFrame, as_of: str,
 
 def run_build_dims(spark: SparkSession, metrics_path: str, out_root: str, load: str,
                    as_of: str, fmt: str = "parquet", **kw) -> None:
-    """Write every dimension under ``<out_root>/<name>/dataload=<load>``.
+    """Write every dimension under ``<out_root>/<name>/dataload=<load>``, as one load.
 
     Built from the snapshot landed for ``as_of`` only (one row per item, as
     the reference's one query per item); reading every landed day would
@@ -134,21 +161,18 @@ def run_build_dims(spark: SparkSession, metrics_path: str, out_root: str, load:
     """
     as_of = facts._check_date(as_of)
     snapshot = readers.read_metrics(spark, metrics_path, as_of, as_of)
-    for name, df in build_dimensions(spark, snapshot, as_of, **kw).items():
-        sinks.write_dimension(df, f"{out_root.rstrip('/')}/{name}", load, fmt)
+    sinks.write_load(build_dimensions(spark, snapshot, as_of, **kw), out_root, load, fmt)
 
 
 def land_metrics(spark: SparkSession, incoming: DataFrame, out: str, items: DataFrame,
                  as_of: str | None = None) -> DataFrame:
     """E5: stamp and land one day of metric snapshots; returns the coverage
-    tally (items expected vs. items present), read from the ids of the days
-    just landed."""
+    tally (items expected vs. items present) of the rows of this landing, on
+    whatever day their own stamps put them."""
     stamp = F.lit(as_of) if as_of else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     stamped = incoming.withColumn("query_datetime", F.coalesce(F.col("query_datetime"), stamp))
     sinks.land_daily(stamped, out, "query_datetime")
-    day = as_of[:10] if as_of else None
-    landed = readers.read_metrics(spark, out, day, day) if day else readers.read_metrics(spark, out)
-    return quality.coverage_summary(items.select(F.col("item_id").alias("id")), landed.select("id"), "id")
+    return quality.coverage_summary(items.select(F.col("item_id").alias("id")), stamped.select("id"), "id")
 
 
 def build_trends(spark: SparkSession, fact_root: str, metrics_root: str, dims_root: str,
@@ -156,17 +180,17 @@ def build_trends(spark: SparkSession, fact_root: str, metrics_root: str, dims_ro
                  dims_format: str = "parquet") -> DataFrame:
     """The star view behind the dashboard for a closed date range.
 
-    Only the requested day partitions of both facts are read.  ``daily``
+    Only the requested day partitions of both facts are read, and the dimensions
+    of one complete load (the newest if ``load`` is None).  ``daily``
     joins metrics on (id, date); ``daily=False`` expects one snapshot day.
     """
     fact = readers.read_fact_range(spark, fact_root, start, end, schemas.MENTION_FACT) \
         .withColumnRenamed("item_id", "id")
     met = readers.read_fact_range(spark, metrics_root, start, end, schemas.METRIC_FACT) \
         .drop("year", "month", "day")
-    cal, mov = (readers.read_dimension(spark, f"{dims_root.rstrip('/')}/{name}", load, dims_format,
-                                       schema if dims_format == "csv" else None).drop("dataload")
-                for name, schema in (("date", schemas.CALENDAR), ("mov", schemas.ITEM_DIM)))
-    return trends.star_join(fact.drop("year", "month", "day"), met, cal, mov, daily=daily)
+    kinds = {"date": schemas.CALENDAR, "mov": schemas.ITEM_DIM}
+    dim = readers.read_load(spark, dims_root, tuple(kinds), load, dims_format, kinds if dims_format == "csv" else None)
+    return trends.star_join(fact.drop("year", "month", "day"), met, dim["date"], dim["mov"], daily=daily)
 
 
 def rank_totals(view: DataFrame, k: int = 3, n: int | None = None, last: int | None = None) -> DataFrame:

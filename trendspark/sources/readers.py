@@ -68,18 +68,24 @@ def track_phrases(items: DataFrame, keyword: str = "keyword") -> DataFrame:
     return items.select(keyword).where(F.col(keyword).isNotNull() & (F.col(keyword) != "")).distinct()
 
 
-def read_posts(spark: SparkSession, path, start=None, end=None, fmt: str = "json") -> DataFrame:
+def read_posts(spark: SparkSession, path, start=None, end=None, fmt: str = "json", days: list[str] | None = None) -> DataFrame:
     """Raw posts JSON lines with the declared schema, or an ingest archive
-    (``fmt="parquet"``, day folders pruned by start/end).
+    (``fmt="parquet"``, of which only the day folders from start to end, or
+    of the listed ``days``, are listed and read).
 
     ``path`` is a landing root; with ``start``/``end`` only those days'
     folders are listed (a day missing from the landing is skipped).
     Malformed lines are kept in ``_corrupt_record`` (count them, do not fail).
     """
     if fmt != "json":
-        df = spark.read.format(fmt).load(path)
         if start is not None:
-            df = df.where(partition_date_filter(start, end or start))
+            wanted = None if days is None else set(days)
+            folders = [p for d, p in day_folders(spark, path, start, end or start) if wanted is None or str(d) in wanted]
+            if not folders:
+                return spark.createDataFrame([], schemas.POSTS)
+            df = read_days(spark, path, folders, fmt)
+        else:
+            df = spark.read.format(fmt).load(path)
         have = set(df.columns)
         return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                            for f in schemas.POSTS.fields])
@@ -147,6 +153,14 @@ def read_fact_range(spark: SparkSession, root: str, start, end,
     Missing days are simply absent; a range with no data returns zero rows
     with the full schema (``schema`` is required when the root may not exist).
     """
+    try:
+        spark.sparkContext
+    except Exception:  # no JVM access (Spark Connect): Spark lists the root and prunes the folders
+        pass
+    else:
+        folders = [path for _, path in day_folders(spark, root, start, end)]
+        if folders:
+            return read_days(spark, root, folders, schema=schema)
     try:
         r = spark.read
         if schema is not None:
@@ -159,6 +173,41 @@ def read_fact_range(spark: SparkSession, root: str, start, end,
     return df.where(partition_date_filter(start, end))
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it is missing."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+
+
+def _numbered(spark: SparkSession, path: str, name: str, low: int, high: int) -> list[tuple[int, str]]:
+    out = []
+    for child in _children(spark, path):
+        key, _, value = child.partition("=")
+        if key == name and value.isdigit() and low <= int(value) <= high:
+            out.append((int(value), f"{path}/{child}"))
+    return out
+
+
+def day_folders(spark: SparkSession, root: str, start, end) -> list[tuple[_dt.date, str]]:
+    """(day, folder) of the ``year=/month=/day=`` folders of a closed range, by
+    listing the root, the years and the months of the range; no other day's files are listed."""
+    s, e = _dt.date.fromisoformat(str(start)), _dt.date.fromisoformat(str(end))
+    out = []
+    for year, y in _numbered(spark, root.rstrip("/"), "year", s.year, e.year):
+        months = (s.month if year == s.year else 1, e.month if year == e.year else 12)
+        for month, m in _numbered(spark, y, "month", *months):
+            days = (s.day if (year, month) == (s.year, s.month) else 1, e.day if (year, month) == (e.year, e.month) else 31)
+            out += [(_dt.date(year, month, day), d) for day, d in _numbered(spark, m, "day", *days)]
+    return sorted(out)
+
+
+def read_days(spark: SparkSession, root: str, folders: list[str], fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """A partitioned table, of which only the given folders are listed and read."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.option("basePath", root).format(fmt).load(folders)
+
+
 def read_fact_day(spark: SparkSession, root: str, day, schema=None) -> DataFrame:
     """One partition (one day) of a partitioned fact."""
     return read_fact_range(spark, root, day, day, schema)
@@ -183,3 +232,35 @@ def read_dimension(spark: SparkSession, root: str, load: str | None = None,
     if load is not None:
         return df.where(F.col("dataload") == F.lit(str(load)).cast(df.schema["dataload"].dataType))
     return df.where(F.col("dataload") == df.agg(F.max("dataload")).scalar())
+
+
+def complete_load(spark: SparkSession, root: str, names, load: str | None = None) -> str:
+    """The newest load that has all of ``names`` (or ``load``, if it has); from
+    the marks that :func:`trendspark.sources.sinks.write_load` adds last."""
+    marks = spark.read.parquet(f"{root.rstrip('/')}/loads").where(F.col("table").isin(*names))
+    if load is not None:
+        marks = marks.where(F.col("load") == str(load))
+    whole = marks.groupBy("load").agg(F.countDistinct("table").alias("n")).where(F.col("n") == len(set(names)))
+    found = whole.agg(F.max("load")).first()[0]
+    if found is None:
+        raise ValueError(f"no complete load of {sorted(names)} under {root}")
+    return found
+
+
+def read_load(spark: SparkSession, root: str, names, load: str | None = None, fmt: str = "parquet",
+              schema: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """The dimensions of one consistent load; no other load's folder is listed."""
+    root, schema = root.rstrip("/"), schema or {}
+    found = complete_load(spark, root, names, load)
+    out = {}
+    for name in names:
+        path, kind = f"{root}/{name}/dataload={found}", schema.get(name)
+        if fmt == "csv":
+            df = spark.read.option("header", True).csv(path)
+            if kind is not None:
+                df = df.select(*[(F.from_json(f.name, f.dataType) if f.dataType.typeName() == "array"
+                                  else F.col(f.name).cast(f.dataType)).alias(f.name) for f in kind.fields])
+        else:
+            df = (spark.read if kind is None else spark.read.schema(kind)).format(fmt).load(path)
+        out[name] = df
+    return out

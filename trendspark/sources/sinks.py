@@ -11,7 +11,7 @@ sending it to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendspark.functions.timeutil import date_parts, path_parts
@@ -63,6 +63,24 @@ def write_dimension(df: DataFrame, out: str, load: str, fmt: str = "parquet") ->
     w.save(out)
 
 
+def write_load(tables: dict[str, DataFrame], root: str, load: str, fmt: str = "parquet") -> None:
+    """All dimensions of one load, each under ``<root>/<name>/dataload=<load>``.
+
+    ``<root>/loads`` gets a row per table (load, table, rows), in one append
+    behind all tables: a load that stopped half-way has none, and readers
+    (:func:`trendspark.sources.readers.read_load`) never take it.  Rows are
+    counted while they are written.
+    """
+    root, counts = root.rstrip("/"), {}
+    for name, df in tables.items():
+        counts[name] = Observation(f"load {name}")
+        write_dimension(df.observe(counts[name], F.count(F.lit(1)).alias("rows")), f"{root}/{name}", load, fmt)
+    spark = next(iter(tables.values())).sparkSession
+    marks = [(str(load), name, int(obs.get["rows"])) for name, obs in counts.items()]
+    (spark.createDataFrame(marks, "load string, table string, rows long").coalesce(1).withColumn("written", F.current_timestamp())
+     .write.mode("append").parquet(f"{root}/loads"))
+
+
 def land_hourly(df: DataFrame, out: str, ts_col: str, fmt: str = "json",
                 strict: bool = False, cluster: bool = True, append: bool = False) -> None:
     """K4: raw rows landed per event hour (zero-padded year/month/day/hour).

@@ -7,19 +7,22 @@ wins) and once an hour cuts the previous hour into a JSON file.  Here:
   landing (JSON/Parquet files) --readStream--> phrase filter (P2)
       --> drop non-portable fields (F16)
       --> foreachBatch: rows without a key to a reject folder, first row per
-          key in the batch, anti-join against the index of archived keys,
-          append to the archive by the row's own event day (hour kept as a
-          column).
+          key in the batch, staged
+      --> staged rows --readStream--> dropDuplicates over all keys ever seen
+          (RocksDB state) --> archive by the row's own event day, and the
+          days touched to a ledger.
 
 Because rows are partitioned by event time, a post that arrives after its
-hour was first written still lands in its day and hour (D6, no cut-off).  Replaying
-the same input, even with a fresh checkpoint, adds nothing (D2).  A retried
-micro-batch is harmless: what it had committed before is found and left out.
+hour was first written still lands in its day and hour (D6, no cut-off), and
+the ledger names its day, so that day's facts are built again.  The keyed
+state belongs to the archive: replaying the same input, even with a fresh
+checkpoint, adds nothing (D2), and a batch asks the state for its own keys
+only.  Where the state is missing it is filled from the archive's keys first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -27,7 +30,6 @@ from pyspark.sql.streaming import StreamingQuery
 from trendspark.functions.text import drop_fields
 from trendspark.functions.timeutil import path_parts
 from trendspark.operators.matching import texts_matching_any
-from trendspark.session import checkpoint_root
 from trendspark.sources.readers import track_phrases
 
 # Fixed values (must equal the collector's): fields of a raw post object that
@@ -54,7 +56,7 @@ def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
 def dedup_within_watermark(stream: DataFrame, keys, ts: str, delay: str) -> DataFrame:
     """D1 with bounded state: drop repeated keys while the key is within the
     watermark delay.  Rows later than the watermark are dropped too; an ingest
-    that must keep them finds repeats by its key index (:func:`start_ingest`)."""
+    that must keep them finds repeats by unbounded keyed state (:func:`start_ingest`)."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -127,39 +129,125 @@ def _has_entries(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
-#: Folders of the key index: a batch reads those that its keys fall in.
-INDEX_BUCKETS = 64
+def _last_number(spark: SparkSession, path: str) -> int:
+    """The greatest number among the names in a folder of a checkpoint, -1 without any."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
 
 
-def _bucket(keys) -> F.Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(INDEX_BUCKETS)).cast("int")
+def _days_of(rows: DataFrame, parts) -> Column:
+    """Whether an archived row lies in one of the days of ``rows`` (a few values, so folders are pruned)."""
+    days = [tuple(r) for r in rows.select(*parts).distinct().collect()]  # at most as many as days touched by a batch
+    hit = F.lit(False)
+    for day in days:
+        same = F.lit(True)
+        for name, value in zip(parts, day):
+            same = same & F.col(name).cast("string").cast("int").eqNullSafe(F.lit(None if value is None else int(value)))
+        hit = hit | same
+    return hit
+
+
+class KeyedArchive:
+    """An archive that keeps the first row of every key.
+
+    ``<archive>_state`` holds the staged rows (``staged``, deleted once read)
+    and the checkpoint of the query that reads them (``keys``): its state, in
+    RocksDB, is every key ever archived.  ``<archive>_days`` is the ledger: the
+    days a batch touched, written before the rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys, ts: str, fmt: str = "parquet", parts=ARCHIVE_PARTS,
+                 observe: str | None = None):
+        self.observe = observe
+        self.spark, self.path, self.keys, self.ts, self.fmt, self.parts = spark, path, list(keys), ts, fmt, list(parts)
+        self.staged, self.state, self.ledger = f"{path}_state/staged", f"{path}_state/keys", f"{path}_days"
+        self.schema: T.StructType | None = None
+        self.new = 0
+
+    def _stage(self, rows: DataFrame, number: int, seed: bool) -> None:
+        (rows.select("*", F.lit(seed).alias("_seed"), F.lit(number).alias("_batch")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(self.staged))
+
+    def _open_batch(self) -> int | None:
+        """The batch that was begun and not committed, if there is one."""
+        last = _last_number(self.spark, f"{self.state}/offsets")
+        return last if last > _last_number(self.spark, f"{self.state}/commits") else None
+
+    def _drain(self) -> None:
+        """Run the staged rows through the keyed state to the archive."""
+        again = self._open_batch()
+        schema = T.StructType([*self.schema.fields, T.StructField("_seed", T.BooleanType()), T.StructField("_batch", T.IntegerType())])
+
+        def append(batch: DataFrame, number: int) -> None:
+            rows = batch.drop("_seed", "_batch").select("*", *[c for c, n in zip(path_parts(F.col(self.ts)), ("year", "month", "day", "hour"))
+                                                               if n not in batch.columns])
+            if number == again and _has_entries(self.spark, self.path):  # a try before this one may have written some
+                stored = self.spark.read.format(self.fmt).load(self.path).where(_days_of(rows, self.parts))
+                rows = new_rows_only(rows, stored, self.keys)
+            rows = rows.persist()
+            try:
+                n = rows.count()
+                if n:
+                    (rows.groupBy(*[F.col(p).cast("string").alias(p) for p in self.parts]).agg(F.count(F.lit(1)).alias("rows"))
+                     .withColumn("entry", F.expr("uuid()")).write.mode("append").parquet(self.ledger))
+                    rows.hint("rebalance", *self.parts).write.mode("append").partitionBy(*self.parts).format(self.fmt).save(self.path)
+                self.new += n
+            finally:
+                rows.unpersist()
+
+        s = self.spark.readStream.schema(schema).option("cleanSource", "delete").parquet(self.staged)
+        s = s.dropDuplicates(self.keys).where("not _seed")
+        if self.observe:
+            s = s.observe(f"{self.observe}_new", F.count(F.lit(1)).alias("rows"))
+        q = s.writeStream.foreachBatch(append)
+        q.option("checkpointLocation", self.state).trigger(availableNow=True).start().awaitTermination()
+
+    def add(self, rows: DataFrame, number: int) -> int:
+        """Archive the rows (one per key) whose key is new; their number."""
+        self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+        if not _has_entries(self.spark, self.state) and _has_entries(self.spark, self.path):
+            known = self.spark.read.format(self.fmt).load(self.path).select(*self.keys).distinct()
+            self._stage(known.select(*[F.col(f.name).cast(f.dataType) if f.name in self.keys else F.lit(None).cast(f.dataType).alias(f.name)
+                                       for f in self.schema.fields]), -1, True)
+            self._drain()
+        if self._open_batch() is not None:
+            self._drain()  # of the rows it was begun with, before any are staged anew
+        self.new = 0
+        self._stage(rows, number, False)
+        self._drain()
+        return self.new
+
+
+def touched_days(spark: SparkSession, archive_path: str, done: str) -> DataFrame:
+    """(entry, year, month, day, rows) of the ledger entries that are not in ``done`` yet."""
+    if not _has_entries(spark, f"{archive_path}_days"):
+        return spark.createDataFrame([], "entry string, year string, month string, day string, rows long")
+    ledger = spark.read.parquet(f"{archive_path}_days").select("entry", "year", "month", "day", "rows")
+    if not _has_entries(spark, done):
+        return ledger
+    return ledger.join(spark.read.parquet(done).select("entry"), "entry", "left_anti")
 
 
 def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str, order=None,
                          keywords: DataFrame | None = None, text_col: str | None = None, fmt: str = "parquet",
-                         partition_by=ARCHIVE_PARTS, token_masks: tuple[str, str] | None = None, counts: dict | None = None):
+                         partition_by=ARCHIVE_PARTS, token_masks: tuple[str, str] | None = None, counts: dict | None = None,
+                         observe: str | None = None):
     """Build the foreachBatch function for D1+D2 (+ optional phrase filter).
 
     Rows are appended under their own event day (``partition_by``; the zero
     padded ``hour`` is kept as a column, or pass the four parts for hourly
-    folders).  Beside the archive lie
-    ``<archive>_keys``, every archived key with its batch, in folders by a hash
-    of the key, so a batch reads a part of the keys and never the archive; and
-    ``<archive>_rejected``, rows with a null key (malformed lines have one),
-    in a folder per batch.
-
-    A batch writes its new keys first, then its rows.  Keys found under its own
-    number come from a try that may have stopped between the two, or from an
-    earlier session: only for those the archive itself is asked, so a try again
-    neither loses nor repeats a row.  ``counts``, if given, is filled with
+    folders) by a :class:`KeyedArchive`; ``<archive>_rejected`` gets rows with a
+    null key (malformed lines have one), in a folder per batch.
+
+    A batch run again stages its rows anew; their keys are in the state by
+    then, so nothing is lost or repeated.  ``counts``, if given, is filled with
     (read, rejected, repeated, new) summed over the batches.
     """
-    parts, keys = list(partition_by), list(keys)
-    order = list(order or [ts])
-    index_path, reject_path = f"{archive_path}_keys", f"{archive_path}_rejected"
-
-    def stored(path: str, form: str) -> DataFrame | None:
-        return spark.read.format(form).load(path) if _has_entries(spark, path) else None
+    keys, order = list(keys), list(order or [ts])
+    reject_path = f"{archive_path}_rejected"
+    archive = KeyedArchive(spark, archive_path, keys, ts, fmt, partition_by, observe)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         b = batch.persist()
@@ -175,36 +263,10 @@ def archive_batch_writer(spark: SparkSession, archive_path: str, keys, ts: str,
             if token_masks:
                 rows = rows.drop(*token_masks)  # matching inputs only, not archived
             rows = first_per_key(rows, keys, order)
-            rows = rows.drop(*[c for c in ARRIVAL_COLS if c in rows.columns]).withColumn("_bucket", _bucket(keys)).persist()
-            try:
-                buckets = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most INDEX_BUCKETS
-                if not buckets:
-                    return
-                index = stored(index_path, "parquet")
-                fresh, again = rows, None
-                if index is not None:
-                    known = (index.where(F.col("bucket").isin(buckets)).join(rows.select(*keys), keys, "left_semi")
-                             .groupBy(*keys).agg(F.min((F.col("batch") == epoch_id).cast("int")).alias("_own")))
-                    fresh = new_rows_only(rows, known, keys)
-                    own = known.where("_own = 1")
-                    if not own.isEmpty():
-                        again = new_rows_only(rows.join(own.select(*keys), keys, "left_semi"), stored(archive_path, fmt), keys)
-                new = fresh.withColumn("_again", F.lit(False))
-                if again is not None:
-                    new = new.unionByName(again.withColumn("_again", F.lit(True)))
-                # fixed in the shared folder: what is read here is written to below
-                checkpoint_root(spark)
-                new = new.checkpoint()
-                (new.where("not _again").select(*keys, F.lit(epoch_id).alias("batch"), F.col("_bucket").alias("bucket")).hint("rebalance", "bucket")
-                 .write.mode("append").partitionBy("bucket").parquet(index_path))
-                out = new.drop("_bucket", "_again").select("*", *path_parts(F.col(ts))).hint("rebalance", *parts)
-                out.write.mode("append").partitionBy(*parts).format(fmt).save(archive_path)
-                if counts is not None:
-                    n = new.count()
-                    for name, k in (("read", total), ("rejected", rejected), ("new", n), ("repeated", total - rejected - n)):
-                        counts[name] = counts.get(name, 0) + k
-            finally:
-                rows.unpersist()
+            n = archive.add(rows.drop(*[c for c in ARRIVAL_COLS if c in rows.columns]), epoch_id)
+            if counts is not None:
+                for name, k in (("read", total), ("rejected", rejected), ("new", n), ("repeated", total - rejected - n)):
+                    counts[name] = counts.get(name, 0) + k
         finally:
             b.unpersist()
 
@@ -226,7 +288,7 @@ def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, chec
                  text_col=None, drop=NON_PORTABLE_FIELDS,
                  trigger: dict | None = None, partition_by=ARCHIVE_PARTS,
                  token_masks: tuple[str, str] | None = None,
-                 arrival_order: bool = False, counts: dict | None = None) -> StreamingQuery:
+                 arrival_order: bool = False, counts: dict | None = None, observe: str | None = None) -> StreamingQuery:
     """Start the ingest query; returns the running StreamingQuery.
 
     ``trigger`` defaults to ``{"availableNow": True}`` (bounded sessions: the
@@ -234,16 +296,21 @@ def start_ingest(spark: SparkSession, stream: DataFrame, archive_path: str, chec
     the source to bound a batch).  ``arrival_order=True`` (file sources)
     makes the first *arrived* copy of a key win inside a batch, ordering by
     file modification time, then file path, then event time; the helper
-    columns are not archived.
+    columns are not archived.  ``observe`` names counters of the running
+    queries (A9): rows read and rejected, and under ``<observe>_new`` the
+    rows archived; a :class:`trendspark.streaming.counters.Counters` adds them up.
     """
     s = drop_fields(stream, drop)
+    if observe:
+        no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+        s = s.observe(observe, F.count(F.lit(1)).alias("read"), F.sum(no_key.cast("long")).alias("rejected"))
     if arrival_order:
         s = with_arrival(s)
         order = [*ARRIVAL_COLS, *(order or [ts])]
     if keywords is not None:  # normalised once, not in every batch
         keywords = track_phrases(keywords).persist()
     fn = archive_batch_writer(spark, archive_path, keys, ts, order, keywords, text_col,
-                              partition_by=partition_by, token_masks=token_masks, counts=counts)
+                              partition_by=partition_by, token_masks=token_masks, counts=counts, observe=observe)
     w = s.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
