@@ -1,24 +1,31 @@
 """Toxicity: a support vector machine over a gapped subsequence kernel, with
-Nystroem landmarks.
-
-Units are the words of a sentence (letters and digits only, so characters put
-between letters vanish) and runs of single letters joined.  The kernel of two
-units counts subsequences of three characters that they share, each weighed by
-``DECAY`` to the characters it spans, up to ``SPAN``, so an insult with letters
-put in or left out still shares most of them.  Labels are of documents; of a
-toxic one only some sentences are.  Training units are therefore, of toxic
-documents, the words that stand out there (in many contexts, hardly ever in
-clean documents), and, of clean documents, words at random and those that the
-machine itself finds worst.  With f = sum over landmarks of a_l K(u, l), the
-landmarks fold into one weight per subsequence, so scoring a word costs its
-length.  A document's probability is a logistic function of its worst sentence
-and of how many sentences are past the margin.
+Nystroem landmarks, trained on sentences of labelled documents.
+
+A sentence is its letters and digits, joined, so blanks and characters put between
+letters vanish.  Units are runs of up to ``RUN`` words of a sentence, of up to
+``LONGEST`` characters (a longer word is cut).  The kernel of two units counts
+subsequences of three characters that they share, each weighed by ``DECAY`` to
+the characters it spans, up to ``SPAN``, so an insult with letters put in or left
+out, or in pieces, still shares most of them.  Subsequences are counted twice, as
+they are and with the first letters of words told apart, so that a word is not
+the same as its letters at the seam of two words.  Three and more single letters
+in a row are a word.
+
+Labels are of documents; of a toxic one only some sentence is.  So training goes
+in rounds: a toxic document gives the unit that scores highest, a clean one the
+unit that scores highest and one at random, and the machine is fitted to them;
+its own margins choose the units of the next round.  The first round is scored by how
+much more common the grams of a unit are in toxic documents, without a threshold.
+
+With f = sum over landmarks of a_l K(u, l), the landmarks fold into one weight
+per subsequence, so all units of a text are scored by running sums.  A
+document's probability is a logistic function of its best unit's margin and of
+how many sentences are past zero.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,80 +34,212 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import U64, by_bytes, mix64
+from trendspark.llm.common import U64, by_bytes
 from trendspark.llm.labelled import held_out, training_rows
-from trendspark.llm.scratch import written
 
 DECAY, SPAN = 0.7, 6
-#: Labelled documents, and words of each kind, that training takes at most.
-SAMPLE_DOCS, POSITIVE_WORDS, NEGATIVE_WORDS, HARD_WORDS, LANDMARKS = 24_000, 1_500, 6_000, 3_000, 160
+#: Words and characters of a unit, at most.
+RUN, LONGEST = 4, 24
+#: Labelled documents that training takes at most, landmarks, rounds.
+SAMPLE_DOCS, LANDMARKS, ROUNDS = 24_000, 480, 3
+#: Best units that a clean document gives each round.
+HARD = 2
 SLOTS = 1 << 18
-#: Characters of a longer word are taken in overlapping windows of this length.
-WINDOW = 24
+#: Characters scored in one step.
+STEP = 1 << 19
 THRESHOLD = 0.7
 _PAIRS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
-_END = re.compile(r"[.!?]+(?=\s|$)|\n+")
+_WEIGHT = {j: DECAY ** (j + 1) for j in range(2, SPAN)}
+#: Length of the weight vector of a unit of so many characters.
+_NORM = np.sqrt(np.array([2 * sum(max(n - j, 0) * _WEIGHT[j] ** 2 for _, j in _PAIRS) for n in range(LONGEST + 1)]))
+_NORM[:3] = 1
+_A, _B, _C = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
+_FIRST = np.uint32(1 << 22)
+_BREAK = 10
+#: Kind of each code point: 1 letter or digit, 2 white space, 0 other.
+_kinds: list[np.ndarray] = []
+
+
+def _kind(codes: np.ndarray) -> np.ndarray:
+    if not _kinds:
+        _kinds.append(np.array([1 if c.isalnum() else 2 if c.isspace() else 0 for c in map(chr, range(0x110000))], np.int8))
+    return _kinds[0][codes]
+
+
+def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes of the letters and digits of all texts in lower case, with a break
+    behind each sentence and text, ``_FIRST`` added to the first of a word; offsets)."""
+    lower = [t.lower() for t in texts]
+    raw = np.frombuffer("\n".join([*lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    bounds = np.cumsum([0] + [len(t) + 1 for t in lower])
+    kind = _kind(raw)
+    stop = (raw == 46) | (raw == 33) | (raw == 63)
+    stop[:-1] &= kind[1:] == 2
+    kept = np.flatnonzero((kind == 1) | stop | (raw == _BREAK))
+    codes = raw[kept].copy()
+    sign = kind[kept] != 1
+    codes[sign] = _BREAK
+    spaces = np.cumsum(kind == 2)[kept]
+    first = ~sign
+    if len(kept):
+        first[1:] &= (spaces[1:] != spaces[:-1]) | sign[:-1]
+    # runs of single letters: all but the first of a run of three or more go on with the word
+    at = np.flatnonzero(first)
+    place = np.cumsum(~sign)
+    word_end = np.concatenate([at[1:], [len(codes)]])
+    size = place[word_end - 1] - place[at] + 1 if len(at) else at
+    single = np.concatenate([[False], size == 1, [False]])
+    edge = np.flatnonzero(single[1:] != single[:-1])
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        cut = np.concatenate([[0], np.flatnonzero(sign[at[a + 1:b] - 1]) + 1, [b - a]])  # a break ends a run too
+        for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            if y - x > 2:
+                first[at[a + x + 1:a + y]] = False
+    codes[first] += _FIRST
+    return codes, np.searchsorted(kept, bounds)
+
+
+def _ends(codes: np.ndarray) -> np.ndarray:
+    """Of each place, where its sentence ends."""
+    at = np.where(codes == _BREAK, np.arange(len(codes)), len(codes))
+    return np.minimum.accumulate(at[::-1])[::-1]
+
+
+def units(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, ends): of each piece (word, or part of a long one) where it starts, and
+    where the units of 1, 2, ... pieces from there end (-1: no such unit)."""
+    plain = codes != _BREAK
+    first = plain & ((codes & _FIRST) > 0)
+    first |= plain & np.concatenate([[True], ~plain[:-1]]) if len(codes) else plain
+    start = np.flatnonzero(first)
+    stop = np.minimum(np.concatenate([start[1:], [len(codes)]]), _ends(codes)[start]) if len(start) else start
+    parts = np.where(stop - start > LONGEST, -(-(stop - start) // (LONGEST // 2)), 1)
+    place = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, stop = np.repeat(start, parts) + place * (LONGEST // 2), np.repeat(stop, parts)
+    stop = np.where(np.repeat(parts, parts) > 1, np.minimum(stop, start + LONGEST // 2), stop)
+    limit = np.minimum(_ends(codes)[start], start + LONGEST) if len(start) else start
+    ends = np.full((RUN, len(start)), -1, np.int64)
+    for m in range(min(RUN, len(start))):
+        end = stop[m:]
+        k = len(end)
+        ends[m, :k] = np.where(end <= limit[:k], end, -1)
+    return start, ends
+
+
+def _unit_slot(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Slot of whole units, for the first round."""
+    power = np.cumprod(np.full(LONGEST, U64(0x9E3779B97F4A7C15)), dtype=U64)
+    h = np.zeros(len(start), U64)
+    wide = np.concatenate([codes.astype(U64), np.zeros(LONGEST, U64)])
+    for i in range(LONGEST):
+        h += np.where(start + i < end, (wide[start + i] + U64(1)) * power[i], U64(0))
+    h = (h ^ (h >> U64(31))) * U64(0xBF58476D1CE4E5B9)
+    return (h >> U64(46)).astype(np.int64)
 
 
-def units(text: str) -> list[str]:
-    """Distinct units of a text, each with a mark before it."""
-    found = set()
-    singles: list[str] = []
-    for w in text.lower().split():
-        u = "".join(filter(str.isalnum, w))
-        if len(u) == 1:
-            singles.append(u)
-            continue
-        if len(singles) > 2:
-            found.add("^" + "".join(singles))
-        singles = []
-        if u:
-            found.update(cut(u))
-    if len(singles) > 2:
-        found.add("^" + "".join(singles))
-    return sorted(found)
+@dataclass
+class Model:
+    """Weights per subsequence slot (``values``), or, in the first round, per unit."""
 
+    values: np.ndarray = field(default_factory=lambda: np.zeros(SLOTS))
+    bias: float = -1.0
+    doc: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -3.0]))
+    whole: bool = False
+
+    def _sums(self, codes: np.ndarray) -> dict[int, np.ndarray]:
+        """Running sums of what the subsequences that begin at each place add, by their span less one."""
+        n = len(codes)
+        out = {j: np.zeros(n, np.float32) for j in range(2, SPAN)}
+        values = self.values.astype(np.float32)
+        for told in (codes, codes & (_FIRST - np.uint32(1))):
+            wide = np.concatenate([told, np.zeros(SPAN, np.uint32)])
+            one, two, three = wide * _A, wide * _B, wide * _C
+            for j in range(2, SPAN):
+                last = one[:n] + three[j:j + n]
+                for i in range(1, j):
+                    out[j] += values[(last + two[i:i + n]) >> np.uint32(14)]
+        return {j: np.concatenate([[0.0], np.cumsum(x * np.float32(_WEIGHT[j]), dtype=np.float64)]) for j, x in out.items()}
+
+    def margins(self, codes: np.ndarray, start: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The machine's output for each unit, in the shape of ``ends``; -inf where there is none."""
+        out = np.full(ends.shape, -np.inf)
+        for a in range(0, len(codes), STEP):  # bounded working memory, however long a text is
+            lo, hi = np.searchsorted(start, [a, a + STEP])
+            part = codes[a:a + STEP + LONGEST + SPAN]
+            s = start[lo:hi] - a
+            sums = None if self.whole else self._sums(part)
+            for m in range(RUN):
+                on = np.flatnonzero(ends[m, lo:hi] >= 0)
+                p, e = s[on], ends[m, lo:hi][on] - a
+                if self.whole:
+                    out[m, lo + on] = self.values[_unit_slot(part, p, e)]
+                else:
+                    total = sum(x[np.maximum(e - j, p)] - x[p] for j, x in sums.items())
+                    out[m, lo + on] = total / _NORM[e - p] + self.bias
+        return out
 
-def cut(u: str) -> list[str]:
-    if len(u) <= WINDOW:
-        return ["^" + u]
-    return ["^" + u[:WINDOW]] + [u[i:i + WINDOW] for i in range(WINDOW // 2, len(u) - WINDOW // 2, WINDOW // 2)]
+    def features(self, texts: list[str]) -> np.ndarray:
+        """(texts, 2): the best unit's margin, and log(1 + sentences past zero)."""
+        codes, offsets = characters(texts)
+        start, ends = units(codes)
+        best = self.margins(codes, start, ends).max(axis=0) if len(start) else np.zeros(0)
+        doc = np.searchsorted(offsets, start, "right") - 1
+        out = np.zeros((len(texts), 2))
+        out[:, 0] = self.bias - 1
+        np.maximum.at(out[:, 0], doc, best)
+        past = best > 0
+        sentence = np.cumsum(codes == _BREAK)[start[past]]
+        where = np.unique(np.array([doc[past], sentence]), axis=1)[0] if past.any() else np.zeros(0, np.int64)
+        out[:, 1] = np.log1p(np.bincount(where, minlength=len(texts)))
+        return np.clip(out, -3, 3)
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        x = self.features(texts)
+        return 1 / (1 + np.exp(-np.clip(x @ self.doc[:2] + self.doc[2], -30, 30)))
+
+
+def written_unit(codes: np.ndarray) -> str:
+    """A unit's characters, with ^ before the first of a word."""
+    return "".join(("^" if c & _FIRST else "") + chr(int(c & (_FIRST - np.uint32(1)))) for c in codes)
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, slot, weight) of every subsequence of three characters within
-    ``SPAN``; a unit's weights have length 1 over its occurrences."""
-    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(U64)
-    size = np.array([len(w) for w in words], np.int64)
+    """(unit, slot, weight) of every subsequence of units as :func:`written_unit` gives them."""
+    raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    mark = raw == 94
+    size = np.array([len(u) - u.count("^") for u in words], np.int64)
+    codes = raw[~mark].copy()
+    codes[np.concatenate([[False], mark])[:-1][~mark]] += _FIRST
     owner = np.repeat(np.arange(len(words)), size)
-    last = np.cumsum(size)[owner] if len(words) else size
-    at = np.arange(len(codes))
+    at, end = np.arange(len(codes)), np.cumsum(size)[owner] if len(words) else size
+    norm = _NORM[size][owner]
     who, slot, weight = [], [], []
-    for i, j in _PAIRS:
-        start = np.flatnonzero(at + j < last)
-        x = (codes[start] * U64(0x1F123BB5) + codes[start + i]) * U64(0x9E3779B1) + codes[start + j]
-        who.append(owner[start])
-        slot.append((mix64(x) >> U64(46)).astype(np.int64))
-        weight.append(np.full(len(start), DECAY ** (j + 1)))
-    who, slot, weight = np.concatenate(who), np.concatenate(slot), np.concatenate(weight)
-    length = np.sqrt(np.bincount(who, weight ** 2, len(words)))
-    return who, slot, weight / np.maximum(length, 1e-12)[who]
+    for told in (codes, codes & (_FIRST - np.uint32(1))):
+        for i, j in _PAIRS:
+            p = np.flatnonzero(at + j < end)
+            who.append(owner[p])
+            slot.append(((told[p] * _A + told[p + i] * _B + told[p + j] * _C) >> np.uint32(14)).astype(np.int64))
+            weight.append(_WEIGHT[j] / norm[p])
+    return np.concatenate(who), np.concatenate(slot), np.concatenate(weight)
 
 
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
     """K(u, v): sum over shared subsequences of the products of their weights."""
-    out = np.zeros((len(left), len(right)))
-    w, s, v = subsequences(left)
-    order = np.argsort(s, kind="stable")
-    w, s, v = w[order], s[order], v[order]
     rw, rs, rv = subsequences(right)
-    for col in range(len(right)):
-        own = rw == col
-        slots, where = np.unique(rs[own], return_inverse=True)
-        value = np.bincount(where, rv[own], len(slots))
-        at = np.searchsorted(slots, s)
-        hit = (at < len(slots)) & (slots[np.minimum(at, len(slots) - 1)] == s) if len(slots) else np.zeros(len(s), bool)
-        out[:, col] = np.bincount(w[hit], v[hit] * value[at[hit]], len(left))
+    used, row = np.unique(rs, return_inverse=True)
+    table = np.zeros((len(used) + 1, len(right)), np.float32)  # the last row: slots of no landmark
+    np.add.at(table, (row, rw), rv)
+    place = np.full(SLOTS, len(used), np.int64)
+    place[used] = np.arange(len(used))
+    out = np.zeros((len(left), len(right)))
+    for a in range(0, len(left), 512):
+        w, s, v = subsequences(left[a:a + 512])
+        hit = np.flatnonzero(place[s] < len(used))
+        order = hit[np.argsort(w[hit], kind="stable")]
+        if len(order):
+            rows = table[place[s[order]]] * v[order, None].astype(np.float32)
+            cut = np.flatnonzero(np.concatenate([[True], np.diff(w[order]) > 0]))
+            out[a + w[order[cut]]] = np.add.reduceat(rows, cut, axis=0)
     return out
 
 
@@ -135,59 +274,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-@dataclass
-class Model:
-    slots: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted
-    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    bias: float = -1.0
-    doc: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -3.0]))
-
-    def margins(self, words: list[str]) -> np.ndarray:
-        """The machine's output for each unit."""
-        if not words or not len(self.slots):
-            return np.full(len(words), self.bias)
-        table = np.zeros(SLOTS)
-        table[self.slots] = self.values
-        out = np.empty(len(words))
-        for a in range(0, len(words), 20_000):  # bounded working memory
-            who, slot, weight = subsequences(words[a:a + 20_000])
-            out[a:a + 20_000] = np.bincount(who, weight * table[slot], len(words[a:a + 20_000])) + self.bias
-        return out
-
-    def features(self, texts: list[str]) -> np.ndarray:
-        """(texts, 2): the worst sentence's margin, and log(1 + sentences past it)."""
-        number: dict[str, int] = {}
-        doc, sentence, word = [], [], []
-        at = 0
-        for d, t in enumerate(texts):
-            for s in _END.split(t):
-                for u in units(s):
-                    doc.append(d)
-                    sentence.append(at)
-                    word.append(number.setdefault(u, len(number)))
-                at += 1
-        out = np.zeros((len(texts), 2))
-        out[:, 0] = self.bias - 1
-        if word:
-            m = self.margins(list(number))[np.array(word)]
-            np.maximum.at(out[:, 0], np.array(doc), m)
-            past = np.unique(np.array([doc, sentence]).T[m > 0], axis=0)
-            out[:, 1] = np.log1p(np.bincount(past[:, 0], minlength=len(texts)))
-        return np.clip(out, -3, 3)
-
-    def score(self, texts: list[str]) -> np.ndarray:
-        x = self.features(texts)
-        return 1 / (1 + np.exp(-np.clip(x @ self.doc[:2] + self.doc[2], -30, 30)))
-
-
-def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Model:
-    """The machine over units labelled 1 and 0."""
+def fit_units(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Model:
+    """The machine over units labelled 1 and 0; the same for any order of them."""
+    positive, negative = sorted(positive), sorted(negative)
     rng = np.random.default_rng(7)
-    half = landmarks // 2
-    marks = [[w[i] for i in rng.permutation(len(w))[:half]] for w in (positive, negative)]
-    marks = marks[0] + marks[1]
-    k = kernel(marks, marks)
-    value, vector = np.linalg.eigh(k)
+    marks = []
+    for words in (positive, negative):
+        kinds = sorted(set(words))
+        marks += [kinds[i] for i in rng.permutation(len(kinds))[:landmarks // 2]]
+    value, vector = np.linalg.eigh(kernel(marks, marks))
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
     words = positive + negative
@@ -196,72 +291,89 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     w = svm(kernel(words, marks) @ root, y, weight)
     alpha = root @ w[:-1]
     who, slot, value = subsequences(marks)
-    slots, where = np.unique(slot, return_inverse=True)
-    return Model(slots, np.bincount(where, value * alpha[who], len(slots)), float(w[-1]))
-
-
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(unit, context, toxic): contexts are the sentence, so copies count once."""
-    for batch in by_bytes(batches, "text", 2 << 20):
-        rows = set()
-        for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            for s in _END.split(t or ""):
-                own = units(s)
-                mark = hash_text(s)
-                rows.update((u, mark, toxic) for u in own)
-        if rows:
-            u, m, t = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(m, pa.int64()), pa.array(t, pa.int32())],
-                                             names=["unit", "context", "toxic"])
-
-
-def hash_text(s: str) -> int:
-    b = s.lower().encode()
-    return (zlib.crc32(b) << 31) ^ zlib.adler32(b)
+    return Model(np.bincount(slot, value * alpha[who], SLOTS), float(w[-1]))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, bad, good): documents of the task that hold a unit of the slot."""
+    count = np.zeros((2, SLOTS), np.int64)
+    for batch in by_bytes(batches, "text", 1 << 20):
+        codes, offsets = characters([t or "" for t in batch.column("text").to_pylist()])
+        start, ends = units(codes)
+        doc = np.searchsorted(offsets, start, "right") - 1
+        seen = np.unique(np.concatenate([doc[e >= 0] * SLOTS + _unit_slot(codes, start[e >= 0], e[e >= 0]) for e in ends]))
+        toxic = batch.column("toxic").to_numpy()[seen // SLOTS]
+        for y in (0, 1):
+            count[y] += np.bincount(seen[toxic == y] % SLOTS, minlength=SLOTS)
+    at = np.flatnonzero(count.sum(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[1][at]), pa.array(count[0][at])], names=["slot", "bad", "good"])
+
+
+def first_scores(slot: np.ndarray, bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> Model:
+    """Log of how much more common a unit is in toxic documents, drawn to 0 where few hold it."""
+    values = np.zeros(SLOTS)
+    lift = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
+    values[slot] = lift * bad / (bad + 5.0)
+    return Model(values, 0.0, whole=True)
+
+
+def chosen(model: Model, texts: list[str], toxic: list[int], keys: list[int]) -> list[tuple[str, int]]:
+    """(unit, label) of the units that the documents give: the best one of each, of
+    a clean one also the next best and one drawn by its key."""
+    codes, offsets = characters(texts)
+    start, ends = units(codes)
+    margin = model.margins(codes, start, ends)
+    out = []
+    bounds = np.searchsorted(start, offsets)
+    for a, b, y, key in zip(bounds[:-1].tolist(), bounds[1:].tolist(), toxic, keys):
+        if a == b:
+            continue
+        own = margin[:, a:b].T.ravel()  # by place, then length
+        picks = [int(own.argmax())]
+        if not y:
+            picks += np.argsort(-own, kind="stable")[1:HARD].tolist() + [key % (b - a) * RUN]
+        for k in picks:
+            if np.isfinite(own[k]):
+                p = a + k // RUN
+                out.append((written_unit(codes[start[p]:ends[k % RUN, p]]), y))
+    return out
 
 
-def _margins(model: Model):
+def _choose(model: Model):
     def run(batches):
-        for batch in batches:
-            m = model.margins(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m)], names=["unit", "margin"])
+        for batch in by_bytes(batches, "text", 1 << 20):
+            found = chosen(model, [t or "" for t in batch.column("text").to_pylist()], batch.column("toxic").to_pylist(),
+                           batch.column("key").to_pylist())
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.int32()))], names=["unit", "toxic"])
     return run
 
 
 def fit(labelled: DataFrame) -> Model:
-    """Train on (text, label 0/1) rows, a bounded sample (``training_rows``).
+    """Train on (text, label 0/1) rows, a bounded sample (``training_rows``): of
+    each document at most two units a round come to the driver.
 
-    With one class only, the model gives that class's constant score.
+    With one class only, or no letter in all of a class, the model gives one score.
     """
-    rows = labelled.select("text", F.col("label").alias("toxic"))
+    rows = labelled.select("text", F.col("label").alias("toxic"), F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("key"))
     counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad or not good:
         return Model(doc=np.array([0.0, 0.0, 4.0 if bad else -4.0]))
-    seen = (rows.mapInArrow(_occurrences, "unit string, context long, toxic int").distinct()
-            .groupBy("unit").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")))
-    seen = written(seen, "toxic-units")
-    lift = (F.col("bad") + 0.1) / bad / ((F.col("good") + 0.1) / good)
-    positive = [r.unit for r in seen.where(f"bad >= {max(2, min(5, bad // 40))}").where(lift >= 25)
-                .orderBy(F.desc("bad"), "unit").limit(POSITIVE_WORDS).collect()]
-    if not positive:
-        return Model(doc=np.array([0.0, 0.0, float(np.log(bad / good))]))
-    clean = seen.where("good > 0").select("unit", "good")
-    negative = [r.unit for r in clean.orderBy(F.xxhash64("unit")).limit(NEGATIVE_WORDS // 2).collect()]
-    negative += [r.unit for r in clean.orderBy(F.desc("good"), "unit").limit(NEGATIVE_WORDS // 2).collect()]
-    negative = sorted(set(negative) - set(positive))
-    model = fit_words(positive, negative)
-    for _ in range(2):
-        worst = (clean.select("unit").mapInArrow(_margins(model), "unit string, margin double")
-                 .where("margin > -0.5").orderBy(F.desc("margin"), "unit").limit(HARD_WORDS))
-        hard = {r.unit for r in worst.collect()} - set(positive) - set(negative)
-        if not hard:
-            break
-        negative = sorted(set(negative) | hard)
-        model = fit_words(positive, negative)
+    seen = (rows.select("text", "toxic").mapInArrow(_counted, "slot long, bad long, good long")
+            .groupBy("slot").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas())  # at most SLOTS rows
+    model = first_scores(*(seen[c].to_numpy() for c in ("slot", "bad", "good")), bad, good)
+    negative: Counter[str] = Counter()  # those of earlier rounds stay, as often as a round had them
+    for _ in range(ROUNDS):
+        found = rows.mapInArrow(_choose(model), "unit string, toxic int").collect()
+        positive = [r.unit for r in found if r.toxic == 1]
+        negative |= Counter(r.unit for r in found if r.toxic == 0)
+        if not positive or not negative:
+            return Model(doc=np.array([0.0, 0.0, float(np.log(bad / good))]))
+        model = fit_units(positive, list(negative.elements()))
 
     def features(batches):
-        for batch in by_bytes(batches, "text", 2 << 20):
+        for batch in by_bytes(batches, "text", 1 << 20):
             x = model.features([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x[:, 0]), pa.array(x[:, 1])],
                                              names=["toxic", "x", "n"])
@@ -270,28 +382,29 @@ def fit(labelled: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text",
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", out_col: str = "score",
           keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score) for each row of ``docs``, in 0..1; null and empty texts are
-    scored as texts without a word.  ``keep`` names columns to pass through."""
+    """(id, ``out_col``) for each row of ``docs``, in 0..1; null and empty texts are
+    scored as texts without a letter.  ``keep`` names columns to pass through;
+    one of the name ``out_col`` needs another ``out_col``."""
     names = [id_col, *keep]
     rows = docs.select(*names, F.col(text_col).cast("string").alias("__text"))
     schema = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names) + ", __score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "__text", 4 << 20):
+        for batch in by_bytes(batches, "__text", 1 << 20):
             s = model.score([t or "" for t in batch.column(len(names)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(s)], names=[*names, "__score"])
-    return rows.mapInArrow(run, schema).withColumnRenamed("__score", "score")
+    return rows.mapInArrow(run, schema).withColumnRenamed("__score", out_col)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", parts: int = 3, part: int = 1, sample: int = SAMPLE_DOCS,
-                    keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, ``keep``, score) for each row of ``docs``, learnt as in :func:`toxicity`."""
+                    out_col: str = "score", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ``keep``, ``out_col``) for each row of ``docs``, learnt as in :func:`toxicity`."""
     model = fit(training_rows(docs, labels, label_col, id_col=id_col, text_col=text_col, parts=parts, part=part,
                               sample=sample))
-    return score(docs, model, id_col=id_col, text_col=text_col, keep=keep)
+    return score(docs, model, id_col=id_col, text_col=text_col, out_col=out_col, keep=keep)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -300,10 +413,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     """(id, held_out, score, predicted) for each row of ``docs``.
 
     Learns from the labelled rows whose crc32(id) mod ``parts`` is not
-    ``part``.  A null id is not held out and has no label.
+    ``part``.  A null id is not held out and has no label; null and empty texts
+    get a score; rows that repeat an id are scored each, by their own text;
+    very long texts are scored whole, in steps; other columns are not read.
     """
     scored = toxicity_scores(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, parts=parts, part=part,
-                             sample=sample)
+                             sample=sample, out_col="__score")
     return scored.select(
-        id_col, held_out(id_col, parts, part).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+        id_col, held_out(id_col, parts, part).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= threshold).cast("int").alias("predicted"))
