@@ -3,7 +3,9 @@
 toxicity -> line dedup -> near-dedup -> decontamination -> SentencePiece.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
-last return the columns of ``documents``.  ``run`` writes each stage's result
+last return the columns of ``docs``, whatever other columns it has and however
+they are named.  Rows with null ids or texts, empty texts and repeated rows go
+through every stage; an empty table gives an empty result.  ``run`` writes each stage's result
 to the shared folder and reads it back, so a lost executor costs its stage
 only.
 """
@@ -26,9 +28,9 @@ NEAR = {"num": 80, "den": 100, "count": 36, "rows": 5}
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold."""
-    scored = toxicity_scores(docs, table(spark, sf_dir, "labels"), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return scored.where(F.col("score") < THRESHOLD).select(*docs.columns)
+    """Documents scored below the threshold; null and empty texts are scored as texts without a letter."""
+    scored = toxicity_scores(docs, table(spark, sf_dir, "labels"), keep=tuple(c for c in docs.columns if c != "doc_id"), out_col="__toxic")
+    return scored.where(F.col("__toxic") < THRESHOLD).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +50,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select(*docs.columns)
+    """Documents that contain no benchmark item; those without an id, which can't be told apart, stay."""
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), items_col="__items", flag_col="__leaked")
+    return found.where(~F.col("__leaked")).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
