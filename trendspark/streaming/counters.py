@@ -8,7 +8,6 @@ runs in the session and gives them as a table.
 from __future__ import annotations
 
 import threading
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -19,12 +18,11 @@ class Counters(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession):
         super().__init__()
-        self.spark, self.totals, self.running = spark, {}, {}
-        self._lock = threading.Condition()
+        self.spark, self.totals = spark, {}
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
-        with self._lock:
-            self.running[str(event.runId)] = True
+        pass
 
     def onQueryProgress(self, event) -> None:
         with self._lock:
@@ -36,18 +34,11 @@ class Counters(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        with self._lock:
-            self.running[str(event.runId)] = False
-            self._lock.notify_all()
+        pass
 
-    def wait(self, seconds: float = 30) -> bool:
-        """Until every query seen has ended and its last progress has arrived (events come later than the batches)."""
-        end = time.monotonic() + seconds
-        with self._lock:
-            while any(self.running.values()):
-                if not self._lock.wait(max(0.0, end - time.monotonic())) and time.monotonic() >= end:
-                    return False
-        return True
+    def wait(self, seconds: int = 60) -> None:
+        """Until the events of the batches so far have arrived (they come later than the batches)."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(seconds * 1000)
 
     def table(self) -> DataFrame:
         """(name, counter, value), one row per observed counter."""

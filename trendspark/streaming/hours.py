@@ -6,8 +6,8 @@ batches before, less ``delay``) has passed its end.  Rows that come for a closed
 hour, or have no event time, go to the late folder, so no closed hour's file is
 touched again.
 
-``<out>_open`` holds the rows of open hours by hour and batch, ``<out>_late`` the
-late ones by batch, ``<out>_marks`` the latest event time after each batch,
+``<out>_open`` holds the rows of open hours by day and batch, ``<out>_late`` the
+late ones by batch and day, ``<out>_marks`` the latest event time after each batch,
 written last.  Every write replaces what the same batch wrote before, so a batch
 run again leaves the same files.
 """
@@ -23,6 +23,7 @@ from trendspark.sources.sinks import TEXT_TIME_OPTIONS, land_hourly
 from trendspark.streaming.ingest import _has_entries
 
 _HOUR = 3_600_000_000
+_DAY = 24
 
 
 def _replace(df: DataFrame, out: str, *parts: str) -> None:
@@ -52,9 +53,10 @@ class HourLanding:
             return
         limit, done = self._limit(latest), self._limit(before)
         if _has_entries(self.spark, self.open) and limit != done:
-            rows = self.spark.read.parquet(self.open).where(F.col("hour_no") < limit)
-            rows = rows if done is None else rows.where(F.col("hour_no") >= done)
-            land_hourly(rows.drop("hour_no", "batch"), self.out, self.ts, self.fmt)
+            rows = self.spark.read.parquet(self.open).where((F.col("day_no") <= limit // _DAY) & (F.col("hour_no") < limit))
+            if done is not None:
+                rows = rows.where((F.col("day_no") >= done // _DAY) & (F.col("hour_no") >= done))
+            land_hourly(rows.drop("day_no", "hour_no", "batch"), self.out, self.ts, self.fmt)
         _replace(self.spark.range(1).select(F.lit(latest).cast("long").alias("latest"), F.lit(number).alias("batch")), self.marks, "batch")
 
     def process(self, batch: DataFrame, number: int) -> None:
@@ -67,9 +69,10 @@ class HourLanding:
             n, n_late, latest = b.agg(F.count("*"), F.coalesce(F.sum(late.cast("int")), F.lit(0)),
                                       F.max(F.unix_micros(F.col(self.ts).cast("timestamp")))).first()
             if n_late:
-                _replace(b.where(late).drop("hour_no").select("*", *path_parts(F.col(self.ts))), self.late, "batch", "year", "month", "day", "hour")
+                _replace(b.where(late).drop("hour_no").select("*", *path_parts(F.col(self.ts))), self.late, "batch", "year", "month", "day")
             if n > n_late:
-                _replace(b.where(~late).hint("rebalance", "hour_no"), self.open, "hour_no", "batch")
+                rows = b.where(~late).withColumn("day_no", F.floor(F.col("hour_no") / _DAY))
+                _replace(rows.hint("rebalance", "day_no"), self.open, "day_no", "batch")
             self._close(number, before, max((x for x in (before, latest) if x is not None), default=None))
         finally:
             b.unpersist()

@@ -201,8 +201,14 @@ class KeyedArchive:
         s = s.dropDuplicates(self.keys).where("not _seed")
         if self.observe:
             s = s.observe(f"{self.observe}_new", F.count(F.lit(1)).alias("rows"))
-        q = s.writeStream.foreachBatch(append)
-        q.option("checkpointLocation", self.state).trigger(availableNow=True).start().awaitTermination()
+        q = s.writeStream.foreachBatch(append).option("checkpointLocation", self.state).trigger(availableNow=True)
+        tags = self.spark.sparkContext.getJobTags()  # of the query whose batch this is; the inner one has its own
+        self.spark.sparkContext.clearJobTags()
+        try:
+            q.start().awaitTermination()
+        finally:
+            for tag in tags:
+                self.spark.sparkContext.addJobTag(tag)
 
     def add(self, rows: DataFrame, number: int) -> int:
         """Archive the rows (one per key) whose key is new; their number."""
