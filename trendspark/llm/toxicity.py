@@ -41,9 +41,7 @@ DECAY, SPAN = 0.7, 6
 #: Words and characters of a unit, at most.
 RUN, LONGEST = 4, 24
 #: Labelled documents that training takes at most, landmarks, rounds.
-SAMPLE_DOCS, LANDMARKS, ROUNDS = 24_000, 480, 3
-#: Best units that a clean document gives each round.
-HARD = 2
+SAMPLE_DOCS, LANDMARKS, ROUNDS = 24_000, 320, 4
 SLOTS = 1 << 18
 #: Characters scored in one step.
 STEP = 1 << 19
@@ -226,37 +224,39 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
     """K(u, v): sum over shared subsequences of the products of their weights."""
     rw, rs, rv = subsequences(right)
-    used, row = np.unique(rs, return_inverse=True)
-    table = np.zeros((len(used) + 1, len(right)), np.float32)  # the last row: slots of no landmark
-    np.add.at(table, (row, rw), rv)
-    place = np.full(SLOTS, len(used), np.int64)
-    place[used] = np.arange(len(used))
-    out = np.zeros((len(left), len(right)))
-    for a in range(0, len(left), 512):
-        w, s, v = subsequences(left[a:a + 512])
-        hit = np.flatnonzero(place[s] < len(used))
-        order = hit[np.argsort(w[hit], kind="stable")]
-        if len(order):
-            rows = table[place[s[order]]] * v[order, None].astype(np.float32)
-            cut = np.flatnonzero(np.concatenate([[True], np.diff(w[order]) > 0]))
-            out[a + w[order[cut]]] = np.add.reduceat(rows, cut, axis=0)
+    order = np.argsort(rs, kind="stable")
+    rw, rs, rv = rw[order], rs[order], rv[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, len(left), 1024):
+        part = left[a:a + 1024]
+        w, s, v = subsequences(part)
+        first, n = np.searchsorted(rs, s, "left"), np.searchsorted(rs, s, "right")
+        n = n - first
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        cell = np.repeat(w, n) * len(right) + rw[at]
+        out[a:a + len(part)] = np.bincount(cell, np.repeat(v, n) * rv[at], len(part) * len(right)).reshape(len(part), len(right))
     return out
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> np.ndarray:
     """Weights (the last one the bias) of a linear machine with squared hinge
-    loss, by Newton steps on the primal."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(len(w))
+    loss, by Newton steps on the primal; rows are summed in blocks."""
+    dims = x.shape[1] + 1
+    w, ridge = np.zeros(dims), np.eye(dims)
     ridge[-1, -1] = 1e-3
     for _ in range(50):
-        margin = 1 - y * (x @ w)
-        on = margin > 0
-        a = x[on] * weight[on, None]
-        step = np.linalg.solve(ridge + 2 * c * a.T @ x[on], ridge @ w - 2 * c * a.T @ (y[on] * margin[on]))
+        curve, slope = ridge.copy(), ridge @ w
+        for a in range(0, len(x), 4096):
+            part, own = x[a:a + 4096], y[a:a + 4096]
+            margin = 1 - own * (part @ w[:-1] + w[-1])
+            on = margin > 0
+            rows = np.hstack([part[on], np.ones((int(on.sum()), 1))])
+            heavy = rows * weight[a:a + 4096][on, None]
+            curve += 2 * c * heavy.T @ rows
+            slope -= 2 * c * heavy.T @ (own[on] * margin[on])
+        step = np.linalg.solve(curve, slope)
         w = w - step
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-6:
             break
     return w
 
@@ -282,13 +282,13 @@ def fit_units(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     for words in (positive, negative):
         kinds = sorted(set(words))
         marks += [kinds[i] for i in rng.permutation(len(kinds))[:landmarks // 2]]
-    value, vector = np.linalg.eigh(kernel(marks, marks))
+    value, vector = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     keep = value > 1e-6 * value.max()
-    root = vector[:, keep] / np.sqrt(value[keep])
+    root = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
     words = positive + negative
     y = np.where(np.arange(len(words)) < len(positive), 1.0, -1.0)
     weight = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(words)
-    w = svm(kernel(words, marks) @ root, y, weight)
+    w = svm((kernel(words, marks) @ root).astype(np.float32), y, weight)
     alpha = root @ w[:-1]
     who, slot, value = subsequences(marks)
     return Model(np.bincount(slot, value * alpha[who], SLOTS), float(w[-1]))
@@ -319,7 +319,7 @@ def first_scores(slot: np.ndarray, bad: np.ndarray, good: np.ndarray, n_bad: int
 
 def chosen(model: Model, texts: list[str], toxic: list[int], keys: list[int]) -> list[tuple[str, int]]:
     """(unit, label) of the units that the documents give: the best one of each, of
-    a clean one also the next best and one drawn by its key."""
+    a clean one also one drawn by its key."""
     codes, offsets = characters(texts)
     start, ends = units(codes)
     margin = model.margins(codes, start, ends)
@@ -331,7 +331,7 @@ def chosen(model: Model, texts: list[str], toxic: list[int], keys: list[int]) ->
         own = margin[:, a:b].T.ravel()  # by place, then length
         picks = [int(own.argmax())]
         if not y:
-            picks += np.argsort(-own, kind="stable")[1:HARD].tolist() + [key % (b - a) * RUN]
+            picks.append(key % (b - a) * RUN)
         for k in picks:
             if np.isfinite(own[k]):
                 p = a + k // RUN
