@@ -148,3 +148,40 @@ def test_only_the_days_asked_for_are_listed(spark, tmp_path):
     assert len(got.inputFiles()) == 3  # of 36
     assert got.columns == ["date", "v", "year", "month", "day"]
     assert readers.read_fact_range(spark, root, "2030-01-01", "2030-01-02").count() == 0
+
+
+def test_staged_raw_rows_keep_unknown_fields(spark):
+    lines = spark.createDataFrame([('{"id": "a", "created_utc": 1733659200.5, "author": {"n": 1}, "odd": {"x": [1, 2]}}',), ("{broken",), (None,),
+                                   ("[1]",), ('{"id": 7}',)], "value string")
+    got = ingest.stage_raw(lines).select("id_str", "post_datetime", F.to_json("raw").alias("raw"), "bad").collect()
+    assert [tuple(r) for r in got[:1]] == [("a", "2024-12-08 12:00:00", '{"created_utc":1733659200.5,"id":"a","odd":{"x":[1,2]}}', 0)]
+    assert [tuple(r) for r in got[1:4]] == [(None, None, None, 1)] * 3 and tuple(got[4]) == ("7", None, '{"id":7}', 0)
+
+
+def test_companies_merged_in_any_order_equal_one_pass(spark):
+    from trendspark.operators import dims
+    kind = "id long, production_companies array<struct<id: long, name: string, origin_country: string>>"
+    days = {"2024-01-01": [(5, [(1, "x", "US"), (2, "y", None)])], "2024-01-02": [(1, [(1, "x", "FR"), (2, "y", "DE")])],
+            "2024-01-03": [(9, [(3, "z", "IT"), (3, "z", "ES")]), (8, None)]}
+    want = {(1, "x", "US"), (2, "y", None), (3, "z", "IT")}
+    for order in (sorted(days), sorted(days, reverse=True), ["2024-01-02", "2024-01-03", "2024-01-01", "2024-01-02"]):
+        stored = None
+        for day in order:
+            stored = dims.merge_companies(stored, spark.createDataFrame(days[day], kind), day)
+        assert {(r.id, r.name, r.origin_country) for r in stored.collect()} == want
+
+
+def test_a_selected_name_reads_one_folder(spark, tmp_path):
+    from trendspark.operators import trends
+    view = spark.sql("select concat('n', id % 20) as name, date_add(date'2024-01-01', cast(id % 30 as int)) as date, id as v from range(600)")
+    out = str(tmp_path / "slices")
+    sinks.write_slices(trends.running_totals(view, "v"), out, buckets=8)
+    for start, end in (("2024-01-05", "2024-01-10"), ("2023-01-01", "2024-01-01"), ("2024-01-30", "2025-01-01"), ("2020-01-01", "2020-02-01")):
+        want = {r.name: r.t for r in view.where(f"date <= '{end}'").groupBy("name").agg(F.sum(F.expr(f"if(date >= '{start}', v, 0)")).alias("t")).collect()}
+        assert {r.name: r.total for r in trends.range_totals(readers.read_slice(spark, out), start, end).collect()} == want
+    one = readers.read_slice(spark, out, "n7", buckets=8)
+    assert {r.name for r in one.collect()} == {"n7"}
+    plan = one._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    scan = [str(x) for x in plan.toString().split("\n") if "PartitionFilters" in x][0]
+    assert "bucket" in scan.split("PartitionFilters")[1].split("]")[0]

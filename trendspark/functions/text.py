@@ -111,3 +111,14 @@ def to_json_row(df, exclude=()) -> Column:
 def json_field(c, schema: str) -> Column:
     """parse JSON text with an explicit schema; malformed → null fields."""
     return F.from_json(_c(c), schema, {"mode": "PERMISSIVE"})
+
+
+def portable_variant(c, exclude=()) -> Column:
+    """F16 + F17: a JSON object text as VARIANT, every field kept but the excluded ones.
+
+    Fields that no schema names stay readable (``try_variant_get``).  Text that
+    is no JSON object gives null.
+    """
+    v = F.try_parse_json(_c(c))
+    return F.call_function("to_variant_object", F.map_filter(v.try_cast("map<string,variant>"), lambda k, _: ~k.isin(*exclude)) if exclude
+                           else v.try_cast("map<string,variant>"))

@@ -67,6 +67,27 @@ def company_dim(snapshot: DataFrame, arr: str = "production_companies",
     return first_seen(rows, ["id", "name"], ["origin_country"], ["_item", "_pos"])
 
 
+def merge_companies(stored: DataFrame | None, snapshot: DataFrame, day: str, arr: str = "production_companies",
+                    item_order: str = "id") -> DataFrame:
+    """A8 across loads: the company dimension with one more landed day.
+
+    Columns id, name, origin_country and where that was first seen (first_day,
+    first_item, first_pos).  'First' is by day, item and place in its list over
+    all days merged so far, in whatever order they come and however often, so
+    merging day by day equals one pass over all days.
+    """
+    e = snapshot.select(F.lit(day).cast("date").alias("first_day"), F.col(item_order).cast("long").alias("first_item"), F.posexplode(arr).alias("first_pos", "c"))
+    rows = e.select(F.col("c.id").cast("int").alias("id"), F.col("c.name").alias("name"), F.col("c.origin_country").alias("origin_country"),
+                    "first_day", "first_item", "first_pos")
+    rows = rows if stored is None else rows.unionByName(stored)
+    return first_seen(rows, ["id", "name"], ["origin_country", "first_day", "first_item", "first_pos"], ["first_day", "first_item", "first_pos"])
+
+
+def merge_pairs(stored: DataFrame | None, pairs: DataFrame) -> DataFrame:
+    """A7/P8 across loads: distinct (id, name) rows of the stored dimension and one more day."""
+    return distinct_pairs(pairs if stored is None else pairs.unionByName(stored.select("id", "name")))
+
+
 def item_dim(snapshot: DataFrame) -> DataFrame:
     """Item dimension rows (not de-duplicated, like the reference)."""
     return snapshot.select(

@@ -117,3 +117,28 @@ def last_days(df: DataFrame, days: int = 7, date: str = "date") -> DataFrame:
     """Rows of the last ``days`` days present in the data (scalar subquery)."""
     latest = df.agg(F.max(F.col(date).cast("date"))).scalar()
     return df.where(F.col(date).cast("date") > F.date_sub(latest, days))
+
+
+def running_totals(view: DataFrame, value: str, *, name: str = "name", date: str = "date") -> DataFrame:
+    """(name, date, total): the sum of ``value`` up to and with each day of a name.
+
+    Days are summed before the window, so a name's window holds a row per day.
+    """
+    daily = view.where(F.col(name).isNotNull()).groupBy(name, date).agg(F.sum(value).alias("v"))
+    order = Window.partitionBy(name).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select(name, date, F.sum("v").over(order).alias("total"))
+
+
+def name_bucket(name, buckets: int) -> Column:
+    """The folder that a name's running totals stand in."""
+    return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
+
+
+def range_totals(running: DataFrame, start, end, *, name: str = "name", date: str = "date", out: str = "total") -> DataFrame:
+    """Totals per name of a closed date range from :func:`running_totals`:
+    of each name the last row up to the end less the last one before the start.
+    Names without a row up to the end are left out."""
+    first, last = (F.lit(str(d)).cast("date") for d in (start, end))
+    before = F.max_by(F.when(F.col(date) < first, F.col("total")), F.when(F.col(date) < first, F.col(date)))
+    return (running.where(F.col(date) <= last).groupBy(name)
+            .agg((F.max_by("total", date) - F.coalesce(before, F.lit(0))).alias(out)))

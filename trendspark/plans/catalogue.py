@@ -1139,3 +1139,66 @@ def q_job_rank_totals(spark, sf):
     """E6 (A3, L2): totals per name of that view without the three largest."""
     from trendspark.plans import jobs
     return jobs.rank_totals(_trend_view(spark, sf)).select("name", "total")
+
+
+# ---------------------------------------------------------------- raw staging, dimensions over days, running totals
+
+@register("raw_staging", """
+SELECT CASE WHEN doc_id % 50 <> 0 THEN CAST(doc_id AS VARCHAR) END AS id_str,
+       CASE WHEN doc_id % 50 <> 0 THEN strftime(TIMESTAMP '2024-01-01' + to_seconds(doc_id % 100000), '%Y-%m-%d %H:%M:%S') END AS post_datetime,
+       CASE WHEN doc_id % 50 <> 0 THEN lang END AS flair, CASE WHEN doc_id % 50 <> 0 THEN n_chars END AS size, CAST(NULL AS VARCHAR) AS author,
+       CAST(doc_id % 50 = 0 AS INTEGER) AS bad
+FROM documents
+""")
+def q_raw_staging(spark, sf):
+    """S2 + F16 + F17: posts land as JSON lines, one in fifty broken; staged as VARIANT without the fields that are
+    not portable, read back by path: fields no schema names are there, the dropped one is not, bad lines are counted."""
+    from trendspark.session import scratch_dir
+    from trendspark.streaming.ingest import stage_raw
+    root = scratch_dir(spark, "raw_staging")
+    d = load(spark, sf, "documents")
+    post = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), (F.lit(1704067200.0) + F.col("doc_id") % 100000).alias("created_utc"),
+                              "text", F.struct(F.col("lang").alias("text"), F.array("n_chars").alias("sizes")).alias("flair"),
+                              F.struct(F.col("source").alias("name")).alias("author")))
+    line = F.when(F.col("doc_id") % 50 == 0, F.substring(post, 1, 20)).otherwise(post)
+    d.select(line.alias("value")).write.text(f"{root}/lines")
+    stage_raw(spark.read.text(f"{root}/lines")).write.parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
+    return staged.select("id_str", "post_datetime", F.try_variant_get("raw", "$.flair.text", "string").alias("flair"),
+                         F.try_variant_get("raw", "$.flair.sizes[0]", "long").alias("size"),
+                         F.try_variant_get("raw", "$.author.name", "string").alias("author"), "bad")
+
+
+@register("merged_companies", """
+WITH w AS (SELECT p_partkey, p_brand, p_partkey % 3 AS day, unnest(string_split(p_name, ' ')) AS name,
+                  generate_subscripts(string_split(p_name, ' '), 1) AS pos
+           FROM part WHERE nullif(p_name, '') IS NOT NULL)
+SELECT CAST(length(name) AS INTEGER) AS id, name, first(p_brand ORDER BY day, p_partkey, pos) AS origin_country,
+       DATE '2024-01-01' + CAST(min(day) AS INTEGER) AS first_day
+FROM w GROUP BY 1, 2
+""")
+def q_merged_companies(spark, sf):
+    """A8 + E3 across loads: three landed days merged one by one, the last one twice; the first country ever seen counts."""
+    from trendspark.plans import jobs
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_load
+    root = scratch_dir(spark, "merged_companies")
+    _landed_metrics(spark, sf, f"{root}/landed")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-03"):
+        jobs.merge_dimensions(spark, f"{root}/landed", f"{root}/dims", day)
+    merged = read_load(spark, f"{root}/dims", ("genres", "production_companies"))["production_companies"]
+    return merged.select("id", "name", "origin_country", "first_day")
+
+
+@register("slice_running_totals", _SLICE_BASE + """
+SELECT name, CAST(sum(CASE WHEN date >= DATE '1997-01-01' THEN n_orders ELSE 0 END) AS BIGINT) AS total
+FROM s WHERE date <= DATE '1997-03-31' GROUP BY name
+""")
+def q_slice_running_totals(spark, sf):
+    """W2 + E6: totals of a date range from running totals written by name: two rows a name, however long the range."""
+    from trendspark.session import scratch_dir
+    from trendspark.sources.readers import read_slice
+    from trendspark.sources.sinks import write_slices
+    out = scratch_dir(spark, "slice_running_totals")
+    write_slices(trends.running_totals(_slice_view(spark, sf), "n_orders"), out)
+    return trends.range_totals(read_slice(spark, out), "1997-01-01", "1997-03-31")

@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import functions as F
 
 from trendspark import schemas
-from trendspark.functions.text import json_field, simple_text, token_end_mask, token_start_mask
+from trendspark.functions.text import json_field, portable_variant, simple_text, token_end_mask, token_start_mask
 from trendspark.operators import trends
 from trendspark.plans import jobs
 from trendspark.session import get_session
@@ -111,7 +111,8 @@ def main(argv=None) -> int:
     elif a.cmd == "ingest":
         lines = ingest.file_stream(spark, a.landing, schemas.RAW_LINES, "text", a.max_files_per_trigger)
         s = ingest.with_arrival(lines).select("*", json_field("value", schemas.POSTS.simpleString()).alias("p")) \
-            .select("p.*", F.col("value").alias("raw"), *ingest.ARRIVAL_COLS).drop("_corrupt_record")  # the whole line is kept
+            .select("p.*", F.coalesce(F.to_json(portable_variant("value", ingest.NON_PORTABLE_FIELDS)), "value").alias("raw"),
+                    *ingest.ARRIVAL_COLS).drop("_corrupt_record")  # the whole object without the non-portable fields; a malformed line as it is
         s = s.withColumn("event_time", F.timestamp_seconds("created_utc")) \
              .withColumn("title_simple", simple_text("title"))
         masks = None

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from trendspark import schemas
@@ -164,6 +165,20 @@ def run_build_dims(spark: SparkSession, metrics_path: str, out_root: str, load:
     sinks.write_load(build_dimensions(spark, snapshot, as_of, **kw), out_root, load, fmt)
 
 
+def merge_dimensions(spark: SparkSession, metrics_path: str, out_root: str, day: str) -> None:
+    """E3 across loads: the genre and company dimensions of the newest complete
+    load with one more landed day, written as the load of that day."""
+    day = facts._check_date(day)
+    snapshot, names = readers.read_metrics(spark, metrics_path, day, day), ("genres", "production_companies")
+    try:
+        stored = readers.read_load(spark, out_root, names)
+    except (ValueError, AnalysisException):  # no load yet
+        stored = {}
+    sinks.write_load({"genres": dims.merge_pairs(stored.get("genres"), dims.genre_dim(snapshot)),
+                      "production_companies": dims.merge_companies(stored.get("production_companies"), snapshot, day)},
+                     out_root, day.replace("-", ""))
+
+
 def land_metrics(spark: SparkSession, incoming: DataFrame, out: str, items: DataFrame,
                  as_of: str | None = None) -> DataFrame:
     """E5: stamp and land one day of metric snapshots; returns the coverage

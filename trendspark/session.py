@@ -22,6 +22,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows that go to a Python worker at a time: texts may be long, and a batch
+    # is held by the JVM and the worker at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Streaming dedup/window state off the JVM heap (it grows with the key
     # count); the provider is recorded in each query's checkpoint.
     "spark.sql.streaming.stateStore.providerClass":

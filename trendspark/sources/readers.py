@@ -264,3 +264,12 @@ def read_load(spark: SparkSession, root: str, names, load: str | None = None, fm
             df = (spark.read if kind is None else spark.read.schema(kind)).format(fmt).load(path)
         out[name] = df
     return out
+
+
+def read_slice(spark: SparkSession, out: str, name_value: str | None = None, buckets: int = 64, name: str = "name") -> DataFrame:
+    """The running totals that :func:`trendspark.sources.sinks.write_slices` wrote, of all names or of one (one folder)."""
+    from trendspark.operators.trends import name_bucket
+    df = spark.read.parquet(out)
+    if name_value is not None:
+        df = df.where((F.col("bucket") == name_bucket(F.lit(name_value), buckets)) & (F.col(name) == F.lit(name_value)))
+    return df.drop("bucket")

@@ -118,3 +118,11 @@ def backfill_hours(df: DataFrame, out: str, ts_col: str, start, end, fmt: str =
     """
     from trendspark.functions.timeutil import in_interval
     land_hourly(df.where(in_interval(ts_col, start, end)), out, ts_col, fmt, cluster=cluster)
+
+
+def write_slices(running: DataFrame, out: str, buckets: int = 64, name: str = "name") -> None:
+    """Running totals in folders by a hash of the name, sorted in each file, so
+    a selected name reads one folder (:func:`trendspark.sources.readers.read_slice`)."""
+    from trendspark.operators.trends import name_bucket
+    data = running.withColumn("bucket", name_bucket(name, buckets)).hint("rebalance", "bucket").sortWithinPartitions("bucket", name, "date")
+    data.write.mode("overwrite").partitionBy("bucket").parquet(out)

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trendspark.functions.text import drop_fields
-from trendspark.functions.timeutil import path_parts
+from trendspark.functions.text import drop_fields, portable_variant
+from trendspark.functions.timeutil import epoch_to_text, path_parts
 from trendspark.operators.matching import texts_matching_any
 from trendspark.sources.readers import track_phrases
 
@@ -48,6 +48,20 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
+def stage_raw(lines: DataFrame, value: str = "value", *, key: str = "id", created: str = "created_utc",
+              drop=NON_PORTABLE_FIELDS) -> DataFrame:
+    """S2 + F16: landed JSON lines as staged rows (id_str, post_datetime, raw VARIANT, bad).
+
+    ``raw`` is the whole object without its non-portable fields; whatever else a
+    post holds stays readable by path.  ``bad`` counts 1 where the line is no
+    JSON object (its other columns are null); the null line is one too.
+    """
+    rows = lines.select(portable_variant(value, drop).alias("raw"))
+    return rows.select(F.try_variant_get("raw", f"$.{key}", "string").alias("id_str"),
+                       epoch_to_text(F.try_variant_get("raw", f"$.{created}", "double")).alias("post_datetime"), "raw",
+                       F.col("raw").isNull().cast("int").alias("bad"))
+
+
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
     """Event-time column as TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
     return df.withColumn(out, F.col(ts).cast("timestamp"))
