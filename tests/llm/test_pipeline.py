@@ -46,6 +46,24 @@ def test_stages_on_odd_tables(spark, k):
         assert len(out.collect()) == len(some)
 
 
+@pytest.mark.parametrize("k", range(4))
+def test_stages_keep_columns_of_any_name_repeated_rows_and_long_texts(spark, k):
+    """Columns named like those that the operators make, equal rows, two rows of one id, a very long text, a null id."""
+    base = spark.read.parquet(f"{SF}/documents.parquet").schema
+    odd = ["score", "items", "contaminated", "h", "kept", "component", "node", "__x", "lines_removed", "bucket", "text2"]
+    rows = [(1, "One  line here, rather long for its kind.\nMore", "en", "s", 16), (2, "word " * 60_000, "en", "s", 300_000), (3, "same id", "en", "s", 7),
+            (3, "other text", "en", "s", 10), (4, "alone in the world", "en", "s", 18), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, base).selectExpr("*", *[f"concat('own ', doc_id) as `{c}`" for c in odd])
+    name, stage = cp.STAGES[k]
+    out = stage(spark, df, SF)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert {r.doc_id for r in got} == {1, 2, 3, 4, None} and len(got) == len(rows)
+    assert all(r[c] == (None if r.doc_id is None else f"own {r.doc_id}") for r in got for c in odd)
+    twice = stage(spark, df.union(df), SF).collect()
+    assert {r.doc_id for r in twice} == {1, 2, 3, 4, None}
+
+
 def test_near_stage_takes_pairs_from_four_fifths(spark):
     """9 of 11 shingles are shared (0.82): below op4's 0.85, above the stage's 0.8; 7 of 9 (0.78) is below both."""
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema

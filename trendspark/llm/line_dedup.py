@@ -57,8 +57,8 @@ def shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.ndarr
 def _classes(chars: int, count: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", 1 << 20):
-            lines, ids, places = [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            lines, ids, places, sums = [], [], [], []
+            for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 seen = set()
                 for k, line in enumerate((t or "").split("\n")):
                     c = canonical(line)
@@ -67,13 +67,14 @@ def _classes(chars: int, count: int, rows: int):
                         lines.append(c)
                         ids.append(i)
                         places.append(k)
+                        sums.append(h)
             e, offsets = shingles(lines, chars)
             b = bands(signatures(e, offsets, count * rows), count, rows)
             lists = pa.ListArray.from_arrays(np.arange(0, b.size + 1, count, dtype=np.int32), b.ravel())
             k1, k2 = zip(*map(line_key, lines)) if lines else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(places, pa.int64()), lists],
-                                             names=["k1", "k2", "doc_id", "place", "buckets"])
+                                              pa.array(places, pa.int64()), pa.array(sums, pa.int64()), lists],
+                                             names=["k1", "k2", "doc_id", "place", "h", "buckets"])
     return run
 
 
@@ -128,18 +129,20 @@ def _confirmed(chars: int, num: int, den: int):
 def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHARS, count: int = BANDS,
                 band_rows: int = ROWS) -> DataFrame:
     """(k1, k2, docs, doc_id, place, lines): of every class of equal lines of
-    ``rows`` (doc_id, text) that has more than one line, or one nearly equal to
+    ``rows`` (doc_id, text, h: a hash of the text) that has more than one line, or one nearly equal to
     it: the first line of its group, and the group's documents."""
     classes = (rows.mapInArrow(_classes(chars, count, band_rows),
-                               "k1 long, k2 long, doc_id long, place long, buckets array<long>")
-               .groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "place")).alias("at"), F.count("*").alias("docs"),
+                               "k1 long, k2 long, doc_id long, place long, h long, buckets array<long>")
+               .groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "place", "h")).alias("at"), F.count("*").alias("docs"),
                                         F.first("buckets").alias("buckets")))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
     members = crowded(classes.select("node", "buckets"))
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "at.doc_id")
-    wanted = written(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("node", "k1", "k2")).alias("wanted")), "wanted")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "at.doc_id", "at.h")
+    # lists are by text, so rows without an id (or with one id) are no single list
+    wanted = written(wanted.groupBy("doc_id", "h").agg(F.collect_list(F.struct("node", "k1", "k2")).alias("wanted")), "wanted")
     side = F.broadcast(wanted) if fits(members, 32) else wanted
-    lines = written(rows.join(side.withColumnRenamed("doc_id", "__d"), F.col("doc_id").eqNullSafe(F.col("__d")))
+    side = side.select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "wanted")
+    lines = written(rows.join(side, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("h").eqNullSafe(F.col("__h")))
                     .select("text", "wanted").mapInArrow(_fetch, "node long, line string")
                     .groupBy("node").agg(F.first("line").alias("line")), "lines")
     sizes = written(lines.mapInArrow(_sizes(chars), "node long, size long"), "line-sizes")
@@ -167,17 +170,18 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "text", 2 << 20):
-        ids, k1, k2, again = [], [], [], []
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        ids, sums, k1, k2, again = [], [], [], [], []
+        for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
             times = Counter(c for line in (t or "").split("\n") if (c := canonical(line)))
             for c, n in times.items():
                 key = line_key(c)
                 ids.append(i)
+                sums.append(h)
                 k1.append(key[0])
                 k2.append(key[1])
                 again.append(n > 1)
-        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, k1, k2)), pa.array(again, pa.bool_())],
-                                         names=["doc_id", "k1", "k2", "again"])
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, sums, k1, k2)), pa.array(again, pa.bool_())],
+                                         names=["doc_id", "h", "k1", "k2", "again"])
 
 
 def _rewrite(n: int, text_at: int):
@@ -221,21 +225,22 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     count as copies of one document: a line kept in it stays in each of them.
     """
     names = [c for c in docs.columns if c != removed_col]
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     keepers = line_groups(rows, **kwargs)
     side = F.broadcast(keepers) if fits(keepers, 40) else keepers
     # place -1: no line of that class stays in this document
-    hits = (rows.mapInArrow(_keys, "doc_id long, k1 long, k2 long, again boolean")
+    hits = (rows.mapInArrow(_keys, "doc_id long, h long, k1 long, k2 long, again boolean")
             .join(side.withColumnRenamed("doc_id", "first_doc"), ["k1", "k2"], "left").where("docs is not null or again")
-            .select("doc_id", F.struct("k1", "k2", F.when(F.col("docs").isNull(), F.lit(None))
+            .select("doc_id", "h", F.struct("k1", "k2", F.when(F.col("docs").isNull(), F.lit(None))
                                        .when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("place"))
                                        .otherwise(-1).alias("place")).alias("drop")))
-    drops = written(hits.groupBy("doc_id").agg(F.collect_list("drop").alias("__drop"))
-                    .withColumnRenamed("doc_id", "__doc"), "drops")
+    drops = written(hits.groupBy(F.col("doc_id").alias("__doc"), F.col("h").alias("__h")).agg(F.collect_set("drop").alias("__drop")), "drops")
     total = drops.agg(F.sum(F.size("__drop"))).first()[0] or 0
     side = F.broadcast(drops) if total * 40 <= 32 << 20 else drops
     joined = (docs.select(*names).withColumn(text_col, F.col(text_col).cast("string"))
-              .join(side, F.col(id_col).cast("long").eqNullSafe(F.col("__doc")), "left").select(*names, "__drop"))
+              .join(side, F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(text_col) == F.col("__h")), "left")
+              .select(*names, "__drop"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
     out = joined.mapInArrow(_rewrite(len(names), names.index(text_col)), schema + ", __removed long")
     return out.withColumnRenamed("__removed", removed_col)
