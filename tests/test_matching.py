@@ -151,3 +151,12 @@ def test_whole_token_examples(spark):
     k = spark.createDataFrame([("here",), ("thelionking",), ("lion",), ("lionking",)], "keyword string")
     got = {tuple(r) for r in M.substring_matches(t, k, "s", carry=["id"], token_masks=("sm", "em")).collect()}
     assert got == {(2, "thelionking"), (2, "lion"), (2, "lionking"), (3, "lionking")}
+
+
+def test_shuffle_path_without_carry_is_refused(spark):
+    texts = spark.createDataFrame([(1, "abcdef")], "id int, t string")
+    kws = spark.createDataFrame([("abc",), ("def",)], "keyword string")
+    with pytest.raises(ValueError, match="carry"):
+        M.substring_candidates(texts, kws, "t", broadcast_max_bytes=1, max_passes=0)
+    got = M.substring_candidates(texts, kws, "t", carry=["id"], broadcast_max_bytes=1, max_passes=0)
+    assert sorted(r.keyword for r in got.collect()) == ["abc", "def"]

@@ -171,9 +171,19 @@ def substring_candidates(texts: DataFrame, keywords: DataFrame, text_col: str,
         parts = [_probe(texts, F.broadcast(grams.where(chunk == i)), plan, text_col, carry, token_masks)
                  for i in range(passes)]
         return reduce(DataFrame.unionAll, parts)
+    if not carry:
+        raise ValueError("so many keywords are joined by a shuffle, which needs carry columns that identify the texts")
     return _probe(texts, grams, plan, text_col, carry, token_masks, shuffled=True)
 
 
+def _may_start(stride: Column, token_masks) -> Column:
+    """Whether a keyword can start at position p: in a tier of stride 1 its only
+    gram is its start, so with whole tokens other places are left out unhashed."""
+    if not token_masks:
+        return F.lit(True)
+    return (stride > 1) | (F.substring("_smask", F.col("p") + 1, 1) == F.lit(b"#").cast("binary"))
+
+
 def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
            carry: list[str], token_masks: tuple[str, str] | None = None, shuffled: bool = False) -> DataFrame:
     """Explode the text grams, hash-join the keyword grams, verify bytes.
@@ -212,6 +222,7 @@ def _probe(texts: DataFrame, grams: DataFrame, plan: list[Tier], text_col: str,
             .select("*", F.explode(_text_chunks(F.col("_n"))).alias("_chunk"))
             .select("*", F.explode(F.array(*[F.lit(t.index) for t in plan])).alias("tier"))
             .select("*", F.explode(starts).alias("p"))
+            .where(_may_start(stride, token_masks))
             .select(*carry, "sbin", *extra, "p",
                     F.xxhash64(F.col("tier"), F.substring("sbin", F.col("p") + 1, gram_len)).alias("h")))
     if shuffled:
