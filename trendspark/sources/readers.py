@@ -160,7 +160,7 @@ def read_fact_range(spark: SparkSession, root: str, start, end,
     else:
         folders = [path for _, path in day_folders(spark, root, start, end)]
         if folders:
-            return read_days(spark, root, folders, schema=schema)
+            return read_days(spark, root, folders, schema=schema).where(partition_date_filter(start, end))
     try:
         r = spark.read
         if schema is not None:
