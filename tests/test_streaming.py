@@ -253,3 +253,18 @@ def test_arrival_order_first_copy_wins(spark, tmp_path):
     assert "_arrival" not in by_arrival.columns and "_arrival_file" not in by_arrival.columns
     by_value = run(str(tmp_path / "a2"), str(tmp_path / "c2"))
     assert [r.title for r in by_value.collect()] == ["aa arrived later"]  # deterministic tie-break only
+
+
+def test_keyed_state_goes_with_the_cores_not_the_shuffles(spark, tmp_path):
+    inbox, archive = tmp_path / "in", str(tmp_path / "archive")
+    land(inbox, "a.json", [{"id": f"p{i}", "title": "t", "created_utc": 1733659200.0} for i in range(50)])
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(2 * cores + 7))
+    try:
+        ingest.start_ingest(spark, stream(spark, inbox), archive, str(tmp_path / "ck"), keys=("id",)).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(2 * cores + 7)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = [p for p in (tmp_path / "archive_state" / "keys" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == 2 * cores
+    assert spark.read.parquet(archive).select("id").distinct().count() == 50

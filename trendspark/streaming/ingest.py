@@ -184,6 +184,12 @@ class KeyedArchive:
         (rows.select("*", F.lit(seed).alias("_seed"), F.lit(number).alias("_batch")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(self.staged))
 
+    def _state_partitions(self) -> int:
+        """Partitions of the keyed state, fixed when its checkpoint begins: each is opened and
+        committed in every batch, rows or none, so their number goes with the cores, not with
+        the shuffle partitions that a session has for its largest join."""
+        return min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 2 * self.spark.sparkContext.defaultParallelism)
+
     def _open_batch(self) -> int | None:
         """The batch that was begun and not committed, if there is one."""
         last = _last_number(self.spark, f"{self.state}/offsets")
@@ -218,8 +224,14 @@ class KeyedArchive:
         q = s.writeStream.foreachBatch(append).option("checkpointLocation", self.state).trigger(availableNow=True)
         tags = self.spark.sparkContext.getJobTags()  # of the query whose batch this is; the inner one has its own
         self.spark.sparkContext.clearJobTags()
+        shuffles = self.spark.conf.get("spark.sql.shuffle.partitions")
         try:
-            q.start().awaitTermination()
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(self._state_partitions()))
+            try:
+                q = q.start()  # with a session of its own, which has the settings of now
+            finally:
+                self.spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            q.awaitTermination()
         finally:
             for tag in tags:
                 self.spark.sparkContext.addJobTag(tag)
