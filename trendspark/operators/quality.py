@@ -40,12 +40,25 @@ def coverage_summary(expected: DataFrame, observed: DataFrame, key: str,
                  (F.count("*") - F.count("_hit")).alias("missing"))
 
 
+#: Observations of a task that finds the distinct ones.
+ROWS_A_TASK = 1_000_000
+
+
 def coverage_by_day(expected: DataFrame, observed: DataFrame, key: str, observed_key: str, day: str) -> DataFrame:
     """(day, total, covered, missing) of every day with an observation; only
-    expected keys count, and each once a day."""
-    keys = expected.select(F.col(key).alias("_k")).distinct()
+    expected keys count, and each once a day.
+
+    The distinct (key, day) pairs are hardly fewer than the rows, and their
+    compressed shuffle says little about their size in memory, so partitions
+    merged by bytes hold millions: the rows are counted first and dealt to as
+    many tasks as they need.  (An inner join, as keys are distinct: a
+    semi-join would be moved below the distinct, and by key alone.)
+    """
+    keys = expected.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
     total = expected.agg(F.count(F.lit(1))).scalar()
-    seen = (observed.select(F.col(observed_key).alias("_k"), day).distinct().join(keys, "_k", "left_semi")
+    pairs = observed.select(F.col(observed_key).alias("_k"), day).where(F.col("_k").isNotNull())
+    tasks = 1 + pairs.count() // ROWS_A_TASK
+    seen = (pairs.repartition(tasks, "_k", day).distinct().join(keys, "_k")
             .groupBy(day).agg(F.count(F.lit(1)).alias("covered")))
     return seen.select(day, total.alias("total"), "covered", (total - F.col("covered")).alias("missing"))
 
