@@ -168,3 +168,18 @@ def test_one_class_no_labels_and_empty(spark):
     assert {r.predicted for r in tx.toxicity(d, lab.where("toxic = 0")).collect()} == {0}
     assert {r.predicted for r in tx.toxicity(d, lab.limit(0)).collect()} == {0}
     assert tx.toxicity(d.limit(0), lab).collect() == []
+
+
+def test_units_are_mapped_without_their_whole_kernel():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    words = ["^" + "".join(rng.choice(list("abcdefghij"), 6)) for _ in range(20000)]
+    marks = sorted(set(words))[:320]
+    root = rng.normal(size=(len(marks), 2)).astype(np.float32)
+    tracemalloc.start()
+    got = tx.mapped(words, marks, root)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = tx.kernel(words, marks)
+    assert np.allclose(got, whole @ root, atol=1e-5)
+    assert peak < whole.nbytes

@@ -227,8 +227,8 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
     order = np.argsort(rs, kind="stable")
     rw, rs, rv = rw[order], rs[order], rv[order]
     out = np.zeros((len(left), len(right)), np.float32)
-    for a in range(0, len(left), 1024):
-        part = left[a:a + 1024]
+    for a in range(0, len(left), 256):
+        part = left[a:a + 256]
         w, s, v = subsequences(part)
         first, n = np.searchsorted(rs, s, "left"), np.searchsorted(rs, s, "right")
         n = n - first
@@ -238,6 +238,14 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
+def mapped(words: list[str], marks: list[str], root: np.ndarray) -> np.ndarray:
+    """``kernel(words, marks) @ root`` by blocks of words: of the kernel itself one block is held."""
+    out = np.empty((len(words), root.shape[1]), np.float32)
+    for a in range(0, len(words), 4096):
+        out[a:a + 4096] = kernel(words[a:a + 4096], marks) @ root
+    return out
+
+
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> np.ndarray:
     """Weights (the last one the bias) of a linear machine with squared hinge
     loss, by Newton steps on the primal; rows are summed in blocks."""
@@ -288,7 +296,7 @@ def fit_units(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     words = positive + negative
     y = np.where(np.arange(len(words)) < len(positive), 1.0, -1.0)
     weight = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(words)
-    w = svm((kernel(words, marks) @ root).astype(np.float32), y, weight)
+    w = svm(mapped(words, marks, root), y, weight)
     alpha = root @ w[:-1]
     who, slot, value = subsequences(marks)
     return Model(np.bincount(slot, value * alpha[who], SLOTS), float(w[-1]))
