@@ -62,8 +62,8 @@ def test_coverage_by_day_deals_rows_to_tasks_by_their_number(spark, monkeypatch)
     expected = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id long")
     seen = [(1, "a"), (1, "a"), (2, "a"), (9, "a"), (None, "a"), (3, "b"), (1, None), (9, "c")]
     observed = spark.createDataFrame(seen, "item long, day string")
-    monkeypatch.setattr(quality, "ROWS_A_TASK", 2, raising=False)
+    monkeypatch.setattr(quality, "ROWS_A_TASK", 1, raising=False)
     out = quality.coverage_by_day(expected, observed, "id", "item", "day")
     assert {tuple(r) for r in out.collect()} == {("a", 5, 2, 3), ("b", 5, 1, 4), (None, 5, 1, 4)}
     plan = re.sub(r"#\d+L?", "", out._jdf.queryExecution().executedPlan().toString())
-    assert "hashpartitioning(_k, day, 4)" in plan
+    assert "hashpartitioning(_k, day, 8)" in plan
