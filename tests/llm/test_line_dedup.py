@@ -1,5 +1,8 @@
+import os
+
 import numpy as np
 
+from trendspark.llm import buckets
 from trendspark.llm import line_dedup as ld
 
 
@@ -94,3 +97,60 @@ def test_pairs_at_the_threshold_share_a_band():
         b = b.reshape(500, 2, ld.BANDS)
         missed += int((~(b[:, 0] == b[:, 1]).any(axis=1)).sum())
     assert missed == 0
+
+
+def test_marks_never_part_similar_sets():
+    """Bits in which two marks differ are at most the elements in one of the sets only."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 5, 80, 400, 400, 2500)] + [pool[:100], pool[:90], pool[5:100]]
+    m = buckets.marks(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]))
+    assert m.shape == (len(sets), buckets.MARK)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            bits = sum(int(v).bit_count() for v in (m[i] ^ m[j]).view(np.uint64))
+            apart = len(np.setxor1d(x, y))
+            assert bits <= apart and (apart > 100 or bits >= 0.8 * apart)
+
+
+def test_family_of_variants_forms_few_pairs(spark, monkeypatch):
+    """Variants of one line, about 0.7 similar to it and to each other: the pairs
+    to confirm grew with the square of their number (7,000 for these)."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+    line = list(rng.choice(words, 60))
+    rows = []
+    for i in range(160):
+        w = list(line)
+        for k in rng.choice(60, rng.integers(4, 8), replace=False):
+            w[k] = str(rng.choice(words))
+        rows.append((i, " ".join(w)))
+    held = {}
+
+    def noted(df, name):
+        held[name] = out = written(df, name)
+        return out
+    written = buckets.written
+    monkeypatch.setattr(buckets, "written", noted)
+    check(spark, rows)
+    assert held["left"].select("node").distinct().count() > 50
+    assert held["rest"].count() <= 2 * len(rows)
+
+
+def test_shuffles_of_a_stage_do_not_stay(spark):
+    """Only a round of bands is on disk at a time: written() leaves no shuffle files behind."""
+    def files():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {root.apply(i).getPath() for i in range(root.size()) if root.apply(i).getName().startswith("shuffle_")}
+    before = files()
+    nodes = spark.range(2000).selectExpr("id as node", "array(id % 7, 100 + id, 300 + id % 900, 5000 + id) as buckets")
+    got = {(r.node, r.bucket, r.met) for r in buckets.crowded(nodes, 4, rounds=3).collect()}
+    by = {}
+    for n in range(2000):
+        for b in (n % 7, 100 + n, 300 + n % 900, 5000 + n):
+            by.setdefault(b, []).append(n)
+    # a bucket is of one band: those above that two bands name are counted band by band
+    assert {x for x in got if x[1] < 7} == {(n, b, len(by[b])) for b in range(7) for n in by[b]}
+    assert not any(b >= 5000 for _, b, _ in got)
+    # one-row shuffles of counts are all that may wait for the heap's collection
+    assert sum(os.path.getsize(f) for f in files() - before if f.endswith(".data") and os.path.exists(f)) < 2000

@@ -6,7 +6,8 @@
 2. Union-find over the confirmed links.  A pair inside one component can add
    nothing; of a pair across two components both ends must still be *able* to
    reach the threshold: a part that no other node holds can't be shared, which
-   bounds the overlap.  What is left is confirmed pair by pair.
+   bounds the overlap; with marks, two sets differ in at least as many parts as
+   their marks in bits.  What is left is confirmed pair by pair.
 3. Union-find over all confirmed links.
 
 So the components are those of all candidate pairs, and only pairs that could
@@ -16,23 +17,52 @@ change them are formed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.llm.common import U64
 from trendspark.llm.components import components
-from trendspark.llm.scratch import written
+from trendspark.llm.scratch import fits, written
 
+#: Longs of a mark.
+MARK = 16
+MARKS = [f"mark{i}" for i in range(MARK)]
 
-def crowded(nodes: DataFrame) -> DataFrame:
+
+def marks(elements: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(sets, MARK) of int64: of each set of distinct hashes, for each of 64 *
+    MARK bits whether an odd number of its elements fall on the bit.  An element
+    in one of two sets only changes one bit, so the marks of two sets differ in
+    no more bits than the sets in elements."""
+    size, bits = np.diff(offsets), 64 * MARK
+    out = np.empty((len(size), MARK), np.int64)
+    for a in range(0, len(size), 256):
+        n = size[a:a + 256]
+        e = elements[offsets[a]:offsets[a + len(n)]] & U64(bits - 1)
+        odd = np.bincount(np.repeat(np.arange(len(n)) * bits, n) + e.astype(np.int64), minlength=len(n) * bits) & 1
+        out[a:a + len(n)] = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, MARK)
+    return out
+
+
+def crowded(nodes: DataFrame, bands: int, rounds: int = 4) -> DataFrame:
     """(node, bucket, met) of the buckets with ``met`` >= 2 nodes.
 
-    ``nodes``: (node, buckets array<long>).  The count is aggregated before the
-    shuffle and joined back, so a hot bucket is no single task.
+    ``nodes``: (node, buckets array<long>), ``bands`` buckets a node.  The count
+    is aggregated before the shuffle and joined back, so a hot bucket is no
+    single task.  The bands are taken in ``rounds``: a bucket is of one band, and
+    only a round's rows are on disk at a time.
     """
-    members = nodes.select("node", F.explode("buckets").alias("bucket"))
-    many = members.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
-    return written(members.join(many, "bucket"), "members")
+    found, step = None, -(-bands // rounds)
+    for first in range(1, bands + 1, step):
+        members = nodes.select("node", F.explode(F.slice("buckets", first, step)).alias("bucket"))
+        many = written(members.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1"), "many")
+        part = written(members.join(F.broadcast(many) if fits(many, 24) else many, "bucket"), "members")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def reachable(size_a: Column, size_b: Column, overlap: Column, num: int, den: int) -> Column:
@@ -42,14 +72,15 @@ def reachable(size_a: Column, size_b: Column, overlap: Column, num: int, den: in
 
 
 def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], DataFrame],
-           confirm: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+           confirm: Callable[[DataFrame], DataFrame], num: int, den: int, marked: DataFrame | None = None) -> DataFrame:
     """(node, component) of the nodes linked to another.
 
     ``members`` from :func:`crowded`; ``sizes``: (node, size) of each member,
     the parts of its set; ``own_of`` gives for (node) a table (node, own), how
     many of a node's parts no other node of the table holds (nodes absent:
     none); ``confirm`` gives for (a, b) pairs (a, b, both, linked): the size of
-    the intersection, and whether it reaches num/den of the union.
+    the intersection, and whether it reaches num/den of the union; ``marked``:
+    (node, *MARKS) of each member, its :func:`marks`.
     """
     central = members.groupBy("node").agg(F.sum("met").alias("met")).join(sizes, "node")
     m = written(members.select("bucket", "node").join(central, "node"), "shares")
@@ -79,12 +110,16 @@ def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], D
             .withColumn("beside", F.when(F.col("node") == F.col("pivot"), F.lit(0))
                         .otherwise(F.when(F.col("both").isNull(), F.col("shared")).otherwise(F.col("shared") - F.col("both"))))
             .select("bucket", "node", "size", "shared", "component", "inside", "beside"))
-    left = written(left, "left")
+    left = written(left if marked is None else left.join(marked.select("node", *MARKS), "node"), "left")
     x, y = left.alias("x"), left.alias("y")
     most = F.least(F.least("x.shared", "y.shared"), F.least("x.inside", "y.inside") + F.least("x.beside", "y.beside"))
+    able = reachable(F.col("x.size"), F.col("y.size"), most, num, den)
+    if marked is not None:
+        apart = reduce(add, (F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in MARKS))
+        # reachable() at (both sizes - apart) / 2 shared parts; a long condition with ``apart`` in it once is compiled
+        able &= (den - num) * (F.col("x.size") + F.col("y.size")) >= (den + num) * apart
     rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
-                   & (F.col("x.node") < F.col("y.node"))
-                   & reachable(F.col("x.size"), F.col("y.size"), most, num, den))
+                   & (F.col("x.node") < F.col("y.node")) & able)
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
             .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     more = written(confirm(written(rest, "rest")), "more").where("linked").select("a", "b")

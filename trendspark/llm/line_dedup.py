@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.buckets import crowded, groups
+from trendspark.llm.buckets import MARKS, crowded, groups, marks
 from trendspark.llm.common import U64, by_bytes, mix64
 from trendspark.llm.scratch import fits, written
 from trendspark.llm.superminhash import bands, signatures
@@ -100,8 +100,11 @@ def _sets(lines: list[str], chars: int) -> list[np.ndarray]:
 def _sizes(chars: int):
     def run(batches):
         for batch in by_bytes(batches, "line", 1 << 20):
-            n = [len(s) for s in _sets(batch.column(1).to_pylist(), chars)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["node", "size"])
+            s = _sets(batch.column(1).to_pylist(), chars)
+            n = np.array([len(x) for x in s], np.int64)
+            m = marks(np.concatenate([np.zeros(0, U64), *s]), np.concatenate([[0], np.cumsum(n)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *(pa.array(c) for c in m.T.copy())],
+                                             names=["node", "size", *MARKS])
     return run
 
 
@@ -136,7 +139,7 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
                .groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "place", "h")).alias("at"), F.count("*").alias("docs"),
                                         F.first("buckets").alias("buckets")))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
-    members = crowded(classes.select("node", "buckets"))
+    members = crowded(classes.select("node", "buckets"), count)
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "at.doc_id", "at.h")
     # lists are by text, so rows without an id (or with one id) are no single list
     wanted = written(wanted.groupBy("doc_id", "h").agg(F.collect_list(F.struct("node", "k1", "k2")).alias("wanted")), "wanted")
@@ -145,7 +148,7 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
     lines = written(rows.join(side, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("h").eqNullSafe(F.col("__h")))
                     .select("text", "wanted").mapInArrow(_fetch, "node long, line string")
                     .groupBy("node").agg(F.first("line").alias("line")), "lines")
-    sizes = written(lines.mapInArrow(_sizes(chars), "node long, size long"), "line-sizes")
+    sizes = written(lines.mapInArrow(_sizes(chars), ", ".join(f"{c} long" for c in ["node", "size", *MARKS])), "line-sizes")
 
     def own_of(nodes: DataFrame) -> DataFrame:
         return (lines.join(nodes, "node", "left_semi").mapInArrow(_parts(chars), "node long, part long")
@@ -158,7 +161,7 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
                 .select("a", "b", "line_a", "line_b")
                 .mapInArrow(_confirmed(chars, num, den), "a long, b long, both long, linked boolean"))
 
-    linked = written(groups(members, sizes, own_of, confirm, num, den), "line-groups")
+    linked = written(groups(members, sizes.select("node", "size"), own_of, confirm, num, den, sizes), "line-groups")
     named = classes.drop("buckets").join(linked, "node", "left").withColumn("group", F.coalesce("component", "node"))
     near = (named.where("component is not null").groupBy("group")
             .agg(F.min("at").alias("first"), F.sum("docs").alias("all_docs")))

@@ -110,7 +110,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                       .agg(F.min(F.struct("doc_id", "n", "buckets")).alias("r"))
                       .select("k1", "k2", F.col("r.doc_id").alias("node"), F.col("r.n").alias("size"), "r.buckets"),
                       "classes")
-    members = crowded(classes.select("node", "buckets"))
+    members = crowded(classes.select("node", "buckets"), count)
     wanted = written(members.select("node").distinct(), "nodes")
     side = F.broadcast(wanted) if fits(wanted, 16) else wanted
     texts = written(rows_in.join(side, F.col("doc_id") == F.col("node"), "left_semi")

@@ -14,6 +14,8 @@ from trendspark.session import checkpoint_root
 
 #: A side is broadcast only if it was counted and holds at most so many bytes.
 BROADCAST_BYTES = 32 << 20
+#: Shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -22,10 +24,22 @@ def folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet to the shared folder and read back.
+
+    The shuffles that led to it are removed with the end of the write: nothing
+    reads them again, and they would stay until the driver's heap is collected.
+    """
+    spark, path = df.sparkSession, folder(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
