@@ -154,3 +154,76 @@ def test_shuffles_of_a_stage_do_not_stay(spark):
     assert not any(b >= 5000 for _, b, _ in got)
     # one-row shuffles of counts are all that may wait for the heap's collection
     assert sum(os.path.getsize(f) for f in files() - before if f.endswith(".data") and os.path.exists(f)) < 2000
+
+
+def test_packed_bands_give_the_sets_of_nodes_that_share_a_hash(spark):
+    """Six bytes a hash; nodes of far apart bases, hashes that differ in one half only."""
+    rng = np.random.default_rng(4)
+    nodes = np.concatenate([np.arange(300), (3 << 33) + np.arange(65400, 65800)])
+    bands = rng.integers(-2**63, 2**63, (len(nodes), 3))
+    bands[5:9, 0] = bands[5, 0]
+    bands[5:9, 2] = 17
+    bands[290:310, 1] = -1
+    bands[400, 0], bands[401, 0], bands[401, 1] = 5 << 32, (5 << 32) + 1, 6 << 32
+    bands[[2, 500], [0, 1]] = 99
+    rows = list(buckets.packed(nodes, bands, 7))
+    assert sum(len(r["places"]) + len(r["hashes"]) for b in rows for r in b.to_pylist()) == 6 * bands.size
+    by = {}
+    for n, row in zip(nodes.tolist(), bands.tolist()):
+        for h in row:
+            by.setdefault(h, set()).add(n)
+    want = {frozenset(v) for v in by.values() if len(v) > 1}
+    df = spark.createDataFrame([(n, r) for n, r in zip(nodes.tolist(), bands.tolist())], "node long, hashes array<long>")
+
+    def banded(deals):
+        def run(batches):
+            for batch in batches:
+                yield from buckets.packed(batch.column(0).to_numpy(), batch.column(1).values.to_numpy().reshape(-1, 3), deals)
+        return run
+    got = {}
+    for r in buckets.crowded_packed(df.coalesce(3), banded).collect():
+        assert r.node not in got.setdefault((r.bucket, r.met), set())
+        got[r.bucket, r.met].add(r.node)
+    assert len(got) == len(want) == 3 and {frozenset(v) for v in got.values()} == want
+    assert all(met == len(v) for (_, met), v in got.items())
+    assert buckets.crowded_packed(df.limit(0), banded).collect() == []
+
+
+def test_classes_hold_a_line_and_no_bands(spark, monkeypatch):
+    """28 longs a class took 234 bytes a line of 60 characters; copies of a line in a batch are one row."""
+    rng = np.random.default_rng(9)
+    common = "a line that all of the documents have"
+    rows = [(i, "\n".join([common, *("".join(rng.choice(list("abcdefgh "), 60)) for _ in range(5))])) for i in range(600)]
+    held = {}
+
+    def noted(df, name, **options):
+        held[name] = out = written(df, name, **options)
+        return out
+    written = ld.written
+    monkeypatch.setattr(ld, "written", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.lines_removed for r in ld.line_dedup(df).collect()}
+    assert got == {i: int(i > 0) for i in range(600)}
+    classes = held["line-classes"]
+    assert {r.docs for r in classes.where(classes.line == common).collect()} == {600}
+    size = sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in classes.inputFiles())
+    assert size < 140 * classes.count()
+    batches = df.selectExpr("doc_id", "text", "1L as h").mapInArrow(ld._lines, "k1 long, k2 long, doc_id long, place long, h long, docs long, line string")
+    assert batches.where(batches.line == common).count() == 2
+
+
+def test_canonical_lines():
+    for line in ("", " ", "a", "A b", " a", "a ", "a  b", "a\tb", "a\u00a0b", "a\u2028b", "\u3000", "\x1fa", "İ ß Σ", "a\u200bb", "日本 語", "a\u1680b\x85"):
+        assert ld.canonical(line) == " ".join(line.lower().split())
+
+
+def test_shingles_by_definition():
+    lines = ["", "abc", "abcdefg", "日本 語", "x" * 60000, "", "abcdefgh", "é" * 6, "a"]
+    h, offsets = ld.shingles(lines)
+    seen = {}
+    for i, line in enumerate(lines):
+        parts = [line[k:k + ld.CHARS] for k in range(max(1, len(line) - ld.CHARS + 1))] if line else []
+        assert offsets[i + 1] - offsets[i] == len(parts)
+        for x, part in zip(h[offsets[i]:offsets[i + 1]].tolist(), parts):
+            assert seen.setdefault(part, x) == x
+    assert len(set(seen.values())) == len(seen)

@@ -16,15 +16,16 @@ change them are formed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import add
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import U64
+from trendspark.llm.common import U64, mix64
 from trendspark.llm.components import components
 from trendspark.llm.scratch import fits, written
 
@@ -65,20 +66,84 @@ def crowded(nodes: DataFrame, bands: int, rounds: int = 4) -> DataFrame:
     return found
 
 
+#: Nodes whose bands are dealt together, and the groups they are dealt to for each shuffle partition.
+DEALT, PER_PARTITION = 1 << 15, 4
+PACKED = "deal int, base long, places binary, hashes binary"
+
+
+def packed(nodes: np.ndarray, bands: np.ndarray, deals: int) -> Iterator[pa.RecordBatch]:
+    """The (nodes, bands) hashes as rows of ``PACKED``: a row has all hashes of a
+    deal that nodes of one ``base`` hold, six bytes each: the node's place after
+    the base and the hash's lower half; the upper half gives the deal."""
+    base = nodes >> 16
+    for b in np.unique(base):
+        own = np.flatnonzero(base == b)
+        h = bands[own].ravel().view(U64)
+        deal = ((h >> U64(32)) % U64(deals)).astype(np.int32)
+        order = np.argsort(deal, kind="stable")
+        places = np.repeat((nodes[own] & 0xFFFF).astype(np.uint16), bands.shape[1])[order].tobytes()
+        low = (h & U64(0xFFFFFFFF)).astype(np.uint32)[order].tobytes()
+        found, first = np.unique(deal[order], return_index=True)
+        ends = [*first[1:].tolist(), len(h)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array(np.full(len(found), b << 16)),
+             pa.array([places[2 * i:2 * j] for i, j in zip(first.tolist(), ends)], pa.binary()),
+             pa.array([low[4 * i:4 * j] for i, j in zip(first.tolist(), ends)], pa.binary())],
+            names=["deal", "base", "places", "hashes"])
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, bucket, met) of the hashes of a partition that two nodes or more
+    hold; buckets of the same nodes are one."""
+    nodes, keys = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    for batch in batches:
+        for deal, base, places, hashes in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            nodes.append(np.frombuffer(places, np.uint16) + np.int64(base))
+            keys.append(np.frombuffer(hashes, np.uint32) | U64(deal << 32))
+    node, key = np.concatenate(nodes), np.concatenate(keys)
+    del nodes, keys
+    order = np.argsort(key)
+    node, key = node[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    met = np.diff(np.concatenate([first, [len(key)]]))
+    many = np.repeat(met > 1, met)
+    node, met = node[many], met[met > 1]
+    first = np.cumsum(met) - met
+    bucket = mix64(np.add.reduceat(mix64(node.view(U64)), first) + met.view(U64)) if len(met) else np.zeros(0, U64)
+    _, one = np.unique(bucket, return_index=True)
+    kept = np.repeat(np.isin(np.arange(len(met)), one), met)
+    node, bucket, met = node[kept], np.repeat(bucket, met)[kept], np.repeat(met, met)[kept]
+    for a in range(0, len(node), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[a:a + (1 << 16)]) for x in (node, bucket.view(np.int64), met)],
+                                         names=["node", "bucket", "met"])
+
+
+def crowded_packed(nodes: DataFrame, banded: Callable[[int], Callable], members: str = "members") -> DataFrame:
+    """(node, bucket, met) as :func:`crowded`, by one shuffle of six bytes a hash.
+
+    ``banded(deals)`` makes of the Arrow batches of ``nodes`` rows of
+    :func:`packed`.  A bucket stands for a set of nodes that share a hash: two
+    hashes shared by the same nodes give one bucket.
+    """
+    deals = PER_PARTITION * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.mapInArrow(banded(deals), PACKED).repartition("deal").mapInArrow(_meeting, "node long, bucket long, met long")
+    return written(rows.distinct(), members)
+
+
 def reachable(size_a: Column, size_b: Column, overlap: Column, num: int, den: int) -> Column:
     """den * overlap >= num * union, for the largest overlap that sizes allow."""
     most = F.least(overlap, size_a, size_b)
     return den * most >= num * (size_a + size_b - most)
 
 
-def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], DataFrame],
+def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], DataFrame] | None,
            confirm: Callable[[DataFrame], DataFrame], num: int, den: int, marked: DataFrame | None = None) -> DataFrame:
     """(node, component) of the nodes linked to another.
 
     ``members`` from :func:`crowded`; ``sizes``: (node, size) of each member,
     the parts of its set; ``own_of`` gives for (node) a table (node, own), how
     many of a node's parts no other node of the table holds (nodes absent:
-    none); ``confirm`` gives for (a, b) pairs (a, b, both, linked): the size of
+    none; None: not asked, where marks bound the overlap as closely); ``confirm`` gives for (a, b) pairs (a, b, both, linked): the size of
     the intersection, and whether it reaches num/den of the union; ``marked``:
     (node, *MARKS) of each member, its :func:`marks`.
     """
@@ -99,8 +164,9 @@ def groups(members: DataFrame, sizes: DataFrame, own_of: Callable[[DataFrame], D
                                      F.min("size").alias("least")).where("lo != hi")
     open_ = written(c.join(spread.select("bucket", "least"), "bucket"), "open")
     # the smallest partner of the bucket allows the most: a node that fails with it fails with all
-    left = (open_.join(own_of(open_.select("node").distinct()), "node", "left")
-            .withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
+    owned = (open_.withColumn("own", F.lit(0).cast("long")) if own_of is None
+             else open_.join(own_of(open_.select("node").distinct()), "node", "left"))
+    left = (owned.withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
             .where(reachable(F.col("size"), F.greatest("least", F.ceil(F.col("size") * num / den)), F.col("shared"),
                              num, den))
             .withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))

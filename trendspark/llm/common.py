@@ -35,6 +35,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def mix64_in_place(x: np.ndarray) -> None:
+    """:func:`mix64` of ``x``, without copies of it but one."""
+    x += _GOLD
+    t = x >> U64(30)
+    x ^= t
+    x *= _MIX1
+    np.right_shift(x, U64(27), out=t)
+    x ^= t
+    x *= _MIX2
+    np.right_shift(x, U64(31), out=t)
+    x ^= t
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)

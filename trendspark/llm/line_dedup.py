@@ -12,6 +12,7 @@ first line of a group, by document id and place, stays; all others go.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,76 +21,98 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.buckets import MARKS, crowded, groups, marks
+from trendspark.llm.buckets import DEALT, MARKS, crowded_packed, groups, marks, packed
 from trendspark.llm.common import U64, by_bytes, mix64
 from trendspark.llm.scratch import fits, written
-from trendspark.llm.superminhash import bands, signatures
+from trendspark.llm.superminhash import TOGETHER, bands, signatures
 
 CHARS, BANDS, ROWS = 7, 28, 5
 _K = U64(0x9E3779B97F4A7C15)
+_TWO = struct.Struct("<qq")
 
 
 def canonical(line: str) -> str:
+    # a blank is the only printable space: most lines need not be taken apart
+    if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " ":
+        return line.lower()
     return " ".join(line.lower().split())
 
 
 def line_key(line: str) -> tuple[int, int]:
     """128 bits that stand for a canonical line."""
-    d = hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+    return _TWO.unpack(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest())
 
 
 def shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     """(shingle hashes of all lines, repeats included; offsets)."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(x) for x in lines], np.int64)
     start = np.cumsum(size) - size
     n = np.where(size > 0, np.maximum(size - chars + 1, 1), 0)
     offsets = np.concatenate([[0], np.cumsum(n)])
-    at = np.repeat(start - offsets[:-1], n) + np.arange(int(offsets[-1]))
-    end = np.repeat(start + size, n)
-    h = np.zeros(len(at), U64)
-    for i in range(chars):
-        h = h * _K + np.where(at + i < end, codes[np.minimum(at + i, max(len(codes) - 1, 0))] + U64(1), U64(0))
-    return mix64(h), offsets
-
-
-def _classes(chars: int, count: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text", 1 << 20):
-            lines, ids, places, sums = [], [], [], []
-            for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                seen = set()
-                for k, line in enumerate((t or "").split("\n")):
-                    c = canonical(line)
-                    if c and c not in seen:
-                        seen.add(c)
-                        lines.append(c)
-                        ids.append(i)
-                        places.append(k)
-                        sums.append(h)
-            e, offsets = shingles(lines, chars)
-            b = bands(signatures(e, offsets, count * rows), count, rows)
-            lists = pa.ListArray.from_arrays(np.arange(0, b.size + 1, count, dtype=np.int32), b.ravel())
-            k1, k2 = zip(*map(line_key, lines)) if lines else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(places, pa.int64()), pa.array(sums, pa.int64()), lists],
-                                             names=["k1", "k2", "doc_id", "place", "h", "buckets"])
-    return run
-
-
-def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, line) of the wanted lines of each document."""
-    for batch in by_bytes(batches, "text", 1 << 20):
-        nodes, lines = [], []
-        for t, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            at = {(w["k1"], w["k2"]): w["node"] for w in wanted}
-            for line in (t or "").split("\n"):
+    out = np.zeros(int(offsets[-1]), U64)
+    a = 0
+    while a < len(lines):  # some lines at a time, which stay in the processor's cache
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + TOGETHER, "right")) - 1)
+        lo, hi = int(start[a]), int(start[b - 1] + size[b - 1])
+        part = np.concatenate([codes[lo:hi], np.zeros(chars, np.uint32)]).astype(U64) + U64(1)
+        h = np.zeros(hi - lo + 1, U64)
+        for i in range(chars):
+            h *= _K
+            h += part[i:i + len(h)]
+        at = np.repeat(start[a:b] - lo - offsets[a:b], n[a:b]) + np.arange(offsets[a], offsets[b])
+        out[offsets[a]:offsets[b]] = h[at]
+        a = b
+    short = np.flatnonzero((size > 0) & (size < chars))
+    h = np.zeros(len(short), U64)
+    for i in range(chars):  # nothing beyond the end of a line
+        h = h * _K + np.where(i < size[short], codes[np.minimum(start[short] + i, max(len(codes) - 1, 0))].astype(U64) + U64(1), U64(0))
+    out[offsets[:-1][short]] = h
+    for a in range(0, len(out), TOGETHER):
+        out[a:a + TOGETHER] = mix64(out[a:a + TOGETHER])
+    return out, offsets
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct lines of some documents at a time: the first document and place
+    of each (null ids first), and in how many documents it is."""
+    for batch in by_bytes(batches, "text", 4 << 20):
+        found: dict[str, list] = {}
+        for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            seen = set()
+            for k, line in enumerate((t or "").split("\n")):
                 c = canonical(line)
-                if c and at and (node := at.pop(line_key(c), None)) is not None:
-                    nodes.append(node)
-                    lines.append(c)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(lines, pa.string())], names=["node", "line"])
+                if c and c not in seen:
+                    seen.add(c)
+                    at = (i is not None, i or 0, k, h)
+                    if (old := found.setdefault(c, [at, 0]))[0] > at:
+                        old[0] = at
+                    old[1] += 1
+        keys = np.array([line_key(c) for c in found], np.int64).reshape(-1, 2)
+        at, docs = zip(*found.values()) if found else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array([a[1] if a[0] else None for a in at], pa.int64()),
+             *(pa.array([a[n] for a in at], pa.int64()) for n in (2, 3)), pa.array(docs, pa.int64()), pa.array(list(found), pa.string())],
+            names=["k1", "k2", "doc_id", "place", "h", "docs", "line"])
+
+
+def _banded(chars: int, count: int, rows: int):
+    """For the number of deals, the packed bands of lines (node, line)."""
+    def of(deals: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nodes, found, n = [], [], 0
+            for batch in by_bytes(batches, "line", 1 << 20):
+                e, offsets = shingles(batch.column(1).to_pylist(), chars)
+                nodes.append(batch.column(0).to_numpy())
+                found.append(bands(signatures(e, offsets, count * rows), count, rows))
+                n += batch.num_rows
+                if n >= DEALT:
+                    yield from packed(np.concatenate(nodes), np.concatenate(found), deals)
+                    nodes, found, n = [], [], 0
+            if n:
+                yield from packed(np.concatenate(nodes), np.concatenate(found), deals)
+        return run
+    return of
 
 
 def _sets(lines: list[str], chars: int) -> list[np.ndarray]:
@@ -108,16 +131,6 @@ def _sizes(chars: int):
     return run
 
 
-def _parts(chars: int):
-    def run(batches):
-        for batch in by_bytes(batches, "line", 1 << 20):
-            s = _sets(batch.column(1).to_pylist(), chars)
-            node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in s])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array((np.concatenate(s) if s else np.zeros(0, U64)).view(np.int64))],
-                                             names=["node", "part"])
-    return run
-
-
 def _confirmed(chars: int, num: int, den: int):
     def run(batches):
         for batch in by_bytes(batches, "line_b", 1 << 20):
@@ -134,38 +147,29 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
     """(k1, k2, docs, doc_id, place, lines): of every class of equal lines of
     ``rows`` (doc_id, text, h: a hash of the text) that has more than one line, or one nearly equal to
     it: the first line of its group, and the group's documents."""
-    classes = (rows.mapInArrow(_classes(chars, count, band_rows),
-                               "k1 long, k2 long, doc_id long, place long, h long, buckets array<long>")
-               .groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "place", "h")).alias("at"), F.count("*").alias("docs"),
-                                        F.first("buckets").alias("buckets")))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
-    members = crowded(classes.select("node", "buckets"), count)
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "at.doc_id", "at.h")
-    # lists are by text, so rows without an id (or with one id) are no single list
-    wanted = written(wanted.groupBy("doc_id", "h").agg(F.collect_list(F.struct("node", "k1", "k2")).alias("wanted")), "wanted")
-    side = F.broadcast(wanted) if fits(members, 32) else wanted
-    side = side.select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), "wanted")
-    lines = written(rows.join(side, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("h").eqNullSafe(F.col("__h")))
-                    .select("text", "wanted").mapInArrow(_fetch, "node long, line string")
-                    .groupBy("node").agg(F.first("line").alias("line")), "lines")
+    # equal lines of a batch are one row, so that a common line is no single task; the rest need no further partial sums
+    classes = (rows.mapInArrow(_lines, "k1 long, k2 long, doc_id long, place long, h long, docs long, line string")
+               .repartition("k1").groupBy("k1", "k2")
+               .agg(F.min(F.struct("doc_id", "place", "h")).alias("at"), F.sum("docs").alias("docs"), F.first("line").alias("line")))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes", compression="zstd")
+    members = crowded_packed(classes.select("node", "line"), _banded(chars, count, band_rows))
+    wanted = written(members.select("node").distinct(), "wanted")
+    lines = written(classes.select("node", "line").join(F.broadcast(wanted) if fits(wanted, 16) else wanted, "node"), "lines",
+                    compression="zstd")
     sizes = written(lines.mapInArrow(_sizes(chars), ", ".join(f"{c} long" for c in ["node", "size", *MARKS])), "line-sizes")
 
-    def own_of(nodes: DataFrame) -> DataFrame:
-        return (lines.join(nodes, "node", "left_semi").mapInArrow(_parts(chars), "node long, part long")
-                .groupBy("part").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-                .groupBy("node").agg(F.count("*").alias("own")))
-
     def confirm(pairs: DataFrame) -> DataFrame:
         return (pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("line_a")), "a")
                 .join(lines.select(F.col("node").alias("b"), F.col("line").alias("line_b")), "b")
                 .select("a", "b", "line_a", "line_b")
                 .mapInArrow(_confirmed(chars, num, den), "a long, b long, both long, linked boolean"))
 
-    linked = written(groups(members, sizes.select("node", "size"), own_of, confirm, num, den, sizes), "line-groups")
-    named = classes.drop("buckets").join(linked, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    linked = written(groups(members, sizes.select("node", "size"), None, confirm, num, den, sizes), "line-groups")
+    named = (classes.drop("line").join(F.broadcast(linked) if fits(linked, 16) else linked, "node", "left")
+             .where("docs > 1 or component is not null").withColumn("group", F.coalesce("component", "node")))
     near = (named.where("component is not null").groupBy("group")
             .agg(F.min("at").alias("first"), F.sum("docs").alias("all_docs")))
-    return written(named.join(near, "group", "left").where("docs > 1 or component is not null")
+    return written(named.join(near, "group", "left")
                    .select("k1", "k2", F.coalesce("first", "at").alias("first"),
                            F.coalesce("all_docs", "docs").alias("docs"))
                    .select("k1", "k2", "docs", "first.doc_id", "first.place"), "line-keepers")

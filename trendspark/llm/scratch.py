@@ -23,8 +23,9 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/trendspark-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written as Parquet (with the writer's ``options``) to the shared
+    folder and read back.
 
     The shuffles that led to it are removed with the end of the write: nothing
     reads them again, and they would stay until the driver's heap is collected.
@@ -33,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)

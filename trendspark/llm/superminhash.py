@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from trendspark.llm.common import U64, mix64
+from trendspark.llm.common import U64, mix64, mix64_in_place
 
 _STEP = 0xA0761D6478BD642F
 _LOW = U64(0xFFFFFFFF)
@@ -21,6 +21,8 @@ _SHIFT = U64(32)
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 #: Elements that are advanced together: their permutations should stay in the processor's cache.
 TOGETHER = 20000
+#: The first steps follow an element's exchanges one by one; its whole permutation is laid out only for more.
+REPLAYED = 12
 
 
 def signatures(elements: np.ndarray, offsets: np.ndarray, slots: int) -> np.ndarray:
@@ -42,33 +44,43 @@ def _signatures(elements: np.ndarray, offsets: np.ndarray, slots: int) -> np.nda
     n = len(offsets) - 1
     sig = np.full(n * slots, EMPTY)
     owner = np.repeat(np.arange(n), np.diff(offsets))
-    live = elements
+    live, row = elements, owner * slots
+    small = np.uint8 if slots <= 256 else np.int32
+    swaps: list[tuple[np.ndarray, np.ndarray]] = []  # of each step: the place exchanged with its own, and what its own held
     perm = None
     for j in range(slots):
         if not len(live):
             break
-        x = mix64(live + U64(_STEP * (j + 1) & 0xFFFFFFFFFFFFFFFF))
-        k = (j + (((x & _LOW) * U64(slots - j)) >> _SHIFT).astype(np.int64))
-        if j == 0:
-            slot = k
+        x = live + U64(_STEP * (j + 1) & 0xFFFFFFFFFFFFFFFF)
+        mix64_in_place(x)
+        k = (((x & _LOW) * U64(slots - j)) >> _SHIFT).astype(small) + small(j)
+        if j == REPLAYED:
+            perm = np.tile(np.arange(slots, dtype=small), (len(live), 1))
+            at = np.arange(len(live))
+            for place, held in swaps:
+                perm[at, place] = held
+        if perm is None:
+            slot, own = k, np.full(len(k), j, small)
+            for place, held in swaps:
+                slot, own = np.where(place == k, held, slot), np.where(place == small(j), held, own)
+            swaps.append((k, own))
         else:
-            if perm is None:  # as the first step left it: 0 and k exchanged
-                perm = np.tile(np.arange(slots, dtype=np.uint8 if slots <= 256 else np.int32), (len(live), 1))
-                at = np.arange(len(live))
-                perm[at, first], perm[:, 0] = 0, first
             at = np.arange(len(live))
-            slot = perm[at, k].astype(np.int64)
+            slot = perm[at, k]
             perm[at, k] = perm[:, j]
             perm[:, j] = slot
-        np.minimum.at(sig, owner * slots + slot, (U64(j) << _SHIFT) | (x >> _SHIFT))
+        at = row + slot
+        if j:  # a slot with a value of an earlier step keeps it
+            free = np.flatnonzero(sig[at] >= U64(j) << _SHIFT)
+            at, x = at.take(free), x.take(free)
+        np.minimum.at(sig, at, (U64(j) << _SHIFT) | (x >> _SHIFT))
         done = (sig.reshape(n, slots) < (U64(j + 1) << _SHIFT)).all(axis=1)
-        keep = ~done[owner]
-        if j == 0:
-            first = k
-        if not keep.all():
-            live, owner = live[keep], owner[keep]
-            if j == 0:
-                first = first[keep]
+        if done.all():
+            break
+        keep = np.flatnonzero(~done[owner])
+        if 4 * len(keep) <= 3 * len(live):  # later values change nothing in a finished set
+            live, owner, row = live[keep], owner[keep], row[keep]
+            swaps = [(place[keep], held[keep]) for place, held in swaps] if perm is None else []
             if perm is not None:
                 perm = perm[keep]
     return sig.reshape(n, slots)
