@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,7 +116,16 @@ def _banded(chars: int, count: int, rows: int):
 
 def _sets(lines: list[str], chars: int) -> list[np.ndarray]:
     e, offsets = shingles(lines, chars)
-    return [np.unique(e[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    out = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        x = np.sort(e[a:b])
+        out.append(x[np.append(x[1:] != x[:-1], True)] if len(x) else x)
+    return out
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate([x, y]))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def _sizes(chars: int):
@@ -134,8 +142,11 @@ def _sizes(chars: int):
 def _confirmed(chars: int, num: int, den: int):
     def run(batches):
         for batch in by_bytes(batches, "line_b", 1 << 20):
-            x, y = (_sets(batch.column(i).to_pylist(), chars) for i in (2, 3))
-            both = [len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(x, y)]
+            one, two = (batch.column(i).to_pylist() for i in (2, 3))
+            every = list(dict.fromkeys([*one, *two]))  # a pivot meets many lines of a batch
+            of = dict(zip(every, _sets(every, chars)))
+            x, y = [of[c] for c in one], [of[c] for c in two]
+            both = [_shared(a, b) for a, b in zip(x, y)]
             linked = [n > 0 and den * n >= num * (len(a) + len(b) - n) for a, b, n in zip(x, y, both)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()),
                                               pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
@@ -176,45 +187,36 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document's distinct lines: the key, and the places where the line stands."""
     for batch in by_bytes(batches, "text", 2 << 20):
-        ids, sums, k1, k2, again = [], [], [], [], []
+        ids, sums, keys, places, ends = [], [], [], [], [0]
         for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            times = Counter(c for line in (t or "").split("\n") if (c := canonical(line)))
-            for c, n in times.items():
-                key = line_key(c)
-                ids.append(i)
-                sums.append(h)
-                k1.append(key[0])
-                k2.append(key[1])
-                again.append(n > 1)
-        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, sums, k1, k2)), pa.array(again, pa.bool_())],
-                                         names=["doc_id", "h", "k1", "k2", "again"])
+            at: dict[str, list[int]] = {}
+            for k, line in enumerate((t or "").split("\n")):
+                if c := canonical(line):
+                    at.setdefault(c, []).append(k)
+            for c, own in at.items():
+                keys.append(line_key(c))
+                places += own
+                ends.append(len(places))
+            ids += [i] * len(at)
+            sums += [h] * len(at)
+        k = np.array(keys, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()),
+                                          pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))],
+                                         names=["doc_id", "h", "k1", "k2", "places"])
 
 
 def _rewrite(n: int, text_at: int):
-    """Drop lines: of a document's listed classes all, or all but the line at
-    the place kept; a class without a place keeps its first in the document.
-    Documents without a list have nothing to drop."""
+    """Drop the lines at the places of a document's lists; a document without
+    lists has nothing to drop."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
             for t, drop in zip(batch.column(text_at).to_pylist(), batch.column(n).to_pylist()):
-                if not drop:
-                    texts.append(t)
-                    removed.append(0)
-                    continue
-                gone = {(d["k1"], d["k2"]): d["place"] for d in drop if d["place"] is not None}
-                kept, seen, out = [], set(), 0
-                for k, line in enumerate((t or "").split("\n")):
-                    c = canonical(line)
-                    if c:
-                        if c in seen or (gone and gone.get(line_key(c), k) != k):
-                            out += 1
-                            continue
-                        seen.add(c)
-                    kept.append(line)
-                texts.append(None if t is None else "\n".join(kept))
-                removed.append(out)
+                gone = {k for places in drop or () for k in places}
+                texts.append("\n".join(line for k, line in enumerate(t.split("\n")) if k not in gone) if gone else t)
+                removed.append(len(gone))
             columns = list(batch.columns[:n])
             columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())],
@@ -236,12 +238,13 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     keepers = line_groups(rows, **kwargs)
     side = F.broadcast(keepers) if fits(keepers, 40) else keepers
-    # place -1: no line of that class stays in this document
-    hits = (rows.mapInArrow(_keys, "doc_id long, h long, k1 long, k2 long, again boolean")
-            .join(side.withColumnRenamed("doc_id", "first_doc"), ["k1", "k2"], "left").where("docs is not null or again")
-            .select("doc_id", "h", F.struct("k1", "k2", F.when(F.col("docs").isNull(), F.lit(None))
-                                       .when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("place"))
-                                       .otherwise(-1).alias("place")).alias("drop")))
+    # of a class with a keeper all lines go but that one, of other classes all but a document's first
+    hits = (rows.mapInArrow(_keys, "doc_id long, h long, k1 long, k2 long, places array<int>")
+            .join(side.withColumnRenamed("doc_id", "first_doc"), ["k1", "k2"], "left").where("docs is not null or size(places) > 1")
+            .select("doc_id", "h", F.when(F.col("docs").isNull(), F.expr("slice(places, 2, size(places))"))
+                    .when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.array_remove("places", F.col("place").cast("int")))
+                    .otherwise(F.col("places")).alias("drop"))
+            .where(F.size("drop") > 0))
     drops = written(hits.groupBy(F.col("doc_id").alias("__doc"), F.col("h").alias("__h")).agg(F.collect_set("drop").alias("__drop")), "drops")
     total = drops.agg(F.sum(F.size("__drop"))).first()[0] or 0
     side = F.broadcast(drops) if total * 40 <= 32 << 20 else drops

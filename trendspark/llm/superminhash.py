@@ -20,9 +20,9 @@ _LOW = U64(0xFFFFFFFF)
 _SHIFT = U64(32)
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 #: Elements that are advanced together: their permutations should stay in the processor's cache.
-TOGETHER = 20000
+TOGETHER = 32000
 #: The first steps follow an element's exchanges one by one; its whole permutation is laid out only for more.
-REPLAYED = 12
+REPLAYED = 16
 
 
 def signatures(elements: np.ndarray, offsets: np.ndarray, slots: int) -> np.ndarray:
