@@ -3,7 +3,7 @@
 Lines end at a line feed.  A line is compared by its words in lower case with
 one blank between them; a line without words is always kept.  Its set holds the
 distinct shingles of ``CHARS`` characters (a shorter line: itself as one).
-Equal lines are one class.  Class signatures of 140 slots are cut in 28 bands of
+Equal lines are one class, which holds the line.  Class signatures of 140 slots are cut in 28 bands of
 5: a pair at the threshold of 0.8 shares no band with probability
 (1 - 0.8^5)^28 = 1.5e-5; five slots keep chance meetings rare among many lines.  Candidates are confirmed by their exact Jaccard similarity and grouped by distributed union-find.  The
 first line of a group, by document id and place, stays; all others go.
