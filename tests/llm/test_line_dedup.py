@@ -227,3 +227,51 @@ def test_shingles_by_definition():
         for x, part in zip(h[offsets[i]:offsets[i + 1]].tolist(), parts):
             assert seen.setdefault(part, x) == x
     assert len(set(seen.values())) == len(seen)
+
+
+def test_sketch_by_definition(monkeypatch):
+    """Slots of the sketch equal those of a loop over rounds and elements."""
+    from trendspark.llm import similarity_sketch as sk
+
+    def plain(e, slots):
+        mix = lambda x, seed: int(sk._mixed(np.array([x], np.uint32), seed)[0])
+        out = [None] * slots
+        for r in range(sk.ROUNDS):
+            drawn = {}
+            for x in e.tolist():
+                s = (mix(x & 0xFFFFFFFF, sk._SLOT * (r + 1)) >> 16) * slots >> 16
+                drawn.setdefault(s, []).append(mix(x >> 32, sk._VALUE * (r + 1)))
+            for s, v in drawn.items():
+                out[s] = r << 32 | min(v) if out[s] is None else out[s]
+        for s in range(slots):
+            if out[s] is None:
+                out[s] = (sk.ROUNDS + s) << 32 | min(mix(x >> 32, sk._VALUE * (sk.ROUNDS + 1 + s)) for x in e.tolist())
+        return out
+
+    rng = np.random.default_rng(3)
+    e = rng.integers(0, 2**64, 400, dtype=np.uint64)
+    offsets = np.array([0, 0, 1, 3, 30, 400])
+    for together in (32000, 20):
+        monkeypatch.setattr(sk, "TOGETHER", together)
+        sig = sk.signatures(e, offsets, 32)
+        assert (sig[0] == sk.EMPTY).all()
+        for i in range(1, 5):
+            assert [int(x) for x in sig[i]] == plain(e[offsets[i]:offsets[i + 1]], 32)
+    assert sk.signatures(e[:0], np.zeros(1, int), 32).shape == (0, 32)
+
+
+def test_a_signature_takes_few_draws(monkeypatch):
+    """Sets stop drawing once their slots are taken: the numbers mixed for slots stay near slots * log(slots) a set."""
+    from trendspark.llm import similarity_sketch as sk
+    drawn, mixed = [], sk._mixed
+    monkeypatch.setattr(sk, "_mixed", lambda x, seed: drawn.append(len(x)) or mixed(x, seed))
+    e = np.random.default_rng(4).integers(0, 2**64, 200 * 350, dtype=np.uint64)
+    sk.signatures(e, np.arange(0, len(e) + 1, 350), ld.BANDS * ld.ROWS)
+    assert sum(drawn) < 200 * 3 * 140 * np.log(140)
+
+
+def test_canonical_texts_are_canonical_lines():
+    texts = ["A b\nC", " a\nb", "a \nb", "a  b\nc", "\n\nX\n", "tab\there", "ΑΣ\nΣΑ", "ÄÖ\n x", "a\x1fb\nc", "", "x\r\ny", "x y\nz"]
+    for t in texts:
+        assert ld.canonicals(t) == [ld.canonical(line) for line in t.split("\n")]
+    assert [tuple(k) for k in ld._line_keys(["a", "b\ud800"]).tolist()] == [ld.line_key("a"), ld.line_key("b\ud800")]

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.llm.buckets import DEALT, MARKS, crowded_packed, groups, marks, packed
-from trendspark.llm.common import U64, by_bytes, mix64
+from trendspark.llm.common import U64, by_bytes, mix64, mix64_in_place
 from trendspark.llm.scratch import fits, written
-from trendspark.llm.superminhash import TOGETHER, bands, signatures
+from trendspark.llm.similarity_sketch import TOGETHER, signatures
+from trendspark.llm.superminhash import bands
 
 CHARS, BANDS, ROWS = 7, 28, 5
 _K = U64(0x9E3779B97F4A7C15)
 _TWO = struct.Struct("<qq")
+#: Nearly all values of a table of classes differ: no dictionaries, and little time for the texts.
+LIGHT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}
 
 
 def canonical(line: str) -> str:
@@ -37,38 +40,80 @@ def canonical(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def canonicals(text: str) -> list[str]:
+    """The canonical form of each line of a text."""
+    # most texts need not be taken apart; a sigma's lower case may hang on its neighbours
+    if "  " not in text and "\n " not in text and " \n" not in text and text[:1] != " " and text[-1:] != " " \
+            and "\u03a3" not in text and text.replace("\n", "").isprintable():
+        return text.lower().split("\n")
+    return [canonical(line) for line in text.split("\n")]
+
+
+def _first_places(lines: list[str]) -> dict[str, int]:
+    """Each distinct line that has words, and where it stands first."""
+    own = dict(zip(reversed(lines), range(len(lines) - 1, -1, -1)))
+    own.pop("", None)
+    return own
+
+
+def _line_keys(lines: Iterable[str]) -> np.ndarray:
+    """(lines, 2) of int64: the :func:`line_key` of each."""
+    digests = [hashlib.blake2b(c.encode("utf-8", "surrogatepass"), digest_size=16).digest() for c in lines]
+    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+
+
 def line_key(line: str) -> tuple[int, int]:
     """128 bits that stand for a canonical line."""
     return _TWO.unpack(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest())
 
 
+def _windows(part: np.ndarray, chars: int) -> np.ndarray:
+    """Polynomial hash of each window of ``chars`` values: a longer one is put
+    together of two shorter ones."""
+    made = {1: part}
+
+    def of(m: int) -> np.ndarray:
+        if m not in made:
+            a, b = m // 2, m - m // 2
+            right = of(b)
+            h = of(a)[:len(part) - m + 1] * U64(pow(int(_K), b, 1 << 64))
+            h += right[a:a + len(h)]
+            made[m] = h
+        return made[m]
+    return of(chars)
+
+
 def shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     """(shingle hashes of all lines, repeats included; offsets)."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(x) for x in lines], np.int64)
-    start = np.cumsum(size) - size
+    end = np.cumsum(size)
+    start = end - size
     n = np.where(size > 0, np.maximum(size - chars + 1, 1), 0)
     offsets = np.concatenate([[0], np.cumsum(n)])
     out = np.zeros(int(offsets[-1]), U64)
     a = 0
     while a < len(lines):  # some lines at a time, which stay in the processor's cache
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + TOGETHER, "right")) - 1)
-        lo, hi = int(start[a]), int(start[b - 1] + size[b - 1])
-        part = np.concatenate([codes[lo:hi], np.zeros(chars, np.uint32)]).astype(U64) + U64(1)
-        h = np.zeros(hi - lo + 1, U64)
-        for i in range(chars):
-            h *= _K
-            h += part[i:i + len(h)]
-        at = np.repeat(start[a:b] - lo - offsets[a:b], n[a:b]) + np.arange(offsets[a], offsets[b])
-        out[offsets[a]:offsets[b]] = h[at]
+        lo, hi = int(start[a]), int(end[b - 1])
+        part = np.zeros(hi - lo + chars, U64)
+        part[:hi - lo] = codes[lo:hi]
+        part += U64(1)
+        part[hi - lo:] = 0
+        h = _windows(part, chars)[:hi - lo]
+        own = np.ones(hi - lo, bool)  # the last places of a line begin no window of it
+        for i in range(1, chars):
+            last = end[a:b] - i
+            own[last[last > start[a:b]] - lo] = False
+        h = h[own]
+        mix64_in_place(h)
+        out[offsets[a]:offsets[b]] = h
         a = b
     short = np.flatnonzero((size > 0) & (size < chars))
     h = np.zeros(len(short), U64)
     for i in range(chars):  # nothing beyond the end of a line
         h = h * _K + np.where(i < size[short], codes[np.minimum(start[short] + i, max(len(codes) - 1, 0))].astype(U64) + U64(1), U64(0))
-    out[offsets[:-1][short]] = h
-    for a in range(0, len(out), TOGETHER):
-        out[a:a + TOGETHER] = mix64(out[a:a + TOGETHER])
+    out[offsets[:-1][short]] = mix64(h)
     return out, offsets
 
 
@@ -76,19 +121,20 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct lines of some documents at a time: the first document and place
     of each (null ids first), and in how many documents it is."""
     for batch in by_bytes(batches, "text", 4 << 20):
-        found: dict[str, list] = {}
+        found: dict[str, tuple] = {}
+        again: dict[str, int] = {}
         for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            seen = set()
-            for k, line in enumerate((t or "").split("\n")):
-                c = canonical(line)
-                if c and c not in seen:
-                    seen.add(c)
-                    at = (i is not None, i or 0, k, h)
-                    if (old := found.setdefault(c, [at, 0]))[0] > at:
-                        old[0] = at
-                    old[1] += 1
-        keys = np.array([line_key(c) for c in found], np.int64).reshape(-1, 2)
-        at, docs = zip(*found.values()) if found else ((), ())
+            known, number = i is not None, i or 0
+            for c, k in _first_places(canonicals(t or "")).items():
+                at = (known, number, k, h)
+                if (old := found.get(c)) is None:
+                    found[c] = at
+                else:
+                    again[c] = again.get(c, 1) + 1
+                    if at < old:
+                        found[c] = at
+        keys = _line_keys(found)
+        at, docs = found.values(), [again.get(c, 1) for c in found]
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array([a[1] if a[0] else None for a in at], pa.int64()),
              *(pa.array([a[n] for a in at], pa.int64()) for n in (2, 3)), pa.array(docs, pa.int64()), pa.array(list(found), pa.string())],
@@ -162,7 +208,7 @@ def line_groups(rows: DataFrame, *, num: int = 4, den: int = 5, chars: int = CHA
     classes = (rows.mapInArrow(_lines, "k1 long, k2 long, doc_id long, place long, h long, docs long, line string")
                .repartition("k1").groupBy("k1", "k2")
                .agg(F.min(F.struct("doc_id", "place", "h")).alias("at"), F.sum("docs").alias("docs"), F.first("line").alias("line")))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes", compression="zstd")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes", **LIGHT)
     members = crowded_packed(classes.select("node", "line"), _banded(chars, count, band_rows))
     wanted = written(members.select("node").distinct(), "wanted")
     lines = written(classes.select("node", "line").join(F.broadcast(wanted) if fits(wanted, 16) else wanted, "node"), "lines",
@@ -191,17 +237,23 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "text", 2 << 20):
         ids, sums, keys, places, ends = [], [], [], [], [0]
         for i, t, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            at: dict[str, list[int]] = {}
-            for k, line in enumerate((t or "").split("\n")):
-                if c := canonical(line):
-                    at.setdefault(c, []).append(k)
-            for c, own in at.items():
-                keys.append(line_key(c))
-                places += own
-                ends.append(len(places))
-            ids += [i] * len(at)
-            sums += [h] * len(at)
-        k = np.array(keys, np.int64).reshape(-1, 2)
+            lines = canonicals(t or "")
+            first = _first_places(lines)
+            if len(first) == len(lines):
+                ends += range(len(places) + 1, len(places) + len(first) + 1)
+                places += first.values()
+            else:
+                at: dict[str, list[int]] = {c: [] for c in first}
+                for k, c in enumerate(lines):
+                    if c:
+                        at[c].append(k)
+                for own in at.values():
+                    places += own
+                    ends.append(len(places))
+            keys += first
+            ids += [i] * len(first)
+            sums += [h] * len(first)
+        k = _line_keys(keys)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()),
                                           pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))],
                                          names=["doc_id", "h", "k1", "k2", "places"])
