@@ -1,4 +1,4 @@
-"""Line dedup: equal and nearly equal lines by MinHash, one line kept per group.
+"""Line dedup: equal and nearly equal lines by similarity sketches, one line kept per group.
 
 Lines end at a line feed.  A line is compared by its words in lower case with
 one blank between them; a line without words is always kept.  Its set holds the
