@@ -2,11 +2,13 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from trendspark.llm import lm_score as lm
+from trendspark.session import checkpoint_root
 
 
 def words(t):
@@ -123,3 +125,35 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     got = {r.doc_id: r for r in lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[held].held_out and got[held].n_known == 9
     assert got[held].score > got[held].base_score + 20  # the start mark alone gives about 3
+
+
+def test_many_chunks_and_parts_equal_brute_force(spark, monkeypatch):
+    """Passages that stand in several chunks, as a whole, in part and in held-out texts only, each key in one of many parts."""
+    monkeypatch.setattr(lm, "PART_KEYS", 400)
+    rng = np.random.default_rng(5)
+    passages = [" ".join(rng.choice([f"q{k}" for k in range(60)], 12)) for _ in range(12)]
+    rows = [(i, t) for i, t in sample(60)]
+    for i in range(2000, 2120):
+        p = passages[i % 12].split()
+        rows.append((i, " ".join(p[i % 3:len(p) - i % 4]) + f" own{i} " + passages[(i * 7) % 12]))
+    rows += rows[:20]
+    b = Brute([t for i, t in rows if not is_held(i)], 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = lm.lm_scores(df).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(([r.doc_id, r.n_tokens] for r in got), key=key) == sorted(([i, len(words(t))] for i, t in rows), key=key)
+    text = {i: t for i, t in rows}
+    for r in got:
+        assert (r.held_out, r.n_known) == (is_held(r.doc_id), sum(b.c[x] > 0 for x in words(text[r.doc_id])))
+        assert r.train_tokens == b.n and r.score == pytest.approx(b.score(text[r.doc_id], 3), abs=1e-6)
+
+
+def test_tables_left_are_a_few_bytes_a_symbol(spark):
+    """A symbol takes its number and what is told of its grams; tables of all distinct grams with their keys took 95 bytes."""
+    root = checkpoint_root(spark).removeprefix("file://")
+    size = lambda: sum(p.stat().st_size for p in Path(root).rglob("*") if p.is_file())
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 500) % 20000)) for i in range(160)]
+    before, kept = size(), lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert size() - before < 16 * sum(len(words(t)) for _, t in rows)
+    assert kept.count() == len(rows)

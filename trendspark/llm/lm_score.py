@@ -4,9 +4,8 @@ Symbols are word hashes and one end symbol per text; contexts are the symbols
 before, back to a start mark, at most ``DEPTH`` of them.
 
 * Grams (up to ``DEPTH`` symbols before and the symbol) are counted over all
-  texts by one grouping; those with shorter contexts are sums of them.  The
-  counts of symbols give the root, add-one over the symbols seen and one
-  unknown symbol.
+  training texts.  The counts of symbols give the root, add-one over the
+  symbols seen and one unknown symbol.
 * Level by level, each context seen at least ``LEAST`` times whose successors
   ``LEAST`` times are known gives those a probability of their own, discounted
   by ``DISCOUNT``; the rest of the mass goes to the context one symbol shorter.
@@ -16,10 +15,18 @@ before, back to a start mark, at most ``DEPTH`` of them.
   must pay for its parameters (half a log of its count each).
 * A symbol is scored in the state of the longest suffix in the tree.
 
+The texts are written once, as chunks of numbered symbols.  A chunk asks for
+its distinct grams with its own counts, dealt by hash, and is told those that
+the corpus holds often enough; a gram's two parts, without its last and without
+its first symbol, occur at least as often, so only grams of two known parts are
+asked for.  One of the chunks that hold a gram adds it to the sums of its
+context; each chunk then asks for its contexts and is told which stay, and
+their share of the mass for shorter ones.  From the chunk and the replies so far each trip
+works out the levels again.  A chunk asks for a key once, so no key is more than
+a row a chunk, and only keys, counts and sums are shuffled.
+
 ``EPS`` and ``DELTA`` raise the least counts of contexts and successors to a
-share of the corpus; both are off.  All tables are written and joined by key;
-only keys with at least ``COMMON`` of all symbols, at most 1/COMMON of them a
-level, are sent to the tasks, so that no frequent key is a single task.
+share of the corpus; both are off.
 """
 
 from __future__ import annotations
@@ -28,18 +35,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.llm.common import U64, by_bytes, mix64, text_bytes, text_words
 from trendspark.llm.labelled import held_out
-from trendspark.llm.scratch import written
+from trendspark.llm.scratch import dealt, written
 
-DEPTH, LEAST, EPS, DELTA, COMMON, DISCOUNT = 3, 2, 0.0, 0.0, 1e-5, 0.5
+DEPTH, LEAST, EPS, DELTA, DISCOUNT = 3, 2, 0.0, 0.0, 0.5
+#: Share of the corpus from which keys were broadcast; no key is joined any more, so it has no effect.
+COMMON = 1e-5
+#: Bytes of text (and 16 a row) of a chunk; keys that a task counts at a time, and the fewest worth a task.
+CHUNK_BYTES, PART_KEYS, FEW_KEYS = 8 << 20, 1 << 21, 1 << 17
 
 END, START = mix64(np.array([11, 13], U64) << U64(50))
 _K = U64(0x9E3779B97F4A7C15)
 
+ASKED = "part int, chunk long, keys binary, counts binary, totals binary, seen binary, sums binary"
+TOLD = "part int, chunk long, told binary, backoff binary, types long"
+
 
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of all texts, each text's words then END; offsets)."""
@@ -47,127 +63,291 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, offsets[1:], END), offsets + np.arange(len(offsets))
 
 
-def histories(sym: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """For length 1..depth: the hash of that many symbols before each symbol,
-    0 where the text does not reach back so far."""
-    first = np.zeros(len(sym), np.int64)
-    first[offsets[:-1]] = offsets[:-1]
-    back = np.arange(len(sym)) - np.maximum.accumulate(first)  # words before it in its text
-    before = np.empty_like(sym)
-    before[1:] = sym[:-1]
-    before[offsets[:-1]] = START
-    g = np.zeros(len(sym), U64)
-    for length in range(1, depth + 1):
-        if length == 1:
-            g = before.copy()
-        else:
-            longer = np.zeros_like(g)
-            longer[1:] = g[:-1] * _K + before[1:]
-            g = np.where(back >= length - 1, longer, U64(0))
-        yield g
-
-
-def _keys(depth: int) -> list[str]:
-    return [*(f"g{i}" for i in range(1, depth + 1)), "s"]
-
-
-def _columns(batch: pa.RecordBatch, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """([context of length 1, 2, ... of each symbol, the symbols], offsets)."""
-    sym, offsets = symbols(text_bytes(batch.column(batch.schema.get_field_index("text"))))
-    return [*histories(sym, offsets, depth), sym], offsets
-
-
-def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(first place of each distinct row, group of each row)."""
-    key = columns[-1]
-    for c in columns[:-1]:
-        key = mix64(key * _K + c)
-    _, first, group = np.unique(key, return_index=True, return_inverse=True)
-    return first, group
-
-
-def _longs(columns: list[np.ndarray]) -> list[pa.Array]:
-    return [pa.array(c.view(np.int64)) for c in columns]
-
-
-def _counted(depth: int):
-    """Distinct grams of a batch: n in training texts, m in all."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
-            columns, offsets = _columns(batch, depth)
-            first, group = _distinct(columns)
-            held = batch.column(batch.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False).astype(bool)
-            n = np.bincount(group, np.repeat(~held, np.diff(offsets)), len(first)).astype(np.int64)
-            m = np.bincount(group, minlength=len(first)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*_longs([c[first] for c in columns]), pa.array(n), pa.array(m)],
-                                             names=[*_keys(depth), "n", "m"])
-    return run
-
-
-def _occurring(depth: int):
-    """Distinct grams of each row, and how often they stand in it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
-            columns, offsets = _columns(batch, depth)
-            row = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
-            first, group = _distinct([row.view(U64), *columns])
-            times = np.bincount(group, minlength=len(first)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(row[first]), *_longs([c[first] for c in columns]), pa.array(times)],
-                                             names=["row", *_keys(depth), "times"])
-    return run
-
-
-def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_bytes(batches, "text"):
-        _, offsets = symbols(text_bytes(batch.column(3)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(offsets))],
-                                         names=["row", "doc_id", "held_out", "n_tokens"])
-
-
-def _looked_up(rows: DataFrame, side: DataFrame, keys: list[str], weight: str, hot: float) -> DataFrame:
-    """``rows`` left joined with ``side`` (one row a key); keys of at least the weight ``hot`` are broadcast."""
-    often = F.broadcast(side.where(F.col(weight) >= hot).drop(weight))
-    return rows.join(often, keys).unionByName(
-        rows.join(often.select(*keys), keys, "left_anti").join(side.drop(weight), keys, "left"))
-
-
-def learn(rows: DataFrame, *, depth: int = DEPTH) -> tuple[DataFrame, int, float]:
-    """(grams, training symbols, least weight of a hot gram) of a written table
-    of (held_out, text): the tree comes from the rows that are not held out,
-    ``grams`` (*keys, m, logp, base, known) holds the log10 probabilities of
-    every gram of all rows, in the tree and in the root."""
-    keys = _keys(depth)
-    grams = [None] * depth + [written(rows.select("held_out", "text").mapInArrow(_counted(depth), ", ".join(f"{c} long" for c in [*keys, "n", "m"]))
-                                      .groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m")), f"grams-{depth}")]
-    for length in range(depth - 1, -1, -1):
-        grams[length] = written(grams[length + 1].groupBy(*_keys(length)).agg(F.sum("n").alias("n"), F.sum("m").alias("m")),
-                                f"grams-{length}")
-    tokens, types, every = grams[0].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)),
-                                        F.coalesce(F.sum("m"), F.lit(0))).first()
-    enough, some = (max(LEAST, int(np.ceil(share * tokens))) for share in (EPS, DELTA))
-    hot = max(2, COMMON * every)
-    base = F.log10((F.col("n") + 1) / F.lit(float(tokens + types + 1)))
-    scored = written(grams[0].select("s", "m", base.alias("logp"), base.alias("base"), (F.col("n") > 0).alias("known")), "scored-0")
-    for length in range(1, depth + 1):
-        g, n, q = F.col(f"g{length}"), F.col("n"), F.col("logp")
-        level = written(_looked_up(grams[length], scored, _keys(length - 1), "m", hot), f"level-{length}")
-        own = n >= some
-        sums = (level.where(g != 0).groupBy(g.alias(f"g{length}"))
-                .agg(F.sum("n").alias("c"), F.sum("m").alias("w"), F.count(F.when(own, 1)).alias("k"),
-                     F.sum(F.when(own, n)).alias("seen"), F.sum(F.when(own, F.pow(F.lit(10.0), q))).alias("shorter"),
-                     F.sum(F.when(own, n * (F.log(n - DISCOUNT) - q * float(np.log(10))))).alias("fit")))
-        left = F.greatest(1 - (F.col("seen") - DISCOUNT * F.col("k")) / F.col("c"), F.lit(1e-9))
-        rest = F.greatest(1 - F.col("shorter"), F.lit(1e-9))
-        gain = F.col("fit") - F.col("seen") * F.log("c") + (F.col("c") - F.col("seen")) * F.log(left / rest)
-        candidate = F.col("c") >= enough
-        if length == 1:
-            candidate |= g == int(START.view(np.int64))
-        kept = written(sums.where((F.col("k") > 0) & candidate & (gain > 0.5 * (F.col("k") + 1) * F.log(F.col("c") + 1)))
-                       .select(f"g{length}", "w", "c", F.log10(left / rest).alias("backoff")), f"contexts-{length}")
-        after = F.when(F.col("c").isNull(), q).when(own, F.log10((n - DISCOUNT) / F.col("c"))).otherwise(q + F.col("backoff"))
-        scored = written(_looked_up(level, kept, [f"g{length}"], "w", hot)
-                         .select(*_keys(length), "m", after.alias("logp"), "base", "known"), f"scored-{length}")
-    return scored, tokens, hot
+def _small(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+
+def _large(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes, least first, as many as the largest needs."""
+    x = np.ascontiguousarray(x).view(U64)
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([width]) + _small(x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_large(data[1:]), np.uint8).reshape(data[0], -1)
+    x = np.zeros((planes.shape[1], 8), np.uint8)
+    x[:, :data[0]] = planes.T
+    return x.view(U64).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in runs by size: their steps have fewer bytes."""
+    return _packed(np.diff(keys, prepend=U64(0)))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data), dtype=U64)
+
+
+def _chunk(texts: pa.Table, name: int) -> pa.RecordBatch:
+    sym, offsets = symbols(text_bytes(texts.column("text").combine_chunks()))
+    keys, token, times = np.unique(sym, return_inverse=True, return_counts=True)
+    often = np.argsort(-times, kind="stable")  # small numbers for common symbols
+    number = np.empty_like(often)
+    number[often] = np.arange(len(often))
+    held, lengths = texts.column("held_out").combine_chunks(), np.diff(offsets)
+    train = ~held.to_numpy(zero_copy_only=False).astype(bool)
+    whole = pa.array([0, texts.num_rows], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name], pa.int64()), pa.ListArray.from_arrays(whole, texts.column("doc_id").combine_chunks()),
+         pa.ListArray.from_arrays(whole, held), pa.ListArray.from_arrays(whole, pa.array(lengths)),
+         pa.array([_packed_keys(keys[often])]), pa.array([_packed(number[token])]),
+         pa.array([int(lengths[train].sum())]), pa.array([len(sym)]), pa.array([int(train.sum())])],
+        names=["chunk", "ids", "held", "lengths", "keys", "tokens", "n_train", "n_all", "texts"])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (doc_id, held_out, text) as chunks of about CHUNK_BYTES."""
+    task, number, some, size = TaskContext.get().partitionId() << 32, 0, [], 0
+    for batch in by_bytes(batches, "text", CHUNK_BYTES):
+        text = batch.column(batch.schema.get_field_index("text"))
+        more = 16 * batch.num_rows + (pc.sum(pc.binary_length(text)).as_py() or 0)
+        if some and size + more > CHUNK_BYTES:
+            yield _chunk(pa.Table.from_batches(some), task + number)
+            number, some, size = number + 1, [], 0
+        some.append(batch)
+        size += more
+    if some:
+        yield _chunk(pa.Table.from_batches(some), task + number)
+
+
+class Learnt:
+    """What the driver knows of the corpus: training symbols and texts, symbols seen, least counts, parts of a trip."""
+
+    def __init__(self, depth: int, tokens: int, texts: int, parts: int):
+        self.depth, self.tokens, self.texts, self.types, self.parts = depth, tokens, texts, 0, parts
+        self.enough, self.some = (max(LEAST, int(np.ceil(share * tokens))) for share in (EPS, DELTA))
+
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return np.log10((n + 1) / float(self.tokens + self.types + 1))
+
+    def backoff(self, level: int, key: np.ndarray, c: np.ndarray, k: np.ndarray, seen: np.ndarray, shorter: np.ndarray,
+                fit: np.ndarray) -> np.ndarray:
+        """The log10 of the share that contexts leave to the shorter one, NaN for those that the tree does not keep."""
+        c = np.maximum(c, 1)
+        left, rest = np.maximum(1 - (seen - DISCOUNT * k) / c, 1e-9), np.maximum(1 - shorter, 1e-9)
+        gain = fit - seen * np.log(c) + (c - seen) * np.log(left / rest)
+        candidate = (c >= self.enough) | ((level == 1) & (key == START))
+        kept = (k > 0) & candidate & (gain > 0.5 * (k + 1) * np.log(c + 1))
+        return np.where(kept, np.log10(left / rest), np.nan)
+
+
+class Chunk:
+    """The levels of a chunk's grams, as far as it has been told of them.
+
+    The nodes of a level are its known grams: their keys ``of``, counts ``n``
+    and log10 probabilities ``logp``; ``node`` has that of each place or -1,
+    ``before`` the node of the level below that is the place's context.
+    """
+
+    def __init__(self, row: pa.Table, learnt: Learnt):
+        flat = lambda c: row.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        self.learnt, self.lengths, self.held = learnt, flat("lengths").astype(np.int64), flat("held").astype(bool)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.train = np.repeat(~self.held, self.lengths)
+        self.level, self.place = 0, slice(None)
+        self.key, place = np.unique(_unpacked_keys(row.column("keys")[0].as_py()), return_inverse=True)
+        self.sure = np.zeros(len(self.key), np.int64)
+        self.group = place.astype(np.int32)[_unpacked(row.column("tokens")[0].as_py()).view(np.int64)]
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(key, count in the chunk's training texts) of the distinct grams to ask for at this level, by key."""
+        asked = self.sure == 0
+        return self.key[asked], np.bincount(self.group, self.train[self.place], len(self.key)).astype(U64)[asked]
+
+    def told(self, told: np.ndarray) -> None:
+        """Takes the reply to ``grams``: twice the count and whether this chunk adds it, 0 where it is not known."""
+        all_told = self.sure
+        all_told[all_told == 0] = told.view(np.int64)
+        n, known = all_told >> 1, all_told > 0
+        if self.level == 0:
+            base, known = self.learnt.base(n), n >= self.learnt.some
+            self.seen, self.base = n[self.group] > 0, base[self.group]
+            self.p = self.base.copy()
+            # the start mark is the last node
+            self.n, self.of, self.logp = np.append(n, self.learnt.texts), np.append(self.key, START), np.append(base, 0.0)
+            self.node = np.where(known, np.arange(len(n), dtype=np.int32), np.int32(-1))[self.group]
+            return
+        self.prefix, self.suffix, self.below = self.prefix[known], self.suffix[known], (self.of, self.n)
+        self.n_prefix, self.n_suffix = self.n[self.prefix], self.n[self.suffix]
+        self.adds, self.n, self.of = (all_told[known] & 1).astype(bool), n[known], self.key[known]
+        node = np.full(len(self.node), -1, np.int32)
+        node[self.place] = np.where(known, np.cumsum(known, dtype=np.int32) - np.int32(1), np.int32(-1))[self.group]
+        self.node = node
+        # what is left of a context's count without the successors here: too little for another known one, or else to be asked for
+        of, c = self.below
+        here = np.zeros(len(of) + 1, bool)
+        here[self.before] = True
+        unknown = np.bincount(self.before[(node < 0) & self.train] + 1, minlength=len(of) + 1)[1:]
+        left = c - np.bincount(self.prefix, self.n, len(of)) - unknown
+        self.open = here[:-1] & (left >= self.learnt.some)
+
+    def sums(self, some: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(k, seen, shorter, fit) of the contexts of this level over some of the grams."""
+        x, n, q = self.prefix[some], self.n[some], self.logp[self.suffix[some]]
+        each = None, n, np.power(10.0, q), n * (np.log(n - DISCOUNT) - q * np.log(10))
+        return tuple(np.bincount(x, v, len(self.below[0])) for v in each)
+
+    def contexts(self) -> tuple[np.ndarray, ...]:
+        """(key, twice k and whether it is asked for, count, seen, (shorter, fit)) of contexts of this level, by key:
+        the sums over the k grams that this chunk adds, and the count, only of contexts with some."""
+        of, c = self.below
+        k, *sums = self.sums(self.adds)
+        known = np.flatnonzero(self.open | (k > 0))
+        known = known[np.argsort(of[known])]
+        some = known[k[known] > 0]
+        seen, shorter, fit = (v[some] for v in sums)
+        return (of[known], (k[known] * 2 + self.open[known]).astype(U64), c[some].astype(U64), seen.astype(U64),
+                np.stack([shorter, fit], axis=1))
+
+    def backed(self, backoff: np.ndarray) -> None:
+        """Takes the reply to ``contexts``: the log10 of the share left to the shorter one, NaN where it is not kept."""
+        of, c = self.below
+        share = np.append(self.learnt.backoff(self.level, of, c, *self.sums(slice(None))), np.nan)  # the last for places without a context
+        asked = np.flatnonzero(self.open)
+        share[asked[np.argsort(of[asked])]] = backoff
+        own, q, kept = np.log10((self.n - DISCOUNT) / c[self.prefix]), self.logp[self.suffix], ~np.isnan(share[self.prefix])
+        gained = np.append(np.where(kept, own - q, 0.0), 0.0)
+        self.p += np.where(self.node >= 0, gained[self.node], np.nan_to_num(share)[self.before])
+        self.logp = np.where(kept, own, q)
+
+    def longer(self) -> None:
+        """Goes on to the grams of the next level."""
+        self.level += 1
+        before = np.empty_like(self.node)
+        before[1:] = self.node[:-1]
+        before[self.first] = len(self.of) - 1 if self.level == 1 else -1
+        self.before, self.place = before, np.flatnonzero((before >= 0) & (self.node >= 0))
+        key = mix64(self.of[before[self.place]] * _K + self.of[self.node[self.place]])
+        self.key, group = np.unique(key, return_inverse=True)
+        self.group, at = group.astype(np.int32), np.empty(len(self.key), np.int64)
+        at[group] = self.place
+        self.prefix, self.suffix, self.sure = before[at], self.node[at], np.zeros(len(at), np.int64)
+        if self.level > 1:
+            # where all that stands before what both parts share is the first symbol, the gram is as frequent as
+            # its suffix and the chunk that adds that one has it; where all that follows is the last, as its prefix
+            for node, sure in ((self.prefix, self.n[self.suffix] == self.n_prefix[self.suffix]),
+                               (self.suffix, self.n[self.prefix] == self.n_suffix[self.prefix])):
+                self.sure[sure] = (self.n[node] * 2 + self.adds[node])[sure]
+
+    def scores(self, ids: pa.Array) -> pa.Table:
+        total = lambda v: pa.array(np.add.reduceat(v, self.first))
+        return pa.table([ids, pa.array(self.held), pa.array(self.lengths), total(self.seen.astype(np.int64)),
+                         total(self.base), total(self.p)],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+
+def _after(trips: int, row: pa.Table, replies: pa.Table | None, learnt: Learnt) -> Chunk:
+    """The chunk after so many trips; trip t asks for the grams of level t and the contexts of level t - 1."""
+    chunk = Chunk(row, learnt)
+    if not trips:
+        return chunk
+    replies = replies.sort_by([("trip", "ascending"), ("part", "ascending")])
+    trip, grams = replies.column("trip").to_numpy(), replies.column("part").to_numpy() < learnt.parts
+
+    def told(at: int) -> np.ndarray:
+        some = replies.filter(pa.array((trip == at) & grams))
+        return np.concatenate([np.zeros(0, U64), *(_unpacked(x) for x in some.column("told").to_pylist())])
+
+    def backoff(at: int) -> np.ndarray:
+        some = replies.filter(pa.array((trip == at) & ~grams))
+        kept = np.frombuffer(b"".join(_large(x) for x in some.column("told").to_pylist()), bool)
+        out = np.full(len(kept), np.nan)
+        out[kept] = np.frombuffer(b"".join(_large(x) for x in some.column("backoff").to_pylist()))
+        return out
+
+    chunk.told(told(0))
+    for level in range(1, min(trips - 1, learnt.depth) + 1):
+        chunk.longer()
+        chunk.told(told(level))
+        if level + 1 < trips:
+            chunk.backed(backoff(level + 1))
+    return chunk
+
+
+def _asked(trip: int, row: pa.Table, replies: pa.Table | None, learnt: Learnt) -> pa.Table:
+    """What the chunk asks for in this trip, a row for each part; those of contexts come after those of grams."""
+    chunk, rows, parts = _after(trip, row, replies, learnt), [], U64(learnt.parts)
+
+    def bounds(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        part = ((keys >> U64(32)) * parts >> U64(32)).astype(np.int64)
+        at = np.flatnonzero(np.diff(part, prepend=-1))
+        yield from zip(part[at].tolist(), at.tolist(), [*at[1:].tolist(), len(part)])
+
+    if trip > 1:
+        keys, k, c, seen, sums = chunk.contexts()
+        some = np.concatenate([[0], np.cumsum(k > 1)])
+        for part, a, b in bounds(keys):
+            i, j = some[a], some[b]
+            rows.append((learnt.parts + part, _packed_keys(keys[a:b]), _packed(k[a:b]), _packed(c[i:j]), _packed(seen[i:j]), _small(sums[i:j].tobytes())))
+    if trip <= learnt.depth:
+        if trip:
+            chunk.longer()
+        keys, n = chunk.grams()
+        rows += [(part, _packed_keys(keys[a:b]), _packed(n[a:b]), None, None, None) for part, a, b in bounds(keys)]
+    part, *rest = zip(*rows) if rows else [()] * 6
+    return pa.table([pa.array(part, pa.int32()), pa.array([row.column("chunk")[0].as_py()] * len(rows), pa.int64()),
+                     *(pa.array(c, pa.binary()) for c in rest)], names=["part", "chunk", "keys", "counts", "totals", "seen", "sums"])
+
+
+def _counts(trip: int, asked: pa.Table, learnt: Learnt) -> pa.Table:
+    """Replies to the rows of a part."""
+    keys = [_unpacked_keys(x) for x in asked.column("keys").to_pylist()]
+    ends = np.cumsum([len(x) for x in keys])
+    own = np.concatenate([_unpacked(x) for x in asked.column("counts").to_pylist()]).astype(np.int64)
+    key, group = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
+    if asked.column("part")[0].as_py() < learnt.parts:
+        total = np.bincount(group, own, len(key)).astype(np.int64)
+        known = total >= (learnt.some if trip else 1)
+        adds, train = np.empty(len(key), np.int64), np.flatnonzero(own)
+        adds[group[train]] = train  # one of the chunks with the gram in a training text
+        told = np.where(known, total << 1, 0)[group]
+        told[adds[known]] += 1
+        told, backoff, types = [_packed(x) for x in np.split(told, ends[:-1])], None, int((total > 0).sum())
+    else:
+        wanted, total = own % 2 > 0, np.bincount(group, own // 2, len(key))
+        at, binary = group[own > 1], lambda c: asked.column(c).to_pylist()
+        c, seen = (np.concatenate([_unpacked(x) for x in binary(name)]).astype(np.int64) for name in ("totals", "seen"))
+        sums = np.frombuffer(b"".join(_large(x) for x in binary("sums"))).reshape(-1, 2)
+        count = np.ones(len(key))
+        count[at] = c
+        backoff = learnt.backoff(trip - 1, key, count, total, *(np.bincount(at, v, len(key)) for v in (seen, sums[:, 0], sums[:, 1])))
+        backoff = [x[y] for x, y in zip(np.split(backoff[group], ends[:-1]), np.split(wanted, ends[:-1]))]
+        told = [_small((~np.isnan(x)).tobytes()) for x in backoff]
+        backoff, types = [_small(x[~np.isnan(x)].tobytes()) for x in backoff], 0
+    return pa.table([asked.column("part"), asked.column("chunk"), pa.array(told, pa.binary()),
+                     pa.array(backoff or [None] * len(told), pa.binary()), pa.array([types] + [0] * (len(told) - 1), pa.int64())],
+                    names=["part", "chunk", "told", "backoff", "types"])
+
+
+def _trip(trip: int, chunks: DataFrame, replies: DataFrame | None, learnt: Learnt) -> DataFrame:
+    """(trip, part, chunk, told, backoff, types): the replies to what all chunks ask for."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _asked(trip, pa.Table.from_batches([batch.slice(i, 1)]), None, learnt).to_batches()
+
+    chunks = chunks.select("chunk", "held", "lengths", "keys", "tokens")
+    asked = (chunks.mapInArrow(first, ASKED) if replies is None else chunks.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+             .applyInArrow(lambda row, told: _asked(trip, row, told, learnt), ASKED))
+    told = asked.groupBy("part").applyInArrow(lambda rows: _counts(trip, rows, learnt), TOLD)
+    return dealt(told.select(F.lit(trip).alias("trip"), "*"), "chunk")
 
 
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, part: int = 2,
@@ -179,19 +359,23 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     id is not held out).  Null and empty texts are one end symbol.  Scores are
     log10 probabilities; an unknown symbol has the root's share for count 0.
     """
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-                               held_out(id_col, parts, part).alias("held_out"), F.col(text_col).cast("string").alias("text")),
-                   "lm-rows")
-    scored, tokens, hot = learn(rows, depth=depth)
-    # one key for a gram: its columns need not be shuffled
-    key = F.xxhash64(*_keys(depth)).alias("gram")
-    occurring = (rows.select("row", "text").mapInArrow(_occurring(depth), ", ".join(f"{c} long" for c in ["row", *_keys(depth), "times"]))
-                 .select("row", key, "times"))
-    sums = (_looked_up(occurring, scored.select(key, "m", "logp", "base", "known"), ["gram"], "m", hot)
-            .groupBy("row").agg(F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("n_known"),
-                                F.sum(F.col("times") * F.col("base")).alias("base_score"),
-                                F.sum(F.col("times") * F.col("logp")).alias("score")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col, parts, part).alias("held_out"),
+                       F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return (rows.mapInArrow(_lengths, f"row long, doc_id {id_type}, held_out boolean, n_tokens long").join(sums, "row", "left")
-            .select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
-                    F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"))
+    chunks = dealt(rows.mapInArrow(_chunks, f"chunk long, ids array<{id_type}>, held array<boolean>, lengths array<long>, "
+                                   "keys binary, tokens binary, n_train long, n_all long, texts long"), "chunk")
+    tokens, every, texts = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_train", "n_all", "texts"))).first()
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    learnt = Learnt(depth, tokens, texts, max(1, -(-every // PART_KEYS), min(tasks, every // FEW_KEYS)))
+    replies = None
+    for trip in range(depth + 2):
+        more = _trip(trip, chunks, replies, learnt)
+        if not trip:
+            learnt.types = more.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
+        more = more.drop("types")
+        replies = more if replies is None else replies.unionByName(more)
+    scored = (chunks.select("chunk", "ids", "held", "lengths", "keys", "tokens").groupBy("chunk").cogroup(replies.groupBy("chunk"))
+              .applyInArrow(lambda row, told: _after(depth + 2, row, told, learnt).scores(row.column("ids").combine_chunks().flatten()),
+                            f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+    return scored.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
+                         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
