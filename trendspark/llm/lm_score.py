@@ -40,9 +40,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import U64, by_bytes, mix64, text_bytes, text_words
+from trendspark.llm.common import U64, by_bytes, mix64, mix64_in_place, text_bytes, text_words
 from trendspark.llm.labelled import held_out
-from trendspark.llm.scratch import dealt, written
+from trendspark.llm.scratch import dealt
 
 DEPTH, LEAST, EPS, DELTA, DISCOUNT = 3, 2, 0.0, 0.0, 0.5
 #: Share of the corpus from which keys were broadcast; no key is joined any more, so it has no effect.
@@ -52,8 +52,9 @@ CHUNK_BYTES, PART_KEYS, FEW_KEYS = 8 << 20, 1 << 21, 1 << 17
 
 END, START = mix64(np.array([11, 13], U64) << U64(50))
 _K = U64(0x9E3779B97F4A7C15)
+_LN10 = float(np.log(10))
 
-ASKED = "part int, chunk long, keys binary, counts binary, totals binary, seen binary, sums binary"
+ASKED = "part int, chunk long, keys binary, counts binary, totals binary, seen binary, shorter binary, fit binary"
 TOLD = "part int, chunk long, told binary, backoff binary, types long"
 
 
@@ -80,9 +81,10 @@ def _packed(x: np.ndarray) -> bytes:
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(_large(data[1:]), np.uint8).reshape(data[0], -1)
-    x = np.zeros((planes.shape[1], 8), np.uint8)
-    x[:, :data[0]] = planes.T
-    return x.view(U64).ravel()
+    x = planes[0].astype(U64)
+    for k in range(1, data[0]):
+        x |= planes[k].astype(U64) << U64(8 * k)
+    return x
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
@@ -160,15 +162,17 @@ class Chunk:
         self.learnt, self.lengths, self.held = learnt, flat("lengths").astype(np.int64), flat("held").astype(bool)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held, self.lengths)
-        self.level, self.place = 0, slice(None)
+        self.level = 0
         self.key, place = np.unique(_unpacked_keys(row.column("keys")[0].as_py()), return_inverse=True)
         self.sure = np.zeros(len(self.key), np.int64)
-        self.group = place.astype(np.int32)[_unpacked(row.column("tokens")[0].as_py()).view(np.int64)]
+        self.symbol = place.astype(np.int32)[_unpacked(row.column("tokens")[0].as_py()).view(np.int64)]
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """(key, count in the chunk's training texts) of the distinct grams to ask for at this level, by key."""
         asked = self.sure == 0
-        return self.key[asked], np.bincount(self.group, self.train[self.place], len(self.key)).astype(U64)[asked]
+        n = (np.add.reduceat(self.train[self.place], self.start, dtype=np.int64) if self.level
+             else np.bincount(self.symbol[self.train], minlength=len(self.key)))
+        return self.key[asked], n[asked].astype(U64)
 
     def told(self, told: np.ndarray) -> None:
         """Takes the reply to ``grams``: twice the count and whether this chunk adds it, 0 where it is not known."""
@@ -177,72 +181,88 @@ class Chunk:
         n, known = all_told >> 1, all_told > 0
         if self.level == 0:
             base, known = self.learnt.base(n), n >= self.learnt.some
-            self.seen, self.base = n[self.group] > 0, base[self.group]
+            self.seen, self.base = n[self.symbol] > 0, base[self.symbol]
             self.p = self.base.copy()
             # the start mark is the last node
             self.n, self.of, self.logp = np.append(n, self.learnt.texts), np.append(self.key, START), np.append(base, 0.0)
-            self.node = np.where(known, np.arange(len(n), dtype=np.int32), np.int32(-1))[self.group]
+            self.node = np.where(known, np.arange(len(n), dtype=np.int32), np.int32(-1))[self.symbol]
             return
         self.prefix, self.suffix, self.below = self.prefix[known], self.suffix[known], (self.of, self.n)
-        self.n_prefix, self.n_suffix = self.n[self.prefix], self.n[self.suffix]
         self.adds, self.n, self.of = (all_told[known] & 1).astype(bool), n[known], self.key[known]
         node = np.full(len(self.node), -1, np.int32)
-        node[self.place] = np.where(known, np.cumsum(known, dtype=np.int32) - np.int32(1), np.int32(-1))[self.group]
+        name = np.where(known, np.cumsum(known, dtype=np.int32) - np.int32(1), np.int32(-1))
+        node[self.place] = np.repeat(name, np.diff(self.start, append=len(self.place)))
         self.node = node
         # what is left of a context's count without the successors here: too little for another known one, or else to be asked for
         of, c = self.below
-        here = np.zeros(len(of) + 1, bool)
+        here, off = np.zeros((2, len(of) + 1), bool)
         here[self.before] = True
+        off[self.before[node < 0]] = True
         unknown = np.bincount(self.before[(node < 0) & self.train] + 1, minlength=len(of) + 1)[1:]
         left = c - np.bincount(self.prefix, self.n, len(of)) - unknown
-        self.open = here[:-1] & (left >= self.learnt.some)
+        self.open = here[:-1] & (left >= self.learnt.some) & ~self.alone
+        self.off = off[:-1]  # followed here by what is not known: only these need more than whether they are kept
 
     def sums(self, some: np.ndarray) -> tuple[np.ndarray, ...]:
         """(k, seen, shorter, fit) of the contexts of this level over some of the grams."""
         x, n, q = self.prefix[some], self.n[some], self.logp[self.suffix[some]]
-        each = None, n, np.power(10.0, q), n * (np.log(n - DISCOUNT) - q * np.log(10))
+        each = None, n, np.exp(q * _LN10), n * (np.log(n - DISCOUNT) - q * _LN10)
         return tuple(np.bincount(x, v, len(self.below[0])) for v in each)
 
     def contexts(self) -> tuple[np.ndarray, ...]:
-        """(key, twice k and whether it is asked for, count, seen, (shorter, fit)) of contexts of this level, by key:
-        the sums over the k grams that this chunk adds, and the count, only of contexts with some."""
+        """(key, 4 k + 2 if its share is asked for + 1 if it is asked for, count, seen, shorter, fit) of contexts, by key: the
+        sums over the k grams that this chunk adds, and the count, only of contexts with some; fit only with two."""
         of, c = self.below
         k, *sums = self.sums(self.adds)
-        known = np.flatnonzero(self.open | (k > 0))
+        known = np.flatnonzero(self.open | (k > 0) & ~self.alone)
         known = known[np.argsort(of[known])]
         some = known[k[known] > 0]
         seen, shorter, fit = (v[some] for v in sums)
-        return (of[known], (k[known] * 2 + self.open[known]).astype(U64), c[some].astype(U64), seen.astype(U64),
-                np.stack([shorter, fit], axis=1))
+        return (of[known], (k[known] * 4 + self.off[known] * 2 + self.open[known]).astype(U64), c[some].astype(U64), seen.astype(U64),
+                shorter, fit[k[some] > 1])
 
-    def backed(self, backoff: np.ndarray) -> None:
-        """Takes the reply to ``contexts``: the log10 of the share left to the shorter one, NaN where it is not kept."""
+    def backed(self, asked_kept: np.ndarray, backoff: np.ndarray, scored: bool) -> None:
+        """Takes the reply to ``contexts``: whether each is kept, and for those asked for the log10 of the share left to the shorter one."""
         of, c = self.below
         share = np.append(self.learnt.backoff(self.level, of, c, *self.sums(slice(None))), np.nan)  # the last for places without a context
+        share[:-1][self.alone] = np.nan
         asked = np.flatnonzero(self.open)
-        share[asked[np.argsort(of[asked])]] = backoff
-        own, q, kept = np.log10((self.n - DISCOUNT) / c[self.prefix]), self.logp[self.suffix], ~np.isnan(share[self.prefix])
-        gained = np.append(np.where(kept, own - q, 0.0), 0.0)
-        self.p += np.where(self.node >= 0, gained[self.node], np.nan_to_num(share)[self.before])
+        asked = asked[np.argsort(of[asked])]
+        share[asked] = np.where(asked_kept, 0.0, np.nan)
+        share[asked[asked_kept & self.off[asked]]] = backoff
+        own, q, kept = np.log((self.n - DISCOUNT) / c[self.prefix]) / _LN10, self.logp[self.suffix], ~np.isnan(share[self.prefix])
+        if scored:
+            gained = np.append(np.where(kept, own - q, 0.0), 0.0)
+            self.p += np.where(self.node >= 0, gained[self.node], np.nan_to_num(share)[self.before])
         self.logp = np.where(kept, own, q)
 
     def longer(self) -> None:
         """Goes on to the grams of the next level."""
         self.level += 1
+        parts = (self.prefix, self.suffix) if self.level > 1 else ()
         before = np.empty_like(self.node)
         before[1:] = self.node[:-1]
         before[self.first] = len(self.of) - 1 if self.level == 1 else -1
-        self.before, self.place = before, np.flatnonzero((before >= 0) & (self.node >= 0))
-        key = mix64(self.of[before[self.place]] * _K + self.of[self.node[self.place]])
-        self.key, group = np.unique(key, return_inverse=True)
-        self.group, at = group.astype(np.int32), np.empty(len(self.key), np.int64)
-        at[group] = self.place
-        self.prefix, self.suffix, self.sure = before[at], self.node[at], np.zeros(len(at), np.int64)
+        place = np.flatnonzero((before >= 0) & (self.node >= 0))
+        key = self.of[before[place]]
+        key *= _K
+        key += self.of[self.node[place]]
+        mix64_in_place(key)
+        order = np.argsort(key)
+        key = key[order]
+        # the places of each distinct gram, by key
+        self.start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+        self.place, self.key = place[order], key[self.start]
+        at = self.place[self.start]
+        self.before, self.prefix, self.suffix, self.sure = before, before[at], self.node[at], np.zeros(len(at), np.int64)
+        self.alone = np.zeros(len(self.of), bool)
         if self.level > 1:
+            # contexts that are all of their suffix differ in nothing from it, so they are never kept
+            _, n = self.below
+            first, self.alone = self.n == n[parts[0]], self.n == n[parts[1]]
             # where all that stands before what both parts share is the first symbol, the gram is as frequent as
             # its suffix and the chunk that adds that one has it; where all that follows is the last, as its prefix
-            for node, sure in ((self.prefix, self.n[self.suffix] == self.n_prefix[self.suffix]),
-                               (self.suffix, self.n[self.prefix] == self.n_suffix[self.prefix])):
+            for node, sure in ((self.prefix, first[self.suffix]), (self.suffix, self.alone[self.prefix])):
                 self.sure[sure] = (self.n[node] * 2 + self.adds[node])[sure]
 
     def scores(self, ids: pa.Array) -> pa.Table:
@@ -264,19 +284,17 @@ def _after(trips: int, row: pa.Table, replies: pa.Table | None, learnt: Learnt)
         some = replies.filter(pa.array((trip == at) & grams))
         return np.concatenate([np.zeros(0, U64), *(_unpacked(x) for x in some.column("told").to_pylist())])
 
-    def backoff(at: int) -> np.ndarray:
+    def backoff(at: int) -> tuple[np.ndarray, np.ndarray]:
         some = replies.filter(pa.array((trip == at) & ~grams))
         kept = np.frombuffer(b"".join(_large(x) for x in some.column("told").to_pylist()), bool)
-        out = np.full(len(kept), np.nan)
-        out[kept] = np.frombuffer(b"".join(_large(x) for x in some.column("backoff").to_pylist()))
-        return out
+        return kept, np.frombuffer(b"".join(_large(x) for x in some.column("backoff").to_pylist()))
 
     chunk.told(told(0))
     for level in range(1, min(trips - 1, learnt.depth) + 1):
         chunk.longer()
         chunk.told(told(level))
         if level + 1 < trips:
-            chunk.backed(backoff(level + 1))
+            chunk.backed(*backoff(level + 1), scored=trips > learnt.depth + 1)
     return chunk
 
 
@@ -290,19 +308,20 @@ def _asked(trip: int, row: pa.Table, replies: pa.Table | None, learnt: Learnt) -
         yield from zip(part[at].tolist(), at.tolist(), [*at[1:].tolist(), len(part)])
 
     if trip > 1:
-        keys, k, c, seen, sums = chunk.contexts()
-        some = np.concatenate([[0], np.cumsum(k > 1)])
+        keys, k, c, seen, shorter, fit = chunk.contexts()
+        some, more = (np.concatenate([[0], np.cumsum(k >= least)]) for least in (4, 8))
         for part, a, b in bounds(keys):
             i, j = some[a], some[b]
-            rows.append((learnt.parts + part, _packed_keys(keys[a:b]), _packed(k[a:b]), _packed(c[i:j]), _packed(seen[i:j]), _small(sums[i:j].tobytes())))
+            rows.append((learnt.parts + part, _packed_keys(keys[a:b]), _packed(k[a:b]), _packed(c[i:j]), _packed(seen[i:j]),
+                         _small(shorter[i:j].tobytes()), _small(fit[more[a]:more[b]].tobytes())))
     if trip <= learnt.depth:
         if trip:
             chunk.longer()
         keys, n = chunk.grams()
-        rows += [(part, _packed_keys(keys[a:b]), _packed(n[a:b]), None, None, None) for part, a, b in bounds(keys)]
-    part, *rest = zip(*rows) if rows else [()] * 6
+        rows += [(part, _packed_keys(keys[a:b]), _packed(n[a:b]), None, None, None, None) for part, a, b in bounds(keys)]
+    part, *rest = zip(*rows) if rows else [()] * 7
     return pa.table([pa.array(part, pa.int32()), pa.array([row.column("chunk")[0].as_py()] * len(rows), pa.int64()),
-                     *(pa.array(c, pa.binary()) for c in rest)], names=["part", "chunk", "keys", "counts", "totals", "seen", "sums"])
+                     *(pa.array(c, pa.binary()) for c in rest)], names=["part", "chunk", "keys", "counts", "totals", "seen", "shorter", "fit"])
 
 
 def _counts(trip: int, asked: pa.Table, learnt: Learnt) -> pa.Table:
@@ -321,16 +340,20 @@ def _counts(trip: int, asked: pa.Table, learnt: Learnt) -> pa.Table:
         told[adds[known]] += 1
         told, backoff, types = [_packed(x) for x in np.split(told, ends[:-1])], None, int((total > 0).sum())
     else:
-        wanted, total = own % 2 > 0, np.bincount(group, own // 2, len(key))
-        at, binary = group[own > 1], lambda c: asked.column(c).to_pylist()
+        wanted, valued, total = own % 2 > 0, own % 4 > 2, np.bincount(group, own // 4, len(key))
+        at, binary = group[own > 3], lambda c: asked.column(c).to_pylist()
         c, seen = (np.concatenate([_unpacked(x) for x in binary(name)]).astype(np.int64) for name in ("totals", "seen"))
-        sums = np.frombuffer(b"".join(_large(x) for x in binary("sums"))).reshape(-1, 2)
+        shorter, more = (np.frombuffer(b"".join(_large(x) for x in binary(name))) for name in ("shorter", "fit"))
+        fit = seen * (np.log(seen - DISCOUNT) - np.log(shorter))  # of a single gram
+        fit[own[own > 3] > 7] = more
         count = np.ones(len(key))
         count[at] = c
-        backoff = learnt.backoff(trip - 1, key, count, total, *(np.bincount(at, v, len(key)) for v in (seen, sums[:, 0], sums[:, 1])))
-        backoff = [x[y] for x, y in zip(np.split(backoff[group], ends[:-1]), np.split(wanted, ends[:-1]))]
-        told = [_small((~np.isnan(x)).tobytes()) for x in backoff]
-        backoff, types = [_small(x[~np.isnan(x)].tobytes()) for x in backoff], 0
+        backoff = learnt.backoff(trip - 1, key, count, total, *(np.bincount(at, v, len(key)) for v in (seen, shorter, fit)))
+        backoff = backoff[group]
+        kept, (each, wanted, valued) = ~np.isnan(backoff), (np.split(x, ends[:-1]) for x in (backoff, wanted, valued))
+        kept = np.split(kept, ends[:-1])
+        told = [_small(x[y].tobytes()) for x, y in zip(kept, wanted)]
+        backoff, types = [_small(x[y & z].tobytes()) for x, y, z in zip(each, kept, valued)], 0
     return pa.table([asked.column("part"), asked.column("chunk"), pa.array(told, pa.binary()),
                      pa.array(backoff or [None] * len(told), pa.binary()), pa.array([types] + [0] * (len(told) - 1), pa.int64())],
                     names=["part", "chunk", "told", "backoff", "types"])
