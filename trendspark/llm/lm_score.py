@@ -21,9 +21,9 @@ the corpus holds often enough; a gram's two parts, without its last and without
 its first symbol, occur at least as often, so only grams of two known parts are
 asked for.  One of the chunks that hold a gram adds it to the sums of its
 context; each chunk then asks for its contexts and is told which stay, and
-their share of the mass for shorter ones.  From the chunk and the replies so far each trip
-works out the levels again.  A chunk asks for a key once, so no key is more than
-a row a chunk, and only keys, counts and sums are shuffled.
+their share of the mass for shorter ones.  Each trip works out the levels again
+from the chunk and the replies so far.  A chunk asks for a key once, so no key
+is in more than a row a chunk; only keys, counts and sums are shuffled.
 
 ``EPS`` and ``DELTA`` raise the least counts of contexts and successors to a
 share of the corpus; both are off.
@@ -193,7 +193,7 @@ class Chunk:
         name = np.where(known, np.cumsum(known, dtype=np.int32) - np.int32(1), np.int32(-1))
         node[self.place] = np.repeat(name, np.diff(self.start, append=len(self.place)))
         self.node = node
-        # what is left of a context's count without the successors here: too little for another known one, or else to be asked for
+        # a context is asked for if the successors here leave enough of its count for another known one
         of, c = self.below
         here, off = np.zeros((2, len(of) + 1), bool)
         here[self.before] = True
